@@ -240,11 +240,12 @@ def with_occurred_at(df, event: str = "event", out: str = "occurred_at",
           .withColumn("_os", F.when(F.col("_ot") == "STRING",
                                     js_trim(F.try_variant_get(F.col("_oc"), "$", "string")))))
     t, s = F.col("_ot"), F.col("_os")
-    from_number = epoch_to_instant(F.try_variant_get(F.col("_oc"), "$", "double"))
-    from_string = F.coalesce(epoch_to_instant(js_number(s)), js_date_parse(s))
-    instant = (F.when(is_number(t), from_number)
-               .when((t == "STRING") & (s != ""), from_string))
-    return df.withColumn(out, instant).drop("_oc", "_ot", "_os")
+    is_text = (t == "STRING") & (s != "")
+    df = df.withColumn("_on", F.when(is_number(t), F.try_variant_get(F.col("_oc"), "$", "double"))
+                       .when(is_text, js_number(s)))
+    df = df.withColumn("_oi", epoch_to_instant(F.col("_on")))
+    instant = F.coalesce(F.col("_oi"), F.when(is_text, js_date_parse(s)))
+    return df.withColumn(out, instant).drop("_oc", "_ot", "_os", "_on", "_oi")
 
 
 def iso_ms(ts: Column) -> Column:

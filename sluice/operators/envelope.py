@@ -8,6 +8,8 @@ event fails the job in the same pass that reads it, with no pre-check job.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,17 @@ ERR_NO_CURSOR = "Invalid pagination state: hasMore=true but nextCursor is null"
 ERR_STUCK = "Invalid pagination state: cursor did not advance"
 
 
+def observed(df: DataFrame, label: str, *metrics: Column) -> DataFrame:
+    """Attach named metrics (``df.observe``) to a decode step.
+
+    Besides reporting counts to listeners, ``CollectMetrics`` is a plan node
+    that filters are never pushed through, so a later predicate on a decoded
+    column cannot copy the JSON parse into itself (Catalyst would otherwise
+    substitute the alias once per reference and parse the body repeatedly).
+    """
+    return df.observe(f"sluice_{label}_{uuid.uuid4().hex[:10]}", *metrics)
+
+
 def _items(v: Column) -> Column:
     arrays = [F.try_variant_get(v, f"$['{k}']", "array<variant>") for k in S.ITEM_KEYS]
     return F.coalesce(*arrays)
@@ -44,11 +57,13 @@ def parse_envelope(pages: DataFrame, body: str = "body") -> DataFrame:
              .when(~F.col("_first").isin("{", "["), F.lit(ERR_NOT_OBJECT))
              .when(F.col("_items").isNull(), F.lit(ERR_NOT_ARRAY)))
     ok = F.col("page_error").isNull()
-    return (df.withColumn("page_error", error)
-            .withColumn("items", F.when(ok, F.col("_items")))
-            .withColumn("has_more", F.when(ok, has_more))
-            .withColumn("next_cursor", F.when(ok, cursor))
-            .drop("_v", "_first", "_items", "_hm", "_nc", "_cur"))
+    out = (df.withColumn("page_error", error)
+           .withColumn("items", F.when(ok, F.col("_items")))
+           .withColumn("has_more", F.when(ok, has_more))
+           .withColumn("next_cursor", F.when(ok, cursor))
+           .drop("_v", "_first", "_items", "_hm", "_nc", "_cur"))
+    return observed(out, "pages", F.count(F.lit(1)).alias("pages"),
+                    F.count(F.col("page_error")).alias("bad_pages"))
 
 
 def chain_violation(has_more: Column, next_cursor: Column, request_cursor: Column) -> Column:
@@ -109,6 +124,8 @@ def with_event_ids(events: DataFrame, strict: bool = False) -> DataFrame:
            .withColumn("event_id", F.when(F.length("event_id") > 0, F.col("event_id")))
            .withColumn("reason", S.invalid_reason(ev, F.col("event_id")))
            .drop("_id_raw"))
+    out = observed(out, "events", F.count(F.lit(1)).alias("events"),
+                   F.count(F.col("reason")).alias("invalid"))
     if strict:
         msg = F.concat(F.lit("Invalid event payload: "), F.col("reason"), F.lit(" (run "),
                        F.col("run_id"), F.lit(", page "), F.col("page_no").cast("string"),
