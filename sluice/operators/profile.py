@@ -52,7 +52,8 @@ def field_profile(events: DataFrame, event: str = "event") -> DataFrame:
     ``share = n / events``.
     """
     objects = events.where(F.col(event).isNotNull())
-    exploded = objects.selectExpr(f"variant_explode({event}) AS (pos, key, value)")
+    exploded = objects.select(F.explode(F.col(event).try_cast("map<string,variant>"))
+                              .alias("key", "value"))
     counts = exploded.groupBy("key", _kind(F.col("value")).alias("type")).agg(
         F.count(F.lit(1)).alias("n"))
     total = objects.where(S.vtype(F.col(event)).startswith("OBJECT")).count()

@@ -1,0 +1,2 @@
+from .hooks import IngestHooks, ProgressCollector  # noqa: F401
+from .ingest_stream import run_ingest_stream, start_ingest_stream  # noqa: F401
