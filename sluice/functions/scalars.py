@@ -83,8 +83,14 @@ def as_double(x: Column) -> Column:
 
 
 def js_trim(s: Column) -> Column:
-    """White-space trim covering tabs, new lines and Unicode spaces."""
-    return F.regexp_replace(s, f"^{_WS}+|{_WS}+$", "")
+    """White-space trim covering tabs, new lines and Unicode spaces.
+
+    Strings that start and end with a printable ASCII character (nearly all)
+    skip the regular expression.
+    """
+    first, last = F.ascii(s), F.ascii(F.substring(s, -1, 1))
+    plain = (first > 32) & (first < 127) & (last > 32) & (last < 127)
+    return F.when(plain, s).otherwise(F.regexp_replace(s, f"^{_WS}+|{_WS}+$", ""))
 
 
 def is_record(x: Column) -> Column:
@@ -206,21 +212,31 @@ _RFC_ANY = (r"^(?:[A-Za-z]{3},\s*)?(\d{1,2}) ([A-Za-z]{3}) (\d{4}) (\d{2}:\d{2})
             r" (GMT|UTC|UT|Z|[+-]\d{4})$")
 
 
-def js_date_parse(s: Column) -> Column:
-    """``Date.parse`` for ISO-8601 and RFC-1123 text, time zone independent.
+_ISO_CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 
-    Date-only forms are UTC; date-times without an offset are read as UTC.
-    The result is truncated to milliseconds.
-    """
+
+def _date_parse_unchecked(s: Column) -> Column:
+    """``Date.parse`` as a millisecond-truncated TIMESTAMP, before the range check."""
     iso = s
     for pattern, repl in _ISO_REWRITES:
         iso = F.regexp_replace(iso, pattern, repl)
     rfc = F.regexp_replace(s, _RFC_ANY, "$1 $2 $3 $4$5 $6")
     rfc = F.regexp_replace(rfc, r"^(\S+ \S+ \S+ \d{2}:\d{2}) ", "$1:00 ")
     rfc = F.regexp_replace(rfc, r" (GMT|UTC|UT|Z)$", " +0000")
-    parsed = (F.when(s.rlike(_ISO_ANY), iso.try_cast("timestamp"))
+    parsed = (F.when(s.rlike(_ISO_CANONICAL), s.try_cast("timestamp"))
+              .when(s.rlike(_ISO_ANY), iso.try_cast("timestamp"))
               .when(s.rlike(_RFC_ANY), F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss Z"))))
-    return _in_range(F.date_trunc("millisecond", parsed))
+    return F.date_trunc("millisecond", parsed)
+
+
+def js_date_parse(s: Column) -> Column:
+    """``Date.parse`` for ISO-8601 and RFC-1123 text, time zone independent.
+
+    Date-only forms are UTC; date-times without an offset are read as UTC.
+    The result is truncated to milliseconds.  Canonical ISO text (the common
+    case) is cast directly; other forms are first rewritten to it.
+    """
+    return _in_range(_date_parse_unchecked(s))
 
 
 def with_occurred_at(df, event: str = "event", out: str = "occurred_at",
@@ -232,6 +248,7 @@ def with_occurred_at(df, event: str = "event", out: str = "occurred_at",
     null both give a NULL instant; they differ only in the payload.
     Intermediate values are staged as columns so each is computed once.
     """
+    from .metrics import observed
     ev = F.col(event)
     df = (df.withColumn("_oc", first_present(ev, OCCURRED_AT_KEYS))
           .withColumn(present_out, F.col("_oc").isNotNull()
@@ -239,13 +256,16 @@ def with_occurred_at(df, event: str = "event", out: str = "occurred_at",
           .withColumn("_ot", vtype(F.col("_oc")))
           .withColumn("_os", F.when(F.col("_ot") == "STRING",
                                     js_trim(F.try_variant_get(F.col("_oc"), "$", "string")))))
+    df = observed(df, "time_values", F.count(F.col("_oc")).alias("with_time"))
     t, s = F.col("_ot"), F.col("_os")
     is_text = (t == "STRING") & (s != "")
     df = df.withColumn("_on", F.when(is_number(t), F.try_variant_get(F.col("_oc"), "$", "double"))
                        .when(is_text, js_number(s)))
     df = df.withColumn("_oi", epoch_to_instant(F.col("_on")))
-    instant = F.coalesce(F.col("_oi"), F.when(is_text, js_date_parse(s)))
-    return df.withColumn(out, instant).drop("_oc", "_ot", "_os", "_on", "_oi")
+    df = observed(df, "time_numbers", F.count(F.col("_oi")).alias("from_numbers"))
+    df = df.withColumn("_od", F.when(F.col("_oi").isNull() & is_text, _date_parse_unchecked(s)))
+    instant = F.coalesce(F.col("_oi"), _in_range(F.col("_od")))
+    return df.withColumn(out, instant).drop("_oc", "_ot", "_os", "_on", "_oi", "_od")
 
 
 def iso_ms(ts: Column) -> Column:

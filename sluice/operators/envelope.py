@@ -8,12 +8,11 @@ event fails the job in the same pass that reads it, with no pre-check job.
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..functions.metrics import observed
 
 # Error texts of the source system.
 ERR_NOT_JSON = "Invalid events response: body is not JSON"
@@ -23,17 +22,6 @@ ERR_NO_CURSOR = "Invalid pagination state: hasMore=true but nextCursor is null"
 ERR_STUCK = "Invalid pagination state: cursor did not advance"
 
 
-def observed(df: DataFrame, label: str, *metrics: Column) -> DataFrame:
-    """Attach named metrics (``df.observe``) to a decode step.
-
-    Besides reporting counts to listeners, ``CollectMetrics`` is a plan node
-    that filters are never pushed through, so a later predicate on a decoded
-    column cannot copy the JSON parse into itself (Catalyst would otherwise
-    substitute the alias once per reference and parse the body repeatedly).
-    """
-    return df.observe(f"sluice_{label}_{uuid.uuid4().hex[:10]}", *metrics)
-
-
 def _items(v: Column) -> Column:
     arrays = [F.try_variant_get(v, f"$['{k}']", "array<variant>") for k in S.ITEM_KEYS]
     return F.coalesce(*arrays)
@@ -160,7 +148,8 @@ def require_valid(parsed: DataFrame) -> None:
 
 def finish_events(events: DataFrame) -> DataFrame:
     """O9 + O12 on events that already carry ``event_id``: adds the stored columns."""
-    df = S.with_occurred_at(events, "event")
+    df = observed(S.with_occurred_at(events, "event"), "times",
+                  F.count(F.col("occurred_at")).alias("with_instant"))
     return df.withColumn("payload", S.build_payload(F.col("event"), F.col("event_id"),
                                                     F.col("occurred_at"), F.col("time_present")))
 
