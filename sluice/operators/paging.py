@@ -35,10 +35,13 @@ _LOCAL_BITS = 33
 
 
 def row_index(df: DataFrame, order, name: str = "row_idx",
-              rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
-    """Add a dense 0-based index in ``order`` (list of column names or Columns)."""
+              rows_per_bucket: int = ROWS_PER_BUCKET, total: int | None = None) -> DataFrame:
+    """Add a dense 0-based index in ``order`` (list of column names or Columns).
+
+    ``total`` (the row count) is counted when not given; it only sizes the ranges.
+    """
     order = list(order)
-    n = df.count()
+    n = df.count() if total is None else int(total)
     buckets = max(1, math.ceil(n / max(1, rows_per_bucket)))
     checkpoint_root(df.sparkSession)
     cols = df.columns

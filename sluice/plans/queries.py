@@ -136,7 +136,9 @@ def _split_pages(spark, sf_dir):
 def q_insert_if_absent(spark, sf_dir):
     """Pages before the middle are stored; the rest arrive as a new load."""
     stored_pages, new_pages = _split_pages(spark, sf_dir)
-    target = ingest_batch(stored_pages)
+    stored_path = scratch_path(spark, "stored-events")
+    ingest_batch(stored_pages).write.mode("overwrite").parquet(stored_path)
+    target = spark.read.parquet(stored_path)
     fresh = ingest_batch(new_pages, target=target, key_strategy="auto")
     return fresh.select("event_id", "page_no", F.col("pos").cast("long").alias("pos"))
 

@@ -81,7 +81,7 @@ def event_pages(events: DataFrame, page_size: int = PAGE_SIZE, runs: int = 1,
     ps, R = int(page_size), int(runs)
     base = events.select(*ORDER)
     n = base.count()
-    idx = row_index(base, list(ORDER), name="rn", rows_per_bucket=rows_per_bucket)
+    idx = row_index(base, list(ORDER), name="rn", rows_per_bucket=rows_per_bucket, total=n)
     rn = F.col("rn")
     run = rn % R
     rrn = _div(rn, R)

@@ -72,3 +72,36 @@ def _has_parquet(spark, path):
         return True
     except Exception:  # noqa: BLE001
         return False
+
+
+def test_listener_sees_observed_metrics_and_compaction_keeps_rows(spark):
+    from sluice.sources.sinks import compact_partitions
+    from sluice.streaming import ProgressCollector
+    pages = pages_df(spark, _bodies(4), request_cursors=[None, "c1", "c2", "c3"])
+    landed = scratch_path(spark, "t-l2")
+    land_pages_in_order(pages, landed, files=2)
+    table, ledger = scratch_path(spark, "t-t2"), scratch_path(spark, "t-led2")
+    listener = ProgressCollector()
+    spark.streams.addListener(listener)
+    try:
+        run_ingest_stream(spark, landed, table, ledger, scratch_path(spark, "t-ck3"), "runL",
+                          max_files_per_trigger=1)
+        import time
+        deadline = time.time() + 20          # listener events are delivered asynchronously
+        while sum(r["input_rows"] for r in listener.rows) < 4 and time.time() < deadline:
+            time.sleep(0.2)
+    finally:
+        spark.streams.removeListener(listener)
+    assert sum(r["input_rows"] for r in listener.rows) == 4
+    out = scratch_path(spark, "t-compact")
+    compact_partitions(spark, table, out)
+    assert _table(spark, out) == _table(spark, table)
+
+
+def test_parquet_landed_pages(spark):
+    from sluice.sources.pages import scan_pages
+    pages = pages_df(spark, _bodies(3))
+    path = scratch_path(spark, "t-pq")
+    pages.write.mode("overwrite").parquet(path)
+    assert ingest_batch(scan_pages(spark, path, fmt="parquet")).count() == \
+        ingest_batch(pages).count()
