@@ -49,7 +49,14 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "eve
         strategy = "broadcast" if _checked_small(batch.select(key), limit) else "shuffle"
     if strategy == "broadcast":
         keys = batch.select(key)
-        hits = stored.join(F.broadcast(keys), key, "left_semi")
+        lo, hi = batch.agg(F.min(key), F.max(key)).first()
+        if lo is None:                      # empty batch: nothing to insert
+            return batch
+        # The batch's key range as a literal filter reaches the Parquet scan, so
+        # files whose min/max statistics miss the range are skipped (event ids
+        # usually grow with time, and partitions are written sorted by id).
+        near = stored.where(F.col(key).between(F.lit(lo), F.lit(hi)))
+        hits = near.join(F.broadcast(keys), key, "left_semi")
         return batch.join(F.broadcast(hits), key, "left_anti")
     return batch.join(stored, key, "left_anti")
 

@@ -56,6 +56,11 @@ def ingest_batch(pages: DataFrame, target: DataFrame | None = None, strict: bool
     """
     events = page_events(decode_pages(pages, strict), strict)
     firsts = first_by_key(events, "event_id", ARRIVAL)
+    if target is not None and key_strategy != "shuffle":
+        # The size check, the key range and the broadcast keys all read the
+        # deduped batch: materialise it once (reliable checkpoint) instead of
+        # decoding the pages three times.
+        firsts = firsts.checkpoint(eager=True)
     fresh = insert_if_absent(firsts, target, "event_id", strategy=key_strategy)
     done = E.finish_events(fresh)
     cols = ["event_id", "occurred_at", "payload", F.current_timestamp().alias("ingested_at")]
