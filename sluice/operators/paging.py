@@ -16,9 +16,9 @@ Global row index without a single-task window
    bounded) and added.
 
 B is ``ceil(n / rows_per_bucket)``: each range task holds about
-``rows_per_bucket`` rows whatever the total size.  A key repeated in a third
-of all rows still splits across ranges only if the sort key has a tiebreaker;
-callers pass a total order (all columns) so ties are identical rows.
+``rows_per_bucket`` rows whatever the total size.  A row hash and the input
+row id are appended to the order as tiebreakers, so a key (or an exact copy)
+repeated in a third of all rows still spreads over many ranges.
 """
 
 from __future__ import annotations
@@ -45,9 +45,16 @@ def row_index(df: DataFrame, order, name: str = "row_idx",
     buckets = max(1, math.ceil(n / max(1, rows_per_bucket)))
     checkpoint_root(df.sparkSession)
     cols = df.columns
+    # Tiebreakers: a hash of the whole row, then the row's position in its
+    # input split.  Rows equal on ``order`` (even exact copies, which may be a
+    # third of all rows) then spread over many ranges instead of one task.
+    # The input id is stable on recomputation because the scan's splits are.
+    tie = df.select("*", F.xxhash64(*cols).alias("_tie_h"),
+                    F.monotonically_increasing_id().alias("_tie_i"))
+    full = order + ["_tie_h", "_tie_i"]
     mid = F.monotonically_increasing_id()
-    tagged = (df.repartitionByRange(buckets, *order)
-              .sortWithinPartitions(*order)
+    tagged = (tie.repartitionByRange(buckets, *full)
+              .sortWithinPartitions(*full)
               .withColumn("_mid", mid)
               .select(*cols, F.shiftright("_mid", _LOCAL_BITS).alias("_bucket"),
                       F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1).alias("_local")))

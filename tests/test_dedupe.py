@@ -72,3 +72,16 @@ def test_any_split_gives_the_same_table(spark):
         both = first.unionByName(second).select(
             "event_id", F.try_variant_get("payload", "$.n", "bigint").alias("n"))
         assert {r["event_id"]: r["n"] for r in both.collect()} == whole
+
+
+def test_hot_key_keeps_the_first_copy(spark):
+    # a third of all rows carry the same id; partial aggregation keeps one per task
+    rows = [("r", p, i, "hot" if (p * 50 + i) % 3 == 0 else f"k{p}-{i}", f"{p}-{i}")
+            for p in range(40) for i in range(50)]
+    df = spark.createDataFrame(rows, "run_id string, page_no long, pos long, event_id string, v string")
+    out = first_by_key(df.repartition(8))
+    got = {r["event_id"]: r["v"] for r in out.collect()}
+    assert got["hot"] == "0-0"
+    assert len(got) == 1 + sum(1 for p in range(40) for i in range(50) if (p * 50 + i) % 3)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min_by" in plan

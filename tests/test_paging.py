@@ -77,3 +77,18 @@ def test_export_is_sorted_and_complete(spark):
             with open(os.path.join(local, name)) as fh:
                 lines += fh.read().splitlines()
     assert lines == sorted(keys)
+
+
+def test_row_index_spreads_a_hot_key(spark):
+    # a third of the rows share one key and are exact copies of each other
+    rows = [(7, "same")] * 600 + [(k, f"v{k}") for k in range(1200)]
+    df = spark.createDataFrame(rows, "k long, v string").repartition(4)
+    idx = P.row_index(df, ["k"], rows_per_bucket=200)
+    assert sorted(r["row_idx"] for r in idx.collect()) == list(range(1800))
+    # the 601 rows with k = 7 occupy one contiguous index range
+    sevens = sorted(r["row_idx"] for r in idx.where("k = 7").collect())
+    assert sevens == list(range(sevens[0], sevens[0] + 601))
+    # and the copies were spread over several range partitions
+    ranged = df.select("*", F.xxhash64("k", "v").alias("h"), F.monotonically_increasing_id().alias("i")) \
+        .repartitionByRange(9, "k", "h", "i").where("k = 7")
+    assert ranged.select(F.spark_partition_id()).distinct().count() > 1
