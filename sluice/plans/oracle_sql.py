@@ -59,7 +59,8 @@ def _flush_ctes(runs: int) -> str:
     return f"""{_occ(runs)},
 {_winners(runs)},
 fl AS (SELECT * FROM (WITH RECURSIVE r(run, page_no, n, buf, flush_no, closes) AS (
-         SELECT run, page_no, n, CASE WHEN n >= {b} OR page_no = last_page THEN 0 ELSE n END, 1,
+         SELECT run, page_no, n, CASE WHEN n >= {b} OR page_no = last_page THEN 0 ELSE n END,
+                CAST(1 AS BIGINT),
                 (n >= {b} OR page_no = last_page)
          FROM pg WHERE page_no = 0
          UNION ALL
@@ -75,7 +76,7 @@ fpage AS (SELECT fl.*, pg.last_page,
           FROM fl JOIN pg ON pg.run = fl.run AND pg.page_no = fl.page_no
           LEFT JOIN (SELECT run, opage, count(*) AS k FROM win GROUP BY run, opage) ins
             ON ins.run = fl.run AND ins.opage = fl.page_no),
-fsum AS (SELECT run, flush_no, sum(ins) AS inserted, max(page_no) AS last_page_no
+fsum AS (SELECT run, flush_no, CAST(sum(ins) AS BIGINT) AS inserted, max(page_no) AS last_page_no
          FROM fpage GROUP BY run, flush_no),
 fcur AS (SELECT f.run, f.flush_no, f.inserted, f.last_page_no, p.next_cursor AS cursor
          FROM fsum f JOIN fpage p ON p.run = f.run AND p.page_no = f.last_page_no)"""
@@ -167,8 +168,9 @@ FROM occ WHERE rn % 97 = 13 OR rn % 89 = 7 OR rn % 83 = 5 OR rn % 79 = 3"""
 SELECT {_RUN} AS run_id, page_no, n AS n_events, flush_no, closes AS closes_flush FROM fl"""
 
     q["run_summary"] = f"""WITH RECURSIVE {multi}
-SELECT {_RUN} AS run_id, count(*) AS pages, sum(n) AS events, sum(ins) AS inserted,
-       max(flush_no) AS flushes, CAST(NULL AS VARCHAR) AS final_cursor
+SELECT {_RUN} AS run_id, count(*) AS pages, CAST(sum(n) AS BIGINT) AS events,
+       CAST(sum(ins) AS BIGINT) AS inserted, max(flush_no) AS flushes,
+       CAST(NULL AS VARCHAR) AS final_cursor
 FROM fpage GROUP BY run"""
 
     q["progress"] = f"""WITH RECURSIVE {multi},
@@ -177,13 +179,15 @@ log AS (SELECT run, page_no * 2 AS seq, 1 AS pages, n AS events, 0 AS inserted,
         UNION ALL
         SELECT run, last_page_no * 2 + 1, 0, 0, inserted, 1, cursor FROM fcur)
 SELECT {_RUN} AS run_id, seq,
-       sum(pages) OVER w AS pages, sum(events) OVER w AS events, sum(inserted) OVER w AS inserted,
-       sum(flushes) OVER w AS flushes, 100 + sum(inserted) OVER w AS total_ingested, cursor
+       CAST(sum(pages) OVER w AS BIGINT) AS pages, CAST(sum(events) OVER w AS BIGINT) AS events,
+       CAST(sum(inserted) OVER w AS BIGINT) AS inserted, CAST(sum(flushes) OVER w AS BIGINT) AS flushes,
+       CAST(100 + sum(inserted) OVER w AS BIGINT) AS total_ingested, cursor
 FROM log WINDOW w AS (PARTITION BY run ORDER BY seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"""
 
     # the last flush's cursor may be NULL; DuckDB's arg_max skips NULLs, so take it by join
     q["ledger_state"] = f"""WITH RECURSIVE {multi},
-agg AS (SELECT run, sum(inserted) AS total_ingested, max(flush_no) AS last_batch FROM fcur GROUP BY run)
+agg AS (SELECT run, CAST(sum(inserted) AS BIGINT) AS total_ingested, max(flush_no) AS last_batch
+        FROM fcur GROUP BY run)
 SELECT printf('run-%03d', agg.run) AS run_id, f.cursor, agg.total_ingested, agg.last_batch
 FROM agg JOIN fcur f ON f.run = agg.run AND f.flush_no = agg.last_batch"""
 
