@@ -96,6 +96,10 @@ SELECT {_RUN} AS run_id, opage AS page_no, opos AS pos, {_ID} AS event_id,
        {_EMS} AS occurred_at_ms, rn % 37 <> 36 AS time_present, event_type, {_COPY} AS copy_tag
 FROM occ"""
 
+    q["event_table_rows"] = f"""WITH {one},
+{_winners(1)}
+SELECT {_ID} AS event_id, {_EMS} AS occurred_at_ms, TRUE AS has_ingested_at FROM win"""
+
     q["epoch_units"] = """WITH x AS (
   SELECT event_id, CASE event_id % 6
       WHEN 0 THEN CAST(epoch_us(ts) AS DOUBLE) / 1000000.0

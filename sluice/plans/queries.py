@@ -97,6 +97,15 @@ def q_event_rows(spark, sf_dir):
                        _pl("copy", "bigint").alias("copy_tag"))
 
 
+def q_event_table_rows(spark, sf_dir):
+    """Stored columns from the payload's ISO text (the writer's re-normalisation)."""
+    stored = _ingested(spark, sf_dir).select(
+        "event_id", _pl("occurredAt", "string").alias("occurred_at"), "payload")
+    rows = E.to_event_rows(stored)
+    return rows.select("event_id", F.unix_millis("occurred_at").alias("occurred_at_ms"),
+                       F.col("ingested_at").isNotNull().alias("has_ingested_at"))
+
+
 def q_epoch_units(spark, sf_dir):
     """O10 on numbers of every magnitude derived from ``events.ts`` and ``value``."""
     ev = _table(spark, sf_dir, "events")
@@ -337,6 +346,7 @@ def q_count_events(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_envelope": q_page_envelope,
     "event_rows": q_event_rows,
+    "event_table_rows": q_event_table_rows,
     "epoch_units": q_epoch_units,
     "first_by_key": q_first_by_key,
     "insert_if_absent": q_insert_if_absent,
