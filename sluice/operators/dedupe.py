@@ -31,7 +31,8 @@ def _checked_small(df: DataFrame, limit: int) -> bool:
 
 
 def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "event_id",
-                     strategy: str = "auto", limit: int = BROADCAST_KEY_LIMIT) -> DataFrame:
+                     strategy: str = "auto", limit: int = BROADCAST_KEY_LIMIT,
+                     key_range: tuple | None = None) -> DataFrame:
     """Rows of ``batch`` (already unique by key) whose key is not stored yet.
 
     ``ON CONFLICT DO NOTHING`` semantics: stored rows are never touched.
@@ -41,6 +42,8 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "eve
       broadcast back for the anti-join.  Use when the batch is small.
     * ``shuffle``: plain shuffled anti-join, for bulk loads.
     * ``auto``: ``broadcast`` if the batch has at most ``limit`` rows (counted).
+
+    ``key_range`` (min, max of the batch keys) may be passed when already known.
     """
     if target is None:
         return batch
@@ -49,7 +52,7 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "eve
         strategy = "broadcast" if _checked_small(batch.select(key), limit) else "shuffle"
     if strategy == "broadcast":
         keys = batch.select(key)
-        lo, hi = batch.agg(F.min(key), F.max(key)).first()
+        lo, hi = key_range if key_range is not None else batch.agg(F.min(key), F.max(key)).first()
         if lo is None:                      # empty batch: nothing to insert
             return batch
         # The batch's key range as a literal filter reaches the Parquet scan, so

@@ -57,6 +57,7 @@ def fixture_pages(spark: SparkSession, sf_dir: str, runs: int = 1, faults: bool
 
 
 def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored event table (a full load), for queries that read the table."""
     key = ("ingested", spark.sparkContext.applicationId, sf_dir)
     if key not in _CACHE:
         _CACHE[key] = ingest_batch(fixture_pages(spark, sf_dir)).checkpoint(eager=True)
@@ -153,8 +154,8 @@ def q_insert_if_absent(spark, sf_dir):
 
 
 def q_ingest_batch(spark, sf_dir):
-    """The event table a full load produces."""
-    out = _ingested(spark, sf_dir)
+    """The event table a full load produces (computed here, not cached)."""
+    out = ingest_batch(fixture_pages(spark, sf_dir))
     return out.select(*_row_cols(), "page_no", F.col("pos").cast("long").alias("pos"))
 
 
