@@ -254,8 +254,9 @@ def with_occurred_at(df, event: str = "event", out: str = "occurred_at",
           .withColumn(present_out, F.col("_oc").isNotNull()
                       | raw_field(ev, OCCURRED_AT_KEYS[-1]).isNotNull())
           .withColumn("_ot", vtype(F.col("_oc")))
-          .withColumn("_os", F.when(F.col("_ot") == "STRING",
-                                    js_trim(F.try_variant_get(F.col("_oc"), "$", "string")))))
+          .withColumn("_or", F.when(F.col("_ot") == "STRING",
+                                    F.try_variant_get(F.col("_oc"), "$", "string")))
+          .withColumn("_os", js_trim(F.col("_or"))))
     df = observed(df, "time_values", F.count(F.col("_oc")).alias("with_time"))
     t, s = F.col("_ot"), F.col("_os")
     is_text = (t == "STRING") & (s != "")
@@ -265,7 +266,7 @@ def with_occurred_at(df, event: str = "event", out: str = "occurred_at",
     df = observed(df, "time_numbers", F.count(F.col("_oi")).alias("from_numbers"))
     df = df.withColumn("_od", F.when(F.col("_oi").isNull() & is_text, _date_parse_unchecked(s)))
     instant = F.coalesce(F.col("_oi"), _in_range(F.col("_od")))
-    return df.withColumn(out, instant).drop("_oc", "_ot", "_os", "_on", "_oi", "_od")
+    return df.withColumn(out, instant).drop("_oc", "_ot", "_or", "_os", "_on", "_oi", "_od")
 
 
 def iso_ms(ts: Column) -> Column:
