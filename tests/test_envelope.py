@@ -152,3 +152,28 @@ def test_unnest_pads_short_arrays(spark):
     df = spark.createDataFrame([([1, 2, 3], ["a", "b"])], "ids array<int>, names array<string>")
     rows = E.unnest_columns(df, "ids", "names").collect()
     assert [(r["ids"], r["names"]) for r in rows] == [(1, "a"), (2, "b"), (3, None)]
+
+
+def test_page_chain_missing_and_stuck(spark):
+    bodies = ['{"data":[{"id":"a"}],"hasMore":true,"nextCursor":null}',
+              '{"data":[{"id":"b"}],"hasMore":true,"nextCursor":"cursor-1"}',
+              '{"data":[{"id":"c"}],"hasMore":true,"nextCursor":"cursor-2"}',
+              '{"data":[],"hasMore":false,"nextCursor":null}']
+    landed = pages_df(spark, bodies, request_cursors=[None, "cursor-1", "cursor-1", "cursor-2"])
+    kinds = {r["page_no"]: r["kind"] for r in E.check_page_chain(E.parse_envelope(landed)).collect()}
+    assert kinds == {0: E.ERR_NO_CURSOR, 1: E.ERR_STUCK}
+    # without landed request cursors, the previous page's next cursor is used
+    derived = E.parse_envelope(pages_df(spark, bodies))
+    kinds2 = {r["page_no"]: r["kind"] for r in
+              E.check_page_chain(derived, fill_missing_cursor=True).collect()}
+    assert kinds2 == {0: E.ERR_NO_CURSOR}          # page 1's request cursor is unknown (NULL)
+    with pytest.raises(ValueError, match="hasMore=true but nextCursor is null"):
+        E.require_valid(E.parse_envelope(landed))
+
+
+def test_strict_mode_fails_on_stuck_cursor(spark):
+    bodies = ['{"data":[{"id":"a"}],"hasMore":true,"nextCursor":"cursor-1"}',
+              '{"data":[{"id":"b"}],"hasMore":true,"nextCursor":"cursor-1"}']
+    df = event_rows(pages_df(spark, bodies, request_cursors=[None, "cursor-1"]), strict=True)
+    with pytest.raises(Exception, match="cursor did not advance"):
+        df.count()
