@@ -171,6 +171,13 @@ FROM occ WHERE rn % 97 = 13 OR rn % 89 = 7 OR rn % 83 = 5 OR rn % 79 = 3"""
     q["flush_batches"] = f"""WITH RECURSIVE {multi}
 SELECT {_RUN} AS run_id, page_no, n AS n_events, flush_no, closes AS closes_flush FROM fl"""
 
+    q["flush_rollup"] = f"""WITH RECURSIVE {multi}
+SELECT printf('run-%03d', f.run) AS run_id, f.flush_no, count(*) AS pages,
+       CAST(sum(p.n) AS BIGINT) AS events,
+       max(CASE WHEN p.page_no = f.last_page_no THEN p.next_cursor END) AS cursor
+FROM fsum f JOIN fpage p ON p.run = f.run AND p.flush_no = f.flush_no
+GROUP BY f.run, f.flush_no"""
+
     q["run_summary"] = f"""WITH RECURSIVE {multi}
 SELECT {_RUN} AS run_id, count(*) AS pages, CAST(sum(n) AS BIGINT) AS events,
        CAST(sum(ins) AS BIGINT) AS inserted, max(flush_no) AS flushes,

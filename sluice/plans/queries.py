@@ -64,10 +64,6 @@ def _ingested(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _CACHE[key]
 
 
-def _ms(c: str):
-    return F.unix_millis(F.col(c)).alias(f"{c}_ms")
-
-
 def _pl(field: str, typ: str):
     return F.try_variant_get(F.col("payload"), f"$['{field}']", typ)
 
@@ -220,6 +216,12 @@ def q_flush_batches(spark, sf_dir):
     return pages.select("run_id", "page_no", "n_events", "flush_no", "closes_flush")
 
 
+def q_flush_rollup(spark, sf_dir):
+    """O22 roll-up: per flush, its pages, events (the batch size) and committed cursor."""
+    _, pages = _flushes(spark, sf_dir)
+    return flush_rollup(pages).select("run_id", "flush_no", "pages", "events", "cursor")
+
+
 def _inserted_per_flush(spark, sf_dir):
     parsed, pages = _flushes(spark, sf_dir)
     ingested = ingest_batch(fixture_pages(spark, sf_dir, runs=RUNS_MULTI))
@@ -358,6 +360,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_chain_lag": q_page_chain_lag,
     "invalid_events": q_invalid_events,
     "flush_batches": q_flush_batches,
+    "flush_rollup": q_flush_rollup,
     "run_summary": q_run_summary,
     "progress": q_progress,
     "ledger_state": q_ledger_state,
