@@ -8,8 +8,12 @@ Spark decoder, so a match checks decoding, dedupe and paging end to end.
 from __future__ import annotations
 
 from .queries import (CHUNK_SIZE, FLUSH_BATCH, KEYSET_AFTER, KEYSET_LIMIT, MOCK_LIMIT,
-                      ORDERS_PAGE, PAGE_SIZE, RUNS_MULTI)
-from ..operators.envelope import ERR_NO_CURSOR, ERR_STUCK
+                      ORDERS_PAGE, PAGE_SIZE, RUNS_MULTI, SERVE_CURSOR)
+from ..operators.paging import decode_cursor_value
+
+SERVE_START = decode_cursor_value(SERVE_CURSOR)
+from ..operators.envelope import (ERR_NO_CURSOR, ERR_NOT_ARRAY, ERR_NOT_JSON, ERR_NOT_OBJECT,
+                                   ERR_STUCK)
 
 PS = PAGE_SIZE
 
@@ -161,11 +165,18 @@ SELECT 'run-000' AS run_id, f.page_no,
 FROM faulted f LEFT JOIN faulted prev ON prev.page_no = f.page_no - 1
 WHERE f.missing OR (f.stuck AND NOT coalesce(prev.missing, FALSE))"""
 
-    q["invalid_events"] = f"""WITH {one}
-SELECT {_RUN} AS run_id, opage AS page_no, opos AS pos,
+    page_err = f"""CASE WHEN page_no % 23 = 7 OR page_no % 29 = 13 THEN '{ERR_NOT_ARRAY}'
+            WHEN page_no % 31 = 17 THEN '{ERR_NOT_OBJECT}'
+            WHEN page_no % 37 = 19 THEN '{ERR_NOT_JSON}' END"""
+    q["invalid_events"] = f"""WITH {one},
+perr AS (SELECT run, page_no, {page_err} AS reason FROM pg)
+SELECT {_RUN} AS run_id, page_no, CAST(NULL AS BIGINT) AS pos, reason FROM perr WHERE reason IS NOT NULL
+UNION ALL
+SELECT printf('run-%03d', occ.run) AS run_id, opage AS page_no, opos AS pos,
        CASE WHEN rn % 97 = 13 OR rn % 89 = 7 OR rn % 83 = 5 THEN 'missing event id'
             ELSE 'event must be an object' END AS reason
-FROM occ WHERE rn % 97 = 13 OR rn % 89 = 7 OR rn % 83 = 5 OR rn % 79 = 3"""
+FROM occ JOIN perr ON perr.run = occ.run AND perr.page_no = occ.opage
+WHERE perr.reason IS NULL AND (rn % 97 = 13 OR rn % 89 = 7 OR rn % 83 = 5 OR rn % 79 = 3)"""
 
     multi = _flush_ctes(RUNS_MULTI)
     q["flush_batches"] = f"""WITH RECURSIVE {multi}
@@ -217,6 +228,11 @@ SELECT page_no, CASE WHEN page_no = 0 THEN NULL ELSE {_b64(f'page_no * {L}')} EN
          AS next_cursor
 FROM p, c"""
 
+    q["serve_page"] = f"""SELECT o_orderkey, rn AS row_idx
+FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderkey NULLS FIRST, o_custkey NULLS FIRST) - 1 AS rn
+      FROM orders)
+WHERE rn >= {SERVE_START} AND rn < {SERVE_START} + {ORDERS_PAGE}"""
+
     q["keyset_page"] = f"""SELECT o_orderkey FROM orders WHERE o_orderkey > {KEYSET_AFTER}
 ORDER BY o_orderkey LIMIT {KEYSET_LIMIT}"""
 

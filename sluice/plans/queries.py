@@ -37,6 +37,7 @@ KEYSET_AFTER = 1000               # keyset start key (exclusive)
 KEYSET_LIMIT = 500
 CHUNK_SIZE = 1000                 # keyset chunk size
 MOCK_LIMIT = 1000                 # mock API page size
+SERVE_CURSOR = "NTAwMA=="         # base64("5000"): the page starting at row 5000
 
 _CACHE: dict = {}
 
@@ -198,9 +199,8 @@ def q_page_chain_lag(spark, sf_dir):
 
 
 def q_invalid_events(spark, sf_dir):
-    """Bad events planted in the invalid fixture."""
-    parsed = decode_pages(fixture_pages(spark, sf_dir, invalid=True), strict=False)
-    return E.invalid_events(parsed)
+    """Bad pages and bad events planted in the invalid fixture."""
+    return E.invalid_events(E.parse_envelope(fixture_pages(spark, sf_dir, invalid=True)))
 
 
 def _flushes(spark, sf_dir):
@@ -275,6 +275,13 @@ def q_paginate(spark, sf_dir):
                         P.encode_cursor(F.col("row_idx") + 1).alias("cursor_after"))
 
 
+def q_serve_page(spark, sf_dir):
+    """The orders page a cursor asks for (rows 5000..5999 in key order)."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    idx = P.row_index(orders, ["o_orderkey", "o_custkey"])
+    return P.serve_page(idx, ORDERS_PAGE, SERVE_CURSOR).select("o_orderkey", "row_idx")
+
+
 def q_page_table(spark, sf_dir):
     """O23 page list for the orders table."""
     total = _table(spark, sf_dir, "orders").count()
@@ -366,6 +373,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ledger_state": q_ledger_state,
     "paginate": q_paginate,
     "page_table": q_page_table,
+    "serve_page": q_serve_page,
     "keyset_page": q_keyset_page,
     "keyset_chunks": q_keyset_chunks,
     "export_keys": q_export_keys,

@@ -24,6 +24,9 @@ Rules, by the row's global index ``rn`` (0-based, ``event_id`` order):
   repeats the request cursor.
 * ``invalid``: ``rn % 97 = 13`` numeric id; else ``rn % 89 = 7`` an array
   event; else ``rn % 83 = 5`` empty ``eventId``; else ``rn % 79 = 3`` a string.
+  Whole pages: ``page_no % 23 = 7`` data is an object; else ``% 29 = 13`` the
+  body is an array; else ``% 31 = 17`` the body is a string; else ``% 37 = 19``
+  the body is not JSON.
 """
 
 from __future__ import annotations
@@ -148,6 +151,12 @@ def event_pages(events: DataFrame, page_size: int = PAGE_SIZE, runs: int = 1,
             .when(v == 3, F.concat(F.lit('{"data":'), arr, F.lit(',"pagination":{"has_more":'), tf,
                                    F.lit(',"next_cursor":'), ncj, F.lit("}}")))
             .otherwise(F.concat(F.lit('{"data":'), arr, F.lit(',"nextCursor":'), ncj, F.lit("}"))))
+    if invalid:
+        body = (F.when(p % 23 == 7, F.concat(F.lit('{"data":{},"hasMore":'), tf, F.lit("}")))
+                .when(p % 29 == 13, F.concat(F.lit("["), arr, F.lit("]")))
+                .when(p % 31 == 17, F.lit('"not a page"'))
+                .when(p % 37 == 19, F.concat(F.lit('{"data":'), arr, F.lit(",")))
+                .otherwise(body))
     return pages.select(
         F.format_string("run-%03d", F.col("run")).alias("run_id"),
         p.alias("page_no"), rc.alias("request_cursor"),
