@@ -92,3 +92,18 @@ def test_row_index_spreads_a_hot_key(spark):
     ranged = df.select("*", F.xxhash64("k", "v").alias("h"), F.monotonically_increasing_id().alias("i")) \
         .repartitionByRange(9, "k", "h", "i").where("k = 7")
     assert ranged.select(F.spark_partition_id()).distinct().count() > 1
+
+
+def test_export_with_a_hot_key_stays_sorted(spark):
+    keys = ["k-hot"] * 500 + [f"k-{i:04d}" for i in range(1000)]
+    random.Random(5).shuffle(keys)
+    df = spark.createDataFrame([(k,) for k in keys], "event_id string").repartition(4)
+    path = scratch_path(spark, "export-hot")
+    export_keys(df, path, "event_id")
+    local = path.replace("file:", "")
+    lines = []
+    for name in sorted(os.listdir(local)):
+        if name.startswith("part-"):
+            with open(os.path.join(local, name)) as fh:
+                lines += fh.read().splitlines()
+    assert lines == sorted(keys)
