@@ -63,20 +63,31 @@ def chain_violation(has_more: Column, next_cursor: Column, request_cursor: Colum
 def with_request_cursor(parsed: DataFrame) -> DataFrame:
     """Fill ``request_cursor`` from the previous page's ``next_cursor`` where it was not landed.
 
-    An equi-join on ``(run_id, page_no - 1)`` rather than ``lag`` over a window
-    partitioned by run: the join spreads one huge run over all tasks.
+    Not ``lag`` over a window partitioned by run (one task per run), and not a
+    self-join (which would decode every page twice): each page emits itself
+    and a "previous cursor" record for page + 1; one ``groupBy`` on
+    ``(run_id, page_no)`` over groups of at most two rows puts them together.
+    Pass page metadata, not bodies or items, to keep the shuffle small.
     """
-    prev = parsed.select(
-        F.col("run_id").alias("_r"), (F.col("page_no") + 1).alias("_p"),
-        F.col("next_cursor").alias("_prev_cursor"))
-    joined = parsed.join(prev, (parsed.run_id == prev._r) & (parsed.page_no == prev._p), "left")
-    return (joined.withColumn("request_cursor", F.coalesce("request_cursor", "_prev_cursor"))
-            .drop("_r", "_p", "_prev_cursor"))
+    cols = parsed.columns
+    page_type = parsed.select(F.struct(*cols).alias("p")).schema["p"].dataType
+    me = F.struct(F.col("page_no").alias("k"), F.struct(*cols).alias("page"),
+                  F.lit(None).cast("string").alias("prev"))
+    nxt = F.struct((F.col("page_no") + 1).alias("k"), F.lit(None).cast(page_type).alias("page"),
+                   F.col("next_cursor").alias("prev"))
+    rec = parsed.select("run_id", F.explode(F.array(me, nxt)).alias("r"))
+    grouped = rec.groupBy("run_id", F.col("r.k").alias("_k")).agg(
+        F.first(F.col("r.page"), ignorenulls=True).alias("_page"),
+        F.first(F.col("r.prev"), ignorenulls=True).alias("_prev"))
+    out = grouped.where(F.col("_page").isNotNull()).select("_page.*", "_prev")
+    return (out.withColumn("request_cursor", F.coalesce("request_cursor", "_prev"))
+            .select(*cols))
 
 
 def check_page_chain(parsed: DataFrame, fill_missing_cursor: bool = False) -> DataFrame:
     """``(run_id, page_no, kind)`` for every page that breaks the cursor chain."""
-    df = with_request_cursor(parsed) if fill_missing_cursor else parsed
+    meta = parsed.select("run_id", "page_no", "has_more", "next_cursor", "request_cursor")
+    df = with_request_cursor(meta) if fill_missing_cursor else meta
     return (df.select("run_id", "page_no",
                       chain_violation(F.col("has_more"), F.col("next_cursor"),
                                       F.col("request_cursor")).alias("kind"))
