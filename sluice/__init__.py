@@ -23,6 +23,7 @@ from .plans.ingest import decode_pages, event_rows, ingest_batch, page_events  #
 from .session import checkpoint_root, ensure_semantics, local_session  # noqa: F401
 from .sources.generate import generate_events, mock_pages  # noqa: F401
 from .sources.pages import land_pages, land_pages_in_order, scan_pages  # noqa: F401
-from .sources.sinks import compact_partitions, export_keys, write_event_partition  # noqa: F401
+from .sources.sinks import (batch_key, compact_partitions, export_keys,  # noqa: F401
+                           read_committed, write_event_partition)
 from .streaming import (IngestHooks, ProgressCollector, run_ingest_stream,  # noqa: F401
                         start_ingest_stream)

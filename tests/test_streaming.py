@@ -105,3 +105,21 @@ def test_parquet_landed_pages(spark):
     pages.write.mode("overwrite").parquet(path)
     assert ingest_batch(scan_pages(spark, path, fmt="parquet")).count() == \
         ingest_batch(pages).count()
+
+
+def test_readers_see_only_committed_batches(spark):
+    from sluice.sources.sinks import batch_key, read_committed, write_event_partition
+    pages = pages_df(spark, _bodies(4), request_cursors=[None, "c1", "c2", "c3"])
+    landed = scratch_path(spark, "t-l4")
+    land_pages_in_order(pages, landed, files=2)
+    table, ledger = scratch_path(spark, "t-t4"), scratch_path(spark, "t-led4")
+    run_ingest_stream(spark, landed, table, ledger, scratch_path(spark, "t-ck4"), "runR",
+                      max_files_per_trigger=1)
+    committed = read_committed(spark, table, ledger)
+    assert committed.count() == spark.read.parquet(table).count()
+    # a crash after the data write and before the ledger write: rows not visible
+    stray = spark.read.parquet(table).drop("ingest_batch").limit(3) \
+        .withColumn("event_id", F.concat(F.lit("stray-"), "event_id"))
+    write_event_partition(stray, table, batch_key("runR", 99))
+    assert spark.read.parquet(table).count() == committed.count() + 3
+    assert read_committed(spark, table, ledger).count() == committed.count()
