@@ -269,6 +269,22 @@ def with_occurred_at(df, event: str = "event", out: str = "occurred_at",
     return df.withColumn(out, instant).drop("_oc", "_ot", "_or", "_os", "_on", "_oi", "_od")
 
 
+def normalize_occurred_at(ev: Column) -> tuple[Column, Column]:
+    """O9 as plain Columns: ``(instant, present)`` for an event VARIANT.
+
+    Same rules as :func:`with_occurred_at`; that DataFrame form stages the
+    intermediate values as columns and is the faster choice for large inputs.
+    """
+    cand = first_present(ev, OCCURRED_AT_KEYS)
+    present = cand.isNotNull() | raw_field(ev, OCCURRED_AT_KEYS[-1]).isNotNull()
+    t = vtype(cand)
+    s = js_trim(as_string(cand))
+    is_text = (t == "STRING") & (s != "")
+    number = F.when(is_number(t), F.try_variant_get(cand, "$", "double")).when(is_text, js_number(s))
+    instant = F.coalesce(epoch_to_instant(number), F.when(is_text, js_date_parse(s)))
+    return instant, present
+
+
 def iso_ms(ts: Column) -> Column:
     """``Date.prototype.toISOString`` of an instant, whatever the session time zone."""
     utc_wall = F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))

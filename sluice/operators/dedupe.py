@@ -32,7 +32,7 @@ def _checked_small(df: DataFrame, limit: int) -> bool:
 
 def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "event_id",
                      strategy: str = "auto", limit: int = BROADCAST_KEY_LIMIT,
-                     key_range: tuple | None = None) -> DataFrame:
+                     key_range: tuple | None = None, batch_key: str | None = None) -> DataFrame:
     """Rows of ``batch`` (already unique by key) whose key is not stored yet.
 
     ``ON CONFLICT DO NOTHING`` semantics: stored rows are never touched.
@@ -44,9 +44,13 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "eve
     * ``auto``: ``broadcast`` if the batch has at most ``limit`` rows (counted).
 
     ``key_range`` (min, max of the batch keys) may be passed when already known.
+    ``batch_key``: the batch's own ``ingest_batch`` partition, excluded from the
+    target so that a replayed batch inserts its rows again.
     """
     if target is None:
         return batch
+    if batch_key is not None:
+        target = target.where(F.col("ingest_batch") != batch_key)
     stored = target.select(key)
     if strategy == "auto":
         strategy = "broadcast" if _checked_small(batch.select(key), limit) else "shuffle"

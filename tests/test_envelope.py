@@ -176,3 +176,18 @@ def test_strict_mode_fails_on_stuck_cursor(spark):
     df = event_rows(pages_df(spark, bodies, request_cursors=[None, "cursor-1"]), strict=True)
     with pytest.raises(Exception, match="cursor did not advance"):
         df.count()
+
+
+def test_column_form_of_occurred_at_matches_staged_form(spark):
+    from sluice.functions.scalars import normalize_occurred_at, with_occurred_at
+    evs = [{"id": "a", "timestamp": 1769541612}, {"id": "b", "occurredAt": " 2024-01-01 "},
+           {"id": "c", "occurred_at": "Mon, 01 Jan 2024 00:00:07 GMT"}, {"id": "d"},
+           {"id": "e", "occurredAt": None, "timestamp": None}, {"id": "f", "timestamp": "0b101"}]
+    body = json.dumps({"data": evs, "hasMore": False})
+    ev = E.explode_events(E.parse_envelope(pages_df(spark, [body])))
+    inst, pres = normalize_occurred_at(F.col("event"))
+    a = ev.select("pos", F.unix_millis(inst).alias("ms"), pres.alias("p")).orderBy("pos").collect()
+    b = with_occurred_at(ev, "event").select("pos", F.unix_millis("occurred_at").alias("ms"),
+                                             F.col("time_present").alias("p")).orderBy("pos").collect()
+    assert a == b
+    assert [r["ms"] for r in a] == [1769541612000, 1704067200000, 1704067207000, None, None, 5]
