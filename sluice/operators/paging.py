@@ -91,7 +91,7 @@ def paginate(df: DataFrame, order, limit: int, rows_per_bucket: int = ROWS_PER_B
     """Rows with ``row_idx``, ``page_no`` and ``pos`` for pages of ``max(limit, 1)``."""
     size = max(int(limit), 1)
     idx = row_index(df, order, rows_per_bucket=rows_per_bucket)
-    return (idx.withColumn("page_no", F.floor(F.col("row_idx") / size).cast("long"))
+    return (idx.withColumn("page_no", F.expr(f"row_idx div {size}"))
             .withColumn("pos", (F.col("row_idx") % size).cast("long")))
 
 
@@ -152,7 +152,7 @@ def keyset_chunks(df: DataFrame, key: str, size: int = 50_000,
     if size <= 0:
         raise ValueError(f"Invalid chunk size: {size}")
     idx = row_index(df.select(key), [key], rows_per_bucket=rows_per_bucket)
-    chunks = (idx.withColumn("chunk_no", F.floor(F.col("row_idx") / size).cast("long"))
+    chunks = (idx.withColumn("chunk_no", F.expr(f"row_idx div {size}"))
               .groupBy("chunk_no")
               .agg(F.min(key).alias("first_key"), F.max(key).alias("last_key"),
                    F.count(F.lit(1)).alias("n")))

@@ -40,7 +40,7 @@ def mock_pages(events: DataFrame, limit: int, run_id: str = "mock") -> DataFrame
     size = max(int(limit), 1)
     total = events.count()
     last_page = max(0, (total - 1) // size)
-    rows = events.withColumn("page_no", F.floor(F.col("idx") / size).cast("long"))
+    rows = events.withColumn("page_no", F.expr(f"idx div {size}"))
     ev_json = F.to_json(F.struct("eventId", "occurredAt", "eventType", "source"))
     grouped = rows.groupBy("page_no").agg(
         F.array_sort(F.collect_list(F.struct("idx", ev_json.alias("j")))).alias("_evs"))
