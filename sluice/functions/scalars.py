@@ -269,20 +269,33 @@ def with_occurred_at(df, event: str = "event", out: str = "occurred_at",
     return df.withColumn(out, instant).drop("_oc", "_ot", "_or", "_os", "_on", "_oi", "_od")
 
 
+def _let(value: Column, body) -> Column:
+    """Bind ``value`` to a lambda variable once (``body(v)`` may use ``v`` many times)."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def normalize_occurred_at(ev: Column) -> tuple[Column, Column]:
     """O9 as plain Columns: ``(instant, present)`` for an event VARIANT.
 
-    Same rules as :func:`with_occurred_at`; that DataFrame form stages the
-    intermediate values as columns and is the faster choice for large inputs.
+    Same rules as :func:`with_occurred_at`.  Shared values are bound once
+    through one-element ``transform`` lambdas so the expression stays small;
+    the staged DataFrame form is still the faster choice for large inputs.
     """
     cand = first_present(ev, OCCURRED_AT_KEYS)
     present = cand.isNotNull() | raw_field(ev, OCCURRED_AT_KEYS[-1]).isNotNull()
-    t = vtype(cand)
-    s = js_trim(as_string(cand))
-    is_text = (t == "STRING") & (s != "")
-    number = F.when(is_number(t), F.try_variant_get(cand, "$", "double")).when(is_text, js_number(s))
-    instant = F.coalesce(epoch_to_instant(number), F.when(is_text, js_date_parse(s)))
-    return instant, present
+
+    def from_candidate(c):
+        t = vtype(c)
+
+        def from_text(s):
+            is_text = (t == "STRING") & (s != "")
+            number = F.when(is_number(t), F.try_variant_get(c, "$", "double")).when(
+                is_text, js_number(s))
+            parsed = _let(F.when(is_text, _date_parse_unchecked(s)), _in_range)
+            return F.coalesce(_let(number, epoch_to_instant), parsed)
+        return _let(js_trim(as_string(c)), from_text)
+
+    return _let(cand, from_candidate), present
 
 
 def iso_ms(ts: Column) -> Column:
