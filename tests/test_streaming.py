@@ -123,3 +123,22 @@ def test_readers_see_only_committed_batches(spark):
     write_event_partition(stray, table, batch_key("runR", 99))
     assert spark.read.parquet(table).count() == committed.count() + 3
     assert read_committed(spark, table, ledger).count() == committed.count()
+
+
+def test_replaying_the_same_batch_changes_nothing(spark):
+    from sluice.streaming.ingest_stream import make_batch_sink
+    pages = pages_df(spark, _bodies(6), request_cursors=[None] + [f"c{p}" for p in range(1, 6)])
+    table, ledger = scratch_path(spark, "t-t5"), scratch_path(spark, "t-led5")
+    sink = make_batch_sink(table, ledger, "runP")
+    sink(pages.where("page_no < 3"), 0)
+    sink(pages.where("page_no >= 3"), 1)
+    before = _table(spark, table)
+    led_before = sorted(tuple(r) for r in L.read_ledger(spark, ledger)
+                        .select("run_id", "batch_id", "cursor", "inserted").collect())
+    sink(pages.where("page_no >= 3"), 1)          # replay after a crash before the commit
+    sink(pages.where("page_no < 3"), 0)           # and an older batch, too
+    assert _table(spark, table) == before
+    led_after = sorted(tuple(r) for r in L.read_ledger(spark, ledger)
+                       .select("run_id", "batch_id", "cursor", "inserted").collect())
+    assert led_after == led_before
+    assert sum(r[3] for r in led_after) == len(before)
