@@ -142,3 +142,20 @@ def test_replaying_the_same_batch_changes_nothing(spark):
                        .select("run_id", "batch_id", "cursor", "inserted").collect())
     assert led_after == led_before
     assert sum(r[3] for r in led_after) == len(before)
+
+
+def test_uncommitted_partition_is_not_treated_as_stored(spark):
+    from sluice.sources.sinks import batch_key, read_committed, write_event_partition
+    from sluice.streaming.ingest_stream import make_batch_sink
+    pages = pages_df(spark, _bodies(4), request_cursors=[None, "c1", "c2", "c3"])
+    table, ledger = scratch_path(spark, "t-t6"), scratch_path(spark, "t-led6")
+    # a crashed run wrote its rows but never its ledger row
+    crashed = ingest_batch(pages.where("page_no < 2")).select(
+        "event_id", "occurred_at", "payload", "ingested_at", "run_id", "page_no", "pos")
+    write_event_partition(crashed, table, batch_key("runOld", 0))
+    # a fresh run replays everything: the uncommitted ids are inserted again
+    make_batch_sink(table, ledger, "runNew")(pages, 0)
+    committed = read_committed(spark, table, ledger)
+    ids = [r["event_id"] for r in committed.select("event_id").collect()]
+    assert len(ids) == len(set(ids)) == len(_table(spark, table))
+    assert set(ids) == set(r["event_id"] for r in ingest_batch(pages).select("event_id").collect())
