@@ -68,6 +68,12 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "eve
     return batch.join(stored, key, "left_anti")
 
 
-def pending(available: DataFrame, applied: DataFrame, key: str = "name") -> DataFrame:
-    """Items of ``available`` not in the ``applied`` ledger, in binary key order."""
+def pending(available: DataFrame, applied: DataFrame, key: str = "name",
+            suffix: str | None = None) -> DataFrame:
+    """Items of ``available`` not in the ``applied`` ledger, in binary key order.
+
+    ``suffix`` keeps only names ending with it (e.g. ``".sql"``).
+    """
+    if suffix is not None:
+        available = available.where(F.col(key).endswith(suffix))
     return available.join(applied.select(key), key, "left_anti").orderBy(key)

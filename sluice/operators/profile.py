@@ -34,7 +34,9 @@ def page_shape(pages: DataFrame, body: str = "body") -> DataFrame:
         F.when(F.is_variant_null(cursor), F.lit("null")).otherwise(S.js_typeof(cursor))
         .alias("next_cursor_type"),
         F.when((F.size(arr) > 0) & S.is_record(first), F.json_object_keys(first_text))
-        .alias("first_event_keys"))
+        .alias("first_event_keys"),
+        F.size(F.coalesce(arr, F.try_variant_get(v, "$['events']", "array<variant>")))
+        .alias("sample_size"))
 
 
 def _kind(x) -> "F.Column":

@@ -261,7 +261,8 @@ SELECT {_RUN} AS run_id, pg.page_no,
   CASE WHEN pg.page_no % 5 = 0 THEN 'boolean' ELSE 'undefined' END AS has_more_type,
   CASE WHEN pg.page_no % 5 IN (0, 4) THEN CASE WHEN pg.page_no < pg.last_page THEN 'string' ELSE 'null' END
        ELSE 'undefined' END AS next_cursor_type,
-  CASE WHEN pg.page_no % 5 = 1 THEN NULL ELSE {first_keys} END AS first_event_keys
+  CASE WHEN pg.page_no % 5 = 1 THEN NULL ELSE {first_keys} END AS first_event_keys,
+  pg.n AS sample_size
 FROM pg JOIN firsts USING (run, page_no)"""
 
     time_key = """CASE rn % 10 WHEN 0 THEN 'occurredAt' WHEN 1 THEN 'occurred_at' WHEN 2 THEN 'timestamp'

@@ -315,7 +315,8 @@ def q_page_shape(spark, sf_dir):
                         F.array_join("top_level_keys", ",").alias("top_level_keys"),
                         "data_type", F.col("data_length").cast("long").alias("data_length"),
                         "has_more_type", "next_cursor_type",
-                        F.array_join("first_event_keys", ",").alias("first_event_keys"))
+                        F.array_join("first_event_keys", ",").alias("first_event_keys"),
+                        F.col("sample_size").cast("long").alias("sample_size"))
 
 
 def q_field_profile(spark, sf_dir):
@@ -345,7 +346,7 @@ def q_pending(spark, sf_dir):
     name = F.format_string("%s/%09d", F.col("run_id"), F.col("page_no")).alias("name")
     available = fixture_pages(spark, sf_dir).select(name)
     applied = stored_pages.select(name)
-    return pending(available, applied, "name")
+    return pending(available, applied, "name", suffix=None)
 
 
 def q_count_events(spark, sf_dir):

@@ -85,3 +85,9 @@ def test_hot_key_keeps_the_first_copy(spark):
     assert len(got) == 1 + sum(1 for p in range(40) for i in range(50) if (p * 50 + i) % 3)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_min_by" in plan
+
+
+def test_pending_ignores_other_files(spark):
+    avail = spark.createDataFrame([("0001_init.sql",), ("0002_more.sql",), ("notes.txt",)], "name string")
+    applied = spark.createDataFrame([("0001_init.sql",)], "name string")
+    assert [r["name"] for r in pending(avail, applied, suffix=".sql").collect()] == ["0002_more.sql"]

@@ -17,6 +17,7 @@ def test_page_shape_of_a_camel_case_page(spark):
     assert (r["data_type"], r["data_length"], r["has_more_type"], r["next_cursor_type"]) == \
         ("array", 1, "boolean", "string")
     assert r["first_event_keys"] == ["eventId", "occurredAt"]
+    assert r["sample_size"] == 1
 
 
 def test_page_shape_absent_and_null(spark):
