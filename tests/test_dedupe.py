@@ -91,3 +91,35 @@ def test_pending_ignores_other_files(spark):
     avail = spark.createDataFrame([("0001_init.sql",), ("0002_more.sql",), ("notes.txt",)], "name string")
     applied = spark.createDataFrame([("0001_init.sql",)], "name string")
     assert [r["name"] for r in pending(avail, applied, suffix=".sql").collect()] == ["0002_more.sql"]
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(pages=st.lists(st.lists(st.integers(0, 12), min_size=0, max_size=6), min_size=1, max_size=7),
+       cuts=st.lists(st.integers(1, 6), max_size=3))
+def test_split_loads_equal_one_load(spark, pages, cuts):
+    bodies = []
+    for p, ids in enumerate(pages):
+        ev = [{"eventId": f"k{i}", "n": p * 100 + j} for j, i in enumerate(ids)]
+        last = p == len(pages) - 1
+        bodies.append(json.dumps({"data": ev, "hasMore": not last,
+                                  "nextCursor": None if last else f"c{p + 1}"}))
+    df = pages_df(spark, bodies)
+
+    def as_dict(frame):
+        return {r["event_id"]: r["n"] for r in frame.select(
+            "event_id", F.try_variant_get("payload", "$.n", "bigint").alias("n")).collect()}
+
+    whole = as_dict(ingest_batch(df))
+    bounds = sorted({c for c in cuts if c < len(pages)}) + [len(pages)]
+    stored, lo = None, 0
+    for hi in bounds:
+        part = ingest_batch(df.where((F.col("page_no") >= lo) & (F.col("page_no") < hi)),
+                            target=stored, key_strategy="broadcast" if lo % 2 else "shuffle")
+        part = part.checkpoint(eager=True)
+        stored = part if stored is None else stored.unionByName(part)
+        lo = hi
+    assert as_dict(stored) == whole
