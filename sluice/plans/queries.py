@@ -332,10 +332,11 @@ def q_generate_events(spark, sf_dir):
 
 
 def q_mock_pages(spark, sf_dir):
-    """O7 + O23: the synthetic events served as pages of 1000, decoded."""
+    """O7 + O23 + O1: synthetic events served as pages of 1000, landed, scanned, decoded."""
     n = _table(spark, sf_dir, "events").count()
-    pages = mock_pages(generate_events(spark, n), MOCK_LIMIT)
-    parsed = decode_pages(pages)
+    path = scratch_path(spark, "mock-landed")
+    land_pages(mock_pages(generate_events(spark, n), MOCK_LIMIT), path)
+    parsed = decode_pages(scan_pages(spark, path))
     return parsed.select("page_no", F.size("items").cast("long").alias("n_events"),
                          "has_more", "next_cursor", "request_cursor")
 
