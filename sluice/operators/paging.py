@@ -16,9 +16,9 @@ Global row index without a single-task window
    bounded) and added.
 
 B is ``ceil(n / rows_per_bucket)``: each range task holds about
-``rows_per_bucket`` rows whatever the total size.  A row hash and the input
-row id are appended to the order as tiebreakers, so a key (or an exact copy)
-repeated in a third of all rows still spreads over many ranges.
+``rows_per_bucket`` rows whatever the total size.  The input row id is
+appended to the order as a tiebreaker, so a key (or an exact copy) repeated
+in a third of all rows still spreads over many ranges.
 """
 
 from __future__ import annotations
@@ -45,13 +45,12 @@ def row_index(df: DataFrame, order, name: str = "row_idx",
     buckets = max(1, math.ceil(n / max(1, rows_per_bucket)))
     checkpoint_root(df.sparkSession)
     cols = df.columns
-    # Tiebreakers: a hash of the whole row, then the row's position in its
-    # input split.  Rows equal on ``order`` (even exact copies, which may be a
-    # third of all rows) then spread over many ranges instead of one task.
-    # The input id is stable on recomputation because the scan's splits are.
-    tie = df.select("*", F.xxhash64(*cols).alias("_tie_h"),
-                    F.monotonically_increasing_id().alias("_tie_i"))
-    full = order + ["_tie_h", "_tie_i"]
+    # Tiebreaker: the row's id in its input split.  It makes the order total,
+    # so rows equal on ``order`` (even exact copies, which may be a third of
+    # all rows) spread over many ranges instead of one task.  (Were the input
+    # order not reproducible, Spark reruns the whole indeterminate stage.)
+    tie = df.select("*", F.monotonically_increasing_id().alias("_tie_i"))
+    full = order + ["_tie_i"]
     mid = F.monotonically_increasing_id()
     tagged = (tie.repartitionByRange(buckets, *full)
               .sortWithinPartitions(*full)
@@ -60,6 +59,8 @@ def row_index(df: DataFrame, order, name: str = "row_idx",
                       F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1).alias("_local")))
     tagged = tagged.checkpoint(eager=True)
     counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
+    # B rows (one per range, B = n / rows_per_bucket): a single-partition
+    # running sum over them is tiny, and so is the broadcast below.
     w = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(F.col("_bucket").alias("_b"),
                             F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
