@@ -159,3 +159,21 @@ def test_uncommitted_partition_is_not_treated_as_stored(spark):
     ids = [r["event_id"] for r in committed.select("event_id").collect()]
     assert len(ids) == len(set(ids)) == len(_table(spark, table))
     assert set(ids) == set(r["event_id"] for r in ingest_batch(pages).select("event_id").collect())
+
+
+def test_stream_progress_from_page_log_and_ledger(spark):
+    from sluice.streaming import stream_progress
+    pages = pages_df(spark, _bodies(6), request_cursors=[None] + [f"c{p}" for p in range(1, 6)]) \
+        .withColumn("fetched_at", F.timestamp_seconds(F.lit(1704067200) + F.col("page_no")))
+    landed = scratch_path(spark, "t-l7")
+    land_pages_in_order(pages, landed, files=3)
+    table, ledger, plog = (scratch_path(spark, n) for n in ("t-t7", "t-led7", "t-plog7"))
+    run_ingest_stream(spark, landed, table, ledger, scratch_path(spark, "t-ck7"), "runG",
+                      max_files_per_trigger=1, page_log_path=plog)
+    prog = stream_progress(spark, plog, ledger, start_total=100).orderBy("seq").collect()
+    last = prog[-1]
+    n_rows = spark.read.parquet(table).count()
+    assert (last["pages"], last["events"], last["flushes"]) == (6, 36, 3)
+    assert last["inserted"] == n_rows and last["total_ingested"] == 100 + n_rows
+    assert last["cursor"] is None                      # the final flush commits the null cursor
+    assert [r["pages"] for r in prog][:3] == [1, 2, 2]  # two pages, then the first flush
