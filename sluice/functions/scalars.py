@@ -298,16 +298,26 @@ def normalize_occurred_at(ev: Column) -> tuple[Column, Column]:
     return _let(cand, from_candidate), present
 
 
+_EPOCH_NTZ = "1970-01-01 00:00:00"
+
+
+def _epoch_ntz() -> Column:
+    return F.lit(_EPOCH_NTZ).cast("timestamp_ntz")
+
+
 def iso_ms(ts: Column) -> Column:
-    """``Date.prototype.toISOString`` of an instant, whatever the session time zone."""
-    utc_wall = F.convert_timezone(F.current_timezone(), F.lit("UTC"), ts.cast("timestamp_ntz"))
+    """``Date.prototype.toISOString`` of an instant, whatever the session time zone.
+
+    Built by TIMESTAMP_NTZ arithmetic from the epoch, so it never passes through
+    a local wall clock (which is ambiguous in a daylight-saving fall-back hour).
+    """
+    utc_wall = F.timestamp_add("MILLISECOND", F.unix_millis(ts), _epoch_ntz())
     return F.date_format(utc_wall, ISO_MS_FORMAT)
 
 
 def ntz_epoch_micros(ts_ntz: Column) -> Column:
     """Microseconds since the epoch of a TIMESTAMP_NTZ read as UTC wall clock."""
-    local = F.convert_timezone(F.lit("UTC"), F.current_timezone(), ts_ntz)
-    return F.unix_micros(local.cast("timestamp"))
+    return F.timestamp_diff("MICROSECOND", _epoch_ntz(), ts_ntz)
 
 
 # ---------------------------------------------------------------------------

@@ -58,8 +58,8 @@ def _time_part(rn, us):
     ns = us * 1000
     iso = iso_ms(F.timestamp_micros(us))
     plus1 = F.concat(F.date_format(
-        F.convert_timezone(F.current_timezone(), F.lit("UTC"),
-                           F.timestamp_micros(us + 3600 * 1000000).cast("timestamp_ntz")),
+        F.timestamp_add("MICROSECOND", us + 3600 * 1000000,
+                        F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")),
         "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+01:00"))
     s = lambda c: c.cast("string")
     rot = (F.when(k == 0, F.concat(F.lit(',"occurredAt":'), _q(iso)))

@@ -191,3 +191,15 @@ def test_column_form_of_occurred_at_matches_staged_form(spark):
                                              F.col("time_present").alias("p")).orderBy("pos").collect()
     assert a == b
     assert [r["ms"] for r in a] == [1769541612000, 1704067200000, 1704067207000, None, None, 5]
+
+
+def test_iso_text_is_exact_in_a_daylight_saving_fall_back_hour(spark):
+    from sluice.functions.scalars import iso_ms
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        df = spark.createDataFrame([(1730622600000,), (1730626200000,)], "ms long")
+        got = [r[0] for r in df.select(iso_ms(F.timestamp_millis("ms"))).orderBy(F.lit(1)).collect()]
+        assert sorted(got) == ["2024-11-03T08:30:00.000Z", "2024-11-03T09:30:00.000Z"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
