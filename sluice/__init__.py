@@ -25,5 +25,5 @@ from .sources.generate import generate_events, mock_pages  # noqa: F401
 from .sources.pages import land_pages, land_pages_in_order, scan_pages  # noqa: F401
 from .sources.sinks import (batch_key, compact_partitions, export_keys,  # noqa: F401
                            read_committed, write_event_partition)
-from .streaming import (IngestHooks, ProgressCollector, run_ingest_stream,  # noqa: F401
-                        start_ingest_stream)
+from .streaming import (IngestHooks, ProgressCollector, ingest_into_table,  # noqa: F401
+                        run_ingest_stream, start_ingest_stream, stream_progress)

@@ -144,6 +144,18 @@ FROM win"""
     q["ingest_batch"] = ingest
     q["ingest_stream"] = ingest
 
+    bad_page = "(page_no % 23 = 7 OR page_no % 29 = 13 OR page_no % 31 = 17 OR page_no % 37 = 19)"
+    bad_event = "(rn % 97 = 13 OR rn % 89 = 7 OR rn % 83 = 5 OR rn % 79 = 3)"
+    q["ingest_quarantine"] = f"""WITH {one},
+good AS (SELECT occ.* FROM occ WHERE NOT {bad_event.replace('page_no', 'opage')}
+         AND NOT {bad_page.replace('page_no', 'opage')}),
+win AS (SELECT * FROM (
+         SELECT good.*, row_number() OVER (PARTITION BY event_id ORDER BY run, opage, opos) AS w
+         FROM good) WHERE w = 1)
+SELECT {_ID} AS event_id, {_EMS} AS occurred_at_ms, event_type, {_COPY} AS copy_tag,
+       rn % 37 <> 36 AS has_time_key, opage AS page_no, opos AS pos
+FROM win"""
+
     q["unnest_columns"] = f"""WITH {one}
 SELECT {_RUN} AS run_id, opage AS page_no, {_ID} AS event_id, {_EMS} AS occurred_at_ms, event_type
 FROM occ"""

@@ -156,6 +156,12 @@ def q_ingest_batch(spark, sf_dir):
     return out.select(*_row_cols(), "page_no", F.col("pos").cast("long").alias("pos"))
 
 
+def q_ingest_quarantine(spark, sf_dir):
+    """O27b in quarantine mode: bad pages and bad events are skipped, the rest loaded."""
+    out = ingest_batch(fixture_pages(spark, sf_dir, invalid=True), strict=False)
+    return out.select(*_row_cols(), "page_no", F.col("pos").cast("long").alias("pos"))
+
+
 def q_ingest_stream(spark, sf_dir):
     """The same table through Structured Streaming (several micro-batches)."""
     from ..streaming.ingest_stream import run_ingest_stream
@@ -363,6 +369,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "first_by_key": q_first_by_key,
     "insert_if_absent": q_insert_if_absent,
     "ingest_batch": q_ingest_batch,
+    "ingest_quarantine": q_ingest_quarantine,
     "ingest_stream": q_ingest_stream,
     "unnest_columns": q_unnest_columns,
     "page_chain": q_page_chain,

@@ -1,4 +1,5 @@
 from .hooks import IngestHooks, ProgressCollector  # noqa: F401
-from .ingest_stream import run_ingest_stream, start_ingest_stream, stream_progress  # noqa: F401
+from .ingest_stream import (ingest_into_table, run_ingest_stream, start_ingest_stream,  # noqa: F401
+                            stream_progress)
 
 ingest_stream = start_ingest_stream  # O27 under its inventory name

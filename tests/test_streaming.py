@@ -177,3 +177,20 @@ def test_stream_progress_from_page_log_and_ledger(spark):
     assert last["inserted"] == n_rows and last["total_ingested"] == 100 + n_rows
     assert last["cursor"] is None                      # the final flush commits the null cursor
     assert [r["pages"] for r in prog][:3] == [1, 2, 2]  # two pages, then the first flush
+
+
+def test_batch_and_stream_loads_share_one_table(spark):
+    from sluice.sources.sinks import read_committed
+    from sluice.streaming import ingest_into_table
+    pages = pages_df(spark, _bodies(6), request_cursors=[None] + [f"c{p}" for p in range(1, 6)])
+    table, ledger = scratch_path(spark, "t-t8"), scratch_path(spark, "t-led8")
+    ingest_into_table(pages.where("page_no < 3"), table, ledger, "backfill", 0)
+    ingest_into_table(pages.where("page_no < 3"), table, ledger, "backfill", 0)   # re-run: no change
+    landed = scratch_path(spark, "t-l8")
+    land_pages_in_order(pages.where("page_no >= 3"), landed, files=1)
+    run_ingest_stream(spark, landed, table, ledger, scratch_path(spark, "t-ck8"), "live")
+    got = {r["event_id"]: r["n"] for r in read_committed(spark, table, ledger).select(
+        "event_id", F.try_variant_get("payload", "$.n", "bigint").alias("n")).collect()}
+    want = {r["event_id"]: r["n"] for r in ingest_batch(pages).select(
+        "event_id", F.try_variant_get("payload", "$.n", "bigint").alias("n")).collect()}
+    assert got == want
