@@ -19,7 +19,7 @@ from ..operators import envelope as E
 from ..operators import ledger as L
 from ..operators import paging as P
 from ..operators import profile as PR
-from ..operators.dedupe import first_by_key, insert_if_absent, pending
+from ..operators.dedupe import first_by_key, pending
 from ..operators.flush import assign_flush_batches, flush_rollup
 from ..session import ensure_semantics, scratch_path
 from ..sources import fixtures as FX
