@@ -203,3 +203,35 @@ def test_iso_text_is_exact_in_a_daylight_saving_fall_back_hour(spark):
         assert sorted(got) == ["2024-11-03T08:30:00.000Z", "2024-11-03T09:30:00.000Z"]
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_more_scalar_edges(spark):
+    evs = [
+        {"id": "a", "timestamp": "1e3"},                 # 1000 ms
+        {"id": "b", "timestamp": "+5"},                  # 5 ms
+        {"id": "c", "timestamp": ".5"},                  # 0.5 ms truncates to 0
+        {"id": "d", "timestamp": "0o17"},                # 15 ms
+        {"id": "e", "timestamp": "0x17A2B3C4D5E6F7"},    # 6652817449543415: microseconds
+        {"id": "f", "timestamp": "NaN"},                 # not a number, not a date
+        {"id": "g", "timestamp": 2.6e20},                # ns -> 2.6e14 ms: after year 9999
+        {"id": "j", "timestamp": 2.5e20},                # ns -> 2.5e14 ms: year 9892
+        {"id": "h", "timestamp": -1.5},                  # truncates toward zero: -1 ms
+        {"id": "i", "timestamp": "2024-01-01T00:00:00.123456789Z"},
+    ]
+    got = {r["event_id"]: r["ms"] for r in _events(spark, evs)}
+    assert got["a"] == 1000 and got["b"] == 5 and got["c"] == 0 and got["d"] == 15
+    assert got["e"] == int(0x17A2B3C4D5E6F7 / 1000)
+    assert got["f"] is None and got["g"] is None
+    assert got["j"] == 250000000000000
+    assert got["h"] == -1
+    assert got["i"] == 1704067200123
+
+
+def test_boolean_coercion_cases(spark):
+    for raw, want in [('true', True), ('false', False), ('1', True), ('0', False), ('1.0', True),
+                      ('"TRUE "', True), ('"1"', False), ('2', False), ('null', False)]:
+        body = '{"data":[],"hasMore":' + raw + ',"nextCursor":"c"}'
+        has_more = _decode(spark, body)["has_more"]
+        # uncoercible values fall back to "cursor present"; the cursor here is "c"
+        expected = want if raw not in ('"1"', '2', 'null') else True
+        assert has_more is expected, raw
