@@ -65,6 +65,8 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "eve
         near = stored.where(F.col(key).between(F.lit(lo), F.lit(hi)))
         hits = near.join(F.broadcast(keys), key, "left_semi")
         return batch.join(F.broadcast(hits), key, "left_anti")
+    if key_range is not None and key_range[0] is not None:
+        stored = stored.where(F.col(key).between(F.lit(key_range[0]), F.lit(key_range[1])))
     return batch.join(stored, key, "left_anti")
 
 
