@@ -33,12 +33,21 @@ def page_shape(pages: DataFrame, body: str = "body") -> DataFrame:
         S.js_typeof(S.raw_field(v, "hasMore")).alias("has_more_type"),
         F.when(F.is_variant_null(cursor), F.lit("null")).otherwise(S.js_typeof(cursor))
         .alias("next_cursor_type"),
-        F.when((F.size(arr) > 0) & S.is_record(first), F.json_object_keys(first_text))
+        F.when((F.size(arr) > 0) & S.is_record(first),
+               F.coalesce(F.json_object_keys(first_text), _index_keys(first)))
         .alias("first_event_keys"),
         F.size(F.coalesce(arr, F.try_variant_get(v, "$['events']", "array<variant>")))
         .alias("sample_size"))
 
 
+def _index_keys(x) -> "F.Column":
+    """``Object.keys`` of a JSON array: its indexes as strings (empty for ``[]``)."""
+    items = F.try_variant_get(x, "$", "array<variant>")
+    n = F.size(items)
+    return F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1), lambda i: i.cast("string"))) \
+        .otherwise(F.array().cast("array<string>"))
+
+
 def _kind(x) -> "F.Column":
     t = S.vtype(x)
     return (F.when(F.is_variant_null(x), F.lit("null"))

@@ -54,3 +54,10 @@ def test_mock_pages_round_trip(spark):
     assert [p["has_more"] for p in parsed] == [True, True, False]
     assert parsed[-1]["next_cursor"] is None
     assert ingest_batch(pages).count() == 5
+
+
+def test_page_shape_first_event_array_keys(spark):
+    r = page_shape(pages_df(spark, ['{"data":[[7,8,9]],"hasMore":false}'])).first()
+    assert r["first_event_keys"] == ["0", "1", "2"]
+    r = page_shape(pages_df(spark, ['{"data":[[]],"hasMore":false}'])).first()
+    assert r["first_event_keys"] == []
