@@ -27,19 +27,36 @@ def page_shape(pages: DataFrame, body: str = "body") -> DataFrame:
     is_obj = F.regexp_extract(F.col(body), r"^\s*(\S)", 1).isin("{", "[")
     return df.select(
         "run_id", "page_no",
-        F.when(is_obj, F.json_object_keys(F.col(body))).alias("top_level_keys"),
+        F.when(is_obj, _js_key_order(F.json_object_keys(F.col(body)))).alias("top_level_keys"),
         F.when(arr.isNotNull(), F.lit("array")).otherwise(S.js_typeof(data)).alias("data_type"),
         F.when(arr.isNotNull(), F.size(arr)).alias("data_length"),
         S.js_typeof(S.raw_field(v, "hasMore")).alias("has_more_type"),
         F.when(F.is_variant_null(cursor), F.lit("null")).otherwise(S.js_typeof(cursor))
         .alias("next_cursor_type"),
         F.when((F.size(arr) > 0) & S.is_record(first),
-               F.coalesce(F.json_object_keys(first_text), _index_keys(first)))
+               F.coalesce(_js_key_order(F.json_object_keys(first_text)), _index_keys(first)))
         .alias("first_event_keys"),
         F.size(F.coalesce(arr, F.try_variant_get(v, "$['events']", "array<variant>")))
         .alias("sample_size"))
 
 
+_INDEX_RE = r"^(0|[1-9][0-9]{0,9})$"
+
+
+def _js_key_order(keys) -> "F.Column":
+    """``Object.keys`` order: array-index keys ascending, then the rest in order.
+
+    A key repeated in the text is listed once, at its first position.
+    """
+    keys = F.array_distinct(keys)
+
+    def is_index(k):
+        return k.rlike(_INDEX_RE) & (k.cast("long") < 4294967295)
+    idx = F.transform(F.array_sort(F.transform(F.filter(keys, is_index), lambda k: k.cast("long"))),
+                      lambda v: v.cast("string"))
+    return F.concat(idx, F.filter(keys, lambda k: ~is_index(k)))
+
+
 def _index_keys(x) -> "F.Column":
     """``Object.keys`` of a JSON array: its indexes as strings (empty for ``[]``)."""
     items = F.try_variant_get(x, "$", "array<variant>")

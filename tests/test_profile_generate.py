@@ -61,3 +61,10 @@ def test_page_shape_first_event_array_keys(spark):
     assert r["first_event_keys"] == ["0", "1", "2"]
     r = page_shape(pages_df(spark, ['{"data":[[]],"hasMore":false}'])).first()
     assert r["first_event_keys"] == []
+
+
+def test_page_shape_key_order_follows_object_keys(spark):
+    body = '{"b":1,"2":0,"data":[{"z":1,"10":1,"a":1,"1":1,"z":2}],"1":0,"hasMore":false}'
+    r = page_shape(pages_df(spark, [body])).first()
+    assert r["top_level_keys"] == ["1", "2", "b", "data", "hasMore"]
+    assert r["first_event_keys"] == ["1", "10", "z", "a"]
