@@ -212,6 +212,8 @@ _RFC_ANY = (r"^(?:[A-Za-z]{3},\s*)?(\d{1,2}) ([A-Za-z]{3}) (\d{4}) (\d{2}:\d{2})
             r" (GMT|UTC|UT|Z|[+-]\d{4})$")
 
 
+# "T24:00" (with zero seconds/fraction) is the end of the day: next midnight.
+_ISO_24 = r"^([+-]\d{6}|\d{4})-(\d{2})-(\d{2})T24:00(:00(?:\.0+)?)?(Z|[+-]\d{2}:\d{2})?$"
 _ISO_CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 
 
@@ -223,7 +225,11 @@ def _date_parse_unchecked(s: Column) -> Column:
     rfc = F.regexp_replace(s, _RFC_ANY, "$1 $2 $3 $4$5 $6")
     rfc = F.regexp_replace(rfc, r"^(\S+ \S+ \S+ \d{2}:\d{2}) ", "$1:00 ")
     rfc = F.regexp_replace(rfc, r" (GMT|UTC|UT|Z)$", " +0000")
-    parsed = (F.when(s.rlike(_ISO_CANONICAL), s.try_cast("timestamp"))
+    end_of_day = F.regexp_replace(s, _ISO_24, "$1-$2-$3T00:00:00$5")
+    next_day = F.timestamp_millis(F.unix_millis(
+        F.regexp_replace(end_of_day, r"T00:00:00$", "T00:00:00Z").try_cast("timestamp")) + 86400000)
+    parsed = (F.when(s.rlike(_ISO_24), next_day)
+              .when(s.rlike(_ISO_CANONICAL), s.try_cast("timestamp"))
               .when(s.rlike(_ISO_ANY), iso.try_cast("timestamp"))
               .when(s.rlike(_RFC_ANY), F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss Z"))))
     return F.date_trunc("millisecond", parsed)

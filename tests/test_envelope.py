@@ -235,3 +235,14 @@ def test_boolean_coercion_cases(spark):
         # uncoercible values fall back to "cursor present"; the cursor here is "c"
         expected = want if raw not in ('"1"', '2', 'null') else True
         assert has_more is expected, raw
+
+
+def test_end_of_day_24_00(spark):
+    got = {r["event_id"]: r["ms"] for r in _events(spark, [
+        {"id": "a", "timestamp": "2024-01-01T24:00:00Z"},
+        {"id": "b", "timestamp": "2024-01-01T24:00"},
+        {"id": "c", "timestamp": "2024-01-01T24:00:00.000+01:00"},
+        {"id": "d", "timestamp": "2024-01-01T24:00:01Z"}])}
+    assert got["a"] == 1704153600000 and got["b"] == 1704153600000
+    assert got["c"] == 1704153600000 - 3600000
+    assert got["d"] is None
