@@ -114,3 +114,9 @@ def test_row_index_with_a_variant_column(spark):
                                 F.parse_json(F.format_string('{"a":%d}', F.col("id"))).alias("v"))
     idx = P.row_index(df, ["k"], rows_per_bucket=7)
     assert sorted(r["row_idx"] for r in idx.collect()) == list(range(50))
+
+
+def test_keyset_page_from_the_start(spark):
+    df = spark.createDataFrame([(f"e{i:03d}",) for i in (5, 1, 9, 3)], "k string")
+    assert [r["k"] for r in P.keyset_page(df, "k", None, 3).collect()] == ["e001", "e003", "e005"]
+    assert P.keyset_page(df, "k", "e009", 3).count() == 0
