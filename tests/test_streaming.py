@@ -194,3 +194,19 @@ def test_batch_and_stream_loads_share_one_table(spark):
     want = {r["event_id"]: r["n"] for r in ingest_batch(pages).select(
         "event_id", F.try_variant_get("payload", "$.n", "bigint").alias("n")).collect()}
     assert got == want
+
+
+def test_stream_over_parquet_landed_pages(spark):
+    from sluice.sources.pages import scan_pages
+    from sluice.streaming.ingest_stream import make_batch_sink
+    pages = pages_df(spark, _bodies(4), request_cursors=[None, "c1", "c2", "c3"])
+    landed = scratch_path(spark, "t-pq-landed")
+    pages.coalesce(1).write.mode("overwrite").parquet(landed)
+    table, ledger = scratch_path(spark, "t-pq-t"), scratch_path(spark, "t-pq-led")
+    q = (scan_pages(spark, landed, streaming=True, fmt="parquet").writeStream
+         .foreachBatch(make_batch_sink(table, ledger, "pq"))
+         .option("checkpointLocation", scratch_path(spark, "t-pq-ck"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert _table(spark, table) == {r["event_id"]: r["n"] for r in ingest_batch(pages).select(
+        "event_id", F.try_variant_get("payload", "$.n", "bigint").alias("n")).collect()}
