@@ -329,17 +329,32 @@ def ntz_epoch_micros(ts_ntz: Column) -> Column:
 # ---------------------------------------------------------------------------
 # O12 payload
 # ---------------------------------------------------------------------------
-def build_payload(ev: Column, event_id: Column, occurred_at: Column, present: Column) -> Column:
+def build_payload(ev: Column, event_id: Column, occurred_at: Column, present: Column,
+                  iso: Column | None = None) -> Column:
     """The whole event with ``eventId`` and the normalised ``occurredAt`` written over it.
 
     Alias keys stay.  ``occurredAt`` is the ISO text, JSON null, or dropped
-    when the time was absent.
+    when the time was absent.  ``iso`` (the instant's ISO text) may be passed
+    when already computed.
+
+    Fast path, exact: when the event already holds ``eventId`` equal to the
+    resolved id and an ``occurredAt`` equal to what would be written (the same
+    ISO text, or JSON null, or no key when absent), the payload *is* the event
+    and the map round trip is skipped.  Well-formed sources hit it for nearly
+    every event.
     """
+    iso = iso_ms(occurred_at) if iso is None else iso
+    raw_time = raw_field(ev, "occurredAt")
+    same_id = as_string(raw_field(ev, "eventId")) == event_id
+    same_time = (F.when(~present, raw_time.isNull())
+                 .when(occurred_at.isNull(), F.coalesce(F.is_variant_null(raw_time), F.lit(False)))
+                 .otherwise(F.coalesce(as_string(raw_time) == iso, F.lit(False))))
     m = ev.try_cast("map<string,variant>")
     kept = F.map_filter(m, lambda k, v: ~k.isin("eventId", "occurredAt"))
     id_entry = F.create_map(F.lit("eventId"), event_id.cast("variant"))
-    time_value = F.when(occurred_at.isNotNull(), iso_ms(occurred_at).cast("variant")).otherwise(
+    time_value = F.when(occurred_at.isNotNull(), iso.cast("variant")).otherwise(
         F.parse_json(F.lit("null")))
     time_entry = F.when(present, F.create_map(F.lit("occurredAt"), time_value)).otherwise(
         F.create_map().cast("map<string,variant>"))
-    return F.to_variant_object(F.map_concat(kept, id_entry, time_entry))
+    rebuilt = F.to_variant_object(F.map_concat(kept, id_entry, time_entry))
+    return F.when(F.coalesce(same_id, F.lit(False)) & same_time, ev).otherwise(rebuilt)

@@ -159,10 +159,12 @@ def require_valid(parsed: DataFrame) -> None:
 
 def finish_events(events: DataFrame) -> DataFrame:
     """O9 + O12 on events that already carry ``event_id``: adds the stored columns."""
-    df = observed(S.with_occurred_at(events, "event"), "times",
+    df = S.with_occurred_at(events, "event")
+    df = observed(df.withColumn("_iso", S.iso_ms(F.col("occurred_at"))), "times",
                   F.count(F.col("occurred_at")).alias("with_instant"))
     return df.withColumn("payload", S.build_payload(F.col("event"), F.col("event_id"),
-                                                    F.col("occurred_at"), F.col("time_present")))
+                                                    F.col("occurred_at"), F.col("time_present"),
+                                                    F.col("_iso"))).drop("_iso")
 
 
 def to_event_rows(events: DataFrame) -> DataFrame:

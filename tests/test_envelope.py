@@ -246,3 +246,19 @@ def test_end_of_day_24_00(spark):
     assert got["a"] == 1704153600000 and got["b"] == 1704153600000
     assert got["c"] == 1704153600000 - 3600000
     assert got["d"] is None
+
+
+def test_payload_fast_path_equals_rebuild(spark):
+    evs = [{"eventId": "a", "occurredAt": "2024-01-01T00:00:00.000Z", "x": [1, {"y": 2}]},   # fast
+           {"eventId": "b", "occurredAt": "2024-01-01T00:00:00Z", "x": 1},                   # rebuilt
+           {"eventId": "c", "x": 1},                                                         # fast (absent)
+           {"eventId": "d", "occurredAt": None, "timestamp": None},                          # fast (null)
+           {"event_id": "e", "occurredAt": "2024-01-01T00:00:00.000Z"},                      # rebuilt
+           {"eventId": "f", "occurredAt": "garbage"}]                                        # rebuilt (-> null)
+    got = {r["event_id"]: json.loads(r["payload"]) for r in _events(spark, evs)}
+    assert got["a"] == {"eventId": "a", "occurredAt": "2024-01-01T00:00:00.000Z", "x": [1, {"y": 2}]}
+    assert got["b"] == {"eventId": "b", "occurredAt": "2024-01-01T00:00:00.000Z", "x": 1}
+    assert got["c"] == {"eventId": "c", "x": 1}
+    assert got["d"] == {"eventId": "d", "occurredAt": None, "timestamp": None}
+    assert got["e"] == {"eventId": "e", "event_id": "e", "occurredAt": "2024-01-01T00:00:00.000Z"}
+    assert got["f"] == {"eventId": "f", "occurredAt": None}
