@@ -63,11 +63,15 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "eve
         # files whose min/max statistics miss the range are skipped (event ids
         # usually grow with time, and partitions are written sorted by id).
         near = stored.where(F.col(key).between(F.lit(lo), F.lit(hi)))
-        hits = near.join(F.broadcast(keys), key, "left_semi")
+        # distinct: a stored key present many times (even a third of the table)
+        # collapses map-side, so the broadcast hits are at most the batch's keys.
+        hits = near.join(F.broadcast(keys), key, "left_semi").distinct()
         return batch.join(F.broadcast(hits), key, "left_anti")
     if key_range is not None and key_range[0] is not None:
         stored = stored.where(F.col(key).between(F.lit(key_range[0]), F.lit(key_range[1])))
-    return batch.join(stored, key, "left_anti")
+    # distinct with map-side partial aggregation: copies of one stored key do not
+    # pile into one join task; its exchange is the one the join needs anyway.
+    return batch.join(stored.distinct(), key, "left_anti")
 
 
 def pending(available: DataFrame, applied: DataFrame, key: str = "name",

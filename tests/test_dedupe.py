@@ -123,3 +123,16 @@ def test_split_loads_equal_one_load(spark, pages, cuts):
         stored = part if stored is None else stored.unionByName(part)
         lo = hi
     assert as_dict(stored) == whole
+
+
+def test_insert_against_a_target_with_a_hot_key(spark):
+    stored = spark.range(30000).select(F.when(F.col("id") % 3 == 0, F.lit("hot"))
+                                       .otherwise(F.concat(F.lit("k"), F.col("id").cast("string")))
+                                       .alias("event_id"))
+    batch = first_by_key(_batch(spark, [("hot", "a"), ("k1", "b"), ("new", "c")]))
+    for strategy in ("broadcast", "shuffle"):
+        out = insert_if_absent(batch, stored, strategy=strategy)
+        assert [r["event_id"] for r in out.collect()] == ["new"]
+    plan = insert_if_absent(batch, stored, strategy="broadcast")._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "BroadcastHashJoin" in plan
