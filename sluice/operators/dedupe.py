@@ -82,4 +82,4 @@ def pending(available: DataFrame, applied: DataFrame, key: str = "name",
     """
     if suffix is not None:
         available = available.where(F.col(key).endswith(suffix))
-    return available.join(applied.select(key), key, "left_anti").orderBy(key)
+    return available.join(applied.select(key).distinct(), key, "left_anti").orderBy(key)
