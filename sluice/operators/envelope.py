@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.metrics import observed
+from ..session import ensure_semantics
 
 # Error texts of the source system.
 ERR_NOT_JSON = "Invalid events response: body is not JSON"
@@ -31,7 +32,10 @@ def parse_envelope(pages: DataFrame, body: str = "body") -> DataFrame:
     """O2: decode each landed body into ``items``, ``has_more``, ``next_cursor``.
 
     Adds ``page_error`` (NULL for good pages).  ``items`` is NULL on error.
+    Sets ``spark.sql.variant.allowDuplicateKeys`` on the session (last key
+    wins, as in ``JSON.parse``) before the parse expression is built.
     """
+    ensure_semantics(pages.sparkSession)
     df = (pages.withColumn("_v", F.try_parse_json(F.col(body)))
           .withColumn("_first", F.regexp_extract(F.col(body), r"^\s*(\S)", 1)))
     v = F.col("_v")

@@ -262,3 +262,12 @@ def test_payload_fast_path_equals_rebuild(spark):
     assert got["d"] == {"eventId": "d", "occurredAt": None, "timestamp": None}
     assert got["e"] == {"eventId": "e", "event_id": "e", "occurredAt": "2024-01-01T00:00:00.000Z"}
     assert got["f"] == {"eventId": "f", "occurredAt": None}
+
+
+def test_duplicate_keys_without_session_setup(spark):
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "false")
+    try:
+        df = event_rows(pages_df(spark, ['{"data":[{"id":"a","id":"b"}],"hasMore":false}']), strict=False)
+        assert df.first()["event_id"] == "b"
+    finally:
+        spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
