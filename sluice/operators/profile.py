@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
+from ..session import ensure_semantics
 
 
 def page_shape(pages: DataFrame, body: str = "body") -> DataFrame:
@@ -16,6 +17,7 @@ def page_shape(pages: DataFrame, body: str = "body") -> DataFrame:
     the next cursor; an absent key is ``undefined``).  Only ``data`` and the
     top-level paging names are inspected.
     """
+    ensure_semantics(pages.sparkSession)        # repeated keys: last wins
     v = F.try_parse_json(F.col(body))
     df = pages.withColumn("_v", v)
     v = F.col("_v")
