@@ -53,6 +53,11 @@ def ingest_batch(pages: DataFrame, target: DataFrame | None = None, strict: bool
 
     Output: ``event_id, occurred_at, payload, ingested_at`` plus, with
     ``keep_arrival``, where the stored copy arrived (``run_id, page_no, pos``).
+
+    ``key_strategy``: ``"shuffle"`` (default, for bulk loads) joins against
+    the distinct stored keys; ``"broadcast"``/``"auto"`` suit small loads into a
+    large table and materialise the deduplicated load once (reliable
+    checkpoint) because its keys are read three times.
     """
     events = page_events(decode_pages(pages, strict), strict)
     firsts = first_by_key(events, "event_id", ARRIVAL)
