@@ -210,3 +210,10 @@ def test_stream_over_parquet_landed_pages(spark):
     q.awaitTermination()
     assert _table(spark, table) == {r["event_id"]: r["n"] for r in ingest_batch(pages).select(
         "event_id", F.try_variant_get("payload", "$.n", "bigint").alias("n")).collect()}
+
+
+def test_run_tag_must_be_path_safe():
+    from sluice.sources.sinks import batch_key
+    assert batch_key("live-1.a_b", 7) == "live-1.a_b-000000000007"
+    with pytest.raises(ValueError):
+        batch_key("bad/tag", 1)
