@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "tools"))
 
 from __spark_entry__ import entry, oracle_sql, queries  # noqa: E402
-from check_oracles import _digest  # noqa: E402
+from check_oracles import _digest, _kind  # noqa: E402
 
 SF = "/root/testdata/sf0.001"
 
@@ -29,10 +29,11 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]
-    res = duck.execute(oracle_sql()[name])
-    ocols = [d[0] for d in res.description]
-    orows = res.fetchall()
+    rel = duck.sql(oracle_sql()[name])
+    ocols, otypes = list(rel.columns), [_kind(t) for t in rel.types]
+    orows = rel.fetchall()
     assert sorted(df.columns) == sorted(ocols)
+    assert {c: _kind(t) for c, t in df.dtypes} == dict(zip(ocols, otypes))
     assert len(rows) == len(orows)
     assert _digest(rows, df.columns) == _digest(orows, ocols)
 
