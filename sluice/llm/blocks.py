@@ -10,16 +10,20 @@ def blocks(members: DataFrame, key: list[str], value: list[str], block: int) ->
     """Group the distinct ``(key, value)`` rows of every bucket with two values or more.
 
     A bucket of ``n`` values is dealt into ``c = ceil(n / block)`` chunks by
-    hash, and every pair of chunks ``(i, j)`` becomes one row, so each row's
+    hash, and every pair of chunks ``i <= j`` becomes one row, so each row's
     ``members`` array holds about ``2 * block`` values at most and every two
-    values of a bucket meet in some row.  Returns ``(members)``.
+    values of a bucket meet in exactly one row: in ``(i, i)`` if they share
+    chunk ``i``, else as members of either ``side`` of ``(i, j)``.  Returns the
+    key, ``same`` (``i = j``) and ``members``, structs of the value and ``side``.
     """
-    sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("_bucket")).where("_bucket > 1")
     live = members.join(sizes, key)
-    c = F.ceil(F.col("_n") / F.lit(block)).cast("int")
+    c = F.ceil(F.col("_bucket") / F.lit(block)).cast("int")
     i = F.pmod(F.xxhash64(*value), c).cast("int")
-    dealt = (live.select(*key, *value, i.alias("_i"), F.explode(F.sequence(F.lit(0), c - 1)).alias("_j"))
-             .select(*key, *value, F.least("_i", "_j").alias("_i"), F.greatest("_i", "_j").alias("_j"))
+    dealt = (live.select(*key, *value, i.alias("_c"), F.explode(F.sequence(F.lit(0), c - 1)).alias("_j"))
+             .select(*key, *value, F.least("_c", "_j").alias("_i"), F.greatest("_c", "_j").alias("_j"),
+                     (F.col("_c") > F.col("_j")).alias("side"))
              .repartition(*key, "_i", "_j"))
     return (dealt.groupBy(*key, "_i", "_j")
-            .agg(F.collect_list(F.struct(*value)).alias("members")).select("members"))
+            .agg(F.collect_list(F.struct(*value, "side")).alias("members"))
+            .select(*key, (F.col("_i") == F.col("_j")).alias("same"), "members"))

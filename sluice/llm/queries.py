@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import mixing, simhash_dedup
+from . import decontaminate, fingerprint, mixing, simhash_dedup
 from .common import table
 
 
@@ -13,6 +13,16 @@ def op3_simhash_dedup(spark, sf_dir):
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_fingerprints(spark, sf_dir):
+    """Operator 4: fingerprints, likenesses, and for every 20th id the documents within the radius."""
+    return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+def op6_decontaminate(spark, sf_dir):
+    """Operator 6: every benchmark item that a document holds."""
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op10_source_mix(spark, sf_dir):
     """Operator 10: words the mix takes of every document."""
     return mixing.mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -20,7 +30,30 @@ def op10_source_mix(spark, sf_dir):
 
 QUERIES = {
     "op3_simhash_dedup": op3_simhash_dedup,
+    "op4_fingerprints": op4_fingerprints,
+    "op6_decontaminate": op6_decontaminate,
     "op10_source_mix": op10_source_mix,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_FOLD_CASE = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_FOLD_CASE}, '[^\x20\x09-\x0D]+')"
+
+
+def _shingles(table_: str, id_col: str) -> str:
+    """Distinct five-word shingles of every row."""
+    return f"""
+    SELECT DISTINCT {id_col}, array_to_string(w[i:i + 4], ' ') AS s
+    FROM (SELECT {id_col}, w, unnest(range(1, len(w) - 3)) AS i
+          FROM (SELECT {id_col}, {_WORDS} AS w FROM {table_}) WHERE len(w) >= 5)"""
+
+
+ORACLE_SQL: dict[str, str] = {
+    "op6_decontaminate": f"""
+WITH i AS ({_shingles("benchmark", "item_id")}),
+     n AS (SELECT item_id, count(*) AS item_shingles FROM i GROUP BY item_id),
+     d AS ({_shingles("documents", "doc_id")}),
+     m AS (SELECT doc_id, item_id, count(*) AS shared FROM d JOIN i USING (s) GROUP BY doc_id, item_id)
+SELECT doc_id, item_id, item_shingles, shared, shared / item_shingles::DOUBLE AS containment
+FROM m JOIN n USING (item_id)
+WHERE shared >= ceil(0.8 * item_shingles - 1e-9)""",
+}

@@ -159,7 +159,7 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(np.array(x, np.uint64).view(np.int64)) for x in (a, b)],
                                              names=["a", "b"])
 
-    return blocks(postings, ["k", "v"], ["_fp"], BLOCK).mapInArrow(run, "a long, b long")
+    return blocks(postings, ["k", "v"], ["_fp"], BLOCK).select("members").mapInArrow(run, "a long, b long")
 
 
 def classes(prints: DataFrame, id_col: str, max_bits: int = MAX_BITS) -> DataFrame:
