@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, mixing, simhash_dedup
-from .common import table
+from . import decontaminate, fingerprint, lm, mixing, simhash_dedup
+from .common import fold, table
 
 
 def op3_simhash_dedup(spark, sf_dir):
@@ -23,6 +23,12 @@ def op6_decontaminate(spark, sf_dir):
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_lm_score(spark, sf_dir):
+    """Operator 9: lattice and base scores; learns from ids whose crc32 modulo 10 is not 0."""
+    held = fold("doc_id", 10) == 0
+    return lm.score_documents(table(spark, sf_dir, "documents"), ~held, held)
+
+
 def op10_source_mix(spark, sf_dir):
     """Operator 10: words the mix takes of every document."""
     return mixing.mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id"])
@@ -32,6 +38,7 @@ QUERIES = {
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_fingerprints": op4_fingerprints,
     "op6_decontaminate": op6_decontaminate,
+    "op9_lm_score": op9_lm_score,
     "op10_source_mix": op10_source_mix,
 }
 
