@@ -109,14 +109,15 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 class Words:
     """The words of a run of texts: 64-bit hash, byte range, and words per text."""
 
-    __slots__ = ("hash", "start", "end", "counts")
+    __slots__ = ("hash", "start", "end", "counts", "prefix")
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, lower: bool = False, prefix: int = 0):
+        """``prefix``: also hash the first so many bytes of every word."""
         if lower:
             data = _LOWER[data]
         n = len(data)
         if n == 0:
-            self.hash = np.zeros(0, np.uint64)
+            self.hash = self.prefix = np.zeros(0, np.uint64)
             self.start = self.end = np.zeros(0, np.int64)
             self.counts = np.zeros(len(offsets) - 1, np.int64)
             return
@@ -131,6 +132,8 @@ class Words:
         total = np.zeros(n + 1, np.uint64)
         np.cumsum(_BYTE[data] * up, out=total[1:])
         self.hash = mix((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
+        if prefix:
+            self.prefix = mix((total[np.minimum(s + prefix, e)] - total[s]) * down[s])
         self.start, self.end = s, e
         self.counts = np.diff(np.searchsorted(s, offsets))
 

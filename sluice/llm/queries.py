@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, lm, mixing, simhash_dedup
+from . import decontaminate, fingerprint, langid, lm, mixing, simhash_dedup, toxicity
 from .common import fold, table
 
 
@@ -18,11 +18,23 @@ def op4_fingerprints(spark, sf_dir):
     return fingerprint.fingerprint_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_language(spark, sf_dir):
+    """Operator 5: language of every document; learns from ids whose crc32 modulo 4 is not 2."""
+    held = fold("doc_id", 4) == 2
+    return langid.predict_language(table(spark, sf_dir, "documents"), ~held, held)
+
+
 def op6_decontaminate(spark, sf_dir):
     """Operator 6: every benchmark item that a document holds."""
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_toxicity(spark, sf_dir):
+    """Operator 7: toxicity of every document; learns labels from ids whose crc32 modulo 3 is not 1."""
+    held = fold("doc_id", 3) == 1
+    return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held, held)
+
+
 def op9_lm_score(spark, sf_dir):
     """Operator 9: lattice and base scores; learns from ids whose crc32 modulo 10 is not 0."""
     held = fold("doc_id", 10) == 0
@@ -37,7 +49,9 @@ def op10_source_mix(spark, sf_dir):
 QUERIES = {
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_fingerprints": op4_fingerprints,
+    "op5_language": op5_language,
     "op6_decontaminate": op6_decontaminate,
+    "op7_toxicity": op7_toxicity,
     "op9_lm_score": op9_lm_score,
     "op10_source_mix": op10_source_mix,
 }
