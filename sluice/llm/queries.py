@@ -4,10 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, langid, lm, mixing, simhash_dedup, toxicity
+from . import decontaminate, fingerprint, langid, lm, mixing, quality, simhash_dedup, toxicity
 from .common import fold, table
 
 
+def op1_quality(spark, sf_dir):
+    """Operator 1: quality of every document; learns labels from ids whose crc32 modulo 5 is not 0."""
+    held = fold("doc_id", 5) == 0
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held, held)
+
+
 def op3_simhash_dedup(spark, sf_dir):
     """Operator 3: fingerprint and near-duplicate class of every document."""
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -47,6 +53,7 @@ def op10_source_mix(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_quality": op1_quality,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_fingerprints": op4_fingerprints,
     "op5_language": op5_language,
