@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, langid, lm, mixing, quality, simhash_dedup, toxicity
+from . import decontaminate, fingerprint, langid, line_dedup, lm, mixing, quality, simhash_dedup, toxicity
 from .common import fold, table
 
 
@@ -41,6 +41,11 @@ def op7_toxicity(spark, sf_dir):
     return toxicity.score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held, held)
 
 
+def op8_line_dedup(spark, sf_dir):
+    """Operator 8: every document without the lines that repeat, and which lines stay for them."""
+    return line_dedup.dedupe_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_lm_score(spark, sf_dir):
     """Operator 9: lattice and base scores; learns from ids whose crc32 modulo 10 is not 0."""
     held = fold("doc_id", 10) == 0
@@ -59,6 +64,7 @@ QUERIES = {
     "op5_language": op5_language,
     "op6_decontaminate": op6_decontaminate,
     "op7_toxicity": op7_toxicity,
+    "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_source_mix": op10_source_mix,
 }
