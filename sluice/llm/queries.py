@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, langid, line_dedup, lm, mixing, quality, simhash_dedup, toxicity
+from . import decontaminate, fingerprint, langid, line_dedup, lm, mixing, quality, simhash_dedup, token_counts, toxicity
 from .common import fold, table
 
 
@@ -14,6 +14,11 @@ def op1_quality(spark, sf_dir):
     return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held, held)
 
 
+def op2_token_counts(spark, sf_dir):
+    """Operator 2: tokens of every document, by a scan of the token files written from them."""
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash_dedup(spark, sf_dir):
     """Operator 3: fingerprint and near-duplicate class of every document."""
     return simhash_dedup.near_duplicates(table(spark, sf_dir, "documents"))
@@ -59,6 +64,7 @@ def op10_source_mix(spark, sf_dir):
 
 QUERIES = {
     "op1_quality": op1_quality,
+    "op2_token_counts": op2_token_counts,
     "op3_simhash_dedup": op3_simhash_dedup,
     "op4_fingerprints": op4_fingerprints,
     "op5_language": op5_language,
