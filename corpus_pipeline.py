@@ -1,33 +1,67 @@
-"""Training-data pipeline over ``documents``; the stages are added as their operators come."""
+"""Training-data pipeline over ``documents``: five stages, each written as Parquet and read by the next.
+
+1. ``quality``: documents that the quality classifier rejects go.  Labels are
+   learnt from the rows of ``labels`` whose id has a CRC-32 not divisible by 5.
+2. ``line_dedup``: lines that repeat an earlier line go from the texts (and
+   ``n_chars`` follows); a document that loses all its lines has an empty text.
+3. ``simhash_dedup``: one document of each near-duplicate group stays.
+4. ``decontaminate``: documents that hold a benchmark item go.
+5. ``source_mix``: documents come as often as the mix takes them, with their
+   ``size``, ``source_size``, ``target``, ``rate``, ``copies``, ``taken`` and ``copy_no``.
+
+Every stage works on all that its predecessor kept, and all but the last return
+the columns of ``documents``.  Nulls, empty and long texts, ties, repeated rows
+and empty tables have the results that the operators state; without both labels
+no document is rejected, without benchmark items none is.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from sluice.llm import decontaminate, line_dedup, mixing, quality, simhash_dedup
+from sluice.llm.common import fold, stored, table
+
 
-from sluice.llm import mixing, simhash_dedup
-from sluice.llm.common import stored, table
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.keep_good(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    cleaned = line_dedup.dedupe_lines(docs)
+    if "n_chars" in docs.columns:
+        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
+                                     .otherwise(F.col("n_chars")))
+    return cleaned.select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays."""
     return simhash_dedup.keep_first(docs)
 
 
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them."""
     return mixing.copied(mixing.mix_sources(docs))
 
 
 STAGES = [
+    ("quality", quality_stage),
+    ("line_dedup", line_stage),
     ("simhash_dedup", near_duplicate_stage),
+    ("decontaminate", benchmark_stage),
     ("source_mix", mixing_stage),
 ]
 
+#: SQL cannot train the classifier of the first stage; the stages are tested against brute force.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each stage's result written as Parquet and read again."""
+    """All stages over ``documents``."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), name)
