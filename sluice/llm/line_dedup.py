@@ -21,7 +21,8 @@ alone; a null text stays null and has no lines; a text of which every line goes
 becomes empty; null ids come last in the order; rows equal in id and text count
 as one document, and each of them keeps the same lines; documents with one id
 are ordered by a hash of their text; an empty table gives an empty result;
-columns that clash with a result's name are replaced by the result.
+columns that clash with a result's name are replaced by the result, those with an
+inner name (``_INNER``) are left out.
 """
 
 from __future__ import annotations
@@ -306,6 +307,7 @@ def line_classes(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD
 
 
 _RESULTS = ("n_lines", "removed", "n_removed")
+_INNER = ("_key", "_gone", "_numbers", "_removed")
 _REMOVED = "array<struct<line_no:int,first_doc_id:{0},first_line_no:int>>"
 
 
@@ -339,7 +341,7 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
     Adds ``n_lines`` (of the text as it was), ``n_removed`` and ``removed``: for
     every line that went, its number and the document and line that stay for it.
     """
-    keep = others(docs, *_RESULTS)
+    keep = others(docs, *_RESULTS, *_INNER)
     classes = line_classes(docs, text, threshold, least)
     lines = stored(_occurrences(docs, id_col, text, least), "lines")
     place = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("d"), "_key", F.col("line_no").alias("l"))

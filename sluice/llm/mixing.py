@@ -21,7 +21,8 @@ the id, ranked in ``CELLS`` cells so that no hot group is ranked in one task.
 Defined cases: a null text or one without words has size 0 and is never taken;
 a null source is a source of its own, the last; a null id is an id like any
 other; repeated rows count each; an empty table gives an empty result; columns
-that clash with a result's name are replaced by the result.
+that clash with a result's name are replaced by the result, those with an inner
+name (``_INNER``) are left out.
 """
 
 from __future__ import annotations
@@ -41,6 +42,7 @@ TOLERANCE = 1e-7      # of a token constraint, relative; the copies close what i
 MAX_STEPS = 80        # bracketed Newton steps; about ten are taken
 
 _RESULTS = ("size", "source_size", "target", "rate", "copies", "taken")
+_INNER = ("_src", "_z", "_cell", "_off", "_each", "_more")
 
 
 def sizes(docs: DataFrame, text: str, source: str) -> DataFrame:
@@ -150,7 +152,7 @@ def _rounded(histogram: DataFrame, goal: DataFrame, lam: DataFrame, cap: int) ->
 def mix_sources(docs: DataFrame, id_col: str = "doc_id", text: str = "text", source: str = "source",
                 weights=WEIGHTS, share: float = SHARE, cap: int = CAP, keep=None) -> DataFrame:
     """Columns ``keep`` of ``docs`` (all) with size, source_size, target, rate, copies and taken."""
-    keep = others(docs, *_RESULTS) if keep is None else list(keep)
+    keep = others(docs, *_RESULTS, *_INNER) if keep is None else list(keep)
     cell = F.pmod(F.xxhash64(F.col(id_col)), F.lit(CELLS)).alias("_cell")
     cells = stored(sizes(docs.select(id_col, text, source), text, source)
                    .groupBy("_src", "_z", cell).agg(F.count(F.lit(1)).alias("_k")), "cells")

@@ -15,8 +15,8 @@ Defined cases: a null text is an empty text; a text without words has
 fingerprint zero and links like any other; a null doc_id is fingerprinted and
 linked but never becomes a ``component_id`` unless its whole component has
 null ids (then it is null); rows that repeat are fingerprinted each; an empty
-table gives an empty result; columns that clash with a result's name are
-replaced by the result.
+table gives an empty result; other columns are not read (``near_duplicates``) or
+passed through (``keep_first``, but for columns named ``_fp`` or ``_row``).
 """
 
 from __future__ import annotations
