@@ -24,28 +24,48 @@ from sluice.llm import decontaminate, line_dedup, mixing, quality, simhash_dedup
 from sluice.llm.common import fold, stored, table
 
 
+def _apart(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` under names that no operator uses, and the name of each column."""
+    names = {c: f"in_{i}" for i, c in enumerate(docs.columns)}
+    return docs.toDF(*names.values()), names
+
+
+def _back(docs: DataFrame, names: dict[str, str]) -> DataFrame:
+    return docs.select(*[F.col(inner).alias(c) for c, inner in names.items()])
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return quality.keep_good(docs, table(spark, sf_dir, "labels"), fold("doc_id", 5) != 0)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    inner, names = _apart(docs)
+    labels = labels.withColumnRenamed("doc_id", names["doc_id"])
+    return _back(quality.keep_good(inner, labels, fold(names["doc_id"], 5) != 0, names["doc_id"], names["text"]), names)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    cleaned = line_dedup.dedupe_lines(docs)
-    if "n_chars" in docs.columns:
-        cleaned = cleaned.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long"))
-                                     .otherwise(F.col("n_chars")))
-    return cleaned.select(*docs.columns)
+    inner, names = _apart(docs)
+    cleaned = line_dedup.dedupe_lines(inner, names["doc_id"], names["text"])
+    if "n_chars" in names:
+        size = F.when(F.col("n_removed") > 0, F.length(names["text"]).cast("long")).otherwise(F.col(names["n_chars"]))
+        cleaned = cleaned.withColumn(names["n_chars"], size)
+    return _back(cleaned, names)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return simhash_dedup.keep_first(docs)
+    inner, names = _apart(docs)
+    return _back(simhash_dedup.keep_first(inner, names["doc_id"], names["text"]), names)
 
 
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    inner, names = _apart(docs)
+    return _back(decontaminate.decontaminate(inner, table(spark, sf_dir, "benchmark"), names["text"]), names)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mixing.copied(mixing.mix_sources(docs))
+    inner, names = _apart(docs)
+    mixed = mixing.copied(mixing.mix_sources(inner, names["doc_id"], names["text"], names["source"]))
+    results = [c for c in mixed.columns if c not in names.values()]
+    kept = {c: n for c, n in names.items() if c.lower() not in results}
+    return mixed.select(*[F.col(n).alias(c) for c, n in kept.items()], *results)
 
 
 STAGES = [
