@@ -5,12 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Keys of a batch up to this many rows are broadcast to probe the stored
-# table; larger batches use a shuffled anti-join.  The count is checked, not
-# estimated, before broadcasting.
-BROADCAST_KEY_LIMIT = 2_000_000
-
-
 def first_by_key(df: DataFrame, key: str = "event_id",
                  order=("run_id", "page_no", "pos")) -> DataFrame:
     """The first occurrence of every key in arrival order.
@@ -26,22 +20,18 @@ def first_by_key(df: DataFrame, key: str = "event_id",
     return agg.select(key, "_first.*")
 
 
-def _checked_small(df: DataFrame, limit: int) -> bool:
-    return df.limit(limit + 1).count() <= limit
-
-
 def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "event_id",
-                     strategy: str = "auto", limit: int = BROADCAST_KEY_LIMIT,
-                     key_range: tuple | None = None, batch_key: str | None = None) -> DataFrame:
+                     strategy: str = "auto", key_range: tuple | None = None,
+                     batch_key: str | None = None) -> DataFrame:
     """Rows of ``batch`` (already unique by key) whose key is not stored yet.
 
     ``ON CONFLICT DO NOTHING`` semantics: stored rows are never touched.
 
-    * ``broadcast``: the batch's keys are broadcast to semi-join the target
-      (the target is scanned in place, never shuffled), and the few hits are
-      broadcast back for the anti-join.  Use when the batch is small.
-    * ``shuffle``: plain shuffled anti-join, for bulk loads.
-    * ``auto``: ``broadcast`` if the batch has at most ``limit`` rows (counted).
+    * ``shuffle``: an anti-join against the distinct stored keys, for bulk loads.
+    * ``auto`` (or ``broadcast``, the older name): the stored keys are first
+      semi-joined with the batch's, and only the hits are anti-joined; for a
+      batch that is small against the table.  No side is broadcast by a count
+      of rows: Spark chooses each join by the sides' sizes in bytes.
 
     ``key_range`` (min, max of the batch keys) may be passed when already known.
     ``batch_key``: the batch's own ``ingest_batch`` partition, excluded from the
@@ -49,26 +39,17 @@ def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "eve
     """
     if target is None:
         return batch
+    if strategy not in ("auto", "broadcast", "shuffle"):
+        raise ValueError(f"unknown strategy: {strategy}")
     if batch_key is not None:
         target = target.where(F.col("ingest_batch") != batch_key)
     stored = target.select(key)
-    if strategy == "auto":
-        strategy = "broadcast" if _checked_small(batch.select(key), limit) else "shuffle"
-    if strategy == "broadcast":
-        keys = batch.select(key)
-        lo, hi = key_range if key_range is not None else batch.agg(F.min(key), F.max(key)).first()
-        if lo is None:                      # empty batch: nothing to insert
-            return batch
-        # The batch's key range as a literal filter reaches the Parquet scan, so
-        # files whose min/max statistics miss the range are skipped (event ids
-        # usually grow with time, and partitions are written sorted by id).
-        near = stored.where(F.col(key).between(F.lit(lo), F.lit(hi)))
-        # distinct: a stored key present many times (even a third of the table)
-        # collapses map-side, so the broadcast hits are at most the batch's keys.
-        hits = near.join(F.broadcast(keys), key, "left_semi").distinct()
-        return batch.join(F.broadcast(hits), key, "left_anti")
     if key_range is not None and key_range[0] is not None:
+        # The range as a literal filter reaches the Parquet scan, so files whose
+        # min/max statistics miss it are skipped (ids usually grow with time).
         stored = stored.where(F.col(key).between(F.lit(key_range[0]), F.lit(key_range[1])))
+    if strategy != "shuffle":
+        stored = stored.join(batch.select(key), key, "left_semi")
     # distinct with map-side partial aggregation: copies of one stored key do not
     # pile into one join task; its exchange is the one the join needs anyway.
     return batch.join(stored.distinct(), key, "left_anti")

@@ -21,6 +21,12 @@ ERR_NOT_OBJECT = "Invalid events response: expected object"
 ERR_NOT_ARRAY = "Invalid events response: data must be an array"
 ERR_NO_CURSOR = "Invalid pagination state: hasMore=true but nextCursor is null"
 ERR_STUCK = "Invalid pagination state: cursor did not advance"
+# Reports of this engine: landed files can repeat or lack a page, a live reply cannot.
+ERR_TOO_LARGE = "Invalid events response: body is larger than a VARIANT"
+ERR_RELANDED = "Landed pages: page landed more than once"
+ERR_GAP = "Landed pages: previous page missing"
+# Parsed bodies are limited by the VARIANT type (bytes, also of a text value in it).
+VARIANT_BYTES = 16 << 20
 
 
 def _items(v: Column) -> Column:
@@ -45,7 +51,8 @@ def parse_envelope(pages: DataFrame, body: str = "body") -> DataFrame:
     df = df.withColumn("_cur", S.as_string(F.col("_nc")))
     cursor = F.col("_cur")
     has_more = F.coalesce(S.coerce_bool(F.col("_hm")), cursor.isNotNull() & (F.length(cursor) > 0))
-    error = (F.when(v.isNull(), F.lit(ERR_NOT_JSON))
+    error = (F.when(v.isNull() & (F.octet_length(F.col(body)) > VARIANT_BYTES), F.lit(ERR_TOO_LARGE))
+             .when(v.isNull(), F.lit(ERR_NOT_JSON))
              .when(~F.col("_first").isin("{", "["), F.lit(ERR_NOT_OBJECT))
              .when(F.col("_items").isNull(), F.lit(ERR_NOT_ARRAY)))
     ok = F.col("page_error").isNull()
@@ -64,13 +71,21 @@ def chain_violation(has_more: Column, next_cursor: Column, request_cursor: Colum
             .when(has_more & (next_cursor == request_cursor), F.lit(ERR_STUCK)))
 
 
-def with_request_cursor(parsed: DataFrame) -> DataFrame:
-    """Fill ``request_cursor`` from the previous page's ``next_cursor`` where it was not landed.
+def page_metadata(parsed: DataFrame) -> DataFrame:
+    """One small row per landed page: what chain checks, flushes and counters need of it."""
+    wanted = ["run_id", "page_no", "request_cursor", "fetched_at", "has_more", "next_cursor", "page_error"]
+    return parsed.select(*[c for c in wanted if c in parsed.columns],
+                         F.size("items").cast("long").alias("n_events"))
+
+
+def _with_previous(parsed: DataFrame) -> DataFrame:
+    """Every landed page with ``_prev`` (the previous page's next cursor), whether a
+    previous page was landed at all, and how often the page itself was.
 
     Not ``lag`` over a window partitioned by run (one task per run), and not a
     self-join (which would decode every page twice): each page emits itself
     and a "previous cursor" record for page + 1; one ``groupBy`` on
-    ``(run_id, page_no)`` over groups of at most two rows puts them together.
+    ``(run_id, page_no)`` puts them together.
     Pass page metadata, not bodies or items, to keep the shuffle small.
     """
     cols = parsed.columns
@@ -81,21 +96,42 @@ def with_request_cursor(parsed: DataFrame) -> DataFrame:
                    F.col("next_cursor").alias("prev"))
     rec = parsed.select("run_id", F.explode(F.array(me, nxt)).alias("r"))
     grouped = rec.groupBy("run_id", F.col("r.k").alias("_k")).agg(
-        F.first(F.col("r.page"), ignorenulls=True).alias("_page"),
-        F.first(F.col("r.prev"), ignorenulls=True).alias("_prev"))
-    out = grouped.where(F.col("_page").isNotNull()).select("_page.*", "_prev")
-    return (out.withColumn("request_cursor", F.coalesce("request_cursor", "_prev"))
-            .select(*cols))
+        F.collect_list("r.page").alias("_pages"),          # the copies of one page
+        F.max("r.prev").alias("_prev"),
+        F.count(F.when(F.col("r.page").isNull(), 1)).alias("_before"))
+    return grouped.select(F.explode("_pages").alias("_page"), "_prev", "_before",
+                          F.size("_pages").alias("_copies")).select("_page.*", "_prev", "_before", "_copies")
+
+
+def with_request_cursor(parsed: DataFrame) -> DataFrame:
+    """Fill ``request_cursor`` from the previous page's ``next_cursor`` where it was not landed.
+
+    Every landed copy of a page is kept; see :func:`check_page_chain` for copies and gaps.
+    """
+    return (_with_previous(parsed).withColumn("request_cursor", F.coalesce("request_cursor", "_prev"))
+            .select(*parsed.columns))
 
 
 def check_page_chain(parsed: DataFrame, fill_missing_cursor: bool = False) -> DataFrame:
-    """``(run_id, page_no, kind)`` for every page that breaks the cursor chain."""
+    """``(run_id, page_no, kind)`` for every page that breaks the cursor chain.
+
+    With ``fill_missing_cursor`` a request cursor that was not landed is taken
+    from the previous page; a page that was landed more than once, and one whose
+    chain cannot be checked because the page before it is missing, are reported too.
+    """
     meta = parsed.select("run_id", "page_no", "has_more", "next_cursor", "request_cursor")
-    df = with_request_cursor(meta) if fill_missing_cursor else meta
-    return (df.select("run_id", "page_no",
-                      chain_violation(F.col("has_more"), F.col("next_cursor"),
-                                      F.col("request_cursor")).alias("kind"))
-            .where(F.col("kind").isNotNull()))
+    if not fill_missing_cursor:
+        kinds = F.array(chain_violation(F.col("has_more"), F.col("next_cursor"), F.col("request_cursor")))
+    else:
+        known = F.coalesce("request_cursor", "_prev")
+        kinds = F.array(
+            chain_violation(F.col("has_more"), F.col("next_cursor"), known),
+            F.when(F.col("_copies") > 1, F.lit(ERR_RELANDED)),
+            F.when((F.col("page_no") > 0) & F.col("request_cursor").isNull() & (F.col("_before") == 0),
+                   F.lit(ERR_GAP)))
+        meta = _with_previous(meta)
+    return (meta.select("run_id", "page_no", F.explode(kinds).alias("kind"))
+            .where(F.col("kind").isNotNull()).distinct())
 
 
 def _fail_unless(ok: Column, message: Column) -> Column:
@@ -140,14 +176,15 @@ def with_event_ids(events: DataFrame, strict: bool = False) -> DataFrame:
 def invalid_events(parsed: DataFrame) -> DataFrame:
     """Every page or event that would stop a run: ``(run_id, page_no, pos, reason)``.
 
-    Page-level problems carry ``pos = NULL``.
+    Page-level problems carry ``pos = NULL``.  One pass: a bad page has no items
+    and comes out of the outer explode as one row, beside the events of good pages.
     """
-    page_level = parsed.where(F.col("page_error").isNotNull()).select(
-        "run_id", "page_no", F.lit(None).cast("long").alias("pos"),
-        F.col("page_error").alias("reason"))
-    ev = with_event_ids(explode_events(parsed)).where(F.col("reason").isNotNull()).select(
-        "run_id", "page_no", "pos", "reason")
-    return page_level.unionByName(ev)
+    rows = parsed.select("run_id", "page_no", "page_error", F.posexplode_outer("items").alias("pos", "event"))
+    rows = with_event_ids(rows)
+    found = (F.when(F.col("page_error").isNotNull(), F.col("page_error"))
+             .when(F.col("pos").isNotNull(), F.col("reason")))
+    return (rows.select("run_id", "page_no", F.col("pos").cast("long").alias("pos"), found.alias("reason"))
+            .where(F.col("reason").isNotNull()))
 
 
 def require_valid(parsed: DataFrame) -> None:

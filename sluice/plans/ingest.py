@@ -25,9 +25,42 @@ ARRIVAL = ("run_id", "page_no", "pos")
 
 
 def decode_pages(pages: DataFrame, strict: bool = True) -> DataFrame:
-    """O2 on landed pages; in strict mode a bad page fails the job that reads it."""
+    """O2 on landed pages; in strict mode a bad page fails the job that reads it.
+
+    In quarantine mode bad pages, and pages whose landed cursors break the
+    chain, are left out.
+    """
     parsed = E.parse_envelope(pages)
-    return E.strict_items(parsed) if strict else parsed.where(F.col("page_error").isNull())
+    if strict:
+        return E.strict_items(parsed)
+    broken = E.chain_violation(F.col("has_more"), F.col("next_cursor"), F.col("request_cursor"))
+    return parsed.where(F.col("page_error").isNull() & broken.isNull())
+
+
+def chain_breaks(pages: DataFrame) -> DataFrame:
+    """``(run_id, page_no, kind)`` of pages that break the chain only by a cursor that was not landed.
+
+    Cursors landed with a page are checked in the pass that reads it; this adds
+    the pages whose request cursor comes from the page before them.  It works on
+    page metadata, the one decode beside the ingest's own.
+    """
+    meta = E.page_metadata(E.parse_envelope(pages)).where(F.col("page_error").isNull())
+    return (E.check_page_chain(meta, fill_missing_cursor=True)
+            .where(F.col("kind").isin(E.ERR_NO_CURSOR, E.ERR_STUCK)))
+
+
+def checked_pages(pages: DataFrame, strict: bool = True) -> DataFrame:
+    """Pages to ingest: chain-breaking ones fail the job (strict) or are left out."""
+    breaks = chain_breaks(pages)
+    if not strict:
+        return pages.join(breaks.select("run_id", "page_no").distinct(), ["run_id", "page_no"], "left_anti") \
+            .select(*pages.columns)
+    # The check is a branch of the same job: it has no rows, or it raises.
+    failing = breaks.where(E._fail_unless(F.lit(False) & F.col("kind").isNotNull(), F.concat(
+        F.col("kind"), F.lit(" (run "), F.col("run_id"), F.lit(", page "), F.col("page_no").cast("string"), F.lit(")"))))
+    nothing = failing.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("run_id", "page_no")
+                               else F.col(f.name) for f in pages.schema.fields]).where(F.col("run_id").isNull())
+    return pages.unionByName(nothing)
 
 
 def page_events(parsed: DataFrame, strict: bool = True) -> DataFrame:
@@ -59,7 +92,7 @@ def ingest_batch(pages: DataFrame, target: DataFrame | None = None, strict: bool
     large table and materialise the deduplicated load once (reliable
     checkpoint) because its keys are read three times.
     """
-    events = page_events(decode_pages(pages, strict), strict)
+    events = page_events(decode_pages(checked_pages(pages, strict), strict), strict)
     firsts = first_by_key(events, "event_id", ARRIVAL)
     if target is not None and key_strategy != "shuffle":
         # The size check, the key range and the broadcast keys all read the

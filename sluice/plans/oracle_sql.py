@@ -8,13 +8,12 @@ Spark decoder, so a match checks decoding, dedupe and paging end to end.
 from __future__ import annotations
 
 from .queries import (CHUNK_SIZE, FLUSH_BATCH, KEYSET_AFTER, KEYSET_LIMIT, MOCK_LIMIT,
-                      ORDERS_PAGE, PAGE_SIZE, RUNS_MULTI, SERVE_CURSOR)
-from ..operators.envelope import (ERR_NO_CURSOR, ERR_NOT_ARRAY, ERR_NOT_JSON, ERR_NOT_OBJECT,
+                      ORDERS_PAGE, PAGE_SIZE, RUNS_MULTI)
+from ..operators.envelope import (ERR_GAP, ERR_NO_CURSOR, ERR_RELANDED, ERR_NOT_ARRAY, ERR_NOT_JSON, ERR_NOT_OBJECT,
                                    ERR_STUCK)
-from ..operators.paging import decode_cursor_value
 
 PS = PAGE_SIZE
-SERVE_START = decode_cursor_value(SERVE_CURSOR)
+SERVE_START = 5000          # what SERVE_CURSOR spells in base64
 
 
 def _occ(runs: int) -> str:
@@ -142,6 +141,27 @@ SELECT {_ID} AS event_id, {_EMS} AS occurred_at_ms, event_type, {_COPY} AS copy_
 FROM win"""
     q["ingest_batch"] = ingest
     q["ingest_stream"] = ingest
+    q["ingest_replay"] = ingest
+
+    # Pages landed with faults, gaps, copies, and a third of the request cursors missing.
+    more = "page_no < last_page AND page_no % 5 <> 4"
+    lost, stuck = f"({more} AND page_no % 13 = 7)", f"({more} AND page_no % 13 <> 7 AND page_no % 17 = 11)"
+    before = "(page_no - 1) % 19 <> 4 AND NOT ((page_no - 1) % 5 <> 4 AND ((page_no - 1) % 13 = 7 OR (page_no - 1) % 17 = 11))"
+    seen = f"({stuck} AND (page_no % 3 <> 0 OR ({before})))"
+    reports = f"""
+SELECT {_RUN} AS run_id, page_no, '{ERR_NO_CURSOR}' AS kind FROM pg WHERE page_no % 19 <> 4 AND {lost}
+UNION ALL SELECT {_RUN}, page_no, '{ERR_STUCK}' FROM pg WHERE page_no % 19 <> 4 AND {seen}
+UNION ALL SELECT {_RUN}, page_no, '{ERR_RELANDED}' FROM pg WHERE page_no % 19 <> 4 AND page_no % 23 = 6
+UNION ALL SELECT {_RUN}, page_no, '{ERR_GAP}' FROM pg
+          WHERE page_no % 19 <> 4 AND page_no > 0 AND page_no % 3 = 0 AND (page_no - 1) % 19 = 4"""
+    q["page_reports"] = f"WITH {one} {reports}"
+    skip = "page_no % 19 = 4 OR " + lost + " OR " + seen
+    kept = "opage IN (SELECT page_no FROM pg WHERE NOT (" + skip + "))"
+    q["ingest_quarantine_chain"] = f"""WITH {one},
+{_winners(1, kept)}
+SELECT {_ID} AS event_id, {_EMS} AS occurred_at_ms, event_type, {_COPY} AS copy_tag,
+       rn % 37 <> 36 AS has_time_key, opage AS page_no, opos AS pos
+FROM win"""
 
     bad_page = "(page_no % 23 = 7 OR page_no % 29 = 13 OR page_no % 31 = 17 OR page_no % 37 = 19)"
     bad_event = "(rn % 97 = 13 OR rn % 89 = 7 OR rn % 83 = 5 OR rn % 79 = 3)"

@@ -25,7 +25,7 @@ from ..session import ensure_semantics, scratch_path
 from ..sources import fixtures as FX
 from ..sources.generate import generate_events, mock_pages
 from ..sources.pages import land_pages, land_pages_in_order, scan_pages
-from ..sources.sinks import export_keys
+from ..sources.sinks import export_keys, read_committed
 from ..plans.ingest import decode_pages, event_rows, ingest_batch, page_events
 
 # Fixed parameters of the registered queries (the oracle SQL uses the same).
@@ -133,6 +133,11 @@ def q_first_by_key(spark, sf_dir):
                          F.try_variant_get(F.col("event"), "$['copy']", "bigint").alias("copy_tag"))
 
 
+def decode_all(pages):
+    """Good pages, chain-breaking ones included."""
+    return E.parse_envelope(pages).where(F.col("page_error").isNull())
+
+
 def _split_pages(spark, sf_dir):
     pages = fixture_pages(spark, sf_dir)
     last = pages.agg(F.max("page_no")).first()[0]
@@ -162,6 +167,26 @@ def q_ingest_quarantine(spark, sf_dir):
     return out.select(*_row_cols(), "page_no", F.col("pos").cast("long").alias("pos"))
 
 
+def _faulty_pages(spark, sf_dir):
+    """Faulty pages with gaps (``% 19 = 4``), copies (``% 23 = 6``) and request cursors not landed (``% 3 = 0``)."""
+    p = F.col("page_no")
+    pages = fixture_pages(spark, sf_dir, faults=True).where(p % 19 != 4)
+    pages = pages.withColumn("request_cursor", F.when(p % 3 != 0, F.col("request_cursor")))
+    return pages.unionByName(pages.where(p % 23 == 6))
+
+
+def q_page_reports(spark, sf_dir):
+    """O14 on landed pages with gaps and copies: every violation and report."""
+    parsed = decode_all(_faulty_pages(spark, sf_dir))
+    return E.check_page_chain(parsed, fill_missing_cursor=True)
+
+
+def q_ingest_quarantine_chain(spark, sf_dir):
+    """O27b in quarantine mode: pages that break the cursor chain are left out, copies count once."""
+    out = ingest_batch(_faulty_pages(spark, sf_dir), strict=False)
+    return out.select(*_row_cols(), "page_no", F.col("pos").cast("long").alias("pos"))
+
+
 def q_ingest_stream(spark, sf_dir):
     """The same table through Structured Streaming (several micro-batches)."""
     from ..streaming.ingest_stream import run_ingest_stream
@@ -172,7 +197,24 @@ def q_ingest_stream(spark, sf_dir):
     ckpt = scratch_path(spark, "stream-ckpt")
     run_ingest_stream(spark, landed, table, ledger, ckpt, run_tag="fixture",
                       max_files_per_trigger=2)
-    out = spark.read.parquet(table)
+    out = read_committed(spark, table, ledger)
+    return out.select(*_row_cols(), "page_no", F.col("pos").cast("long").alias("pos"))
+
+
+def q_ingest_replay(spark, sf_dir):
+    """O5 + O20 + O27: committed batches replayed, re-run with other pages, and old ids again."""
+    from ..streaming.ingest_stream import make_batch_sink
+    pages = fixture_pages(spark, sf_dir)
+    first, second = _split_pages(spark, sf_dir)
+    table, ledger = scratch_path(spark, "replay-table"), scratch_path(spark, "replay-ledger")
+    sink = make_batch_sink(table, ledger, "fixture")
+    sink(first, 0)
+    sink(second, 1)
+    sink(second, 1)                     # a crash after the ledger row, before Spark's commit
+    sink(first, 1)                      # the same id with only stored ids: an empty attempt
+    sink(second, 1)                     # and with its own pages again
+    sink(pages, 2)                      # every id is stored already
+    out = read_committed(spark, table, ledger)
     return out.select(*_row_cols(), "page_no", F.col("pos").cast("long").alias("pos"))
 
 
@@ -193,13 +235,13 @@ def q_unnest_columns(spark, sf_dir):
 
 def q_page_chain(spark, sf_dir):
     """Cursor-chain violations on the fixture with planted faults."""
-    parsed = decode_pages(fixture_pages(spark, sf_dir, faults=True), strict=False)
+    parsed = decode_all(fixture_pages(spark, sf_dir, faults=True))
     return E.check_page_chain(parsed)
 
 
 def q_page_chain_lag(spark, sf_dir):
     """O14 with the request cursor not landed: derived from the previous page."""
-    parsed = decode_pages(fixture_pages(spark, sf_dir, faults=True), strict=False)
+    parsed = decode_all(fixture_pages(spark, sf_dir, faults=True))
     parsed = parsed.withColumn("request_cursor", F.lit(None).cast("string"))
     return E.check_page_chain(parsed, fill_missing_cursor=True)
 
@@ -370,7 +412,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "insert_if_absent": q_insert_if_absent,
     "ingest_batch": q_ingest_batch,
     "ingest_quarantine": q_ingest_quarantine,
+    "ingest_quarantine_chain": q_ingest_quarantine_chain,
+    "page_reports": q_page_reports,
     "ingest_stream": q_ingest_stream,
+    "ingest_replay": q_ingest_replay,
     "unnest_columns": q_unnest_columns,
     "page_chain": q_page_chain,
     "page_chain_lag": q_page_chain_lag,

@@ -1,12 +1,11 @@
 """Session helpers.
 
 The library never creates its own cluster settings behind the caller's back.
-Two settings are required for exact semantics and are set by
-:func:`ensure_semantics` on whatever session the caller passes in:
-
-* ``spark.sql.variant.allowDuplicateKeys=true`` so that a JSON object with a
-  repeated key keeps the last value (as ``JSON.parse`` does) instead of
-  ``try_parse_json`` returning NULL for the whole body.
+One setting is required for exact semantics; :func:`ensure_semantics` sets it on
+the session of whatever DataFrame is decoded, and the README says so:
+``spark.sql.variant.allowDuplicateKeys=true``, so that a JSON object with a
+repeated key keeps the last value (as ``JSON.parse`` does) instead of
+``try_parse_json`` returning NULL for the whole body.
 
 Everything else (shuffle partitions, AQE, memory) is the caller's choice;
 :func:`local_session` is only for tests and the benchmark.
@@ -14,7 +13,9 @@ Everything else (shuffle partitions, AQE, memory) is the caller's choice;
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -53,8 +54,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
     On a cluster this is set by the operator and points at shared storage; it
-    is read from the session.  Only when it is unset (local tests) a fresh
-    local folder is created and registered.
+    is read from the session.  Only in local mode may it be unset: a fresh
+    folder is then created, registered, and removed when the process ends.  On
+    any other master an unset folder is an error, because executors would not
+    see one another's files.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,7 +66,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
         "spark.checkpoint.dir", None)
     if not conf_dir:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         conf_dir = tempfile.mkdtemp(prefix="sluice-ckpt-")
+        atexit.register(shutil.rmtree, conf_dir, ignore_errors=True)
     sc.setCheckpointDir(conf_dir)
     return (sc.getCheckpointDir() or conf_dir).rstrip("/")
 
