@@ -8,9 +8,7 @@ JSON semantics that matter here, and how they map to Spark:
   happily turns the number 7 into ``'7'``.
 * Epoch arithmetic is done in DOUBLE, as the source system does.
 
-Recorded divergences (see README): instants outside years 0001..9999 are
-NULL; free-form date text beyond ISO-8601 and RFC-1123 forms is NULL; JSON
-numbers above 2**53 are kept exact in the payload.
+Recorded divergences are listed one by one in the README (date text).
 """
 
 from __future__ import annotations
@@ -33,9 +31,9 @@ US_FROM = 1e14
 MS_FROM = 1e11
 S_FROM = 1e8
 
-# Representable instants: years 0001 through 9999 (milliseconds since epoch).
-MIN_MS = -62135596800000
-MAX_MS = 253402300799999
+# Representable instants (milliseconds since epoch): the source system's dates.
+MIN_MS = -8_640_000_000_000_000
+MAX_MS = 8_640_000_000_000_000
 
 ISO_MS_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"
 
@@ -203,17 +201,18 @@ _ISO_REWRITES = (
     (rf"^{_Y}$", "$1-01-01T00:00:00Z"),
     (rf"^{_Y}-(\d{{2}})$", "$1-$2-01T00:00:00Z"),
     (rf"^{_Y}-(\d{{2}})-(\d{{2}})$", "$1-$2-$3T00:00:00Z"),
-    (rf"^{_Y}-(\d{{2}})-(\d{{2}})[T ](\d{{2}}:\d{{2}})(Z|[+-]\d{{2}}:\d{{2}})?$", "$1-$2-$3T$4:00$5"),
+    (rf"^{_Y}-(\d{{2}})-(\d{{2}})[T ](\d{{2}}:\d{{2}})(Z|[+-]\d{{2}}:?\d{{2}})?$", "$1-$2-$3T$4:00$5"),
     (r"^(.*T\d{2}:\d{2}:\d{2}(\.\d+)?)$", "$1Z"),
+    (r"^(.*[T ]\d{2}:\d{2}.*[+-]\d{2})(\d{2})$", "$1:$2"),
 )
 _ISO_ANY = (rf"^{_Y}(-\d{{2}}(-\d{{2}}([T ]\d{{2}}:\d{{2}}(:\d{{2}}(\.\d+)?)?"
-            r"(Z|[+-]\d{2}:\d{2})?)?)?)?$")
+            r"(Z|[+-]\d{2}:?\d{2})?)?)?)?$")
 _RFC_ANY = (r"^(?:[A-Za-z]{3},\s*)?(\d{1,2}) ([A-Za-z]{3}) (\d{4}) (\d{2}:\d{2})(:\d{2})?"
             r" (GMT|UTC|UT|Z|[+-]\d{4})$")
 
 
 # "T24:00" (with zero seconds/fraction) is the end of the day: next midnight.
-_ISO_24 = r"^([+-]\d{6}|\d{4})-(\d{2})-(\d{2})T24:00(:00(?:\.0+)?)?(Z|[+-]\d{2}:\d{2})?$"
+_ISO_24 = r"^([+-]\d{6}|\d{4})-(\d{2})-(\d{2})T24:00(:00(?:\.0+)?)?(Z|[+-]\d{2}:?\d{2})?$"
 _ISO_CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
 
 
@@ -318,7 +317,12 @@ def iso_ms(ts: Column) -> Column:
     a local wall clock (which is ambiguous in a daylight-saving fall-back hour).
     """
     utc_wall = F.timestamp_add("MILLISECOND", F.unix_millis(ts), _epoch_ntz())
-    return F.date_format(utc_wall, ISO_MS_FORMAT)
+    year = F.year(utc_wall)
+    plain = F.date_format(utc_wall, ISO_MS_FORMAT)
+    # Years of more than four digits are written with a sign and six digits.
+    wide = F.concat(F.when(year < 0, "-").otherwise("+"), F.lpad(F.abs(year).cast("string"), 6, "0"),
+                    F.date_format(utc_wall, ISO_MS_FORMAT.removeprefix("yyyy")))
+    return F.when(ts.isNull() | year.between(0, 9999), plain).otherwise(wide)
 
 
 def ntz_epoch_micros(ts_ntz: Column) -> Column:

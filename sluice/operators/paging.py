@@ -25,7 +25,8 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import SparkRuntimeException
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpoint_root
@@ -76,13 +77,22 @@ def encode_cursor(index) -> "F.Column":
 def decode_cursor(cursor) -> "F.Column":
     """Start index for a cursor: empty or NULL means 0; a bad cursor raises.
 
-    The decoded text must start with an integer (``parseInt`` rules: leading
-    white space and sign allowed, trailing text ignored) that is not negative.
+    Base64 is read leniently, as the source system reads it: the URL alphabet
+    counts too, other characters are skipped, padding may be missing.  The
+    decoded text must start with an integer (``parseInt`` rules: leading white
+    space and sign allowed, trailing text ignored) that is not negative; one
+    past BIGINT is past every row.
     """
     c = F.col(cursor) if isinstance(cursor, str) else cursor
-    text = F.try_to_binary(c, F.lit("base64")).cast("string")
+    plain = F.regexp_replace(F.translate(F.substring_index(c, "=", 1), "-_", "+/"), "[^A-Za-z0-9+/]", "")
+    whole = F.when(F.length(plain) % 4 == 1, F.expr("1")).otherwise(F.lit(0))
+    plain = F.substring(plain, F.lit(1), F.length(plain) - whole.cast("int"))
+    padded = F.concat(plain, F.repeat(F.lit("="), F.pmod(-F.length(plain), F.lit(4))))
+    text = F.try_to_binary(padded, F.lit("base64")).cast("string")
     digits = F.regexp_extract(text, r"^\s*([+-]?\d+)", 1)
-    value = F.when(digits != "", digits.try_cast("long"))
+    value = F.when(F.length(F.regexp_replace(digits, r"^[+]?0*", "")) > 18,
+                   F.when(digits.startswith("-"), F.lit(-1)).otherwise(F.lit(2**63 - 1))) \
+        .when(digits != "", digits.try_cast("long"))
     return (F.when(c.isNull() | (c == ""), F.lit(0).cast("long"))
             .when(value.isNotNull() & (value >= 0), value)
             .otherwise(F.raise_error(F.concat(F.lit("Invalid cursor: "), c)).cast("long")))
@@ -114,27 +124,37 @@ def page_table(spark, total: int, limit: int) -> DataFrame:
         F.when(end < total, F.base64(end.cast("string"))).alias("next_cursor"))
 
 
+def page_list(paged: DataFrame, limit: int) -> DataFrame:
+    """O23 page list of paged rows (with ``page_no`` and ``row_idx``): the columns of :func:`page_table`.
+
+    Rows decide it alone: no rows, no pages.
+    """
+    size = max(int(limit), 1)
+    pages = paged.groupBy("page_no").agg(F.count(F.lit(1)).alias("n"), F.max("row_idx").alias("_last"))
+    top = pages.agg(F.max("_last")).first()[0]             # one number: the last row's index
+    p = F.col("page_no")
+    more = F.col("_last") < F.lit(top)
+    return pages.select(
+        "page_no", F.when(p > 0, F.base64((p * size).cast("string"))).alias("request_cursor"), "n",
+        more.alias("has_more"), F.when(more, F.base64((F.col("_last") + 1).cast("string"))).alias("next_cursor"))
+
+
 def decode_cursor_value(cursor: str | None) -> int:
-    """Driver-side twin of :func:`decode_cursor` for a cursor given as a parameter."""
-    import base64
-    import re
+    """:func:`decode_cursor` of a cursor given as a parameter."""
     if not cursor:
         return 0
     try:
-        text = base64.b64decode(cursor, validate=True).decode("utf-8", "replace")
-    except Exception:
-        text = ""
-    m = re.match(r"^\s*([+-]?\d+)", text)
-    if not m or int(m.group(1)) < 0:
-        raise ValueError(f"Invalid cursor: {cursor}")
-    return int(m.group(1))
+        return SparkSession.getActiveSession().range(1).select(decode_cursor(F.lit(cursor))).first()[0]
+    except SparkRuntimeException as e:
+        raise ValueError(f"Invalid cursor: {cursor}") from e
 
 
 def serve_page(indexed: DataFrame, limit: int, cursor: str | None) -> DataFrame:
     """The page a cursor asks for, from rows carrying ``row_idx`` (a range filter)."""
-    size = max(int(limit), 1)
     start = decode_cursor_value(cursor)
-    return indexed.where((F.col("row_idx") >= start) & (F.col("row_idx") < start + size))
+    stop = start + max(int(limit), 1)
+    rows = indexed.where(F.col("row_idx") >= start)
+    return rows.where(F.col("row_idx") < stop) if stop < 2**63 else rows
 
 
 def keyset_page(df: DataFrame, key: str, after, limit: int) -> DataFrame:

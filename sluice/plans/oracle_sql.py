@@ -7,7 +7,7 @@ Spark decoder, so a match checks decoding, dedupe and paging end to end.
 
 from __future__ import annotations
 
-from .queries import (CHUNK_SIZE, FLUSH_BATCH, KEYSET_AFTER, KEYSET_LIMIT, MOCK_LIMIT,
+from .queries import (CHUNK_SIZE, FLUSH_BATCH, KEYSET_AFTER, KEYSET_LIMIT,
                       ORDERS_PAGE, PAGE_SIZE, RUNS_MULTI)
 from ..operators.envelope import (ERR_GAP, ERR_NO_CURSOR, ERR_RELANDED, ERR_NOT_ARRAY, ERR_NOT_JSON, ERR_NOT_OBJECT,
                                    ERR_STUCK)
@@ -154,6 +154,14 @@ UNION ALL SELECT {_RUN}, page_no, '{ERR_STUCK}' FROM pg WHERE page_no % 19 <> 4
 UNION ALL SELECT {_RUN}, page_no, '{ERR_RELANDED}' FROM pg WHERE page_no % 19 <> 4 AND page_no % 23 = 6
 UNION ALL SELECT {_RUN}, page_no, '{ERR_GAP}' FROM pg
           WHERE page_no % 19 <> 4 AND page_no > 0 AND page_no % 3 = 0 AND (page_no - 1) % 19 = 4"""
+    q["time_forms"] = """WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ms,
+              make_timestamp((epoch_us(ts) // 1000 + 284012568000000) * 1000) AS t FROM events)
+SELECT event_id, CAST(CASE WHEN event_id % 7 = 0 THEN ms WHEN event_id % 7 = 4 THEN ms // 86400000 * 86400000
+       WHEN event_id % 7 = 5 THEN ms // 60000 * 60000 ELSE ms // 1000 * 1000 END AS BIGINT) AS instant_ms,
+       printf('+%06d', year(t)) || strftime(t, '-%m-%dT%H:%M:%S.%g') || 'Z' AS far
+FROM e"""
+    q["cursor_forms"] = """SELECT o_orderkey,
+       CAST(CASE WHEN o_orderkey % 6 = 4 THEN 0 ELSE o_orderkey END AS BIGINT) AS start FROM orders"""
     q["page_reports"] = f"WITH {one} {reports}"
     skip = "page_no % 19 = 4 OR " + lost + " OR " + seen
     kept = "opage IN (SELECT page_no FROM pg WHERE NOT (" + skip + "))"
@@ -314,20 +322,6 @@ kv AS (SELECT CASE rn % 3 WHEN 0 THEN 'eventId' WHEN 1 THEN 'event_id' ELSE 'id'
                  FROM occ WHERE rn % 37 <> 36 AND rn % 41 <> 40)
 SELECT key, type, count(*) AS n, (SELECT count(*) FROM occ) AS events FROM kv GROUP BY key, type"""
 
-    q["generate_events"] = """SELECT printf('evt-%07d', i) AS "eventId",
-       strftime(epoch_ms(1704067200000 + i * 1000), '%Y-%m-%dT%H:%M:%S.%gZ') AS "occurredAt",
-       CASE WHEN i % 2 = 0 THEN 'click' ELSE 'view' END AS "eventType", 'mock-api' AS source
-FROM (SELECT row_number() OVER () - 1 AS i FROM events)"""
-
-    M = MOCK_LIMIT
-    q["mock_pages"] = f"""WITH c AS (SELECT count(*) AS n FROM events),
-p AS (SELECT DISTINCT (row_number() OVER () - 1) // {M} AS page_no FROM events)
-SELECT page_no, least((page_no + 1) * {M}, n) - page_no * {M} AS n_events,
-       (page_no + 1) * {M} < n AS has_more,
-       CASE WHEN (page_no + 1) * {M} < n THEN {_b64(f'(page_no + 1) * {M}')} END AS next_cursor,
-       CASE WHEN page_no = 0 THEN NULL ELSE {_b64(f'page_no * {M}')} END AS request_cursor
-FROM p, c"""
-
     q["pending"] = f"""WITH {one},
 mid AS (SELECT (max(page_no) + 1) // 2 AS m FROM pg)
 SELECT printf('%s/%09d', {_RUN}, page_no) AS name FROM pg, mid WHERE page_no >= mid.m"""

@@ -23,7 +23,6 @@ from ..operators.dedupe import first_by_key, pending
 from ..operators.flush import assign_flush_batches, flush_rollup
 from ..session import ensure_semantics, scratch_path
 from ..sources import fixtures as FX
-from ..sources.generate import generate_events, mock_pages
 from ..sources.pages import land_pages, land_pages_in_order, scan_pages
 from ..sources.sinks import export_keys, read_committed
 from ..plans.ingest import decode_pages, event_rows, ingest_batch, page_events
@@ -33,10 +32,10 @@ PAGE_SIZE = FX.PAGE_SIZE          # events per fixture page
 RUNS_MULTI = 3                    # runs in the multi-run fixture
 FLUSH_BATCH = 250                 # flush threshold in events
 ORDERS_PAGE = 1000                # rows per page when paging orders
+PAGED_BUCKET = 400                # rows per range, so that several ranges are stitched
 KEYSET_AFTER = 1000               # keyset start key (exclusive)
 KEYSET_LIMIT = 500
 CHUNK_SIZE = 1000                 # keyset chunk size
-MOCK_LIMIT = 1000                 # mock API page size
 SERVE_CURSOR = "NTAwMA=="         # base64("5000"): the page starting at row 5000
 
 _CACHE: dict = {}
@@ -123,6 +122,39 @@ def q_epoch_units(spark, sf_dir):
                      F.unix_millis(S.epoch_to_instant(F.col("x"))).alias("instant_ms"))
 
 
+_FORMS = 7
+FAR_MS = 284_012_568_000_000          # 9000 years
+
+
+def q_time_forms(spark, sf_dir):
+    """O9 + O10: ``events.ts`` written in each form of date text, and 9000 years on as ISO text."""
+    ev = _table(spark, sf_dir, "events")
+    k, ts = F.col("event_id") % _FORMS, F.col("ts").cast("timestamp_ntz")
+    wall = lambda minutes: F.timestamp_add("MINUTE", F.lit(minutes), ts)
+    iso = "yyyy-MM-dd'T'HH:mm:ss"
+    text = (F.when(k == 0, F.concat(F.date_format(ts, iso + ".SSS"), F.lit("Z")))
+            .when(k == 1, F.concat(F.date_format(wall(60), iso), F.lit("+0100")))
+            .when(k == 2, F.concat(F.date_format(wall(60), iso), F.lit("+01:00")))
+            .when(k == 3, F.concat(F.date_format(ts, "d MMM yyyy HH:mm:ss"), F.lit(" GMT")))
+            .when(k == 4, F.date_format(ts, "yyyy-MM-dd"))
+            .when(k == 5, F.concat(F.date_format(wall(-210), "yyyy-MM-dd'T'HH:mm"), F.lit("-0330")))
+            .otherwise(F.concat(F.date_format(ts, "yyyy-MM-dd HH:mm:ss"), F.lit("Z"))))
+    far = F.timestamp_millis(F.floor(S.ntz_epoch_micros(F.col("ts")) / 1000).cast("long") + FAR_MS)
+    return ev.select("event_id", F.unix_millis(S.js_date_parse(text)).alias("instant_ms"), S.iso_ms(far).alias("far"))
+
+
+def q_cursor_forms(spark, sf_dir):
+    """Start rows of cursors written in each way the source system reads."""
+    n = F.col("o_orderkey")
+    b64 = F.base64(n.cast("string"))
+    k = n % 6
+    cursor = (F.when(k == 0, b64).when(k == 1, F.regexp_replace(b64, "=", ""))
+              .when(k == 2, F.base64(F.concat(n.cast("string"), F.lit("abc"))))
+              .when(k == 3, F.concat(F.lit(" \n"), b64)).when(k == 4, F.lit(""))
+              .otherwise(F.base64(F.concat(F.lit(" +00000000000000000000"), n.cast("string")))))
+    return _table(spark, sf_dir, "orders").select("o_orderkey", P.decode_cursor(cursor).alias("start"))
+
+
 def q_first_by_key(spark, sf_dir):
     """The first occurrence of every id in arrival order."""
     ev = page_events(decode_pages(fixture_pages(spark, sf_dir)))
@@ -318,7 +350,7 @@ def q_paginate(spark, sf_dir):
     """Orders in key order sliced into pages of 1000."""
     orders = _table(spark, sf_dir, "orders")
     paged = P.paginate(orders.select("o_orderkey", "o_custkey"), ["o_orderkey", "o_custkey"],
-                       ORDERS_PAGE)
+                       ORDERS_PAGE, PAGED_BUCKET)
     return paged.select("o_orderkey", "row_idx", "page_no", "pos",
                         P.encode_cursor(F.col("row_idx") + 1).alias("cursor_after"))
 
@@ -331,9 +363,9 @@ def q_serve_page(spark, sf_dir):
 
 
 def q_page_table(spark, sf_dir):
-    """O23 page list for the orders table."""
-    total = _table(spark, sf_dir, "orders").count()
-    return P.page_table(spark, total, ORDERS_PAGE)
+    """O23 page list of the orders table, from its paged rows."""
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return P.page_list(P.paginate(orders, ["o_orderkey", "o_custkey"], ORDERS_PAGE, PAGED_BUCKET), ORDERS_PAGE)
 
 
 def q_keyset_page(spark, sf_dir):
@@ -373,22 +405,6 @@ def q_field_profile(spark, sf_dir):
     return PR.field_profile(ev).select("key", "type", "n", "events")
 
 
-def q_generate_events(spark, sf_dir):
-    """As many synthetic events as ``events`` has rows."""
-    n = _table(spark, sf_dir, "events").count()
-    return generate_events(spark, n).select("eventId", "occurredAt", "eventType", "source")
-
-
-def q_mock_pages(spark, sf_dir):
-    """O7 + O23 + O1: synthetic events served as pages of 1000, landed, scanned, decoded."""
-    n = _table(spark, sf_dir, "events").count()
-    path = scratch_path(spark, "mock-landed")
-    land_pages(mock_pages(generate_events(spark, n), MOCK_LIMIT), path)
-    parsed = decode_pages(scan_pages(spark, path))
-    return parsed.select("page_no", F.size("items").cast("long").alias("n_events"),
-                         "has_more", "next_cursor", "request_cursor")
-
-
 def q_pending(spark, sf_dir):
     """Landed pages not yet ingested, in name order."""
     stored_pages, _ = _split_pages(spark, sf_dir)
@@ -408,6 +424,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_rows": q_event_rows,
     "event_table_rows": q_event_table_rows,
     "epoch_units": q_epoch_units,
+    "time_forms": q_time_forms,
+    "cursor_forms": q_cursor_forms,
     "first_by_key": q_first_by_key,
     "insert_if_absent": q_insert_if_absent,
     "ingest_batch": q_ingest_batch,
@@ -433,8 +451,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "export_keys": q_export_keys,
     "page_shape": q_page_shape,
     "field_profile": q_field_profile,
-    "generate_events": q_generate_events,
-    "mock_pages": q_mock_pages,
     "pending": q_pending,
     "count_events": q_count_events,
 }

@@ -213,7 +213,8 @@ def test_more_scalar_edges(spark):
         {"id": "d", "timestamp": "0o17"},                # 15 ms
         {"id": "e", "timestamp": "0x17A2B3C4D5E6F7"},    # 6652817449543415: microseconds
         {"id": "f", "timestamp": "NaN"},                 # not a number, not a date
-        {"id": "g", "timestamp": 2.6e20},                # ns -> 2.6e14 ms: after year 9999
+        {"id": "g", "timestamp": 2.6e20},                # ns -> 2.6e14 ms: year 10209
+        {"id": "k", "timestamp": 8.7e21},                # ns -> 8.7e15 ms: past the last date
         {"id": "j", "timestamp": 2.5e20},                # ns -> 2.5e14 ms: year 9892
         {"id": "h", "timestamp": -1.5},                  # truncates toward zero: -1 ms
         {"id": "i", "timestamp": "2024-01-01T00:00:00.123456789Z"},
@@ -221,7 +222,8 @@ def test_more_scalar_edges(spark):
     got = {r["event_id"]: r["ms"] for r in _events(spark, evs)}
     assert got["a"] == 1000 and got["b"] == 5 and got["c"] == 0 and got["d"] == 15
     assert got["e"] == int(0x17A2B3C4D5E6F7 / 1000)
-    assert got["f"] is None and got["g"] is None
+    assert got["f"] is None and got["k"] is None
+    assert got["g"] == 260000000000000
     assert got["j"] == 250000000000000
     assert got["h"] == -1
     assert got["i"] == 1704067200123
