@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -78,14 +78,19 @@ def _kind(x) -> "F.Column":
 def field_profile(events: DataFrame, event: str = "event") -> DataFrame:
     """O26 over all events: ``(key, type, n, events, share)``.
 
-    ``events`` counts the object events (one scalar aggregate);
-    ``share = n / events``.
+    ``events`` counts the object events: each gives one marker row beside its
+    entries, so that one pass and one aggregate find both.  The window is over
+    the aggregate's rows, one for each key and type.
     """
-    objects = events.where(F.col(event).isNotNull())
-    exploded = objects.select(F.explode(F.col(event).try_cast("map<string,variant>"))
-                              .alias("key", "value"))
-    counts = exploded.groupBy("key", _kind(F.col("value")).alias("type")).agg(
+    entries = F.map_entries(F.col(event).try_cast("map<string,variant>"))
+    kind = "array<struct<key:string,value:variant>>"
+    marker = F.when(S.vtype(F.col(event)).startswith("OBJECT"),
+                    F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value"))))
+    rows = events.where(F.col(event).isNotNull()).select(F.explode(F.concat(
+        F.coalesce(marker.cast(kind), F.array().cast(kind)), F.coalesce(entries.cast(kind), F.array().cast(kind)))).alias("e"))
+    counts = rows.groupBy(F.col("e.key").alias("key"), _kind(F.col("e.value")).alias("type")).agg(
         F.count(F.lit(1)).alias("n"))
-    total = objects.where(S.vtype(F.col(event)).startswith("OBJECT")).count()
-    return (counts.withColumn("events", F.lit(total).cast("long"))
+    whole = Window.partitionBy(F.lit(0))
+    return (counts.withColumn("events", F.coalesce(F.max(F.when(F.col("key").isNull(), F.col("n"))).over(whole), F.lit(0)))
+            .where(F.col("key").isNotNull())
             .withColumn("share", F.col("n") / F.col("events")))

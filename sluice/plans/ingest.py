@@ -37,21 +37,22 @@ def decode_pages(pages: DataFrame, strict: bool = True) -> DataFrame:
     return parsed.where(F.col("page_error").isNull() & broken.isNull())
 
 
-def chain_breaks(pages: DataFrame) -> DataFrame:
+def chain_breaks(pages: DataFrame, meta: DataFrame | None = None) -> DataFrame:
     """``(run_id, page_no, kind)`` of pages that break the chain only by a cursor that was not landed.
 
     Cursors landed with a page are checked in the pass that reads it; this adds
     the pages whose request cursor comes from the page before them.  It works on
-    page metadata, the one decode beside the ingest's own.
+    page metadata, the one decode beside the ingest's own; stored metadata
+    (:func:`..operators.envelope.page_metadata`) saves that one too.
     """
-    meta = E.page_metadata(E.parse_envelope(pages)).where(F.col("page_error").isNull())
-    return (E.check_page_chain(meta, fill_missing_cursor=True)
+    meta = E.page_metadata(E.parse_envelope(pages)) if meta is None else meta
+    return (E.check_page_chain(meta.where(F.col("page_error").isNull()), fill_missing_cursor=True)
             .where(F.col("kind").isin(E.ERR_NO_CURSOR, E.ERR_STUCK)))
 
 
-def checked_pages(pages: DataFrame, strict: bool = True) -> DataFrame:
+def checked_pages(pages: DataFrame, strict: bool = True, meta: DataFrame | None = None) -> DataFrame:
     """Pages to ingest: chain-breaking ones fail the job (strict) or are left out."""
-    breaks = chain_breaks(pages)
+    breaks = chain_breaks(pages, meta)
     if not strict:
         return pages.join(breaks.select("run_id", "page_no").distinct(), ["run_id", "page_no"], "left_anti") \
             .select(*pages.columns)
@@ -81,7 +82,8 @@ def event_rows(pages: DataFrame, strict: bool = True) -> DataFrame:
 
 
 def ingest_batch(pages: DataFrame, target: DataFrame | None = None, strict: bool = True,
-                 key_strategy: str = "shuffle", keep_arrival: bool = True) -> DataFrame:
+                 key_strategy: str = "shuffle", keep_arrival: bool = True,
+                 meta: DataFrame | None = None) -> DataFrame:
     """The rows a load of ``pages`` adds to ``target`` (the stored event table).
 
     Output: ``event_id, occurred_at, payload, ingested_at`` plus, with
@@ -91,8 +93,10 @@ def ingest_batch(pages: DataFrame, target: DataFrame | None = None, strict: bool
     the distinct stored keys; ``"broadcast"``/``"auto"`` suit small loads into a
     large table and materialise the deduplicated load once (reliable
     checkpoint) because its keys are read three times.
+
+    ``meta``: the pages' stored metadata, if there is one, for the chain check.
     """
-    events = page_events(decode_pages(checked_pages(pages, strict), strict), strict)
+    events = page_events(decode_pages(checked_pages(pages, strict, meta), strict), strict)
     firsts = first_by_key(events, "event_id", ARRIVAL)
     if target is not None and key_strategy != "shuffle":
         # The size check, the key range and the broadcast keys all read the

@@ -284,10 +284,10 @@ def q_invalid_events(spark, sf_dir):
 
 
 def _flushes(spark, sf_dir):
+    """Page metadata, decoded once and stored, and its flushes."""
     parsed = decode_pages(fixture_pages(spark, sf_dir, runs=RUNS_MULTI))
-    meta = parsed.select("run_id", "page_no", "has_more", "next_cursor", "fetched_at",
-                         F.size("items").cast("long").alias("n_events"))
-    return parsed, assign_flush_batches(meta, FLUSH_BATCH)
+    meta = E.page_metadata(parsed).checkpoint(eager=True)
+    return meta, assign_flush_batches(meta, FLUSH_BATCH).checkpoint(eager=True)
 
 
 def q_flush_batches(spark, sf_dir):
@@ -304,14 +304,14 @@ def q_flush_rollup(spark, sf_dir):
 
 def _inserted_per_flush(spark, sf_dir):
     parsed, pages = _flushes(spark, sf_dir)
-    ingested = ingest_batch(fixture_pages(spark, sf_dir, runs=RUNS_MULTI))
+    ingested = ingest_batch(fixture_pages(spark, sf_dir, runs=RUNS_MULTI), meta=parsed)
     per_page = ingested.groupBy("run_id", "page_no").agg(F.count(F.lit(1)).alias("ins"))
     with_ins = pages.join(per_page, ["run_id", "page_no"], "left").fillna(0, ["ins"])
     per_flush = with_ins.groupBy("run_id", "flush_no").agg(
         F.sum("ins").cast("long").alias("inserted"),
         F.max_by("next_cursor", "page_no").alias("cursor"),
         F.max("page_no").alias("last_page_no"),
-        F.max("fetched_at").alias("ts"))
+        F.max("fetched_at").alias("ts")).checkpoint(eager=True)
     return parsed, pages, per_flush
 
 
