@@ -154,6 +154,21 @@ UNION ALL SELECT {_RUN}, page_no, '{ERR_STUCK}' FROM pg WHERE page_no % 19 <> 4
 UNION ALL SELECT {_RUN}, page_no, '{ERR_RELANDED}' FROM pg WHERE page_no % 19 <> 4 AND page_no % 23 = 6
 UNION ALL SELECT {_RUN}, page_no, '{ERR_GAP}' FROM pg
           WHERE page_no % 19 <> 4 AND page_no > 0 AND page_no % 3 = 0 AND (page_no - 1) % 19 = 4"""
+    loads = f"""{one}, {_winners(1)},
+pq AS (SELECT page_no, n, page_no * 4 // (SELECT count(*) FROM pg) AS b,
+              CASE WHEN page_no < last_page THEN {_b64(f"(page_no + 1) * {PS}")} END AS cursor FROM pg),
+ins AS (SELECT b, count(*) AS inserted FROM win JOIN pq ON opage = pq.page_no GROUP BY b),
+fl AS (SELECT b, max(page_no) AS last_page_no, count(*) AS pages, sum(n) AS events, coalesce(max(inserted), 0) AS inserted,
+              max_by(coalesce(cursor, ''), page_no) AS cursor FROM pq LEFT JOIN ins USING (b) GROUP BY b)"""
+    q["hook_flushes"] = f"""WITH {loads}
+SELECT CAST(events AS BIGINT) AS batch_size, pages, inserted, nullif(cursor, '') AS cursor, b + 1 AS flush_number FROM fl"""
+    q["stream_progress"] = f"""WITH {loads},
+log AS (SELECT page_no + b AS seq, 1 AS p, n AS e, 0 AS i, 0 AS f, cursor FROM pq
+        UNION ALL SELECT last_page_no + 1 + b, 0, 0, inserted, 1, nullif(cursor, '') FROM fl)
+SELECT seq, CAST(sum(p) OVER w AS BIGINT) AS pages, CAST(sum(e) OVER w AS BIGINT) AS events,
+       CAST(sum(i) OVER w AS BIGINT) AS inserted, CAST(sum(f) OVER w AS BIGINT) AS flushes,
+       CAST(100 + sum(i) OVER w AS BIGINT) AS total_ingested, cursor
+FROM log WINDOW w AS (ORDER BY seq)"""
     q["time_forms"] = """WITH e AS (SELECT event_id, epoch_us(ts) // 1000 AS ms,
               make_timestamp((epoch_us(ts) // 1000 + 284012568000000) * 1000) AS t FROM events)
 SELECT event_id, CAST(CASE WHEN event_id % 7 = 0 THEN ms WHEN event_id % 7 = 4 THEN ms // 86400000 * 86400000
@@ -320,7 +335,8 @@ kv AS (SELECT CASE rn % 3 WHEN 0 THEN 'eventId' WHEN 1 THEN 'event_id' ELSE 'id'
        UNION ALL SELECT 'timestamp', 'null' FROM occ WHERE rn % 37 <> 36 AND rn % 41 = 40
        UNION ALL SELECT {time_key}, CASE WHEN rn % 10 IN (1, 2, 3, 4) THEN 'number' ELSE 'string' END
                  FROM occ WHERE rn % 37 <> 36 AND rn % 41 <> 40)
-SELECT key, type, count(*) AS n, (SELECT count(*) FROM occ) AS events FROM kv GROUP BY key, type"""
+SELECT key, type, count(*) AS n, (SELECT count(*) FROM occ) AS events,
+       count(*) / (SELECT count(*) FROM occ)::DOUBLE AS share FROM kv GROUP BY key, type"""
 
     q["pending"] = f"""WITH {one},
 mid AS (SELECT (max(page_no) + 1) // 2 AS m FROM pg)

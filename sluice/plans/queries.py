@@ -250,6 +250,37 @@ def q_ingest_replay(spark, sf_dir):
     return out.select(*_row_cols(), "page_no", F.col("pos").cast("long").alias("pos"))
 
 
+BATCHES = 4                       # loads of the committed-batches fixture
+
+
+def _committed_loads(spark, sf_dir, hooks=None):
+    """The pages committed as ``BATCHES`` consecutive loads; paths of page log and ledger."""
+    from ..streaming.ingest_stream import make_batch_sink
+    pages = fixture_pages(spark, sf_dir)
+    count = pages.count()
+    table, ledger, log = (scratch_path(spark, f"loads-{n}") for n in ("table", "ledger", "log"))
+    sink = make_batch_sink(table, ledger, "fixture", hooks=hooks, page_log_path=log)
+    for b in range(BATCHES):
+        sink(pages.where(F.floor(F.col("page_no") * BATCHES / F.lit(count)) == b), b)
+    return log, ledger
+
+
+def q_stream_progress(spark, sf_dir):
+    """O19 from page log and ledger: counters after every page and every committed batch."""
+    from ..streaming.ingest_stream import stream_progress
+    log, ledger = _committed_loads(spark, sf_dir)
+    return stream_progress(spark, log, ledger, start_total=100).select(
+        "seq", "pages", "events", "inserted", "flushes", "total_ingested", "cursor")
+
+
+def q_hook_flushes(spark, sf_dir):
+    """What the flush hook is told after each committed batch."""
+    from ..streaming.hooks import IngestHooks
+    told = []
+    _committed_loads(spark, sf_dir, IngestHooks(on_flush=told.append))
+    return spark.createDataFrame(told, "batch_size long, pages long, inserted long, cursor string, flush_number long")
+
+
 def q_unnest_columns(spark, sf_dir):
     """Each page's rows as three parallel arrays, turned back into rows."""
     rows = event_rows(fixture_pages(spark, sf_dir))
@@ -402,7 +433,7 @@ def q_page_shape(spark, sf_dir):
 def q_field_profile(spark, sf_dir):
     """Key and type counts over every decoded event."""
     ev = page_events(decode_pages(fixture_pages(spark, sf_dir)))
-    return PR.field_profile(ev).select("key", "type", "n", "events")
+    return PR.field_profile(ev).select("key", "type", "n", "events", "share")
 
 
 def q_pending(spark, sf_dir):
@@ -434,6 +465,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_reports": q_page_reports,
     "ingest_stream": q_ingest_stream,
     "ingest_replay": q_ingest_replay,
+    "stream_progress": q_stream_progress,
+    "hook_flushes": q_hook_flushes,
     "unnest_columns": q_unnest_columns,
     "page_chain": q_page_chain,
     "page_chain_lag": q_page_chain_lag,
