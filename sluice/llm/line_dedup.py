@@ -348,7 +348,9 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
     classed = (lines.join(classes, lines["line"] == classes["node"], "left")
                .select("_key", "line_no", F.coalesce("component", "line").alias("_cls"), place.alias("_at")))
     # Only classes met more than once lose a line; the others need not be joined.
-    first = classed.groupBy("_cls").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last")).where("_first != _last")
+    # Stored, so that the join below is between two plain exchanges, which Spark can split where a class is hot.
+    first = stored(classed.groupBy("_cls").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+                   .where("_first != _last"), "first-lines")
     gone = (classed.join(first, "_cls").where("_at != _first")
             .groupBy("_key").agg(F.collect_set(F.struct("line_no", F.col("_first.d").alias("first_doc_id"),
                                                         F.col("_first.l").alias("first_line_no"))).alias("_gone")))
