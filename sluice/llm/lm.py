@@ -205,6 +205,19 @@ def _strings(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
     return pa.StringArray.from_buffers(len(start), pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data[at])))
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 17) -> Iterator[pa.RecordBatch]:
+    """Batches of about ``rows`` rows: words of one length are worked on together."""
+    held, count = [], 0
+    for batch in batches:
+        held.append(batch)
+        count += batch.num_rows
+        if count >= rows:
+            yield pa.concat_batches(held)
+            held, count = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     """``(word, c)``: all words of ``docs`` and how often they occur."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -230,7 +243,7 @@ def _fit(counts: DataFrame, docs: int, pieces: list[bytes], weights: np.ndarray,
 
         def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             sums = np.zeros(len(sent.value.logp))
-            for batch in batches:
+            for batch in _gathered(batches):
                 data, offsets = texts(batch.column(0))
                 sent.value.words(data, offsets[:-1], offsets[1:], np.ones(batch.num_rows), sums)
             k = np.flatnonzero(sums)
@@ -301,7 +314,7 @@ def _score(rows: DataFrame, text: str, sent) -> DataFrame:
 def _hashed(counts: DataFrame, sent=None) -> DataFrame:
     """``(h, c)`` of counted words, and their lattice ``log10`` if a lattice is sent."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _gathered(batches):
             data, offsets = texts(batch.column(0))
             w = Words(data, offsets)
             columns = [pa.array(w.hash.view(np.int64)), batch.column(1)]
