@@ -343,10 +343,10 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
     """
     keep = others(docs, *_RESULTS, *_INNER)
     classes = line_classes(docs, text, threshold, least)
-    lines = stored(_occurrences(docs, id_col, text, least), "lines")
+    lines = _occurrences(docs, id_col, text, least)
     place = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("d"), "_key", F.col("line_no").alias("l"))
-    classed = (lines.join(classes, lines["line"] == classes["node"], "left")
-               .select("_key", "line_no", F.coalesce("component", "line").alias("_cls"), place.alias("_at")))
+    classed = stored(lines.join(classes, lines["line"] == classes["node"], "left")
+                     .select("_key", "line_no", F.coalesce("component", "line").alias("_cls"), place.alias("_at")), "lines")
     # Only classes met more than once lose a line; the others need not be joined.
     # Stored, so that the join below is between two plain exchanges, which Spark can split where a class is hot.
     first = stored(classed.groupBy("_cls").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
