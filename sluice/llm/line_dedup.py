@@ -1,7 +1,7 @@
 """Operator 8: line dedup by a segment-partition edit join.
 
-Lines of ``LEAST`` code points or more that are equal, or within ``THRESHOLD``
-edits of each other, are links; a class is what links reach.  The first line of
+Lines that are equal are links, and so are lines of ``EDITED`` code points or
+more within ``THRESHOLD`` edits of each other; a class is what links reach.  The first line of
 a class, by (document id, line number), stays and the others go.
 
 Join.  A line of length ``l`` is split into ``THRESHOLD + 1`` even segments; of
@@ -16,8 +16,8 @@ get their texts (found again through a Bloom filter of fixed size), meet in
 blocks of bounded size, and are verified by banded bit-parallel edit distance.
 Blocks return a spanning forest of the verified links and not all pairs.
 
-Defined cases: lines are cut at ``\\n``; shorter lines (blank ones too) are left
-alone; a null text stays null and has no lines; a text of which every line goes
+Defined cases: lines are cut at ``\\n``; blank lines (empty, or white space only)
+are left alone; a null text stays null and has no lines; a text of which every line goes
 becomes empty; null ids come last in the order; rows equal in id and text count
 as one document, and each of them keeps the same lines; documents with one id
 are ordered by a hash of their text; an empty table gives an empty result;
@@ -40,11 +40,13 @@ from .common import mix, others, powers, slices, stored
 from .graph import components
 
 THRESHOLD = 2
-LEAST = 20
+LEAST = 1                   # code points of the shortest line looked at
+EDITED = 16                 # shorter lines link where they are equal only
 BLOCK = 256                 # lines of one key compared in one row
 SEEN = 1 << 21              # line hashes a task remembers as already keyed
 BLOOM_BITS = 1 << 24
 _SLICE = 1 << 20
+_BLANK = np.array([chr(i).isspace() for i in range(0x3002)])
 
 
 class Lines:
@@ -66,6 +68,11 @@ class Lines:
     def piece(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(np.uint64))
 
+    def written(self, least: int) -> np.ndarray:
+        """Numbers of the lines of ``least`` code points or more that are not blank."""
+        ink = np.append(0, np.cumsum(~_BLANK[np.minimum(self.cp, len(_BLANK) - 1)]))
+        return np.flatnonzero((self.end - self.start >= least) & (ink[self.end] > ink[self.start]))
+
     def text(self, i: int) -> str:
         return self.cp[self.start[i]:self.end[i]].tobytes().decode("utf-32-le")
 
@@ -189,7 +196,7 @@ def _signatures(docs: DataFrame, text: str, threshold: int, least: int) -> DataF
         for batch in batches:
             for part in slices(batch, text, _SLICE):
                 lines = Lines(part.column(text).to_pylist())
-                rows = np.flatnonzero(lines.end - lines.start >= least)
+                rows = lines.written(least)
                 _, first = np.unique(lines.hash[rows], return_index=True)
                 rows = rows[first]
                 rows = rows[~np.isin(lines.hash[rows], seen, assume_unique=True)]
@@ -289,7 +296,8 @@ def _texts(docs: DataFrame, text: str, lines: DataFrame, least: int) -> DataFram
 
 
 def line_classes(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD, least: int = LEAST) -> DataFrame:
-    """``(node, component)``: hashes of lines that link to others, and their class."""
+    """``(node, component)``: hashes of lines that link to others unlike them, and their class."""
+    least = max(least, EDITED)
     shared = stored(_shared(_signatures(docs, text, threshold, least)), "shared-keys")
     found = stored(_texts(docs, text, shared.select("line").distinct(), least), "line-texts")
     members = shared.join(found, "line")
@@ -312,7 +320,7 @@ _REMOVED = "array<struct<line_no:int,first_doc_id:{0},first_line_no:int>>"
 
 
 def _occurrences(docs: DataFrame, id_col: str, text: str, least: int) -> DataFrame:
-    """``(id, _key, line_no, line)`` of every line long enough."""
+    """``(id, _key, line_no, line)`` of every line long enough and not blank."""
     rows = docs.select(id_col, F.xxhash64(id_col, text).alias("_key"), text)
     schema = T.StructType([rows.schema[id_col], T.StructField("_key", T.LongType()),
                            T.StructField("line_no", T.IntegerType()), T.StructField("line", T.LongType())])
@@ -325,7 +333,7 @@ def _occurrences(docs: DataFrame, id_col: str, text: str, least: int) -> DataFra
                 count = np.array([(v or "").count("\n") + 1 for v in values])
                 of = np.repeat(np.arange(len(values)), count)
                 number = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-                rows = np.flatnonzero(lines.end - lines.start >= least)
+                rows = lines.written(least)
                 take = pa.array(of[rows])
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(take), part.column(1).take(take), pa.array(number[rows].astype(np.int32)),

@@ -130,3 +130,11 @@ def test_leaks_with_nulls_and_empty_sides(spark, docs):
     assert decontaminate.decontaminate(docs, items).columns == docs.columns
     assert decontaminate.leaks(docs, items.where("item_id = -1")).collect() == []
     assert decontaminate.leaks(none_of(docs), items).collect() == []
+
+
+def test_short_lines_that_repeat_go_and_blank_ones_stay(spark):
+    rows = [(1, "Of it.\n\nno, not.\n  \n中"), (2, "Of it.\n\nno, nod.\n  \n中"), (3, "no, not.\nOf it.\nOf it.")]
+    got = {r.doc_id: r for r in line_dedup.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].text == rows[0][1] and got[1].n_removed == 0
+    assert got[2].text == "\nno, nod.\n  " and [x.line_no for x in got[2].removed] == [0, 4]
+    assert got[3].text == "" and [(x.line_no, x.first_doc_id, x.first_line_no) for x in got[3].removed] == [(0, 1, 2), (1, 1, 0), (2, 1, 0)]
