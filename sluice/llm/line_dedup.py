@@ -1,15 +1,22 @@
 """Operator 8: line dedup by a segment-partition edit join.
 
 Lines that are equal are links, and so are lines of ``EDITED`` code points or
-more within ``THRESHOLD`` edits of each other; a class is what links reach.  The first line of
-a class, by (document id, line number), stays and the others go.
+more within ``THRESHOLD`` edits of each other, and lines within one changed, added
+or missing word for every ``WORDS`` words of the one with fewer; a class is what
+links reach.  The first line of a class, by (document id, line number), stays and
+the others go.
 
 Join.  A line of length ``l`` is split into ``THRESHOLD + 1`` even segments; of
 two lines within the threshold the shorter one has a segment that the longer
 one holds unchanged, near its place.  Index rows are keyed by (length, segment
 number, segment); a line probes the index of its own and the next shorter
 lengths with the substrings at the few places that the length difference
-allows.  Keys are hashes: rows are two numbers, whatever the line's length, and
+allows.  Lines of 20 to 40 words do the same with words in place of code points
+and one edit.  Of two longer lines within either threshold the shorter one has ``GRAM + WINDOW - 1`` words in a row that the other one holds too:
+both are keyed by the gram of least hash in every window of grams, with the
+line's size and the gram's place as overlapping ranges (winnowing), so that a
+line has keys in proportion to its length, whatever its threshold.
+Keys are hashes: rows are two numbers, whatever the line's length, and
 a line that repeats inside a task is keyed once.  Sorted by key, the rows of
 keys that two lines or more share pass in one streaming scan.  Only those lines
 get their texts (found again through a Bloom filter of fixed size), meet in
@@ -17,8 +24,9 @@ blocks of bounded size, and are verified by banded bit-parallel edit distance.
 Blocks return a spanning forest of the verified links and not all pairs.
 
 Defined cases: lines are cut at ``\\n``; blank lines (empty, or white space only)
-are left alone; a null text stays null and has no lines; a text of which every line goes
-becomes empty; null ids come last in the order; rows equal in id and text count
+are left alone; a word is a run of anything but white space, and a code point from
+U+0E00 on (scripts without spaces) is a word of its own; a null text stays null
+and has no lines; a text of which every line goes becomes empty; null ids come last in the order; rows equal in id and text count
 as one document, and each of them keeps the same lines; documents with one id
 are ordered by a hash of their text; an empty table gives an empty result;
 columns that clash with a result's name are replaced by the result, those with an
@@ -27,7 +35,8 @@ inner name (``_INNER``) are left out.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import re
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -42,11 +51,18 @@ from .graph import components
 THRESHOLD = 2
 LEAST = 1                   # code points of the shortest line looked at
 EDITED = 16                 # shorter lines link where they are equal only
+WORDS = 20                  # words of a line for each word that may differ
+LONG = 40                   # lines of so many words are keyed by winnowed grams
+GRAM, WINDOW = 5, 8
 BLOCK = 256                 # lines of one key compared in one row
 SEEN = 1 << 21              # line hashes a task remembers as already keyed
 BLOOM_BITS = 1 << 24
 _SLICE = 1 << 20
 _BLANK = np.array([chr(i).isspace() for i in range(0x3002)])
+_WIDE = 0x0E00
+_WORD = re.compile("[^\\s\\u0e00-\\U0010ffff]+|[^\\s\\u0000-\\u0dff]")
+#: Sizes at which the ranges of long lines begin; each is wider than the words by which two lines may differ.
+_EDGES = np.array([int(LONG * 1.4 ** j) for j in range(60)], np.int64)
 
 
 class Lines:
@@ -112,7 +128,82 @@ def keys(lines: Lines, rows: np.ndarray, threshold: int, least: int) -> tuple[np
     return np.concatenate(key), np.concatenate(value)
 
 
-def _trim(a: str, b: str) -> tuple[str, str]:
+class InWords(Lines):
+    """The same lines as sequences of words: ``start`` and ``end`` count words."""
+
+    def __init__(self, lines: Lines):
+        blank = _BLANK[np.minimum(lines.cp, len(_BLANK) - 1)]
+        wide = ~blank & (lines.cp >= _WIDE)
+        narrow = ~blank & ~wide
+        first = wide | (narrow & ~np.append(False, narrow)[:-1])
+        last = wide | (narrow & ~np.append(narrow, False)[1:])
+        begin, self.hash = np.flatnonzero(first), lines.hash
+        word = lines.piece(begin, np.flatnonzero(last) + 1)
+        self.start, self.end = np.searchsorted(begin, lines.start), np.searchsorted(begin, lines.end)
+        up, self.down = powers(len(word) + 1)
+        self.total = np.zeros(len(word) + 1, np.uint64)
+        np.cumsum(word * up[:-1], out=self.total[1:])
+
+
+def _over(x: np.ndarray, least: bool) -> np.ndarray:
+    """Least or greatest of every ``WINDOW`` values in a row (a power of two)."""
+    step, of = 1, np.minimum if least else np.maximum
+    while step < WINDOW:
+        x = of(x[:-step], x[step:])
+        step *= 2
+    return x
+
+
+def winnowed(words: InWords, rows: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(key, value)`` of the grams that stand for the long lines ``rows``."""
+    count, none = len(words.total) - 1, np.zeros(0, np.uint64)
+    n = count - GRAM - WINDOW + 2                             # windows of grams
+    if n <= 0 or not len(rows):
+        return none, none
+    p = np.arange(count - GRAM + 1)
+    gram = words.piece(p, p + GRAM)
+    taken = np.zeros(len(words.start), bool)
+    taken[rows] = True
+    of = np.searchsorted(words.start, p, side="right") - 1
+    inside = taken[of[:n]] & (p[:n] + GRAM + WINDOW - 1 <= words.end[of[:n]])
+    lowest = np.where(inside, _over(gram, True), np.uint64(0))
+    pad = np.zeros(WINDOW - 1, np.uint64)
+    at = np.flatnonzero((_over(np.concatenate([pad, lowest, pad]), False) == gram) & (gram > 0))
+    line, place = of[at], at - words.start[of[at]]
+    size = words.end[line] - words.start[line]
+    key, value = [], []
+    own = np.searchsorted(_EDGES, size, side="right") - 1
+    for up in (0, 1):
+        k = np.arange(len(at)) if not up else np.flatnonzero(size + np.maximum(2 * threshold, size // WORDS) >= _EDGES[own + 1])
+        j = own[k] + up
+        shift = np.maximum(2 * threshold, (_EDGES[j + 1] - 1) // WORDS)
+        low, high = place[k] // (6 * shift), (place[k] + shift) // (6 * shift)
+        for part, span in ((slice(None), low), (np.flatnonzero(high > low), high)):
+            salt = (j[part] * 1_000_003 + span[part] + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+            key.append(mix(gram[at[k[part]]] + salt))
+            value.append(words.hash[line[k[part]]] << np.uint64(1))
+    return np.concatenate(key), np.concatenate(value)
+
+
+def all_keys(lines: Lines, rows: np.ndarray, threshold: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(key, value)`` by which any two linked lines among ``rows`` share a key.
+
+    An edit touches three adjacent words at most (a wide one and both beside
+    it), so ``threshold`` edits leave a run long enough for a gram in lines of
+    ``long`` words, and change the number of words by two each.
+    """
+    words = InWords(lines)
+    size = words.end[rows] - words.start[rows]
+    run = GRAM + WINDOW - 1
+    long = max(LONG, 3 * threshold + (run - 1) * (threshold + 1) + 1)
+    found = [keys(lines, rows[size < long + 2 * threshold], threshold, least),
+             keys(words, rows[(size >= WORDS) & (size <= LONG)], 1, WORDS),
+             winnowed(words, rows[size >= LONG], threshold)]
+    key, value = (np.concatenate(x) for x in zip(*found))
+    return key, value
+
+
+def _trim(a: Sequence, b: Sequence) -> tuple[Sequence, Sequence]:
     """Both without what they share at the beginning and at the end."""
     def shared(match) -> int:
         low, high = 0, min(len(a), len(b))
@@ -130,7 +221,7 @@ def _trim(a: str, b: str) -> tuple[str, str]:
     return a[:len(a) - n], b[:len(b) - n]
 
 
-def within(a: str, b: str, threshold: int) -> bool:
+def within(a: Sequence, b: Sequence, threshold: int) -> bool:
     """Whether the edit distance is at most ``threshold``: bit vectors over a diagonal band."""
     if abs(len(a) - len(b)) > threshold:
         return False
@@ -151,11 +242,14 @@ def within(a: str, b: str, threshold: int) -> bool:
     width = 2 * k + 1
     full = (1 << width) - 1
     plus, minus, distance = (full >> k) << k, 0, k
+    where: dict = {}                                          # rows that hold each value, as far as the band has come
+    for i in range(k):
+        where[a[i]] = where.get(a[i], 0) | 1 << i
     for j in range(n):
-        c, same = b[j], 0
-        for t in range(max(0, k - j), min(width, m - j + k)):
-            if a[j - k + t] == c:
-                same |= 1 << t
+        if j + k < m:
+            where[a[j + k]] = where.get(a[j + k], 0) | 1 << (j + k)
+        rows = where.get(b[j], 0)
+        same = (rows >> (j - k) if j >= k else rows << (k - j)) & full
         diagonal = ((((same & plus) + plus) ^ plus) | same | minus) & full
         across_plus = (minus | ~(diagonal | plus)) & full
         across_minus = diagonal & plus
@@ -174,6 +268,12 @@ def within(a: str, b: str, threshold: int) -> bool:
 
 def forest(lines: list[str], threshold: int) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the links among the lines (breadth first)."""
+    words = [_WORD.findall(x) for x in lines]
+
+    def linked(u: int, v: int) -> bool:
+        allowed = min(len(words[u]), len(words[v])) // WORDS
+        return within(lines[u], lines[v], threshold) or allowed > 0 and within(words[u], words[v], allowed)
+
     left, edges = list(range(len(lines))), []
     while left:
         queue, left = [left[0]], left[1:]
@@ -181,7 +281,7 @@ def forest(lines: list[str], threshold: int) -> list[tuple[int, int]]:
             u = queue.pop()
             far = []
             for v in left:
-                if within(lines[u], lines[v], threshold):
+                if linked(u, v):
                     edges.append((u, v))
                     queue.append(v)
                 else:
@@ -203,7 +303,7 @@ def _signatures(docs: DataFrame, text: str, threshold: int, least: int) -> DataF
                 if not len(rows):
                     continue
                 seen = np.concatenate([seen if len(seen) < SEEN else seen[:0], lines.hash[rows]])
-                key, value = keys(lines, rows, threshold, least)
+                key, value = all_keys(lines, rows, threshold, least)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(value.view(np.int64))], names=["k", "v"])
 
     return docs.select(text).mapInArrow(run, "k long, v long")
@@ -215,6 +315,8 @@ def _shared(signatures: DataFrame) -> DataFrame:
     Rows come sorted by key and line, and pass batch by batch.  The last key of
     a batch may go on in the next: its rows are held until a second line and an
     index row have shown that it is shared, and from then on pass at once.
+    Keys that end inside a batch are renamed by the lines they hold, so that many
+    keys shared by the same lines become one.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_k, held_v = np.zeros(0, np.int64), np.zeros(0, np.uint64)
@@ -235,7 +337,11 @@ def _shared(signatures: DataFrame) -> DataFrame:
             shared[0] |= going_on
             fresh = np.append(not going_on or line[0] != last_line, (k[1:] != k[:-1]) | (line[1:] != line[:-1]))
             keep = np.repeat(shared, size) & fresh
-            yield pa.RecordBatch.from_arrays([pa.array(k[keep]), pa.array(line[keep].astype(np.int64))], names=["k", "line"])
+            whole = np.append(np.ones(len(begin) - 1, bool), False)
+            whole[0] &= not going_on
+            held = np.add.reduceat(np.where(keep, mix(line), np.uint64(0)), begin)
+            name = np.repeat(np.where(whole, mix(held).view(np.int64), k[begin]), size)
+            yield pa.RecordBatch.from_arrays([pa.array(name[keep]), pa.array(line[keep].astype(np.int64))], names=["k", "line"])
             if shared[-1]:
                 shared_key, last_line, held_k, held_v = k[-1], line[-1], k[:0], v[:0]
             else:
@@ -298,7 +404,7 @@ def _texts(docs: DataFrame, text: str, lines: DataFrame, least: int) -> DataFram
 def line_classes(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD, least: int = LEAST) -> DataFrame:
     """``(node, component)``: hashes of lines that link to others unlike them, and their class."""
     least = max(least, EDITED)
-    shared = stored(_shared(_signatures(docs, text, threshold, least)), "shared-keys")
+    shared = stored(_shared(_signatures(docs, text, threshold, least)).distinct(), "shared-keys")
     found = stored(_texts(docs, text, shared.select("line").distinct(), least), "line-texts")
     members = shared.join(found, "line")
 

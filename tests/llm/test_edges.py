@@ -138,3 +138,14 @@ def test_short_lines_that_repeat_go_and_blank_ones_stay(spark):
     assert got[1].text == rows[0][1] and got[1].n_removed == 0
     assert got[2].text == "\nno, nod.\n  " and [x.line_no for x in got[2].removed] == [0, 4]
     assert got[3].text == "" and [(x.line_no, x.first_doc_id, x.first_line_no) for x in got[3].removed] == [(0, 1, 2), (1, 1, 0), (2, 1, 0)]
+
+
+def test_long_lines_with_a_changed_word_go(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "BLOCK", 4)
+    line = [f"word{i * 7 % 101}" for i in range(100)]
+    other = [f"other{i}" for i in range(60)]
+    near = [" ".join(line[:i * 4] + ["changed"] + line[i * 4 + 1:]) for i in range(20)]
+    rows = [(0, " ".join(line))] + [(i + 1, x) for i, x in enumerate(near)]
+    rows += [(50, " ".join(other + line[:30])), (51, " ".join(line[:30] + other)), (52, " ".join(line[:60]))]
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: int(0 < i < 50) for i, _ in rows}

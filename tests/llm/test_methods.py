@@ -222,3 +222,30 @@ def test_toxicity_learns_a_word_wherever_it_stands():
     model = toxicity.Model(ids[:500], np.array(toxic[:500]), ["en"] * 500, np.arange(500) % 5 == 0)
     score = model.score(*toxicity.word_ids(*arrays(texts[500:])))
     assert ((score >= toxicity.DECISION) == np.array(toxic[500:])).mean() > 0.95
+
+
+def test_long_lines_within_their_threshold_share_a_key_and_link():
+    rng = random.Random(8)
+    words = [f"w{i}" for i in range(60)] + ["中", "语"]
+    for _ in range(600):
+        a = rng.choices(words, k=rng.choice([19, 20, 38, 39, 40, 41, 44, 55, 56, 59, 60, 110, 200]))
+        b = list(a)
+        for _ in range(rng.randint(1, max(1, len(a) // line_dedup.WORDS))):
+            at = rng.randrange(len(b))
+            b[at:at + rng.randint(0, 1)] = ["another"] * rng.randint(0, 1)
+        allowed = min(len(a), len(b)) // line_dedup.WORDS
+        linked = edit_distance(a, b) <= allowed
+        a, b = " ".join(a), " ".join(b)
+        if rng.random() < 0.3:                     # also code point edits that split, join and touch wide ones
+            b = list(a)
+            for _ in range(2):
+                at = rng.randrange(len(b))
+                b[at:at + 1] = rng.choice([[], [" "], ["x"], [b[at], "中"]])
+            b, linked = "".join(b), True
+        if a == b:
+            continue
+        assert not linked or len(line_dedup.forest([a, b], line_dedup.THRESHOLD)) == 1
+        lines = line_dedup.Lines([a, "", b])
+        key, value = line_dedup.all_keys(lines, np.array([0, 2]), line_dedup.THRESHOLD, line_dedup.EDITED)
+        one, two = (set(key[(value >> np.uint64(1)) == h].tolist()) for h in lines.hash[[0, 2]])
+        assert not linked or one & two & set(key[value & np.uint64(1) == 0].tolist())
