@@ -39,14 +39,14 @@ def fold(doc_id: Column | str, mod: int) -> Column:
     return F.crc32(c.cast("string").cast("binary")) % F.lit(mod)
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.
 
     This cuts the lineage: later jobs, and retries after a lost executor, read
     the files instead of computing the step again.
     """
     path = scratch_path(df.sparkSession, name) + "/data"
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from . import decontaminate, fingerprint, langid, line_dedup, lm, mixing, quality, simhash_dedup, token_counts, toxicity
+from . import (alignment, conversations, decontaminate, fingerprint, langid, line_dedup, lm, mixing, quality, simhash_dedup,
+               token_counts, toxicity, warc)
 from .common import fold, table
 
 
@@ -62,6 +63,25 @@ def op10_source_mix(spark, sf_dir):
     return mixing.mix_sources(table(spark, sf_dir, "documents"), keep=["doc_id"])
 
 
+def op11_token_alignment(spark, sf_dir):
+    """Operator 11: groups and links of two tokenizers' tokens in every document."""
+    found = alignment.align_corpus(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum",
+                        F.coalesce("groups", F.lit("")).alias("groups_sha256"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    """Operator 12: faults planted in every conversation, and the cheapest repair."""
+    damaged = conversations.damage(table(spark, sf_dir, "conversations"))
+    return conversations.report(conversations.repair(damaged, present=F.col("kept")))
+
+
+def op13_warc(spark, sf_dir):
+    """Operator 13: every page through WARC archives and their merged index; captured a second apart by page id."""
+    at = F.lit(1704067200) + F.pmod(F.coalesce("page_id", F.lit(0)), F.lit(10 ** 9))
+    return warc.archive_pages(table(spark, sf_dir, "pages"), at=at)
+
+
 QUERIES = {
     "op1_quality": op1_quality,
     "op2_token_counts": op2_token_counts,
@@ -73,6 +93,9 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_lm_score": op9_lm_score,
     "op10_source_mix": op10_source_mix,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_warc": op13_warc,
 }
 
 _FOLD_CASE = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
