@@ -19,11 +19,11 @@ from .operators.ledger import (advance_state, count_events, ingest_progress,  #
 from .operators.paging import (decode_cursor, encode_cursor, keyset_chunks, keyset_page,  # noqa: F401
                                page_table, paginate, row_index, serve_page)
 from .operators.profile import field_profile, page_shape  # noqa: F401
-from .plans.ingest import decode_pages, event_rows, ingest_batch, page_events  # noqa: F401
+from .plans.ingest import chain_breaks, decode_pages, event_rows, ingest_batch, page_events, split_pages  # noqa: F401
 from .session import checkpoint_root, ensure_semantics, local_session  # noqa: F401
 from .sources.generate import generate_events, mock_pages  # noqa: F401
 from .sources.pages import land_pages, land_pages_in_order, scan_pages  # noqa: F401
 from .sources.sinks import (batch_key, compact_partitions, export_keys,  # noqa: F401
                            read_committed, write_event_partition)
 from .streaming import (IngestHooks, ProgressCollector, ingest_into_table,  # noqa: F401
-                        run_ingest_stream, start_ingest_stream, stream_progress)
+                        read_left_out, run_ingest_stream, start_ingest_stream, stream_flushes, stream_progress)

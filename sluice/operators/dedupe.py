@@ -5,6 +5,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.metrics import observed
+from .chain import ASKED, OWN
+from .envelope import ERR_STUCK, place
+
+
 def first_by_key(df: DataFrame, key: str = "event_id",
                  order=("run_id", "page_no", "pos")) -> DataFrame:
     """The first occurrence of every key in arrival order.
@@ -20,6 +25,30 @@ def first_by_key(df: DataFrame, key: str = "event_id",
     return agg.select(key, "_first.*")
 
 
+def first_by_key_checked(df: DataFrame, key: str = "event_id", order=("run_id", "page_no", "pos")) -> DataFrame:
+    """O21 and O14 in one exchange: the first occurrence of every key; a broken page chain fails the job.
+
+    ``df`` holds events and, at positions below 0, chain records
+    (:func:`.envelope.explode_with_chain`).  Where both records of one key meet
+    the page is stuck.  That an event id may spell a record's key changes neither.
+    The check and the choice of events are one predicate over the aggregate's
+    results, and metrics fence it, so no later filter can drop records before it.
+    """
+    others = [c for c in df.columns if c != key]
+    event = F.col("pos") >= 0
+    grouped = df.groupBy(key).agg(
+        F.min_by(F.struct(*others), F.when(event, F.struct(*order))).alias("_first"),
+        F.bit_or(F.when(event, 0).otherwise(-F.col("pos"))).alias("_sides"))
+    k = F.col(key)
+    after_page = F.substring(k, F.instr(k, ":") + 1, F.length(k))
+    size = F.substring_index(after_page, ":", 1)
+    run = F.substring(after_page, F.length(size) + 2, size.try_cast("int"))
+    told = F.concat(F.lit(ERR_STUCK), place(("run", run), ("page", F.substring_index(k, ":", 1))))
+    keep = (F.when(F.col("_sides") == (OWN | ASKED), F.raise_error(told).cast("boolean"))
+            .otherwise(F.col("_first").isNotNull()))
+    return observed(grouped.where(keep).select(key, "_first.*"), "firsts", F.count(F.lit(1)).alias("firsts"))
+
+
 def insert_if_absent(batch: DataFrame, target: DataFrame | None, key: str = "event_id",
                      strategy: str = "auto", key_range: tuple | None = None,
                      batch_key: str | None = None) -> DataFrame:

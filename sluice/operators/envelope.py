@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..functions.metrics import observed
+from . import chain
 from ..session import ensure_semantics
 
 # Error texts of the source system.
@@ -23,6 +24,7 @@ ERR_NO_CURSOR = "Invalid pagination state: hasMore=true but nextCursor is null"
 ERR_STUCK = "Invalid pagination state: cursor did not advance"
 # Reports of this engine: landed files can repeat or lack a page, a live reply cannot.
 ERR_TOO_LARGE = "Invalid events response: body is larger than a VARIANT"
+ERR_UNREADABLE = "Landed pages: unreadable line"
 ERR_RELANDED = "Landed pages: page landed more than once"
 ERR_GAP = "Landed pages: previous page missing"
 # Parsed bodies are limited by the VARIANT type (bytes, also of a text value in it).
@@ -37,7 +39,8 @@ def _items(v: Column) -> Column:
 def parse_envelope(pages: DataFrame, body: str = "body") -> DataFrame:
     """O2: decode each landed body into ``items``, ``has_more``, ``next_cursor``.
 
-    Adds ``page_error`` (NULL for good pages).  ``items`` is NULL on error.
+    Adds ``page_error`` (NULL for good pages).  ``items`` is NULL on error.  A
+    landed line that could not be read (``corrupt_line``, from the scan) is one.
     Sets ``spark.sql.variant.allowDuplicateKeys`` on the session (last key
     wins, as in ``JSON.parse``) before the parse expression is built.
     """
@@ -51,7 +54,9 @@ def parse_envelope(pages: DataFrame, body: str = "body") -> DataFrame:
     df = df.withColumn("_cur", S.as_string(F.col("_nc")))
     cursor = F.col("_cur")
     has_more = F.coalesce(S.coerce_bool(F.col("_hm")), cursor.isNotNull() & (F.length(cursor) > 0))
-    error = (F.when(v.isNull() & (F.octet_length(F.col(body)) > VARIANT_BYTES), F.lit(ERR_TOO_LARGE))
+    unreadable = F.col("corrupt_line").isNotNull() if "corrupt_line" in pages.columns else F.lit(False)
+    error = (F.when(unreadable, F.lit(ERR_UNREADABLE))
+             .when(v.isNull() & (F.octet_length(F.col(body)) > VARIANT_BYTES), F.lit(ERR_TOO_LARGE))
              .when(v.isNull(), F.lit(ERR_NOT_JSON))
              .when(~F.col("_first").isin("{", "["), F.lit(ERR_NOT_OBJECT))
              .when(F.col("_items").isNull(), F.lit(ERR_NOT_ARRAY)))
@@ -73,14 +78,15 @@ def chain_violation(has_more: Column, next_cursor: Column, request_cursor: Colum
 
 def page_metadata(parsed: DataFrame) -> DataFrame:
     """One small row per landed page: what chain checks, flushes and counters need of it."""
-    wanted = ["run_id", "page_no", "request_cursor", "fetched_at", "has_more", "next_cursor", "page_error"]
+    wanted = ["run_id", "page_no", "request_cursor", "fetched_at", "has_more", "next_cursor", "page_error", "file"]
     return parsed.select(*[c for c in wanted if c in parsed.columns],
                          F.size("items").cast("long").alias("n_events"))
 
 
 def _with_previous(parsed: DataFrame) -> DataFrame:
-    """Every landed page with ``_prev`` (the previous page's next cursor), whether a
-    previous page was landed at all, and how often the page itself was.
+    """Every landed page with ``_prev`` (the previous page's next cursor; the greatest of
+    its copies) and ``_prevs`` (those of all copies), whether a previous page was
+    landed at all, and how often the page itself was.
 
     Not ``lag`` over a window partitioned by run (one task per run), and not a
     self-join (which would decode every page twice): each page emits itself
@@ -97,10 +103,10 @@ def _with_previous(parsed: DataFrame) -> DataFrame:
     rec = parsed.select("run_id", F.explode(F.array(me, nxt)).alias("r"))
     grouped = rec.groupBy("run_id", F.col("r.k").alias("_k")).agg(
         F.collect_list("r.page").alias("_pages"),          # the copies of one page
-        F.max("r.prev").alias("_prev"),
+        F.max("r.prev").alias("_prev"), F.collect_set("r.prev").alias("_prevs"),
         F.count(F.when(F.col("r.page").isNull(), 1)).alias("_before"))
-    return grouped.select(F.explode("_pages").alias("_page"), "_prev", "_before",
-                          F.size("_pages").alias("_copies")).select("_page.*", "_prev", "_before", "_copies")
+    return grouped.select(F.explode("_pages").alias("_page"), "_prev", "_prevs", "_before", F.size("_pages").alias("_copies")) \
+        .select("_page.*", "_prev", "_prevs", "_before", "_copies")
 
 
 def with_request_cursor(parsed: DataFrame) -> DataFrame:
@@ -123,7 +129,8 @@ def check_page_chain(parsed: DataFrame, fill_missing_cursor: bool = False) -> Da
     if not fill_missing_cursor:
         kinds = F.array(chain_violation(F.col("has_more"), F.col("next_cursor"), F.col("request_cursor")))
     else:
-        known = F.coalesce("request_cursor", "_prev")
+        # Any copy of the previous page may have given the cursor that was not landed.
+        known = F.coalesce("request_cursor", F.when(F.array_contains("_prevs", F.col("next_cursor")), F.col("next_cursor")))
         kinds = F.array(
             chain_violation(F.col("has_more"), F.col("next_cursor"), known),
             F.when(F.col("_copies") > 1, F.lit(ERR_RELANDED)),
@@ -140,10 +147,21 @@ def _fail_unless(ok: Column, message: Column) -> Column:
     return F.when(ok, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
 
 
+def place(*named: tuple[str, Column]) -> Column:
+    """`` (run r, page 7)``: where something was found; what is NULL is left out of the text."""
+    parts = [F.concat(F.lit(f"{name} "), c.cast("string")) for name, c in named]
+    return F.concat(F.lit(" ("), F.concat_ws(", ", *parts), F.lit(")"))
+
+
+def page_place(df: DataFrame, *more: tuple[str, Column]) -> Column:
+    """:func:`place` of a page row, with its landed file where the scan tells it."""
+    file = [("file", F.col("file"))] if "file" in df.columns else []
+    return place(("run", F.col("run_id")), ("page", F.col("page_no")), *more, *file)
+
+
 def strict_items(parsed: DataFrame) -> DataFrame:
     """Fail the job on a bad or chain-breaking page, in the pass that reads it."""
-    where = F.concat(F.lit(" (run "), F.col("run_id"), F.lit(", page "),
-                     F.col("page_no").cast("string"), F.lit(")"))
+    where = page_place(parsed)
     bad = F.coalesce(F.col("page_error"),
                      chain_violation(F.col("has_more"), F.col("next_cursor"),
                                      F.col("request_cursor")))
@@ -155,6 +173,26 @@ def explode_events(parsed: DataFrame, keep=("run_id", "page_no")) -> DataFrame:
     return parsed.select(*keep, F.posexplode("items").alias("pos", "event"))
 
 
+def explode_with_chain(parsed: DataFrame) -> DataFrame:
+    """O3 with the page's chain records among its events: positions ``-OWN`` and ``-ASKED``.
+
+    A record is a row whose event is an object with the record's key as its id, so
+    that it takes the same way as the events and meets its counterpart in the
+    exchange that brings equal ids together (see :func:`..dedupe.first_by_key_checked`).
+    """
+    run, page, cursor = F.col("run_id"), F.col("page_no"), F.col("next_cursor")
+
+    def record(at: Column, named: Column) -> Column:
+        key = chain.record_key(run, at, named)
+        return F.when(key.isNotNull(), F.to_variant_object(F.struct(key.alias(S.EVENT_ID_KEYS[0]))))
+
+    two = F.array(record(page + 1, chain.asked_cursor(cursor)),
+                  record(page, chain.own_cursor(F.col("has_more"), cursor, F.col("request_cursor"))))
+    rows = parsed.select("run_id", "page_no", F.posexplode(F.concat(two, "items")).alias("pos", "event"))
+    return (rows.withColumn("pos", F.col("pos") - chain.ASKED)
+            .where((F.col("pos") >= 0) | F.col("event").isNotNull()))
+
+
 def with_event_ids(events: DataFrame, strict: bool = False) -> DataFrame:
     """O8 on every event, with ``reason`` for events that would fail the page."""
     ev = F.col("event")
@@ -163,12 +201,10 @@ def with_event_ids(events: DataFrame, strict: bool = False) -> DataFrame:
            .withColumn("event_id", F.when(F.length("event_id") > 0, F.col("event_id")))
            .withColumn("reason", S.invalid_reason(ev, F.col("event_id")))
            .drop("_id_raw"))
-    out = observed(out, "events", F.count(F.lit(1)).alias("events"),
+    out = observed(out, "events", F.count(F.when(F.col("pos") >= 0, 1)).alias("events"),
                    F.count(F.col("reason")).alias("invalid"))
     if strict:
-        msg = F.concat(F.lit("Invalid event payload: "), F.col("reason"), F.lit(" (run "),
-                       F.col("run_id"), F.lit(", page "), F.col("page_no").cast("string"),
-                       F.lit(", item "), F.col("pos").cast("string"), F.lit(")"))
+        msg = F.concat(F.lit("Invalid event payload: "), F.col("reason"), page_place(out, ("item", F.col("pos"))))
         out = out.where(_fail_unless(F.col("reason").isNull(), msg))
     return out
 

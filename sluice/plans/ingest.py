@@ -2,9 +2,10 @@
 
 Plan shape (one job):
 
-    scan landed pages -> decode envelope (projection) -> explode items
+    scan landed pages -> decode envelope (projection) -> explode items and chain records
     -> resolve ids (strict: raise_error on bad rows, same pass)
-    -> first occurrence per id  [partial min_by, shuffle on event_id, final min_by]
+    -> first occurrence per id  [partial min_by, shuffle on event_id, final min_by;
+       strict: raise_error where two chain records meet]
     -> time + payload on survivors only
     -> anti-join against the stored table  [shuffled, or broadcast keys when small]
 
@@ -18,8 +19,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..operators import chain
 from ..operators import envelope as E
-from ..operators.dedupe import first_by_key, insert_if_absent
+from ..operators.dedupe import first_by_key, first_by_key_checked, insert_if_absent
+from ..session import checkpoint_root
 
 ARRIVAL = ("run_id", "page_no", "pos")
 
@@ -37,31 +40,62 @@ def decode_pages(pages: DataFrame, strict: bool = True) -> DataFrame:
     return parsed.where(F.col("page_error").isNull() & broken.isNull())
 
 
-def chain_breaks(pages: DataFrame, meta: DataFrame | None = None) -> DataFrame:
-    """``(run_id, page_no, kind)`` of pages that break the chain only by a cursor that was not landed.
+def chain_breaks(meta: DataFrame, earlier: DataFrame | None = None) -> DataFrame:
+    """``(run_id, page_no, kind)`` of pages that break the cursor chain, from page metadata.
 
-    Cursors landed with a page are checked in the pass that reads it; this adds
-    the pages whose request cursor comes from the page before them.  It works on
-    page metadata, the one decode beside the ingest's own; stored metadata
-    (:func:`..operators.envelope.page_metadata`) saves that one too.
+    Pages in error have no part in it.  ``earlier``: chain records that earlier
+    loads left open (:func:`..operators.chain.open_records`).
+    """
+    good = meta.where(F.col("page_error").isNull())
+    local = E.check_page_chain(good)
+    found = chain.records(good)
+    if earlier is not None:
+        found = found.unionByName(earlier.select(*found.columns))
+    return local.unionByName(chain.stuck_pages(found).select("run_id", "page_no", F.lit(E.ERR_STUCK).alias("kind"))).distinct()
+
+
+class Split:
+    """Quarantine mode: decoded pages in two parts, good and left out, of one decode.
+
+    ``parsed`` (O2, not strict) should be cheap to read more than once.  ``pages``
+    are the good pages with their items, bad events still among them; ``events``
+    are the good events; ``left_out`` has a row for everything else, with what was
+    landed: a bad or chain-breaking page as ``body`` (or an unreadable line), a bad
+    event of a good page as ``event`` at its position.
     """
-    meta = E.page_metadata(E.parse_envelope(pages)) if meta is None else meta
-    return (E.check_page_chain(meta.where(F.col("page_error").isNull()), fill_missing_cursor=True)
-            .where(F.col("kind").isin(E.ERR_NO_CURSOR, E.ERR_STUCK)))
-
 
-def checked_pages(pages: DataFrame, strict: bool = True, meta: DataFrame | None = None) -> DataFrame:
-    """Pages to ingest: chain-breaking ones fail the job (strict) or are left out."""
-    breaks = chain_breaks(pages, meta)
-    if not strict:
-        return pages.join(breaks.select("run_id", "page_no").distinct(), ["run_id", "page_no"], "left_anti") \
-            .select(*pages.columns)
-    # The check is a branch of the same job: it has no rows, or it raises.
-    failing = breaks.where(E._fail_unless(F.lit(False) & F.col("kind").isNotNull(), F.concat(
-        F.col("kind"), F.lit(" (run "), F.col("run_id"), F.lit(", page "), F.col("page_no").cast("string"), F.lit(")"))))
-    nothing = failing.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name not in ("run_id", "page_no")
-                               else F.col(f.name) for f in pages.schema.fields]).where(F.col("run_id").isNull())
-    return pages.unionByName(nothing)
+    def __init__(self, parsed: DataFrame, earlier: DataFrame | None = None):
+        self.parsed = parsed
+        self.breaks = chain_breaks(E.page_metadata(parsed), earlier)
+        # One row for a page; its first reason in text order, as one is told for each page.
+        self.broken = self.breaks.groupBy("run_id", "page_no").agg(F.min("kind").alias("kind"))
+        self.pages = (parsed.where(F.col("page_error").isNull())
+                      .join(self.broken.select("run_id", "page_no"), ["run_id", "page_no"], "left_anti"))
+
+    @property
+    def events(self) -> DataFrame:
+        return page_events(self.pages, strict=False)
+
+    @property
+    def left_out(self) -> DataFrame:
+        body = F.coalesce("corrupt_line", "body") if "corrupt_line" in self.parsed.columns else F.col("body")
+        file = F.col("file") if "file" in self.parsed.columns else F.lit(None).cast("string")
+        nothing = F.lit(None)
+        whole = [nothing.cast("int").alias("pos"), F.col("kind").alias("reason"), nothing.cast("variant").alias("event"),
+                 body.alias("body"), file.alias("file")]
+        errors = self.parsed.where(F.col("page_error").isNotNull()).withColumn("kind", F.col("page_error"))
+        chained = self.parsed.where(F.col("page_error").isNull()).join(self.broken, ["run_id", "page_no"])
+        keep = ["run_id", "page_no"] + (["file"] if "file" in self.parsed.columns else [])
+        bad = (E.with_event_ids(E.explode_events(self.pages, keep)).where(F.col("reason").isNotNull())
+               .select("run_id", "page_no", "pos", "reason", "event", nothing.cast("string").alias("body"), file.alias("file")))
+        return (errors.select("run_id", "page_no", *whole).unionByName(chained.select("run_id", "page_no", *whole))
+                .unionByName(bad))
+
+
+def split_pages(pages: DataFrame, earlier: DataFrame | None = None) -> Split:
+    """Decode pages once (into the checkpoint folder) and split them for quarantine mode."""
+    checkpoint_root(pages.sparkSession)
+    return Split(E.parse_envelope(pages).checkpoint(eager=True), earlier)
 
 
 def page_events(parsed: DataFrame, strict: bool = True) -> DataFrame:
@@ -76,16 +110,24 @@ def page_events(parsed: DataFrame, strict: bool = True) -> DataFrame:
     return ev.drop("reason")
 
 
+def checked_events(parsed: DataFrame) -> DataFrame:
+    """Strict :func:`page_events` with the pages' chain records, for :func:`..operators.dedupe.first_by_key_checked`."""
+    return E.with_event_ids(E.explode_with_chain(parsed), strict=True).drop("reason")
+
+
 def event_rows(pages: DataFrame, strict: bool = True) -> DataFrame:
     """Every decoded event with its stored columns, duplicates included."""
     return E.finish_events(page_events(decode_pages(pages, strict), strict))
 
 
 def ingest_batch(pages: DataFrame, target: DataFrame | None = None, strict: bool = True,
-                 key_strategy: str = "shuffle", keep_arrival: bool = True,
-                 meta: DataFrame | None = None) -> DataFrame:
+                 key_strategy: str = "shuffle", keep_arrival: bool = True) -> DataFrame:
     """The rows a load of ``pages`` adds to ``target`` (the stored event table).
 
+    Pages are decoded once.  In strict mode a bad page or event fails the job in
+    the pass that reads it, and a broken cursor chain in the exchange that dedupes;
+    in quarantine mode they are left out (:func:`split_pages` tells what was).
+
     Output: ``event_id, occurred_at, payload, ingested_at`` plus, with
     ``keep_arrival``, where the stored copy arrived (``run_id, page_no, pos``).
 
@@ -93,11 +135,11 @@ def ingest_batch(pages: DataFrame, target: DataFrame | None = None, strict: bool
     the distinct stored keys; ``"broadcast"``/``"auto"`` suit small loads into a
     large table and materialise the deduplicated load once (reliable
     checkpoint) because its keys are read three times.
-
-    ``meta``: the pages' stored metadata, if there is one, for the chain check.
     """
-    events = page_events(decode_pages(checked_pages(pages, strict, meta), strict), strict)
-    firsts = first_by_key(events, "event_id", ARRIVAL)
+    if strict:
+        firsts = first_by_key_checked(checked_events(decode_pages(pages)), "event_id", ARRIVAL)
+    else:
+        firsts = first_by_key(split_pages(pages).events, "event_id", ARRIVAL)
     if target is not None and key_strategy != "shuffle":
         # The size check, the key range and the broadcast keys all read the
         # deduped batch: materialise it once (reliable checkpoint) instead of

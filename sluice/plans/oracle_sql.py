@@ -7,10 +7,10 @@ Spark decoder, so a match checks decoding, dedupe and paging end to end.
 
 from __future__ import annotations
 
-from .queries import (CHUNK_SIZE, FLUSH_BATCH, KEYSET_AFTER, KEYSET_LIMIT,
+from .queries import (CHUNK_SIZE, DAMAGED_AT, DAMAGED_EVERY, FLUSH_BATCH, KEYSET_AFTER, KEYSET_LIMIT,
                       ORDERS_PAGE, PAGE_SIZE, RUNS_MULTI)
 from ..operators.envelope import (ERR_GAP, ERR_NO_CURSOR, ERR_RELANDED, ERR_NOT_ARRAY, ERR_NOT_JSON, ERR_NOT_OBJECT,
-                                   ERR_STUCK)
+                                   ERR_STUCK, ERR_UNREADABLE)
 
 PS = PAGE_SIZE
 SERVE_START = 5000          # what SERVE_CURSOR spells in base64
@@ -198,6 +198,8 @@ SELECT {_ID} AS event_id, {_EMS} AS occurred_at_ms, event_type, {_COPY} AS copy_
        rn % 37 <> 36 AS has_time_key, opage AS page_no, opos AS pos
 FROM win"""
 
+    q["stream_chain"] = q["ingest_quarantine_chain"]
+
     q["unnest_columns"] = f"""WITH {one}
 SELECT {_RUN} AS run_id, opage AS page_no, {_ID} AS event_id, {_EMS} AS occurred_at_ms, event_type
 FROM occ"""
@@ -232,6 +234,14 @@ SELECT printf('run-%03d', occ.run) AS run_id, opage AS page_no, opos AS pos,
 FROM occ JOIN perr ON perr.run = occ.run AND perr.page_no = occ.opage
 WHERE perr.reason IS NULL AND (rn % 97 = 13 OR rn % 89 = 7 OR rn % 83 = 5 OR rn % 79 = 3)"""
 
+    q["left_out"] = q["invalid_events"].replace("reason FROM perr", "reason, TRUE AS kept FROM perr") \
+        .replace("END AS reason\nFROM occ JOIN", "END AS reason, TRUE AS kept\nFROM occ JOIN")
+    cut = f"page_no % {DAMAGED_EVERY} = {DAMAGED_AT}"
+    q["damaged_lines"] = f"""WITH {one}
+SELECT CASE WHEN NOT {cut} THEN {_RUN} END AS run_id, CASE WHEN NOT {cut} THEN page_no END AS page_no,
+       CASE WHEN NOT {cut} THEN n END AS n_events, CASE WHEN {cut} THEN '{ERR_UNREADABLE}' END AS reason, TRUE AS traced
+FROM pg"""
+
     multi = _flush_ctes(RUNS_MULTI)
     q["flush_batches"] = f"""WITH RECURSIVE {multi}
 SELECT {_RUN} AS run_id, page_no, n AS n_events, flush_no, closes AS closes_flush FROM fl"""
@@ -241,6 +251,12 @@ SELECT printf('run-%03d', f.run) AS run_id, f.flush_no, count(*) AS pages,
        CAST(sum(p.n) AS BIGINT) AS events,
        max(CASE WHEN p.page_no = f.last_page_no THEN p.next_cursor END) AS cursor
 FROM fsum f JOIN fpage p ON p.run = f.run AND p.flush_no = f.flush_no
+GROUP BY f.run, f.flush_no"""
+
+    q["stream_flushes"] = f"""WITH RECURSIVE {multi}
+SELECT printf('run-%03d', f.run) AS run_id, f.flush_no, count(*) AS pages, CAST(sum(p.n) AS BIGINT) AS events,
+       max(f.inserted) AS inserted, max(CASE WHEN p.page_no = f.last_page_no THEN p.next_cursor END) AS cursor
+FROM fsum f JOIN fpage p ON p.run = f.run AND p.flush_no = f.flush_no
 GROUP BY f.run, f.flush_no"""
 
     q["run_summary"] = f"""WITH RECURSIVE {multi}

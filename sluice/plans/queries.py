@@ -253,22 +253,22 @@ def q_ingest_replay(spark, sf_dir):
 BATCHES = 4                       # loads of the committed-batches fixture
 
 
-def _committed_loads(spark, sf_dir, hooks=None):
-    """The pages committed as ``BATCHES`` consecutive loads; paths of page log and ledger."""
+def _committed_loads(spark, sf_dir, hooks=None, pages=None, strict=True):
+    """The pages committed as ``BATCHES`` consecutive loads; paths of table, page log and ledger."""
     from ..streaming.ingest_stream import make_batch_sink
-    pages = fixture_pages(spark, sf_dir)
-    count = pages.count()
+    count = fixture_pages(spark, sf_dir).count()
+    pages = fixture_pages(spark, sf_dir) if pages is None else pages
     table, ledger, log = (scratch_path(spark, f"loads-{n}") for n in ("table", "ledger", "log"))
-    sink = make_batch_sink(table, ledger, "fixture", hooks=hooks, page_log_path=log)
+    sink = make_batch_sink(table, ledger, "fixture", strict, hooks, log)
     for b in range(BATCHES):
         sink(pages.where(F.floor(F.col("page_no") * BATCHES / F.lit(count)) == b), b)
-    return log, ledger
+    return table, log, ledger
 
 
 def q_stream_progress(spark, sf_dir):
     """O19 from page log and ledger: counters after every page and every committed batch."""
     from ..streaming.ingest_stream import stream_progress
-    log, ledger = _committed_loads(spark, sf_dir)
+    _, log, ledger = _committed_loads(spark, sf_dir)
     return stream_progress(spark, log, ledger, start_total=100).select(
         "seq", "pages", "events", "inserted", "flushes", "total_ingested", "cursor")
 
@@ -281,6 +281,49 @@ def q_hook_flushes(spark, sf_dir):
     return spark.createDataFrame(told, "batch_size long, pages long, inserted long, cursor string, flush_number long")
 
 
+def q_stream_chain(spark, sf_dir):
+    """O14 + O27: the pages of ``ingest_quarantine_chain`` in four loads; breaks across loads are left out as in one."""
+    table, _, ledger = _committed_loads(spark, sf_dir, pages=_faulty_pages(spark, sf_dir), strict=False)
+    out = read_committed(spark, table, ledger)
+    return out.select(*_row_cols(), "page_no", F.col("pos").cast("long").alias("pos"))
+
+
+def q_left_out(spark, sf_dir):
+    """O15 + O27: what four quarantine loads of the invalid fixture left out, as stored with them."""
+    from ..streaming.run_state import read_left_out
+    _, _, ledger = _committed_loads(spark, sf_dir, pages=fixture_pages(spark, sf_dir, invalid=True), strict=False)
+    rows = read_left_out(spark, ledger)
+    kept = F.when(F.col("pos").isNull(), F.col("body").isNotNull()).otherwise(F.col("event").isNotNull())
+    return rows.select("run_id", "page_no", F.col("pos").cast("long").alias("pos"), "reason", kept.alias("kept"))
+
+
+def q_stream_flushes(spark, sf_dir):
+    """O22 + O27: flushes of a stream whose micro-batches are cut elsewhere (two files each, three runs)."""
+    from ..streaming.ingest_stream import run_ingest_stream
+    from ..streaming.run_state import stream_flushes
+    paths = {n: scratch_path(spark, f"flushes-{n}") for n in ("landed", "table", "ledger", "ckpt")}
+    land_pages_in_order(fixture_pages(spark, sf_dir, runs=RUNS_MULTI), paths["landed"], files=8)
+    run_ingest_stream(spark, paths["landed"], paths["table"], paths["ledger"], paths["ckpt"], run_tag="fixture",
+                      max_files_per_trigger=2, flush_size=FLUSH_BATCH)
+    return stream_flushes(spark, paths["ledger"])
+
+
+DAMAGED_EVERY, DAMAGED_AT = 11, 3      # landed lines cut in half
+
+
+def q_damaged_lines(spark, sf_dir):
+    """O1 + O15: landed lines of which some are cut in half; good pages with their events, and what is told of the others."""
+    path = scratch_path(spark, "damaged")
+    line = F.to_json(F.struct(*fixture_pages(spark, sf_dir).columns))
+    cut = F.col("page_no") % DAMAGED_EVERY == DAMAGED_AT
+    (fixture_pages(spark, sf_dir).select(F.when(cut, F.substring(line, F.lit(1), F.floor(F.length(line) / 2).cast("int")))
+                                         .otherwise(line).alias("value")).write.mode("overwrite").text(path))
+    parsed = E.parse_envelope(scan_pages(spark, path))
+    return parsed.select("run_id", "page_no", F.when(F.col("page_error").isNull(), F.size("items")).cast("long").alias("n_events"),
+                         F.col("page_error").alias("reason"), (F.col("file").contains("part-") & (
+                             F.col("page_error").isNull() | F.col("corrupt_line").startswith("{"))).alias("traced"))
+
+
 def q_unnest_columns(spark, sf_dir):
     """Each page's rows as three parallel arrays, turned back into rows."""
     rows = event_rows(fixture_pages(spark, sf_dir))
@@ -335,7 +378,7 @@ def q_flush_rollup(spark, sf_dir):
 
 def _inserted_per_flush(spark, sf_dir):
     parsed, pages = _flushes(spark, sf_dir)
-    ingested = ingest_batch(fixture_pages(spark, sf_dir, runs=RUNS_MULTI), meta=parsed)
+    ingested = ingest_batch(fixture_pages(spark, sf_dir, runs=RUNS_MULTI))
     per_page = ingested.groupBy("run_id", "page_no").agg(F.count(F.lit(1)).alias("ins"))
     with_ins = pages.join(per_page, ["run_id", "page_no"], "left").fillna(0, ["ins"])
     per_flush = with_ins.groupBy("run_id", "flush_no").agg(
@@ -467,6 +510,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "ingest_replay": q_ingest_replay,
     "stream_progress": q_stream_progress,
     "hook_flushes": q_hook_flushes,
+    "stream_chain": q_stream_chain,
+    "stream_flushes": q_stream_flushes,
+    "left_out": q_left_out,
+    "damaged_lines": q_damaged_lines,
     "unnest_columns": q_unnest_columns,
     "page_chain": q_page_chain,
     "page_chain_lag": q_page_chain_lag,
