@@ -49,7 +49,7 @@ from .common import importable, stored
 TOKENIZER_A = "/opt/tokenizers/byte_bpe_50k.json"
 TOKENIZER_B = "/opt/tokenizers/piece_bpe_32k.model"
 HEAVY = 1 << 20          # pairs sent to the tasks, at most
-PIECES = 1 << 18         # pieces that a worker keeps
+PIECES = 1 << 19         # pieces that a worker keeps
 PACKED = 4096            # characters encoded in one call
 SLICE_BYTES = 1 << 19    # text worked on at a time
 PARTIAL = 1 << 21        # summed pairs that a task holds
@@ -107,15 +107,15 @@ def tokenizer(path: str):
     return _LOADED[path]
 
 
-def common_slices(a_lengths: list[int], b_lengths: list[int]) -> list[tuple[int, int, int, int]]:
-    """Groups ``(a_start, a_stop, b_start, b_stop)`` of two token lists over the same bytes."""
+def common_slices(a_lengths: list[int], b_lengths: list[int]) -> list[tuple[int, int, int, int, int]]:
+    """Groups ``(end, a_start, a_stop, b_start, b_stop)`` of two token lists over the same bytes."""
     a_ends = dict(zip(accumulate(a_lengths), count(1)))
     b_ends = dict(zip(accumulate(b_lengths), count(1)))
     i = j = 0
     groups = []
     for end in sorted(a_ends.keys() & b_ends.keys()):
         to_i, to_j = a_ends[end], b_ends[end]
-        groups.append((i, to_i, j, to_j))
+        groups.append((end, i, to_i, j, to_j))
         i, j = to_i, to_j
     return groups
 
@@ -188,18 +188,23 @@ class Pieces:
         todo = iter(pack)
         piece = next(todo)
         # A piece ends where its bytes do; that is a common end.
-        at, stop, said, codes, first_a, first_b = 0, 1 + len(piece.encode()), [], [], 0, 0
-        for i, k, j, m in common_slices(a_lengths, b_lengths):
-            at += sum(a_lengths[i:k])
+        stop, said, codes, first_a, first_b = 1 + len(piece.encode()), [], [], 0, 0
+        for end, i, k, j, m in common_slices(a_lengths, b_lengths):
             if k - i == 1:
                 first = a[i] * size
-                codes += [first + y for y in b[j:m]]
-            elif m - j == 1:
-                codes += [x * size + b[j] for x in a[i:k]]
+                if m - j == 1:
+                    codes.append(first + b[j])
+                    said.append(f"{a_words[i]}|{b_words[j]}")
+                else:
+                    codes += [first + y for y in b[j:m]]
+                    said.append(f"{a_words[i]}|{','.join(b_words[j:m])}")
             else:
-                codes += [a[i + x] * size + b[j + y] for x, y in overlaps(a_lengths[i:k], b_lengths[j:m])]
-            said.append(f"{','.join(a_words[i:k])}|{','.join(b_words[j:m])}")
-            if at == stop:
+                if m - j == 1:
+                    codes += [x * size + b[j] for x in a[i:k]]
+                else:
+                    codes += [a[i + x] * size + b[j + y] for x, y in overlaps(a_lengths[i:k], b_lengths[j:m])]
+                said.append(f"{','.join(a_words[i:k])}|{','.join(b_words[j:m])}")
+            if end == stop:
                 self._keep(piece, said, k - first_a, m - first_b, codes)
                 said, codes, first_a, first_b = [], [], k, m
                 piece = next(todo, "")
@@ -213,8 +218,19 @@ class Pieces:
         self.groups.append(None if said is None else ";".join(said))
 
     def tables(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Sizes, links and their ends as arrays; copies, since the tables grow on."""
-        return np.array(self.sizes).reshape(-1, 3), np.array(self.links), np.array(self.ends)
+        """Sizes, links and their ends as views; let go of them before the tables grow on."""
+        return (np.frombuffer(self.sizes, np.int64).reshape(-1, 3), np.frombuffer(self.links, np.int64),
+                np.frombuffer(self.ends, np.int64))
+
+
+_PIECES: dict[tuple[str, str], Pieces] = {}
+
+
+def known_pieces(path_a: str, path_b: str) -> Pieces:
+    """The pieces that this worker has met with two tokenizers, in whatever task."""
+    if (path_a, path_b) not in _PIECES:
+        _PIECES[path_a, path_b] = Pieces(tokenizer(path_a), tokenizer(path_b))
+    return _PIECES[path_a, path_b]
 
 
 def summed(codes: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -254,7 +270,7 @@ def align_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", pat
                              T.StructField("times", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = Pieces(tokenizer(path_a), tokenizer(path_b))
+        pieces = known_pieces(path_a, path_b)
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             for part in _parts(batch, text, SLICE_BYTES):
@@ -280,6 +296,7 @@ def align_texts(docs: DataFrame, id_col: str = "doc_id", text: str = "text", pat
                     done.append((*n.tolist(), int(counts.sum()),
                                  hashlib.sha256(joined.encode()).hexdigest() if digest else joined,
                                  codes.astype("<i8").tobytes(), counts.astype("<u4").tobytes()))
+                del sizes, links, ends
                 n = len(rows)
                 columns = list(zip(*done))
                 yield pa.RecordBatch.from_arrays(

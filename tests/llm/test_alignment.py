@@ -99,7 +99,7 @@ def test_slices_and_overlaps():
         cuts = [sorted({n, *rng.sample(range(1, n + 1), rng.randint(1, n))}) for _ in range(2)]
         lengths = [[b - a for a, b in zip([0, *c], c)] for c in cuts]
         groups = A.common_slices(*lengths)
-        links = [(i + x, j + y) for i, k, j, m in groups for x, y in A.overlaps(lengths[0][i:k], lengths[1][j:m])]
+        links = [(i + x, j + y) for _, i, k, j, m in groups for x, y in A.overlaps(lengths[0][i:k], lengths[1][j:m])]
         spans = [list(zip([0, *c], c)) for c in cuts]
         assert links == [(x, y) for x, (s, e) in enumerate(spans[0]) for y, (t, f) in enumerate(spans[1]) if s < f and t < e]
 
