@@ -1,6 +1,6 @@
 """Operator 8: line dedup by a segment-partition edit join.
 
-Lines that are equal are links, and so are lines of ``EDITED`` code points or
+Lines that are equal (by 128 bits of SHA-256) are links, and so are lines of ``EDITED`` code points or
 more within ``THRESHOLD`` edits of each other, and lines within one changed, added
 or missing word for every ``WORDS`` words of the one with fewer; a class is what
 links reach.  The first line of a class, by (document id, line number), stays and
@@ -20,7 +20,8 @@ Keys are hashes: rows are two numbers, whatever the line's length, and
 a line that repeats inside a task is keyed once.  Sorted by key, the rows of
 keys that two lines or more share pass in one streaming scan.  Only those lines
 get their texts (found again through a Bloom filter of fixed size), meet in
-blocks of bounded size, and are verified by banded bit-parallel edit distance.
+blocks of bounded size, and are verified by banded bit-parallel edit distance,
+pairs whose counts of code points or words alone tell them apart left out.
 Blocks return a spanning forest of the verified links and not all pairs.
 
 Defined cases: lines are cut at ``\\n``; blank lines (empty, or white space only)
@@ -35,6 +36,7 @@ inner name (``_INNER``) are left out.
 
 from __future__ import annotations
 
+import hashlib
 import re
 from collections.abc import Iterator, Sequence
 
@@ -56,6 +58,8 @@ LONG = 40                   # lines of so many words are keyed by winnowed grams
 GRAM, WINDOW = 5, 8
 BLOCK = 256                 # lines of one key compared in one row
 SEEN = 1 << 21              # line hashes a task remembers as already keyed
+BINS = 64                   # of a line's counts of code points and words
+FEW = 6                     # so few lines are compared without counting
 BLOOM_BITS = 1 << 24
 _SLICE = 1 << 20
 _BLANK = np.array([chr(i).isspace() for i in range(0x3002)])
@@ -266,27 +270,60 @@ def within(a: Sequence, b: Sequence, threshold: int) -> bool:
     return distance <= k
 
 
+def _profile(items: list[Sequence]) -> np.ndarray:
+    """How often each item holds the elements of each of ``BINS`` bins; equal elements share a bin."""
+    of = np.repeat(np.arange(len(items)), [*map(len, items)])
+    known: dict = {}
+    bins = np.array([known.setdefault(x, len(known)) for item in items for x in item], np.int64) % BINS
+    return np.bincount(of * BINS + bins, minlength=len(items) * BINS).reshape(-1, BINS)
+
+
+def _letters(lines: list[str]) -> np.ndarray:
+    """How often each line holds the code points of each of ``BINS`` hash bins."""
+    cp = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.int64)
+    of = np.repeat(np.arange(len(lines)), [*map(len, lines)])
+    return np.bincount(of * BINS + cp * 2654435761 % 4294967291 % BINS, minlength=len(lines) * BINS).reshape(-1, BINS)
+
+
 def forest(lines: list[str], threshold: int) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links among the lines (breadth first)."""
+    """Edges of a spanning forest of the links among the lines (breadth first).
+
+    An edit changes the counts of code points, and one of words those of words, by
+    two at most; whoever differs by more, counted in hash bins, is not compared.
+    """
     words = [_WORD.findall(x) for x in lines]
+    length, size = np.array([*map(len, lines)]), np.array([*map(len, words)])
+    few = len(lines) < FEW
+    letters, counts = (None, None) if few else (_letters(lines), _profile(words))
+
+    def near(u: int, others: np.ndarray) -> np.ndarray:
+        if few:
+            return np.ones(len(others), bool)
+        allowed = np.minimum(size[u], size[others]) // WORDS
+        by_letter = np.abs(length[others] - length[u]) <= threshold
+        by_word = (np.abs(size[others] - size[u]) <= allowed) & (allowed > 0)
+        for some, profile, most in ((by_letter, letters, np.full(len(others), threshold)), (by_word, counts, allowed)):
+            k = np.flatnonzero(some)
+            some[k] = np.abs(profile[others[k]] - profile[u]).sum(axis=1) <= 2 * most[k]
+        return by_letter | by_word
 
     def linked(u: int, v: int) -> bool:
         allowed = min(len(words[u]), len(words[v])) // WORDS
         return within(lines[u], lines[v], threshold) or allowed > 0 and within(words[u], words[v], allowed)
 
-    left, edges = list(range(len(lines))), []
-    while left:
-        queue, left = [left[0]], left[1:]
-        while queue and left:
+    left, edges = np.arange(len(lines)), []
+    while len(left):
+        queue, left = [int(left[0])], left[1:]
+        while queue and len(left):
             u = queue.pop()
-            far = []
-            for v in left:
+            gone = np.zeros(len(left), bool)
+            for k in np.flatnonzero(near(u, left)).tolist():
+                v = int(left[k])
                 if linked(u, v):
                     edges.append((u, v))
                     queue.append(v)
-                else:
-                    far.append(v)
-            left = far
+                    gone[k] = True
+            left = left[~gone]
     return edges
 
 
@@ -377,11 +414,17 @@ def _bloom(lines: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array([flags.tobytes()], pa.binary())], names=["b"])
 
     rows = lines.coalesce(16).mapInArrow(bits, "b binary").repartition(1).mapInArrow(union, "b binary").collect()
-    return np.unpackbits(np.frombuffer(bytes(rows[0][0]), np.uint8)).astype(bool)
+    return np.frombuffer(bytes(rows[0][0]), np.uint8)
+
+
+def _in_bloom(packed: np.ndarray, h: np.ndarray) -> np.ndarray:
+    one, two = _bits(h)
+    set_ = [(packed[b >> 3] >> (7 - (b & 7)).astype(np.uint8)) & 1 for b in (one, two)]
+    return (set_[0] & set_[1]) != 0
 
 
 def _texts(docs: DataFrame, text: str, lines: DataFrame, least: int) -> DataFrame:
-    """``(line, t)``: the text of every line hash in ``lines``."""
+    """``(line, t)``: a text of every line hash in ``lines``; stored."""
     sent = docs.sparkSession.sparkContext.broadcast(_bloom(lines))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -389,47 +432,57 @@ def _texts(docs: DataFrame, text: str, lines: DataFrame, least: int) -> DataFram
         for batch in batches:
             for part in slices(batch, text, _SLICE):
                 found = Lines(part.column(text).to_pylist())
-                one, two = _bits(found.hash)
-                rows = np.flatnonzero(sent.value[one] & sent.value[two] & (found.end - found.start >= least))
+                rows = np.flatnonzero(_in_bloom(sent.value, found.hash) & (found.end - found.start >= least))
                 rows = [r for r in rows.tolist() if (h := int(found.hash[r])) not in seen and not seen.add(h)]
                 if len(seen) > SEEN // 8:
                     seen = set()
                 yield pa.RecordBatch.from_arrays([pa.array(found.hash[rows].astype(np.int64), pa.int64()),
                                                   pa.array([found.text(r) for r in rows], pa.string())], names=["line", "t"])
 
-    return (docs.select(text).mapInArrow(run, "line long, t string").join(lines, "line", "left_semi")
-            .groupBy("line").agg(F.first("t").alias("t")))
+    done = stored(docs.select(text).mapInArrow(run, "line long, t string").join(lines, "line", "left_semi")
+                  .groupBy("line").agg(F.min("t").alias("t")), "line-texts")
+    sent.destroy()
+    return done
 
 
 def line_classes(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD, least: int = LEAST) -> DataFrame:
-    """``(node, component)``: hashes of lines that link to others unlike them, and their class."""
+    """``(node, exact, component)``: hash and digest of lines that link to others unlike them, and their class.
+
+    Candidates are kept by a 63-bit hash; of unlike lines with one hash the least
+    text stands for it, and ``exact`` tells which that is.
+    """
     least = max(least, EDITED)
     shared = stored(_shared(_signatures(docs, text, threshold, least)).distinct(), "shared-keys")
-    found = stored(_texts(docs, text, shared.select("line").distinct(), least), "line-texts")
+    found = _texts(docs, text, shared.select("line").distinct(), least)
     members = shared.join(found, "line")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for row in batch.column(0).to_pylist():
+            for scalar in batch.column(0):                # one block at a time as Python objects
+                row = scalar.as_py()
                 for u, v in forest([m["t"] for m in row], threshold):
                     a.append(row[u]["line"])
                     b.append(row[v]["line"])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return components(blocks(members, ["k"], ["line", "t"], BLOCK).select("members").mapInArrow(run, "a long, b long"))
+    linked = components(blocks(members, ["k"], ["line", "t"], BLOCK).select("members").mapInArrow(run, "a long, b long"))
+    exact = F.unhex(F.substring(F.sha2("t", 256), 1, 2 * DIGEST)).alias("exact")
+    return linked.join(found.select(F.col("line").alias("node"), exact), "node")
 
 
+DIGEST = 16                 # bytes of SHA-256 by which lines are held to be equal
 _RESULTS = ("n_lines", "removed", "n_removed")
 _INNER = ("_key", "_gone", "_numbers", "_removed")
 _REMOVED = "array<struct<line_no:int,first_doc_id:{0},first_line_no:int>>"
 
 
 def _occurrences(docs: DataFrame, id_col: str, text: str, least: int) -> DataFrame:
-    """``(id, _key, line_no, line)`` of every line long enough and not blank."""
+    """``(id, _key, line_no, line, exact)`` of every line long enough and not blank."""
     rows = docs.select(id_col, F.xxhash64(id_col, text).alias("_key"), text)
     schema = T.StructType([rows.schema[id_col], T.StructField("_key", T.LongType()),
-                           T.StructField("line_no", T.IntegerType()), T.StructField("line", T.LongType())])
+                           T.StructField("line_no", T.IntegerType()), T.StructField("line", T.LongType()),
+                           T.StructField("exact", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -441,9 +494,11 @@ def _occurrences(docs: DataFrame, id_col: str, text: str, least: int) -> DataFra
                 number = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
                 rows = lines.written(least)
                 take = pa.array(of[rows])
+                said = [line for v in values for line in (v or "").encode().split(b"\n")]
+                exact = [hashlib.sha256(said[r]).digest()[:DIGEST] for r in rows.tolist()]
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(take), part.column(1).take(take), pa.array(number[rows].astype(np.int32)),
-                     pa.array(lines.hash[rows].astype(np.int64))], names=schema.names)
+                     pa.array(lines.hash[rows].astype(np.int64)), pa.array(exact, pa.binary())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -459,8 +514,10 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
     classes = line_classes(docs, text, threshold, least)
     lines = _occurrences(docs, id_col, text, least)
     place = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("d"), "_key", F.col("line_no").alias("l"))
-    classed = stored(lines.join(classes, lines["line"] == classes["node"], "left")
-                     .select("_key", "line_no", F.coalesce("component", "line").alias("_cls"), place.alias("_at")), "lines")
+    # A class: a component, told by its least hash (8 bytes), or else one line, told by its digest (16).
+    own = F.when(F.col("component").isNull(), lines["exact"]).otherwise(F.unhex(F.hex("component")))
+    classed = stored(lines.join(classes, (lines["line"] == classes["node"]) & (lines["exact"] == classes["exact"]), "left")
+                     .select("_key", "line_no", own.alias("_cls"), place.alias("_at")), "lines")
     # Only classes met more than once lose a line; the others need not be joined.
     # Stored, so that the join below is between two plain exchanges, which Spark can split where a class is hot.
     first = stored(classed.groupBy("_cls").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))

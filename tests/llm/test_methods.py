@@ -249,3 +249,48 @@ def test_long_lines_within_their_threshold_share_a_key_and_link():
         key, value = line_dedup.all_keys(lines, np.array([0, 2]), line_dedup.THRESHOLD, line_dedup.EDITED)
         one, two = (set(key[(value >> np.uint64(1)) == h].tolist()) for h in lines.hash[[0, 2]])
         assert not linked or one & two & set(key[value & np.uint64(1) == 0].tolist())
+
+
+def test_unlike_lines_with_one_hash_both_stay(spark):
+    word = ["a"]
+    while len(word) < 1024:
+        word += ["b" if c == "a" else "a" for c in word]
+    one, other = "".join(word), "".join("b" if c == "a" else "a" for c in word)
+    hashes = line_dedup.Lines([one, other]).hash
+    assert hashes[0] == hashes[1] and one != other
+    rows = [(1, one), (2, other), (3, other), (4, one + "\n" + one)]
+    got = {r.doc_id: r.text for r in line_dedup.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: one, 2: other, 3: "", 4: ""}
+
+
+def test_forest_with_counts_links_what_all_pairs_link():
+    rng = np.random.default_rng(11)
+    words = ["w%d" % i for i in range(60)]
+    lines = []
+    for _ in range(12):
+        base = list(rng.choice(words, rng.integers(3, 70)))
+        for _ in range(rng.integers(1, 12)):
+            line = list(base)
+            for _ in range(rng.integers(0, 5)):
+                line[rng.integers(len(line))] = str(rng.choice(words)) if rng.random() < 0.7 else ""
+            lines.append(" ".join(line)[rng.integers(0, 3):])
+    lines = list(dict.fromkeys(lines))
+
+    def linked(a, b):
+        x, y = line_dedup._WORD.findall(a), line_dedup._WORD.findall(b)
+        most = min(len(x), len(y)) // line_dedup.WORDS
+        return edit_distance(a, b) <= 2 or most > 0 and edit_distance(x, y) <= most
+
+    def parts(edges):
+        up = list(range(len(lines)))
+
+        def find(i):
+            while up[i] != i:
+                i = up[i]
+            return i
+        for a, b in edges:
+            up[max(find(a), find(b))] = min(find(a), find(b))
+        return [find(i) for i in range(len(lines))]
+
+    pairs = [(i, j) for i in range(len(lines)) for j in range(i) if linked(lines[i], lines[j])]
+    assert pairs and parts(line_dedup.forest(lines, 2)) == parts(pairs)
