@@ -59,6 +59,7 @@ GRAM, WINDOW = 5, 8
 BLOCK = 256                 # lines of one key compared in one row
 SEEN = 1 << 21              # line hashes a task remembers as already keyed
 BINS = 64                   # of a line's counts of code points and words
+FIRST_KEYS = 16             # of a line's shared keys go with it
 FEW = 6                     # so few lines are compared without counting
 BLOOM_BITS = 1 << 24
 _SLICE = 1 << 20
@@ -285,31 +286,38 @@ def _letters(lines: list[str]) -> np.ndarray:
     return np.bincount(of * BINS + cp * 2654435761 % 4294967291 % BINS, minlength=len(lines) * BINS).reshape(-1, BINS)
 
 
-def forest(lines: list[str], threshold: int) -> list[tuple[int, int]]:
+def forest(lines: list[str], threshold: int, smaller: list[frozenset] | None = None) -> list[tuple[int, int]]:
     """Edges of a spanning forest of the links among the lines (breadth first).
 
     An edit changes the counts of code points, and one of words those of words, by
     two at most; whoever differs by more, counted in hash bins, is not compared.
+    ``smaller``: keys of each line before the one that they share here.  A pair that
+    shares one of these too is left to it: it is compared under its first key only.
     """
+    if smaller is None or not any(smaller):
+        own = None
+    else:
+        own = np.zeros((len(lines), len(lines)), bool)
+        for i, x in enumerate(smaller):
+            own[i] = [x.isdisjoint(y) for y in smaller] if x else True
+        np.fill_diagonal(own, False)
+        if not own.any():
+            return []
     words = [_WORD.findall(x) for x in lines]
     length, size = np.array([*map(len, lines)]), np.array([*map(len, words)])
     few = len(lines) < FEW
     letters, counts = (None, None) if few else (_letters(lines), _profile(words))
 
-    def near(u: int, others: np.ndarray) -> np.ndarray:
-        if few:
-            return np.ones(len(others), bool)
+    def near(u: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Who may be within the threshold of ``u``, and who within the words that may differ."""
         allowed = np.minimum(size[u], size[others]) // WORDS
         by_letter = np.abs(length[others] - length[u]) <= threshold
         by_word = (np.abs(size[others] - size[u]) <= allowed) & (allowed > 0)
-        for some, profile, most in ((by_letter, letters, np.full(len(others), threshold)), (by_word, counts, allowed)):
-            k = np.flatnonzero(some)
-            some[k] = np.abs(profile[others[k]] - profile[u]).sum(axis=1) <= 2 * most[k]
-        return by_letter | by_word
-
-    def linked(u: int, v: int) -> bool:
-        allowed = min(len(words[u]), len(words[v])) // WORDS
-        return within(lines[u], lines[v], threshold) or allowed > 0 and within(words[u], words[v], allowed)
+        if not few:
+            for some, profile, most in ((by_letter, letters, np.full(len(others), threshold)), (by_word, counts, allowed)):
+                k = np.flatnonzero(some)
+                some[k] = np.abs(profile[others[k]] - profile[u]).sum(axis=1) <= 2 * most[k]
+        return by_letter, by_word
 
     left, edges = np.arange(len(lines)), []
     while len(left):
@@ -317,9 +325,13 @@ def forest(lines: list[str], threshold: int) -> list[tuple[int, int]]:
         while queue and len(left):
             u = queue.pop()
             gone = np.zeros(len(left), bool)
-            for k in np.flatnonzero(near(u, left)).tolist():
+            by_letter, by_word = near(u, left)
+            if own is not None:
+                by_letter, by_word = by_letter & own[u, left], by_word & own[u, left]
+            for k in np.flatnonzero(by_letter | by_word).tolist():
                 v = int(left[k])
-                if linked(u, v):
+                if (by_word[k] and within(words[u], words[v], min(len(words[u]), len(words[v])) // WORDS)
+                        or by_letter[k] and within(lines[u], lines[v], threshold)):
                     edges.append((u, v))
                     queue.append(v)
                     gone[k] = True
@@ -349,7 +361,7 @@ def _signatures(docs: DataFrame, text: str, threshold: int, least: int) -> DataF
 def _shared(signatures: DataFrame) -> DataFrame:
     """``(k, line)`` of keys held by two lines or more, one of them by an index row.
 
-    Rows come sorted by key and line, and pass batch by batch.  The last key of
+    Rows come sorted by key, and pass batch by batch.  The last key of
     a batch may go on in the next: its rows are held until a second line and an
     index row have shown that it is shared, and from then on pass at once.
     Keys that end inside a batch are renamed by the lines they hold, so that many
@@ -364,6 +376,8 @@ def _shared(signatures: DataFrame) -> DataFrame:
                 continue
             k = np.concatenate([held_k, batch.column(0).to_numpy()])
             v = np.concatenate([held_v, batch.column(1).to_numpy().view(np.uint64)])
+            order = np.lexsort((v, k))          # Spark sorts by the key alone, which its radix sort can do
+            k, v = k[order], v[order]
             line = v >> np.uint64(1)
             begin = np.flatnonzero(np.append(True, k[1:] != k[:-1]))
             size = np.diff(np.append(begin, len(k)))
@@ -387,7 +401,7 @@ def _shared(signatures: DataFrame) -> DataFrame:
                 held_k = np.full(len(held_v), k[-1])
 
     parts = int(signatures.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (signatures.repartition(parts, "k").sortWithinPartitions("k", F.shiftrightunsigned("v", 1), "v")
+    return (signatures.repartition(parts, "k").sortWithinPartitions("k")
             .mapInArrow(run, "k long, line long"))
 
 
@@ -454,19 +468,21 @@ def line_classes(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD
     least = max(least, EDITED)
     shared = stored(_shared(_signatures(docs, text, threshold, least)).distinct(), "shared-keys")
     found = _texts(docs, text, shared.select("line").distinct(), least)
-    members = shared.join(found, "line")
+    first = shared.groupBy("line").agg(F.slice(F.array_sort(F.collect_list("k")), 1, FIRST_KEYS).alias("ks"))
+    members = shared.join(found.join(first, "line"), "line")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             a, b = [], []
-            for scalar in batch.column(0):                # one block at a time as Python objects
-                row = scalar.as_py()
-                for u, v in forest([m["t"] for m in row], threshold):
+            for scalar in batch.to_struct_array():        # one block at a time as Python objects
+                row, key = scalar["members"].as_py(), scalar["k"].as_py()
+                smaller = [frozenset(x for x in m["ks"] if x < key) for m in row]
+                for u, v in forest([m["t"] for m in row], threshold, smaller):
                     a.append(row[u]["line"])
                     b.append(row[v]["line"])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    linked = components(blocks(members, ["k"], ["line", "t"], BLOCK).select("members").mapInArrow(run, "a long, b long"))
+    linked = components(blocks(members, ["k"], ["line", "t", "ks"], BLOCK).select("k", "members").mapInArrow(run, "a long, b long"))
     exact = F.unhex(F.substring(F.sha2("t", 256), 1, 2 * DIGEST)).alias("exact")
     return linked.join(found.select(F.col("line").alias("node"), exact), "node")
 
