@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from . import dates
+
 # ---------------------------------------------------------------------------
 # Fixed values (must equal the source system's for equal results)
 # ---------------------------------------------------------------------------
@@ -211,6 +213,9 @@ _RFC_ANY = (r"^(?:[A-Za-z]{3},\s*)?(\d{1,2}) ([A-Za-z]{3}) (\d{4}) (\d{2}:\d{2})
             r" (GMT|UTC|UT|Z|[+-]\d{4})$")
 
 
+#: Text that only the strict grammar may read: wrong fields in it are an error, not free form.
+_ISO_STRICT = r"^([+-]\d{6}|\d{4})(-\d{2}){0,2}(T.*)?$"
+
 # "T24:00" (with zero seconds/fraction) is the end of the day: next midnight.
 _ISO_24 = r"^([+-]\d{6}|\d{4})-(\d{2})-(\d{2})T24:00(:00(?:\.0+)?)?(Z|[+-]\d{2}:?\d{2})?$"
 _ISO_CANONICAL = r"^\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d+)?(Z|[+-]\d{2}:\d{2})$"
@@ -231,11 +236,13 @@ def _date_parse_unchecked(s: Column) -> Column:
               .when(s.rlike(_ISO_CANONICAL), s.try_cast("timestamp"))
               .when(s.rlike(_ISO_ANY), iso.try_cast("timestamp"))
               .when(s.rlike(_RFC_ANY), F.try_to_timestamp(rfc, F.lit("d MMM yyyy HH:mm:ss Z"))))
+    # What no strict form gives is read as free-form text (a day past its month among it).
+    parsed = F.coalesce(parsed, F.timestamp_millis(dates.free_form_ms(F.when(~s.rlike(_ISO_STRICT), s))))
     return F.date_trunc("millisecond", parsed)
 
 
 def js_date_parse(s: Column) -> Column:
-    """``Date.parse`` for ISO-8601 and RFC-1123 text, time zone independent.
+    """``Date.parse`` for ISO-8601, RFC-1123 and free-form text (:mod:`.dates`), time zone independent.
 
     Date-only forms are UTC; date-times without an offset are read as UTC.
     The result is truncated to milliseconds.  Canonical ISO text (the common

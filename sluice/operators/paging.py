@@ -29,36 +29,39 @@ from pyspark.errors import SparkRuntimeException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import scalars as S
 from ..session import checkpoint_root
 
 ROWS_PER_BUCKET = 2_000_000
 _LOCAL_BITS = 33
 
 
+def range_tagged(df: DataFrame, order, buckets: int) -> DataFrame:
+    """``df`` in ``buckets`` key ranges, sorted, with ``_bucket`` and ``_local`` (the place inside it)."""
+    # Tiebreaker: the row's id in its input split.  It makes the order total,
+    # so rows equal on ``order`` (even exact copies, which may be a third of
+    # all rows) spread over many ranges instead of one task.  (Were the input
+    # order not reproducible, Spark reruns the whole indeterminate stage.)
+    tie = df.select("*", F.monotonically_increasing_id().alias("_tie_i"))
+    full = [*order, "_tie_i"]
+    return (tie.repartitionByRange(buckets, *full)
+            .sortWithinPartitions(*full)
+            .withColumn("_mid", F.monotonically_increasing_id())
+            .select(*df.columns, F.shiftright("_mid", _LOCAL_BITS).alias("_bucket"),
+                    F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1).alias("_local")))
+
+
 def row_index(df: DataFrame, order, name: str = "row_idx",
               rows_per_bucket: int = ROWS_PER_BUCKET, total: int | None = None) -> DataFrame:
     """Add a dense 0-based index in ``order`` (list of column names or Columns).
 
     ``total`` (the row count) is counted when not given; it only sizes the ranges.
     """
-    order = list(order)
     n = df.count() if total is None else int(total)
     buckets = max(1, math.ceil(n / max(1, rows_per_bucket)))
     checkpoint_root(df.sparkSession)
     cols = df.columns
-    # Tiebreaker: the row's id in its input split.  It makes the order total,
-    # so rows equal on ``order`` (even exact copies, which may be a third of
-    # all rows) spread over many ranges instead of one task.  (Were the input
-    # order not reproducible, Spark reruns the whole indeterminate stage.)
-    tie = df.select("*", F.monotonically_increasing_id().alias("_tie_i"))
-    full = order + ["_tie_i"]
-    mid = F.monotonically_increasing_id()
-    tagged = (tie.repartitionByRange(buckets, *full)
-              .sortWithinPartitions(*full)
-              .withColumn("_mid", mid)
-              .select(*cols, F.shiftright("_mid", _LOCAL_BITS).alias("_bucket"),
-                      F.col("_mid").bitwiseAND((1 << _LOCAL_BITS) - 1).alias("_local")))
-    tagged = tagged.checkpoint(eager=True)
+    tagged = range_tagged(df, list(order), buckets).checkpoint(eager=True)
     counts = tagged.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     # B rows (one per range, B = n / rows_per_bucket): a single-partition
     # running sum over them is tiny, and so is the broadcast below.
@@ -84,18 +87,24 @@ def decode_cursor(cursor) -> "F.Column":
     past BIGINT is past every row.
     """
     c = F.col(cursor) if isinstance(cursor, str) else cursor
+
+    # Each step is bound once: written out they would repeat inside one another.
+    def from_plain(plain):
+        whole = F.length(plain) - F.when(F.length(plain) % 4 == 1, F.lit(1)).otherwise(F.lit(0))
+        cut = F.substring(plain, F.lit(1), whole)
+        padded = F.concat(cut, F.repeat(F.lit("="), F.pmod(-whole, F.lit(4))))
+        text = F.try_to_binary(padded, F.lit("base64")).cast("string")
+        return S._let(F.regexp_extract(text, r"^\s*([+-]?\d+)", 1), from_digits)
+
+    def from_digits(digits):
+        value = (F.when(F.length(F.regexp_replace(digits, r"^[+]?0*", "")) > 18,
+                        F.when(digits.startswith("-"), F.lit(-1)).otherwise(F.lit(2**63 - 1)))
+                 .when(digits != "", digits.try_cast("long")))
+        return S._let(value, lambda v: F.when(v >= 0, v))
+
     plain = F.regexp_replace(F.translate(F.substring_index(c, "=", 1), "-_", "+/"), "[^A-Za-z0-9+/]", "")
-    whole = F.when(F.length(plain) % 4 == 1, F.expr("1")).otherwise(F.lit(0))
-    plain = F.substring(plain, F.lit(1), F.length(plain) - whole.cast("int"))
-    padded = F.concat(plain, F.repeat(F.lit("="), F.pmod(-F.length(plain), F.lit(4))))
-    text = F.try_to_binary(padded, F.lit("base64")).cast("string")
-    digits = F.regexp_extract(text, r"^\s*([+-]?\d+)", 1)
-    value = F.when(F.length(F.regexp_replace(digits, r"^[+]?0*", "")) > 18,
-                   F.when(digits.startswith("-"), F.lit(-1)).otherwise(F.lit(2**63 - 1))) \
-        .when(digits != "", digits.try_cast("long"))
-    return (F.when(c.isNull() | (c == ""), F.lit(0).cast("long"))
-            .when(value.isNotNull() & (value >= 0), value)
-            .otherwise(F.raise_error(F.concat(F.lit("Invalid cursor: "), c)).cast("long")))
+    start = F.when(c.isNull() | (c == ""), F.lit(0).cast("long")).otherwise(S._let(plain, from_plain))
+    return F.coalesce(start, F.raise_error(F.concat(F.lit("Invalid cursor: "), c)).cast("long"))
 
 
 def paginate(df: DataFrame, order, limit: int, rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:

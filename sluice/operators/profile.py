@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -79,8 +79,8 @@ def field_profile(events: DataFrame, event: str = "event") -> DataFrame:
     """O26 over all events: ``(key, type, n, events, share)``.
 
     ``events`` counts the object events: each gives one marker row beside its
-    entries, so that one pass and one aggregate find both.  The window is over
-    the aggregate's rows, one for each key and type.
+    entries, so that one pass and one aggregate find both.  The marker's count is a
+    scalar subquery over the same aggregate, whose exchange is read again.
     """
     entries = F.map_entries(F.col(event).try_cast("map<string,variant>"))
     kind = "array<struct<key:string,value:variant>>"
@@ -88,9 +88,10 @@ def field_profile(events: DataFrame, event: str = "event") -> DataFrame:
                     F.array(F.struct(F.lit(None).cast("string").alias("key"), F.lit(None).cast("variant").alias("value"))))
     rows = events.where(F.col(event).isNotNull()).select(F.explode(F.concat(
         F.coalesce(marker.cast(kind), F.array().cast(kind)), F.coalesce(entries.cast(kind), F.array().cast(kind)))).alias("e"))
+    # The marker is told by an aggregate, not by the key: a filter on the key would move
+    # below the aggregate, and the exchange could not be shared.
     counts = rows.groupBy(F.col("e.key").alias("key"), _kind(F.col("e.value")).alias("type")).agg(
-        F.count(F.lit(1)).alias("n"))
-    whole = Window.partitionBy(F.lit(0))
-    return (counts.withColumn("events", F.coalesce(F.max(F.when(F.col("key").isNull(), F.col("n"))).over(whole), F.lit(0)))
-            .where(F.col("key").isNotNull())
-            .withColumn("share", F.col("n") / F.col("events")))
+        F.count(F.lit(1)).alias("n"), F.bool_or(F.col("e.key").isNull()).alias("_marker"))
+    total = counts.agg(F.coalesce(F.max(F.when(F.col("_marker"), F.col("n"))), F.lit(0))).scalar()
+    return (counts.where(~F.col("_marker")).withColumn("events", total)
+            .withColumn("share", F.col("n") / F.col("events")).drop("_marker"))

@@ -139,6 +139,7 @@ FROM win WHERE event_id NOT IN (SELECT event_id FROM stored)"""
 SELECT {_ID} AS event_id, {_EMS} AS occurred_at_ms, event_type, {_COPY} AS copy_tag,
        rn % 37 <> 36 AS has_time_key, opage AS page_no, opos AS pos
 FROM win"""
+    q["insert_indexed"] = q["insert_if_absent"]
     q["ingest_batch"] = ingest
     q["ingest_stream"] = ingest
     q["ingest_replay"] = ingest
@@ -174,6 +175,12 @@ FROM log WINDOW w AS (ORDER BY seq)"""
 SELECT event_id, CAST(CASE WHEN event_id % 7 = 0 THEN ms WHEN event_id % 7 = 4 THEN ms // 86400000 * 86400000
        WHEN event_id % 7 = 5 THEN ms // 60000 * 60000 ELSE ms // 1000 * 1000 END AS BIGINT) AS instant_ms,
        printf('+%06d', year(t)) || strftime(t, '-%m-%dT%H:%M:%S.%g') || 'Z' AS far
+FROM e"""
+    day = "ms // 86400000 * 86400000"
+    q["free_dates"] = f"""WITH e AS (SELECT event_id, ts, epoch_us(ts) // 1000 AS ms, event_id % 10 AS k FROM events)
+SELECT event_id, CAST(CASE WHEN k IN (0, 2) THEN {day} WHEN k IN (1, 4, 5, 6) THEN ms // 1000 * 1000
+       WHEN k = 3 THEN ms // 60000 * 60000 WHEN k = 7 THEN epoch_ms(make_date(year(ts), 2, 1)) + CAST(30 AS BIGINT) * 86400000
+       WHEN k = 9 THEN ms END AS BIGINT) AS instant_ms
 FROM e"""
     q["cursor_forms"] = """SELECT o_orderkey,
        CAST(CASE WHEN o_orderkey % 6 = 4 THEN 0 ELSE o_orderkey END AS BIGINT) AS start FROM orders"""
@@ -306,6 +313,8 @@ WHERE rn >= {SERVE_START} AND rn < {SERVE_START} + {ORDERS_PAGE}"""
     q["keyset_page"] = f"""SELECT o_orderkey FROM orders WHERE o_orderkey > {KEYSET_AFTER}
 ORDER BY o_orderkey LIMIT {KEYSET_LIMIT}"""
 
+    q["stored_keyset_page"] = q["keyset_page"]
+
     C = CHUNK_SIZE
     q["keyset_chunks"] = f"""WITH ids AS (SELECT DISTINCT {_ID} AS k FROM events),
 r AS (SELECT k, row_number() OVER (ORDER BY k) - 1 AS rn FROM ids)

@@ -24,7 +24,8 @@ from ..operators.flush import assign_flush_batches, flush_rollup
 from ..session import ensure_semantics, scratch_path
 from ..sources import fixtures as FX
 from ..sources.pages import land_pages, land_pages_in_order, scan_pages
-from ..sources.sinks import export_keys, read_committed
+from ..sources.ordered import serve_stored_keys, serve_stored_page, write_ordered
+from ..sources.sinks import batch_key, export_keys, read_committed
 from ..plans.ingest import decode_pages, event_rows, ingest_batch, page_events
 
 # Fixed parameters of the registered queries (the oracle SQL uses the same).
@@ -32,7 +33,6 @@ PAGE_SIZE = FX.PAGE_SIZE          # events per fixture page
 RUNS_MULTI = 3                    # runs in the multi-run fixture
 FLUSH_BATCH = 250                 # flush threshold in events
 ORDERS_PAGE = 1000                # rows per page when paging orders
-PAGED_BUCKET = 400                # rows per range, so that several ranges are stitched
 KEYSET_AFTER = 1000               # keyset start key (exclusive)
 KEYSET_LIMIT = 500
 CHUNK_SIZE = 1000                 # keyset chunk size
@@ -143,6 +143,27 @@ def q_time_forms(spark, sf_dir):
     return ev.select("event_id", F.unix_millis(S.js_date_parse(text)).alias("instant_ms"), S.iso_ms(far).alias("far"))
 
 
+FREE_FORMS = 10
+
+
+def q_free_dates(spark, sf_dir):
+    """``events.ts`` as free-form date text, and days past their month."""
+    ev = _table(spark, sf_dir, "events")
+    k, ts = F.col("event_id") % FREE_FORMS, F.col("ts").cast("timestamp_ntz")
+    wall = lambda minutes: F.timestamp_add("MINUTE", F.lit(minutes), ts)
+    text = (F.when(k == 0, F.date_format(ts, "MMM d, yyyy"))
+            .when(k == 1, F.date_format(ts, "yyyy/MM/dd HH:mm:ss"))
+            .when(k == 2, F.date_format(ts, "M/d/yyyy"))
+            .when(k == 3, F.date_format(ts, "yyyy-M-d H:m"))
+            .when(k == 4, F.concat(F.date_format(wall(60), "EEE MMM dd yyyy HH:mm:ss"), F.lit(" GMT+0100 (Central European Time)")))
+            .when(k == 5, F.date_format(ts, "d MMMM yyyy h:mm:ss a"))
+            .when(k == 6, F.concat(F.date_format(wall(-300), "EEEE, dd-MMM-yy HH:mm:ss"), F.lit(" EST")))
+            .when(k == 7, F.concat(F.date_format(ts, "yyyy"), F.lit("/02/31")))
+            .when(k == 8, F.concat(F.date_format(ts, "yyyy/MM/dd"), F.lit(" 25:00")))
+            .otherwise(F.concat(F.date_format(ts, "yyyy MMM d HH:mm:ss.SSS"), F.lit("Z"))))
+    return ev.select("event_id", F.unix_millis(S.js_date_parse(text)).alias("instant_ms"))
+
+
 def q_cursor_forms(spark, sf_dir):
     """Start rows of cursors written in each way the source system reads."""
     n = F.col("o_orderkey")
@@ -187,6 +208,21 @@ def q_insert_if_absent(spark, sf_dir):
     return fresh.select("event_id", "page_no", F.col("pos").cast("long").alias("pos"))
 
 
+KEY_BUCKETS = 16                 # of the key index in the registered query
+
+
+def q_insert_indexed(spark, sf_dir):
+    """O5 by key index: pages before the middle are committed; what the load of the rest adds."""
+    from ..streaming.ingest_stream import make_batch_sink
+    first, second = _split_pages(spark, sf_dir)
+    table, ledger = scratch_path(spark, "indexed-table"), scratch_path(spark, "indexed-ledger")
+    sink = make_batch_sink(table, ledger, "fixture", key_buckets=KEY_BUCKETS)
+    sink(first, 0)
+    sink(second, 1)
+    added = read_committed(spark, table, ledger).where(F.col("ingest_batch") == batch_key("fixture", 1))
+    return added.select("event_id", "page_no", F.col("pos").cast("long").alias("pos"))
+
+
 def q_ingest_batch(spark, sf_dir):
     """The event table a full load produces (computed here, not cached)."""
     out = ingest_batch(fixture_pages(spark, sf_dir))
@@ -424,22 +460,34 @@ def q_paginate(spark, sf_dir):
     """Orders in key order sliced into pages of 1000."""
     orders = _table(spark, sf_dir, "orders")
     paged = P.paginate(orders.select("o_orderkey", "o_custkey"), ["o_orderkey", "o_custkey"],
-                       ORDERS_PAGE, PAGED_BUCKET)
+                       ORDERS_PAGE)
     return paged.select("o_orderkey", "row_idx", "page_no", "pos",
                         P.encode_cursor(F.col("row_idx") + 1).alias("cursor_after"))
 
 
-def q_serve_page(spark, sf_dir):
-    """The orders page a cursor asks for (rows 5000..5999 in key order)."""
+def _ordered_orders(spark, sf_dir):
+    """The orders stored in key order with fences, in some ten ranges; the path."""
+    path = scratch_path(spark, "ordered")
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    idx = P.row_index(orders, ["o_orderkey", "o_custkey"])
-    return P.serve_page(idx, ORDERS_PAGE, SERVE_CURSOR).select("o_orderkey", "row_idx")
+    write_ordered(orders, path, ["o_orderkey", "o_custkey"], rows_per_range=-(-orders.count() // 10))
+    return path
+
+
+def q_serve_page(spark, sf_dir):
+    """The orders page a cursor asks for (rows 5000..5999 in key order), from the ranges that hold it."""
+    return serve_stored_page(spark, _ordered_orders(spark, sf_dir), ORDERS_PAGE, SERVE_CURSOR).select("o_orderkey", "row_idx")
+
+
+def q_stored_keyset_page(spark, sf_dir):
+    """The keyset page after key 1000 (limit 500), from the ranges that hold it."""
+    path = _ordered_orders(spark, sf_dir)
+    return serve_stored_keys(spark, path, "o_orderkey", KEYSET_AFTER, KEYSET_LIMIT).select("o_orderkey")
 
 
 def q_page_table(spark, sf_dir):
     """O23 page list of the orders table, from its paged rows."""
     orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return P.page_list(P.paginate(orders, ["o_orderkey", "o_custkey"], ORDERS_PAGE, PAGED_BUCKET), ORDERS_PAGE)
+    return P.page_list(P.paginate(orders, ["o_orderkey", "o_custkey"], ORDERS_PAGE), ORDERS_PAGE)
 
 
 def q_keyset_page(spark, sf_dir):
@@ -499,9 +547,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "event_table_rows": q_event_table_rows,
     "epoch_units": q_epoch_units,
     "time_forms": q_time_forms,
+    "free_dates": q_free_dates,
     "cursor_forms": q_cursor_forms,
     "first_by_key": q_first_by_key,
     "insert_if_absent": q_insert_if_absent,
+    "insert_indexed": q_insert_indexed,
     "ingest_batch": q_ingest_batch,
     "ingest_quarantine": q_ingest_quarantine,
     "ingest_quarantine_chain": q_ingest_quarantine_chain,
@@ -527,6 +577,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "page_table": q_page_table,
     "serve_page": q_serve_page,
     "keyset_page": q_keyset_page,
+    "stored_keyset_page": q_stored_keyset_page,
     "keyset_chunks": q_keyset_chunks,
     "export_keys": q_export_keys,
     "page_shape": q_page_shape,

@@ -1,0 +1,111 @@
+"""Key index beside the event table, and pages served from ordered files with fences."""
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import pages_df
+from sluice.operators import paging as P
+from sluice.plans.ingest import ingest_batch
+from sluice.session import scratch_path
+from sluice.sources.key_index import FEW, KeyIndex
+from sluice.sources.ordered import serve_stored_keys, serve_stored_page, write_ordered
+from sluice.sources.sinks import read_committed
+from sluice.streaming.ingest_stream import make_batch_sink
+from test_streaming import _bodies, _table
+
+
+def _ids(df):
+    return sorted(r["event_id"] for r in df.select("event_id").collect())
+
+
+def test_indexed_loads_give_the_same_table_and_replay(spark):
+    pages = pages_df(spark, _bodies(), request_cursors=[None] + [f"c{p}" for p in range(1, 9)])
+    table, ledger = scratch_path(spark, "k-table"), scratch_path(spark, "k-ledger")
+    sink = make_batch_sink(table, ledger, "runK", key_buckets=4)
+    for b in (0, 1, 1, 0, 2):                                   # replays among them
+        sink(pages.where(F.col("page_no").between(3 * b, 3 * b + 2)), b)
+    committed = read_committed(spark, table, ledger)
+    assert _ids(committed) == _ids(ingest_batch(pages))
+    assert {r["event_id"]: r["n"] for r in committed.select(
+        "event_id", F.try_variant_get("payload", "$.n", "bigint").alias("n")).collect()} == _table_of(pages)
+    index = KeyIndex(spark, table, 99)
+    assert index.buckets == 4                                    # fixed when it was begun
+    assert _ids(index.committed(ledger)) == _ids(committed)
+
+
+def _table_of(pages):
+    return {r["event_id"]: r["n"] for r in ingest_batch(pages).select(
+        "event_id", F.try_variant_get("payload", "$.n", "bigint").alias("n")).collect()}
+
+
+def test_uncommitted_keys_do_not_count_and_old_tables_can_be_indexed(spark):
+    pages = pages_df(spark, _bodies(4), request_cursors=[None, "c1", "c2", "c3"])
+    table, ledger = scratch_path(spark, "k2-table"), scratch_path(spark, "k2-ledger")
+    make_batch_sink(table, ledger, "runA")(pages.where("page_no < 2"), 0)       # without an index
+    index = KeyIndex(spark, table, 3)
+    index.add(spark.createDataFrame([("k20", "runA-000000000009", "lost")], "event_id string, ingest_batch string, attempt string"))
+    index.build(table, ledger)
+    make_batch_sink(table, ledger, "runA", key_buckets=3)(pages.where("page_no >= 2"), 1)
+    assert _ids(read_committed(spark, table, ledger)) == _ids(ingest_batch(pages))
+
+
+@pytest.mark.parametrize("n", [None, FEW])
+def test_the_stored_side_is_not_shuffled(spark, n):
+    table, ledger = scratch_path(spark, "k3-table"), scratch_path(spark, "k3-ledger")
+    index = KeyIndex(spark, table, 8)
+    keys = spark.range(40000).select(F.format_string("id-%05d", F.col("id") * 7 % 40000).alias("event_id"),
+                                    F.lit("runA-000000000000").alias("ingest_batch"), F.lit("x").alias("attempt"))
+    index.add(keys.where("event_id < 'id-20000'"))
+    index.add(keys.where("event_id >= 'id-20000'"))
+    from sluice.operators.ledger import advance_state
+    advance_state(spark, ledger, "runA", 0, None, 40000, "id-00000", "id-39999", "x")
+    batch = spark.createDataFrame([(f"id-{i:05d}",) for i in (3, 39998, 50000, 70000)], "event_id string")
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "20000")     # the ledger fits, the keys do not
+        got = index.absent(batch, ledger, n=n)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert _ids(got) == ["id-50000", "id-70000"]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Bucketed: true" in plan and plan.count("Exchange hashpartitioning") == 1
+    if n is not None:
+        opened = int(plan.split("SelectedBucketsCount: ")[1].split(" out of 8")[0])
+        assert opened <= 4
+
+
+def _plan_files(df):
+    """How many files the scan of a page opened."""
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_from_fences_equal_pages_from_the_index(spark):
+    keys = list(range(0, 3000, 3))
+    random.Random(7).shuffle(keys)
+    df = spark.createDataFrame([(k, f"v{k}") for k in keys] + [(30, "copy")] * 50, "k long, v string").repartition(5)
+    path = scratch_path(spark, "fences")
+    write_ordered(df, path, ["k", "v"], rows_per_range=97)
+    whole = sorted((r["k"], r["v"]) for r in df.collect())
+    for start, limit in [(0, 10), (5, 100), (96, 2), (500, 333), (1040, 50), (1050, 10), (10 ** 9, 5)]:
+        cursor = P.encode_cursor(F.lit(start))
+        text = spark.range(1).select(cursor).first()[0]
+        got = serve_stored_page(spark, path, limit, text).collect()
+        assert sorted((r["k"], r["v"], r["row_idx"]) for r in got) == \
+            [(*kv, start + i) for i, kv in enumerate(whole[start:start + limit])]
+    plan = _plan_files(serve_stored_page(spark, path, 10, None))
+    opened = plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert "_range" in opened and "GreaterThanOrEqual(_local" in plan
+    for after, limit in [(None, 7), (29, 3), (30, 200), (2990, 50), (2997, 5)]:
+        got = [(r["k"], r["v"]) for r in serve_stored_keys(spark, path, "k", after, limit).collect()]
+        assert got == [kv for kv in whole if after is None or kv[0] > after][:limit]
+
+
+def test_ordered_empty_table(spark):
+    path = scratch_path(spark, "fences-empty")
+    df = spark.createDataFrame([], "k long, v string")
+    write_ordered(df, path, ["k"])
+    assert serve_stored_page(spark, path, 10, None).collect() == []
+    assert serve_stored_keys(spark, path, "k", None, 10).collect() == []
+    assert serve_stored_page(spark, path, 10, None).columns == ["k", "v", "row_idx"]
