@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def blocks(members: DataFrame, key: list[str], value: list[str], block: int) -> DataFrame:
+def blocks(members: DataFrame, key: list[str], value: list[str], block: int, only: str | None = None) -> DataFrame:
     """Group the distinct ``(key, value)`` rows of every bucket with two values or more.
 
     A bucket of ``n`` values is dealt into ``c = ceil(n / block)`` chunks by
@@ -15,8 +15,10 @@ def blocks(members: DataFrame, key: list[str], value: list[str], block: int) ->
     values of a bucket meet in exactly one row: in ``(i, i)`` if they share
     chunk ``i``, else as members of either ``side`` of ``(i, j)``.  Returns the
     key, ``same`` (``i = j``) and ``members``, structs of the value and ``side``.
+    ``only``: buckets in which this boolean column is nowhere true are left out.
     """
-    sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("_bucket")).where("_bucket > 1")
+    sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("_bucket"), *([F.bool_or(only).alias("_some")] if only else []))
+    sizes = sizes.where("_bucket > 1 AND _some" if only else "_bucket > 1").drop("_some")
     live = members.join(sizes, key)
     c = F.ceil(F.col("_bucket") / F.lit(block)).cast("int")
     i = F.pmod(F.xxhash64(*value), c).cast("int")

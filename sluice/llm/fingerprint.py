@@ -10,7 +10,9 @@ at ``d`` differing bits, so their likeness is ``max(0, cos(pi * d / 128))``.
 Search: fingerprints are cut into ``radius + 1`` blocks or more; two within
 ``radius`` bits agree on ``blocks - radius`` of them, so a table is kept for
 every such choice of blocks, keyed by their bits.  A query meets its table
-bucket only, and each pair counts in the first table that holds it.
+buckets only, buckets without a query are not opened, and each pair is told by the
+first table that holds it.  What is found are pairs of different fingerprints;
+rows with equal ones are told by the least id among them, not expanded.
 
 Defined cases: a null text is empty; a text without words has fingerprint zero;
 equal texts have equal fingerprints; documents with the same id (or null, which
@@ -33,10 +35,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import blocks
-from .common import Words, mix, slices, stored, texts
+from .common import Words, importable, mix, slices, stored, texts
 
 BITS = 128
-RADIUS = 3
+RADIUS = 8            # a likeness of 0.98; near copies of 0.8 in word shingles differ by 5 to 18 bits
+CUTS = 10             # two blocks of ten agree: 45 tables keyed by 25 bits
 BLOCK = 4096
 _SECOND = np.uint64(0xA0761D6478BD642F)
 _SIGNS = (np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little") * 2.0 - 1.0)
@@ -172,59 +175,76 @@ def tables(radius: int, cuts: int | None = None) -> list[tuple[int, int]]:
     return [(signed(m & (2**64 - 1)), signed(m >> 64)) for m in masks]
 
 
-def neighbours(prints: DataFrame, radius: int = RADIUS, cuts: int | None = None) -> DataFrame:
-    """``(_hi, _lo, n_within)`` of the query prints among ``prints(_hi, _lo, _n, _query)``.
+def neighbours(prints: DataFrame, radius: int = RADIUS, cuts: int = CUTS) -> DataFrame:
+    """``(_hi, _lo, _fhi, _flo, bits)``: for every query print all other prints within ``radius`` bits, and how many differ.
 
-    ``prints`` holds each fingerprint once with its number of documents;
-    ``n_within`` counts the documents within ``radius`` bits, its own included.
+    ``prints(_hi, _lo, _query)`` holds each fingerprint once.  A table's bucket is
+    opened only if it holds a query print.
     """
     masks = tables(radius, cuts)
-    keys = F.array(*[F.struct(F.lit(t).alias("t"), F.col("_hi").bitwiseAND(F.lit(a).cast("long")).alias("a"),
-                              F.col("_lo").bitwiseAND(F.lit(b).cast("long")).alias("b")) for t, (a, b) in enumerate(masks)])
-    value = ["_hi", "_lo", "_n", "_query"]
-    members = prints.select(*value, F.explode(keys).alias("k")).select(*value, "k.t", "k.a", "k.b")
+    keys = F.array(*[F.struct(F.lit(t).alias("t"), F.xxhash64(F.lit(t), F.col("_hi").bitwiseAND(F.lit(a).cast("long")),
+                                                              F.col("_lo").bitwiseAND(F.lit(b).cast("long"))).alias("k"))
+                     for t, (a, b) in enumerate(masks)])
+    value = ["_hi", "_lo", "_query"]
+    members = prints.select(*value, F.inline(keys))
     mask = np.array(masks, np.int64).view(np.uint64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
+            found, bits = [np.zeros((0, 4), np.uint64)], [np.zeros(0, np.int64)]
             column = batch.column("members")
             off = column.offsets.to_numpy()
-            fields = [column.values.field(k).to_numpy(zero_copy_only=False) for k in range(5)]
+            hi, lo, asked, side = (column.values.field(k).to_numpy(zero_copy_only=False) for k in range(4))
+            prints_ = np.stack([hi, lo], axis=1).view(np.uint64)
             for t, same, s, e in zip(batch.column("t").to_pylist(), batch.column("same").to_pylist(), off[:-1], off[1:]):
-                fp = np.stack([fields[0][s:e], fields[1][s:e]], axis=1).view(np.uint64)
-                n, query, side = fields[2][s:e], fields[3][s:e], fields[4][s:e]
-                for q in np.flatnonzero(query).tolist():
+                fp = prints_[s:e]
+                for q in np.flatnonzero(asked[s:e]).tolist():
                     x = fp ^ fp[q]
-                    near = np.bitwise_count(x).sum(axis=1) <= radius
+                    differ = np.bitwise_count(x).sum(axis=1)
+                    near = differ <= radius
                     near[q] = False
                     if not same:
-                        near &= side != side[q]
-                    for earlier in range(t):      # a pair counts in its first table only
-                        near &= ((x & mask[earlier]) != 0).any(axis=1)
-                    if near.any():
-                        out.append((fp[q, 0], fp[q, 1], int(n[near].sum())))
-            hi, lo, k = zip(*out) if out else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(hi, np.uint64).view(np.int64)),
-                                              pa.array(np.array(lo, np.uint64).view(np.int64)),
-                                              pa.array(k, pa.int64())], names=["_hi", "_lo", "k"])
-
-    found = (blocks(members, ["t", "a", "b"], value, BLOCK).select("t", "same", "members")
-             .mapInArrow(run, "_hi long, _lo long, k long"))
-    own = prints.where("_query").select("_hi", "_lo", F.col("_n").alias("k"))
-    return own.union(found).groupBy("_hi", "_lo").agg(F.sum("k").alias("n_within"))
+                        near &= side[s:e] != side[s + q]
+                    k = np.flatnonzero(near)
+                    if len(k) and t:              # a pair is found in its first table only
+                        k = k[((x[k, None, :] & mask[None, :t]) != 0).any(axis=2).all(axis=1)]
+                    if len(k):
+                        found.append(np.concatenate([np.repeat(fp[q:q + 1], len(k), axis=0), fp[k]], axis=1))
+                        bits.append(differ[k].astype(np.int64))
+            four = np.concatenate(found).view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(four[:, c])) for c in range(4)]
+                                             + [pa.array(np.concatenate(bits))], names=["_hi", "_lo", "_fhi", "_flo", "bits"])
+
+    return (blocks(members, ["t", "k"], value, BLOCK, "_query").select("t", "same", "members")
+            .mapInArrow(run, "_hi long, _lo long, _fhi long, _flo long, bits long"))
 
 
 def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", radius: int = RADIUS,
-                          every: int = 20) -> DataFrame:
-    """Fingerprints and likenesses of all rows; for ids divisible by ``every``, the documents within ``radius`` bits."""
+                          cuts: int = CUTS, every: int = 20) -> DataFrame:
+    """Fingerprints and likenesses of all rows, and the search for ids divisible by ``every``.
+
+    ``fingerprint_id`` is the least id of the rows with a row's fingerprint.  For
+    the searched ids ``near_ids`` lists, in order, that id of every other
+    fingerprint within ``radius`` bits, and ``n_within`` counts all rows within it,
+    the row itself included; elsewhere both are null.
+    """
+    importable(docs.sparkSession)
     rows = stored(with_next(docs, id_col, text), "likenesses")
     query = F.coalesce(F.col(id_col) % every == 0, F.lit(False))
-    prints = stored(rows.groupBy("_hi", "_lo").agg(F.count(F.lit(1)).alias("_n"), F.max(query).alias("_query")), "prints")
-    counts = stored(neighbours(prints, radius), "neighbours")
+    prints = stored(rows.groupBy("_hi", "_lo").agg(F.count(F.lit(1)).alias("_n"), F.min(id_col).alias("_least"),
+                                                   F.max(query).alias("_query")), "prints")
+    pairs = stored(neighbours(prints, radius, cuts), "neighbours")
+    found = prints.select(F.col("_hi").alias("_fhi"), F.col("_lo").alias("_flo"), F.col("_n").alias("_fn"), F.col("_least").alias("_fid"))
+    near = (pairs.join(found, ["_fhi", "_flo"]).groupBy("_hi", "_lo")
+            .agg(F.sort_array(F.collect_list("_fid")).alias("_near"), F.sum("_fn").alias("_more")))
+    ids = docs.schema[id_col].dataType
+    none = F.array().cast(T.ArrayType(ids))
+    known = prints.join(near, ["_hi", "_lo"], "left").select(
+        "_hi", "_lo", F.col("_least").alias("fingerprint_id"),
+        F.when(F.col("_query"), F.coalesce("_near", none)).alias("_near"),
+        F.when(F.col("_query"), F.col("_n") + F.coalesce("_more", F.lit(0))).alias("_within"))
     text_of = lambda a, b: F.concat(*[F.lpad(F.lower(F.hex(c)), 16, "0") for c in (a, b)])
-    searched = rows.where(query).join(counts, ["_hi", "_lo"], "left")
-    rest = rows.where(~query).withColumn("n_within", F.lit(None).cast("long"))
-    return searched.unionByName(rest).select(
+    return rows.join(known, ["_hi", "_lo"]).select(
         id_col, "n_chars", "edited_sha256", text_of("_hi", "_lo").alias("fingerprint"),
-        text_of("_ehi", "_elo").alias("edited_fingerprint"), "near_edited", "near_next", "n_within")
+        text_of("_ehi", "_elo").alias("edited_fingerprint"), "near_edited", "near_next", "fingerprint_id",
+        F.when(query, F.col("_within")).alias("n_within"), F.when(query, F.col("_near")).alias("near_ids"))

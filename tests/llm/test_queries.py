@@ -11,7 +11,7 @@ import pandas as pd
 import pytest
 
 import corpus_pipeline
-from sluice.llm import decontaminate, line_dedup, simhash_dedup, token_counts
+from sluice.llm import decontaminate, fingerprint, line_dedup, simhash_dedup, token_counts
 from sluice.llm.blocks import blocks
 from sluice.llm.graph import components
 from sluice.llm.queries import ORACLE_SQL, QUERIES
@@ -135,9 +135,16 @@ def test_fingerprints(spark):
         edited = t[:len(t) - q] + text[(i + 1) % len(text)][:q]
         assert got.n_chars[i] == len(t) and got.edited_sha256[i] == hashlib.sha256(edited.encode()).hexdigest()
     fp = [int(x, 16) for x in got.fingerprint]
-    for i in np.flatnonzero(docs.doc_id % 20 == 0):
-        assert got.n_within[i] == sum((fp[i] ^ x).bit_count() <= 3 for x in fp)
-    assert got.n_within.notna().sum() == (docs.doc_id % 20 == 0).sum()
+    least = {}
+    for x, d in zip(fp, docs.doc_id):
+        least[x] = min(d, least.get(x, d))
+    assert got.fingerprint_id.tolist() == [least[x] for x in fp]
+    asked = np.flatnonzero(docs.doc_id % 20 == 0)
+    for i in asked:
+        near = {x for x in fp if (fp[i] ^ x).bit_count() <= fingerprint.RADIUS}
+        assert got.n_within[i] == sum(x in near for x in fp)
+        assert list(got.near_ids[i]) == sorted(least[x] for x in near - {fp[i]})
+    assert got.n_within.notna().sum() == len(asked) == got.near_ids.notna().sum()
     assert (got.near_edited > got.near_next).mean() > 0.97
     for i in range(len(fp)):
         near = max(0.0, math.cos(math.pi * (fp[i] ^ fp[(i + 1) % len(fp)]).bit_count() / 128))
