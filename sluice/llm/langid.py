@@ -9,8 +9,9 @@ byte-weighted mean probability of that language.
 
 The network is trained in numpy on ``PER_LANGUAGE`` documents of each language
 (those of least id hash among the rows learnt from), up to ``TRAIN_WINDOWS``
-windows of each.  The sample's bound is what reaches the driver: a language
-beyond the ``MAX_LANGUAGES`` commonest is not learnt.
+windows of each, spread over the whole text and cut out where it is read: that
+is all that reaches the driver (a KB a document).  A language beyond the
+``MAX_LANGUAGES`` commonest is not learnt.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so
 is every text if no row has a language to learn; a null id is predicted, never
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import texts
+from .common import importable, texts
 from .nets import TextCNN, softmax
 
 WINDOW = 256
@@ -135,14 +136,27 @@ def fit(docs: DataFrame, learn: Column, id_col: str = "doc_id", text: str = "tex
     wanted = F.lit(False)
     for name, n in common:      # about per_language documents of each language, by the hash of their ids
         wanted |= (F.col(lang) == name) & (draw < 1.1 * per_language / n)
-    sample = rows.where(wanted).select(F.substring(text, 1, 1 << 16).alias("t"), lang, F.xxhash64(id_col).alias("o"))
-    taken = sample.limit(2 * per_language * max(1, len(common))).collect()
-    return Model([(r[0].encode(), r[1]) for r in sorted(taken, key=lambda r: (r[2], r[0]))])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """The windows that a text is learnt by, from all over it, cut out where the text is read."""
+        for batch in batches:
+            cut = []
+            for value in batch.column(0):
+                data = value.as_py().encode()
+                last = -(-len(data) // WINDOW) - 1
+                places = np.unique(np.linspace(0, last, TRAIN_WINDOWS).astype(int)).tolist()
+                cut.append(b"".join(data[k * WINDOW:(k + 1) * WINDOW] for k in places))
+            yield pa.RecordBatch.from_arrays([pa.array(cut, pa.binary()), batch.column(1), batch.column(2)], names=["t", "l", "o"])
+
+    sample = rows.where(wanted).select(text, lang, F.xxhash64(id_col).alias("o")).mapInArrow(spread, "t binary, l string, o long")
+    taken = sample.orderBy("o", "t", "l").limit(2 * per_language * max(1, len(common))).collect()
+    return Model([(bytes(r.t), r.l) for r in taken])
 
 
 def predict_language(docs: DataFrame, learn: Column, held_out: Column, id_col: str = "doc_id", text: str = "text",
                      lang: str = "lang") -> DataFrame:
     """``(id, held_out, lang_pred, score)`` of every row."""
+    importable(docs.sparkSession)
     spark = docs.sparkSession
     sent = spark.sparkContext.broadcast(fit(docs, F.coalesce(learn, F.lit(False)), id_col, text, lang))
     letter = F.coalesce(F.regexp_like(text, F.lit(r"\p{L}")), F.lit(False))
