@@ -11,9 +11,9 @@ by their hashes up to the partition's largest kept hash; a shared hash makes a
 candidate, which exact comparison of the shingles' text then accepts or not.
 
 Items are few against documents.  They are read in blocks of ``BLOCK_BYTES`` of
-text, and only one block's sketches are sent to the tasks at a time: whatever
-the number of items, what is broadcast stays bounded, and documents are never
-shuffled.
+text, and only one block is held by the driver and sent to the tasks at a time;
+with several, each block's step is stored and the block destroyed before the
+next is read.  Documents are never shuffled.
 
 Defined cases: a null or empty text, and one of fewer than five words, has no
 shingle: such an item never leaks and such a document never holds one; null ids
@@ -25,7 +25,7 @@ an empty table on either side gives no leaks; other columns are ignored (by
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import Words, grams, slices, texts
+from .common import Words, grams, importable, slices, stored, texts
 
 SHINGLE = 5
 CONTAINMENT = 0.8
@@ -102,27 +102,49 @@ class Sketches:
         return found
 
 
-def _blocks(items: DataFrame, id_col: str, text: str, n: int, containment: float) -> Iterator[Sketches]:
+def _blocks(items: DataFrame, id_col: str, text: str, n: int, containment: float) -> tuple[int, Iterator[Sketches]]:
+    """How many blocks the items make, and their sketches; a block is collected when it is asked for."""
     size = items.agg(F.coalesce(F.sum(F.octet_length(text)), F.lit(0))).first()[0]
     count = max(1, math.ceil(size / BLOCK_BYTES))
     block = F.pmod(F.xxhash64(id_col, text), F.lit(count))
-    for b in range(count):
+
+    def one(b: int) -> Sketches:
         rows = items.where(block == b).select(id_col, text).collect()
-        yield Sketches([(r[0], r[1]) for r in rows], n, containment)
+        return Sketches([(r[0], r[1]) for r in rows], n, containment)
+
+    return count, map(one, range(count))
+
+
+def _each(docs: DataFrame, blocks: tuple[int, Iterator[Sketches]], step: Callable, chained: bool) -> list[DataFrame]:
+    """``step(docs, sent block)`` for every block, each on the last one's result if ``chained``.
+
+    A lone block is sent and its step left to the caller's job.  Of several only
+    one is held at a time: its step is stored and the block destroyed before the
+    next is collected.
+    """
+    count, sketches = blocks
+    done = []
+    for one in sketches:
+        sent = docs.sparkSession.sparkContext.broadcast(one)
+        out = step(docs, sent)
+        if count > 1:
+            out = stored(out, "decontaminate")
+            sent.destroy()
+        done.append(out)
+        docs = out if chained else docs
+    return done
 
 
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text", item_id: str = "item_id",
           item_text: str = "text", shingle: int = SHINGLE, containment: float = CONTAINMENT) -> DataFrame:
     """``(id, item id, item_shingles, shared, containment)`` of every leak."""
-    spark = docs.sparkSession
+    importable(docs.sparkSession)
     fields = [docs.schema[id_col], items.schema[item_id]]
     schema = T.StructType([*fields, T.StructField("item_shingles", T.LongType()), T.StructField("shared", T.LongType()),
                            T.StructField("containment", T.DoubleType())])
-    parts = []
-    for sketches in _blocks(items, item_id, item_text, shingle, containment):
-        sent = spark.sparkContext.broadcast(sketches)
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+    def step(rows: DataFrame, sent) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index = sent.value
             arrow = None
             for batch in batches:
@@ -138,25 +160,28 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str =
                          pa.array(m, pa.int64()), pa.array(shared, pa.int64()),
                          pc.divide(pa.array(shared, pa.float64()), pa.array(m, pa.float64()))], names=schema.names)
 
-        parts.append(docs.select(id_col, text).mapInArrow(run, schema))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.union(p)
-    return out
+        return rows.mapInArrow(run, schema)
+
+    blocks = _blocks(items, item_id, item_text, shingle, containment)
+    first, *rest = _each(docs.select(id_col, text), blocks, step, False)
+    for part in rest:
+        first = first.union(part)
+    return first
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, text: str = "text", item_id: str = "item_id",
                   item_text: str = "text", shingle: int = SHINGLE, containment: float = CONTAINMENT) -> DataFrame:
     """The rows of ``docs`` that hold no item."""
-    for sketches in _blocks(items, item_id, item_text, shingle, containment):
-        sent = docs.sparkSession.sparkContext.broadcast(sketches)
+    importable(docs.sparkSession)
 
-        def run(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
+    def step(rows: DataFrame, sent) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for part in slices(batch, text):
                     clean = np.ones(part.num_rows, bool)
                     clean[[doc for doc, _, _ in sent.value.leaks(*texts(part.column(text)))]] = False
                     yield part.filter(pa.array(clean))
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+        return rows.mapInArrow(run, rows.schema)
+
+    return _each(docs, _blocks(items, item_id, item_text, shingle, containment), step, True)[-1]
