@@ -47,7 +47,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .blocks import blocks
-from .common import mix, others, powers, slices, stored
+from .common import importable, mix, others, powers, slices, stored
 from .graph import components
 
 THRESHOLD = 2
@@ -526,6 +526,7 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
     Adds ``n_lines`` (of the text as it was), ``n_removed`` and ``removed``: for
     every line that went, its number and the document and line that stay for it.
     """
+    importable(docs.sparkSession)
     keep = others(docs, *_RESULTS, *_INNER)
     classes = line_classes(docs, text, threshold, least)
     lines = _occurrences(docs, id_col, text, least)
