@@ -23,7 +23,7 @@ from .plans.ingest import chain_breaks, decode_pages, event_rows, ingest_batch,
 from .session import checkpoint_root, ensure_semantics, local_session  # noqa: F401
 from .sources.generate import generate_events, mock_pages  # noqa: F401
 from .sources.key_index import KeyIndex  # noqa: F401
-from .sources.ordered import serve_stored_keys, serve_stored_page, write_ordered  # noqa: F401
+from .sources.ordered import export_ordered, serve_stored_keys, serve_stored_page, write_ordered  # noqa: F401
 from .sources.pages import land_pages, land_pages_in_order, scan_pages  # noqa: F401
 from .sources.sinks import (batch_key, compact_partitions, export_keys,  # noqa: F401
                            read_committed, write_event_partition)

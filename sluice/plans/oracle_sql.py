@@ -323,6 +323,10 @@ SELECT rn // {C} AS chunk_no, min(k) AS first_key, max(k) AS last_key, count(*)
 FROM r GROUP BY rn // {C}"""
 
     q["export_keys"] = f"SELECT DISTINCT {_ID} AS value FROM events"
+    q["export_ordered"] = q["export_keys"]
+    q["payload_fields"] = f"""WITH {one},
+{_winners(1)}
+SELECT {_ID} AS event_id, event_type, {_COPY} AS copy_tag FROM win"""
 
     first_keys = """CASE rn % 3 WHEN 0 THEN 'eventId' WHEN 1 THEN 'event_id' ELSE 'id' END ||
   CASE WHEN rn % 37 = 36 THEN '' WHEN rn % 41 = 40 THEN ',occurredAt,timestamp'

@@ -24,7 +24,7 @@ from ..operators.flush import assign_flush_batches, flush_rollup
 from ..session import ensure_semantics, scratch_path
 from ..sources import fixtures as FX
 from ..sources.pages import land_pages, land_pages_in_order, scan_pages
-from ..sources.ordered import serve_stored_keys, serve_stored_page, write_ordered
+from ..sources.ordered import export_ordered, serve_stored_keys, serve_stored_page, write_ordered
 from ..sources.sinks import batch_key, export_keys, read_committed
 from ..plans.ingest import decode_pages, event_rows, ingest_batch, page_events
 
@@ -510,6 +510,23 @@ def q_export_keys(spark, sf_dir):
     return spark.read.text(path)
 
 
+def q_export_ordered(spark, sf_dir):
+    """O6 from the event table stored in key order: exported range by range without an exchange, read back."""
+    path, out = scratch_path(spark, "export-ordered"), scratch_path(spark, "export-ranges")
+    ids = _ingested(spark, sf_dir).select("event_id")
+    write_ordered(ids, path, ["event_id"], rows_per_range=-(-ids.count() // 10))
+    export_ordered(spark, path, out, "event_id")
+    return spark.read.text(out).select("value")
+
+
+def q_payload_fields(spark, sf_dir):
+    """Fields of the stored payload; the scan reads their shredded columns only."""
+    path = scratch_path(spark, "payloads")
+    ingest_batch(fixture_pages(spark, sf_dir)).select("event_id", "payload").write.mode("overwrite").parquet(path)
+    stored = spark.read.parquet(path)
+    return stored.select("event_id", _pl("eventType", "string").alias("event_type"), _pl("copy", "bigint").alias("copy_tag"))
+
+
 def q_page_shape(spark, sf_dir):
     """Structural profile of every landed page."""
     shape = PR.page_shape(fixture_pages(spark, sf_dir))
@@ -580,6 +597,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stored_keyset_page": q_stored_keyset_page,
     "keyset_chunks": q_keyset_chunks,
     "export_keys": q_export_keys,
+    "export_ordered": q_export_ordered,
+    "payload_fields": q_payload_fields,
     "page_shape": q_page_shape,
     "field_profile": q_field_profile,
     "pending": q_pending,

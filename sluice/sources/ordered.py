@@ -90,3 +90,22 @@ def serve_stored_keys(spark: SparkSession, path: str, key: str, after, limit: in
             break
     rows = _ranges(spark, path, chosen, None if after is None else F.col(key) > F.lit(after))
     return rows.orderBy("row_idx").limit(int(limit))
+
+
+def export_ordered(spark: SparkSession, path: str, out: str, key: str) -> DataFrame:
+    """O6 from an ordered table: one text file for each range, by ``key``, one a line; returns what was planned to be written.
+
+    The ranges are sorted files already, so nothing is exchanged: a task reads one
+    file and writes it, below ``range=000012``, and the files in path order are the
+    whole table in order.  Files are kept whole by the reading session's own settings.
+    """
+    own = spark.newSession()
+    largest = max((f["length"] for f in spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                   .option("recursiveFileLookup", "true").load(f"{path.rstrip('/')}/data").agg(F.max("length").alias("length")).collect()
+                   if f["length"] is not None), default=1)
+    for name in ("maxPartitionBytes", "openCostInBytes"):
+        own.conf.set(f"spark.sql.files.{name}", str(largest + 1))
+    rows = (_data(own, path).sortWithinPartitions(_RANGE, _LOCAL)
+            .select(F.lpad(F.col(_RANGE).cast("string"), 6, "0").alias("range"), F.col(key).cast("string").alias("value")))
+    rows.write.mode("overwrite").partitionBy("range").text(out)
+    return rows

@@ -109,3 +109,33 @@ def test_ordered_empty_table(spark):
     assert serve_stored_page(spark, path, 10, None).collect() == []
     assert serve_stored_keys(spark, path, "k", None, 10).collect() == []
     assert serve_stored_page(spark, path, 10, None).columns == ["k", "v", "row_idx"]
+
+
+def test_export_by_ranges_without_an_exchange(spark):
+    import glob
+    from sluice.sources.ordered import export_ordered
+    keys = [f"id-{i * 7919 % 5000:05d}" for i in range(5000)] + ["id-00007"] * 300
+    df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(6)
+    path, out = scratch_path(spark, "x-data"), scratch_path(spark, "x-out")
+    write_ordered(df, path, ["k"], rows_per_range=400)
+    planned = export_ordered(spark, path, out, "k")
+    assert "Exchange" not in planned._jdf.queryExecution().executedPlan().toString()
+    files = sorted(glob.glob(out.replace("file:", "") + "/range=*/*.txt"))
+    assert len(files) == len({f.split("range=")[1][:6] for f in files}) == 14      # one file for each range
+    lines = [x for f in files for x in open(f).read().split()]
+    assert lines == sorted(keys)
+    assert spark.conf.get("spark.sql.files.openCostInBytes") != str(10 ** 9)       # the caller's session keeps its settings
+
+
+def test_payload_fields_read_shredded_columns(spark):
+    pages = pages_df(spark, _bodies(4), request_cursors=[None, "c1", "c2", "c3"])
+    path = scratch_path(spark, "shred")
+    ingest_batch(pages).write.mode("overwrite").parquet(path)
+    df = spark.read.parquet(path).select(F.try_variant_get("payload", "$.n", "bigint").alias("n"))
+    schema = df._jdf.queryExecution().executedPlan().toString().split("ReadSchema: ")[1]
+    assert schema.startswith("struct<payload:struct<0:bigint")
+    import pyarrow.parquet as pq
+    import glob
+    names = pq.ParquetFile(glob.glob(path.replace("file:", "") + "/*.parquet")[0]).schema
+    assert any("typed_value" in str(names.column(i).path) and ".n." in str(names.column(i).path) for i in range(len(names.names)))
+    assert sorted(r.n for r in df.collect()) == sorted(_table_of(pages).values())
