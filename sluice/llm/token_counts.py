@@ -12,7 +12,7 @@ scanned in one task.  What is shuffled is a row for each document, not tokens.
 ``write_tokens`` makes such files from texts with a public tokenizer.  Tasks
 write straight to the shared folder, one file for each attempt, and return the
 list of documents in file order; that list names the files that count, so what
-a failed attempt leaves behind is never read as a result.  Files are read and
+a failed attempt leaves behind is not read.  Files are read and
 written through ``pyarrow.fs`` (local or mounted paths, ``hdfs``, ``s3``, ``gs``).
 
 Defined cases: a null or empty text has 0 tokens; text that spells a special
@@ -93,12 +93,17 @@ def write_tokens(docs: DataFrame, folder: str, id_col: str = "doc_id", text: str
 
 
 def scan_tokens(spark: SparkSession, folder: str, end: int = END, dtype: str = DTYPE,
-                block_tokens: int = BLOCK_TOKENS) -> DataFrame:
-    """``(file, doc_no, start, n_tokens, closed)`` of every document of the ``.bin`` files of a folder."""
+                block_tokens: int = BLOCK_TOKENS, named: DataFrame | None = None) -> DataFrame:
+    """``(file, doc_no, start, n_tokens, closed)`` of every document of the ``.bin`` files of a folder.
+
+    ``named``: only the files that this list names (column ``file``) are read.
+    """
     width = np.dtype(dtype).itemsize
     size = width * block_tokens
     files = (spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(folder)
              .where("length > 0").select(F.element_at(F.split("path", "/"), -1).alias("file"), "length"))
+    if named is not None:
+        files = files.join(named.select("file").distinct(), "file", "left_semi")
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     todo = (files.select("file", "length", F.explode(F.sequence(F.lit(0), ((F.col("length") - 1) / size).cast("long"))).alias("block"))
             .repartition(parts, "file", "block"))
@@ -144,4 +149,4 @@ def count_tokens(docs: DataFrame, id_col: str = "doc_id", text: str = "text", pa
     spark = docs.sparkSession
     folder = scratch_path(spark, "tokens")
     listed = write_tokens(docs, folder, id_col, text, path)
-    return listed.join(scan_tokens(spark, folder), ["file", "doc_no"]).select(id_col, "n_tokens")
+    return listed.join(scan_tokens(spark, folder, named=listed), ["file", "doc_no"]).select(id_col, "n_tokens")

@@ -294,3 +294,15 @@ def test_forest_with_counts_links_what_all_pairs_link():
 
     pairs = [(i, j) for i in range(len(lines)) for j in range(i) if linked(lines[i], lines[j])]
     assert pairs and parts(line_dedup.forest(lines, 2)) == parts(pairs)
+
+
+def test_leftover_token_files_are_not_read(spark):
+    from sluice.llm import token_counts
+    from sluice.session import scratch_path
+    folder = scratch_path(spark, "leftover")
+    docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string").coalesce(1)
+    listed = token_counts.write_tokens(docs, folder)
+    with open(folder.removeprefix("file:") + "/tokens-000009-99.bin", "wb") as f:
+        f.write(b"odd")                              # of an attempt that was lost half way
+    rows = token_counts.scan_tokens(spark, folder, named=listed).collect()
+    assert sorted(r.n_tokens for r in rows) == [0, 2] and len({r.file for r in rows}) == 1
