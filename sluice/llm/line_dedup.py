@@ -58,9 +58,10 @@ LONG = 40                   # lines of so many words are keyed by winnowed grams
 GRAM, WINDOW = 5, 8
 BLOCK = 256                 # lines of one key compared in one row
 SEEN = 1 << 21              # line hashes a task remembers as already keyed
-BINS = 64                   # of a line's counts of code points and words
+BINS = 32                   # of a line's counts of code points, and of words
+MEMBERS = 1 << 15           # lines compared together
 FIRST_KEYS = 16             # of a line's shared keys go with it
-FEW = 6                     # so few lines are compared without counting
+FEW = 128                   # lines of one key up to which all their pairs are met at once
 BLOOM_BITS = 1 << 24
 _SLICE = 1 << 20
 _BLANK = np.array([chr(i).isspace() for i in range(0x3002)])
@@ -143,7 +144,7 @@ class InWords(Lines):
         first = wide | (narrow & ~np.append(False, narrow)[:-1])
         last = wide | (narrow & ~np.append(narrow, False)[1:])
         begin, self.hash = np.flatnonzero(first), lines.hash
-        word = lines.piece(begin, np.flatnonzero(last) + 1)
+        self.word = word = lines.piece(begin, np.flatnonzero(last) + 1)
         self.start, self.end = np.searchsorted(begin, lines.start), np.searchsorted(begin, lines.end)
         up, self.down = powers(len(word) + 1)
         self.total = np.zeros(len(word) + 1, np.uint64)
@@ -271,74 +272,139 @@ def within(a: Sequence, b: Sequence, threshold: int) -> bool:
     return distance <= k
 
 
-def _profile(items: list[Sequence]) -> np.ndarray:
-    """How often each item holds the elements of each of ``BINS`` bins; equal elements share a bin."""
-    of = np.repeat(np.arange(len(items)), [*map(len, items)])
-    known: dict = {}
-    bins = np.array([known.setdefault(x, len(known)) for item in items for x in item], np.int64) % BINS
-    return np.bincount(of * BINS + bins, minlength=len(items) * BINS).reshape(-1, BINS)
+def _inside(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the range, and place, of every element of some ranges."""
+    size = end - start
+    of = np.repeat(np.arange(len(size)), size)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + start[of]
 
 
-def _letters(lines: list[str]) -> np.ndarray:
-    """How often each line holds the code points of each of ``BINS`` hash bins."""
-    cp = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.int64)
-    of = np.repeat(np.arange(len(lines)), [*map(len, lines)])
-    return np.bincount(of * BINS + cp * 2654435761 % 4294967291 % BINS, minlength=len(lines) * BINS).reshape(-1, BINS)
-
-
-def forest(lines: list[str], threshold: int, smaller: list[frozenset] | None = None) -> list[tuple[int, int]]:
-    """Edges of a spanning forest of the links among the lines (breadth first).
+def sketches(lines: Lines, words: InWords, rows: np.ndarray) -> np.ndarray:
+    """How often each line holds the code points and the words of each of ``BINS`` bins, 255 at most, as bytes.
 
     An edit changes the counts of code points, and one of words those of words, by
-    two at most; whoever differs by more, counted in hash bins, is not compared.
-    ``smaller``: keys of each line before the one that they share here.  A pair that
-    shares one of these too is left to it: it is compared under its first key only.
+    two at most; bins and the cap only lower a difference.
     """
-    if smaller is None or not any(smaller):
-        own = None
-    else:
-        own = np.zeros((len(lines), len(lines)), bool)
-        for i, x in enumerate(smaller):
-            own[i] = [x.isdisjoint(y) for y in smaller] if x else True
-        np.fill_diagonal(own, False)
-        if not own.any():
-            return []
-    words = [_WORD.findall(x) for x in lines]
-    length, size = np.array([*map(len, lines)]), np.array([*map(len, words)])
-    few = len(lines) < FEW
-    letters, counts = (None, None) if few else (_letters(lines), _profile(words))
-
-    def near(u: int, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Who may be within the threshold of ``u``, and who within the words that may differ."""
-        allowed = np.minimum(size[u], size[others]) // WORDS
-        by_letter = np.abs(length[others] - length[u]) <= threshold
-        by_word = (np.abs(size[others] - size[u]) <= allowed) & (allowed > 0)
-        if not few:
-            for some, profile, most in ((by_letter, letters, np.full(len(others), threshold)), (by_word, counts, allowed)):
-                k = np.flatnonzero(some)
-                some[k] = np.abs(profile[others[k]] - profile[u]).sum(axis=1) <= 2 * most[k]
+    parts = []
+    for where, value in ((lines, lines.cp.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), (words, words.word)):
+        of, at = _inside(where.start[rows], where.end[rows])
+        bins = (value[at] >> np.uint64(40)).astype(np.int64) % BINS
+        parts.append(np.bincount(of * BINS + bins, minlength=len(rows) * BINS).reshape(-1, BINS))
+    return np.minimum(np.concatenate(parts, axis=1), 255).astype(np.uint8)
+
+
+def verified(a: str, b: str, by_letter: bool, by_word: bool, threshold: int) -> bool:
+    """Whether two lines are linked, as far as what their sketches leave open."""
+    if by_word:
+        x, y = _WORD.findall(a), _WORD.findall(b)
+        if within(x, y, min(len(x), len(y)) // WORDS):
+            return True
+    return by_letter and within(a, b, threshold)
+
+
+class Block:
+    """Lines that share keys: sizes in code points and words, and sketches."""
+
+    def __init__(self, letters: np.ndarray, words: np.ndarray, sketch: np.ndarray, threshold: int):
+        self.letters, self.words, self.sketch, self.threshold = letters, words, sketch, threshold
+
+    def near(self, u: np.ndarray, v: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of pairs of lines: which may be within the threshold, and which within the words that may differ."""
+        allowed = np.minimum(self.words[u], self.words[v]) // WORDS
+        by_letter = np.abs(self.letters[u] - self.letters[v]) <= self.threshold
+        by_word = (allowed > 0) & (np.abs(self.words[u] - self.words[v]) <= allowed)
+        for some, part, most in ((by_letter, slice(0, BINS), np.full(len(u), self.threshold)), (by_word, slice(BINS, None), allowed)):
+            k = np.flatnonzero(some)
+            for at in range(0, len(k), 1 << 14):
+                j = k[at:at + (1 << 14)]
+                differ = np.abs(self.sketch[u[j], part].astype(np.int16) - self.sketch[v[j], part]).sum(axis=1)
+                some[j] = differ <= 2 * most[j]
         return by_letter, by_word
 
-    left, edges = np.arange(len(lines)), []
-    while len(left):
-        queue, left = [int(left[0])], left[1:]
-        while queue and len(left):
-            u = queue.pop()
-            gone = np.zeros(len(left), bool)
-            by_letter, by_word = near(u, left)
-            if own is not None:
-                by_letter, by_word = by_letter & own[u, left], by_word & own[u, left]
-            for k in np.flatnonzero(by_letter | by_word).tolist():
-                v = int(left[k])
-                if (by_word[k] and within(words[u], words[v], min(len(words[u]), len(words[v])) // WORDS)
-                        or by_letter[k] and within(lines[u], lines[v], threshold)):
-                    edges.append((u, v))
-                    queue.append(v)
-                    gone[k] = True
-            left = left[~gone]
+
+def _pairs(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All pairs inside each of some ranges."""
+    of, at = _inside(begin, end)
+    u, k = _inside(at + 1, end[of])
+    return at[u], k
+
+
+def block_forest(block: Block, begin: np.ndarray, end: np.ndarray, text, smaller: list[frozenset]) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the verified links inside each range of lines.
+
+    ``smaller``: keys of each line before the one that its range shares.  A pair that
+    shares one of these too is left to it: it is compared under its first key only.
+    Pairs are met a bounded number at a time; what is already connected is not compared.
+    """
+    up = list(range(len(smaller)))
+    edges = []
+
+    def find(x: int) -> int:
+        while up[x] != x:
+            up[x] = up[up[x]]
+            x = up[x]
+        return x
+
+    def compare(u: np.ndarray, v: np.ndarray) -> None:
+        by_letter, by_word = block.near(u, v)
+        for k in np.flatnonzero(by_letter | by_word).tolist():
+            x, y = int(u[k]), int(v[k])
+            a, b = find(x), find(y)
+            if a != b and smaller[x].isdisjoint(smaller[y]) and verified(text(x), text(y), by_letter[k], by_word[k], block.threshold):
+                up[max(a, b)] = min(a, b)
+                edges.append((x, y))
+
+    size = end - begin
+    large = size > FEW
+    # Small ranges together, as many as make about a million pairs; a large one line by line.
+    small = np.flatnonzero(~large)
+    if len(small):
+        part = np.cumsum(size[small] ** 2) // (1 << 21)
+        for k in np.split(small, np.flatnonzero(np.diff(part)) + 1):
+            compare(*_pairs(begin[k], end[k]))
+    for r in np.flatnonzero(large).tolist():
+        left, stop = np.arange(begin[r], end[r]), 0
+        while len(left):                          # breadth first, so that what a line links to goes at once
+            queue, left = [int(left[0])], left[1:]
+            while queue and len(left):
+                u, known = queue.pop(), len(edges)
+                compare(np.full(len(left), u), left)
+                linked = {y for _, y in edges[known:]}
+                queue += linked
+                left = left[[v not in linked for v in left.tolist()]] if linked else left
     return edges
 
 
+def forest(lines: list[str], threshold: int) -> list[tuple[int, int]]:
+    """Edges of a spanning forest of the links among a few lines (without line ends inside)."""
+    found = Lines(lines)
+    words, rows = InWords(found), np.arange(len(lines))
+    block = Block(found.end - found.start, words.end - words.start, sketches(found, words, rows), threshold)
+    return block_forest(block, np.array([0]), np.array([len(lines)]), lines.__getitem__, [frozenset()] * len(lines))
+
+
+def linked_lines(batch: pa.RecordBatch, threshold: int) -> pa.RecordBatch:
+    """``(a, b)``: verified links inside each row's ``members``, those of which the row's key ``k`` is the first they share."""
+    column = batch.column("members")
+    start = column.offsets.to_numpy().astype(np.int64)
+    start -= start[0]
+    line, said, sketch, letters, words, ks = column.flatten().flatten()[:6]
+    n = len(line)
+    bounds = ks.offsets.to_numpy().astype(np.int64)
+    of, at = _inside(bounds[:-1], bounds[1:])
+    values = ks.values.to_numpy()[at]
+    less = values < np.repeat(batch.column("k").to_numpy(), np.diff(start))[of]
+    stop = np.append(0, np.cumsum(np.bincount(of[less], minlength=n))).tolist()
+    values = values[less].tolist()
+    smaller = [frozenset(values[i:j]) for i, j in zip(stop, stop[1:])]
+    rows = np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(n, 2 * BINS)
+    block = Block(letters.to_numpy(), words.to_numpy(), rows, threshold)
+    edges = block_forest(block, start[:-1], start[1:], lambda i: said[i].as_py(), smaller)
+    u, v = np.array(edges, np.int64).reshape(-1, 2).T
+    ids = line.to_numpy()
+    return pa.RecordBatch.from_arrays([pa.array(ids[u]), pa.array(ids[v])], names=["a", "b"])
+
+
 def _signatures(docs: DataFrame, text: str, threshold: int, least: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen = np.zeros(0, np.uint64)
@@ -438,8 +504,9 @@ def _in_bloom(packed: np.ndarray, h: np.ndarray) -> np.ndarray:
 
 
 def _texts(docs: DataFrame, text: str, lines: DataFrame, least: int) -> DataFrame:
-    """``(line, t)``: a text of every line hash in ``lines``; stored."""
+    """``(line, t, sketch, letters, words)``: a text of every line hash in ``lines``, its sketch and sizes; stored."""
     sent = docs.sparkSession.sparkContext.broadcast(_bloom(lines))
+    names = ["line", "t", "sketch", "letters", "words"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -450,11 +517,17 @@ def _texts(docs: DataFrame, text: str, lines: DataFrame, least: int) -> DataFram
                 rows = [r for r in rows.tolist() if (h := int(found.hash[r])) not in seen and not seen.add(h)]
                 if len(seen) > SEEN // 8:
                     seen = set()
-                yield pa.RecordBatch.from_arrays([pa.array(found.hash[rows].astype(np.int64), pa.int64()),
-                                                  pa.array([found.text(r) for r in rows], pa.string())], names=["line", "t"])
+                if not rows:
+                    continue
+                words, k = InWords(found), np.array(rows)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.hash[k].astype(np.int64)), pa.array([found.text(r) for r in rows], pa.string()),
+                     pa.array([x.tobytes() for x in sketches(found, words, k)], pa.binary()),
+                     pa.array(found.end[k] - found.start[k]), pa.array(words.end[k] - words.start[k])], names=names)
 
-    done = stored(docs.select(text).mapInArrow(run, "line long, t string").join(lines, "line", "left_semi")
-                  .groupBy("line").agg(F.min("t").alias("t")), "line-texts")
+    fields = F.struct("t", "sketch", "letters", "words")
+    done = stored(docs.select(text).mapInArrow(run, "line long, t string, sketch binary, letters long, words long")
+                  .join(lines, "line", "left_semi").groupBy("line").agg(F.min(fields).alias("_")).select("line", "_.*"), "line-texts")
     sent.destroy()
     return done
 
@@ -473,16 +546,16 @@ def line_classes(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            a, b = [], []
-            for scalar in batch.to_struct_array():        # one block at a time as Python objects
-                row, key = scalar["members"].as_py(), scalar["k"].as_py()
-                smaller = [frozenset(x for x in m["ks"] if x < key) for m in row]
-                for u, v in forest([m["t"] for m in row], threshold, smaller):
-                    a.append(row[u]["line"])
-                    b.append(row[v]["line"])
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    linked = components(blocks(members, ["k"], ["line", "t", "ks"], BLOCK).select("k", "members").mapInArrow(run, "a long, b long"))
+            stops = np.cumsum(np.diff(batch.column("members").offsets.to_numpy()), dtype=np.int64)
+            at = 0
+            while at < len(stops):                    # rows of about MEMBERS lines together
+                before = stops[at - 1] if at else 0
+                to = max(at + 1, int(np.searchsorted(stops, before + MEMBERS, side="right")))
+                yield linked_lines(batch.slice(at, to - at), threshold)
+                at = to
+
+    value = ["line", "t", "sketch", "letters", "words", "ks"]
+    linked = components(blocks(members, ["k"], value, BLOCK).select("k", "members").mapInArrow(run, "a long, b long"))
     exact = F.unhex(F.substring(F.sha2("t", 256), 1, 2 * DIGEST)).alias("exact")
     return linked.join(found.select(F.col("line").alias("node"), exact), "node")
 

@@ -263,7 +263,7 @@ def test_unlike_lines_with_one_hash_both_stay(spark):
     assert got == {1: one, 2: other, 3: "", 4: ""}
 
 
-def test_forest_with_counts_links_what_all_pairs_link():
+def test_forest_with_sketches_links_what_all_pairs_link(monkeypatch):
     rng = np.random.default_rng(11)
     words = ["w%d" % i for i in range(60)]
     lines = []
@@ -293,16 +293,18 @@ def test_forest_with_counts_links_what_all_pairs_link():
         return [find(i) for i in range(len(lines))]
 
     pairs = [(i, j) for i in range(len(lines)) for j in range(i) if linked(lines[i], lines[j])]
-    assert pairs and parts(line_dedup.forest(lines, 2)) == parts(pairs)
-
-
-def test_leftover_token_files_are_not_read(spark):
-    from sluice.llm import token_counts
-    from sluice.session import scratch_path
-    folder = scratch_path(spark, "leftover")
-    docs = spark.createDataFrame([(1, "one two"), (2, None)], "doc_id long, text string").coalesce(1)
-    listed = token_counts.write_tokens(docs, folder)
-    with open(folder.removeprefix("file:") + "/tokens-000009-99.bin", "wb") as f:
-        f.write(b"odd")                              # of an attempt that was lost half way
-    rows = token_counts.scan_tokens(spark, folder, named=listed).collect()
-    assert sorted(r.n_tokens for r in rows) == [0, 2] and len({r.file for r in rows}) == 1
+    found = line_dedup.Lines(lines)
+    words, n = line_dedup.InWords(found), len(lines)
+    assert [*(words.end - words.start)] == [len(line_dedup._WORD.findall(x)) for x in lines]
+    sketch = line_dedup.sketches(found, words, np.arange(n))
+    block = line_dedup.Block(found.end - found.start, words.end - words.start, sketch, 2)
+    whole = np.array([0]), np.array([n])
+    none = [frozenset()] * n
+    for few in (line_dedup.FEW, 4):                  # all pairs at once, and line by line
+        monkeypatch.setattr(line_dedup, "FEW", few)
+        assert pairs and parts(line_dedup.block_forest(block, *whole, lines.__getitem__, none)) == parts(pairs)
+    assert parts(line_dedup.forest(lines, 2)) == parts(pairs)
+    # A pair that shares an earlier key is left to it.
+    keyed = [frozenset([7]) if i in pairs[0] else frozenset() for i in range(n)]
+    assert set(line_dedup.block_forest(block, *whole, lines.__getitem__, keyed)).isdisjoint({pairs[0], pairs[0][::-1]})
+    assert [line_dedup._pairs(np.array([2, 9]), np.array([5, 10]))[k].tolist() for k in (0, 1)] == [[2, 2, 3], [3, 4, 4]]
