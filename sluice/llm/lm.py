@@ -276,7 +276,7 @@ class Heavy:
 _SCORED = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("n_known", T.LongType()),
                         T.StructField("base", T.DoubleType()), T.StructField("score", T.DoubleType()),
                         T.StructField("rare", T.ArrayType(T.LongType())),
-                        T.StructField("spelled", T.ArrayType(T.FloatType()))])
+                        T.StructField("spelled", T.ArrayType(T.DoubleType()))])
 
 
 def _score(rows: DataFrame, text: str, sent) -> DataFrame:
@@ -305,7 +305,7 @@ def _score(rows: DataFrame, text: str, sent) -> DataFrame:
                      pa.array(np.bincount(of, heavy.base[at], n) + heavy.end_base),
                      pa.array(np.bincount(of, heavy.log10[at], n) + heavy.end),
                      pa.ListArray.from_arrays(pa.array(lists), pa.array(w.hash[rare].view(np.int64))),
-                     pa.ListArray.from_arrays(pa.array(lists), pa.array(spelled[back].astype(np.float32)))],
+                     pa.ListArray.from_arrays(pa.array(lists), pa.array(spelled[back]))],
                     names=schema.names)
 
     return rows.mapInArrow(run, schema)
@@ -348,7 +348,7 @@ def score_documents(docs: DataFrame, train: Column, held_out: Column, id_col: st
     scored = stored(_score(rows, text, spark.sparkContext.broadcast(heavy)), "scored")
     light = _hashed(counts.where(F.col("c") < least))
     new = max(1, distinct)
-    spelled = F.col("r.spelled").cast("double")
+    spelled = F.col("r.spelled")
     word = (F.when(F.col("c").isNull(), spelled + math.log10(new / (tokens + new)))
             .otherwise(F.log10((F.col("c") + new * F.pow(F.lit(10.0), spelled)) / (tokens + new))))
     met = (scored.select("_row", F.explode(F.arrays_zip("rare", "spelled")).alias("r"))

@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import re
 import zlib
 from collections import Counter
 
@@ -209,13 +210,48 @@ def test_lm_base_score_and_probability(spark):
     assert (got.score < 0).all() and per_token.mean() > (got.base_score / got.n_tokens).mean() - 1.0
 
 
+@pytest.mark.parametrize("heavy", [1 << 20, 50])
+def test_lm_score_against_a_plain_lattice(spark, monkeypatch, heavy):
+    """The score of whole documents, each word's segmentations summed one by one."""
+    from sluice.llm import lm
+    from sluice.llm.common import fold
+    monkeypatch.setattr(lm, "HEAVY", heavy)
+    table = spark.read.parquet(f"{SMALL}/documents.parquet")
+    got = result(spark, "op9_lm_score", SMALL)
+    learnt = table.where(fold("doc_id", 10) != 0)
+    pieces, weights = lm.vocabulary()
+    counts, ends = lm.word_counts(learnt), learnt.count()
+    lattice = lm._fit(counts, ends, pieces, weights, lm.ROUNDS)
+    logp = dict(zip(pieces, lattice.logp))
+    c = {r.word.encode(): r.c for r in counts.collect()}
+    n, k = sum(c.values()) + ends, len(c) + 1
+    known = {}
+
+    def spelled(word):
+        if word not in known:
+            data = b" " + word
+            ways = [0.0] + [-math.inf] * len(data)
+            for j in range(1, len(data) + 1):
+                for i in range(max(0, j - lattice.longest), j):
+                    if data[i:j] in logp:
+                        ways[j] = np.logaddexp(ways[j], ways[i] + logp[data[i:j]])
+            known[word] = ways[-1]
+        return known[word]
+
+    end = math.log10((ends + k * math.exp(lattice.end)) / (n + k))
+    for doc_id, text in documents(SMALL)[["doc_id", "text"]].iloc[::7].itertuples(index=False):
+        words = re.findall(rb"[^\x20\x09-\x0d]+", text.encode().lower())
+        want = end + sum(math.log10((c.get(w, 0) + k * math.exp(spelled(w))) / (n + k)) for w in words)
+        assert abs(got.score[got.doc_id == doc_id].iloc[0] - want) < 1e-6 * max(1, abs(want))
+
+
 def test_lm_light_words_join_equals_the_broadcast(spark, monkeypatch):
     from sluice.llm import lm
     whole = result(spark, "op9_lm_score", SMALL)
     monkeypatch.setattr(lm, "HEAVY", 50)       # nearly all words go through the join
     split = result(spark, "op9_lm_score", SMALL)
     assert np.allclose(whole.base_score, split.base_score, atol=1e-6) and (whole.n_known == split.n_known).all()
-    assert np.allclose(whole.score, split.score, rtol=1e-4)
+    assert np.allclose(whole.score, split.score, rtol=1e-10)
 
 
 def water_level(sizes, weights, total, cap):
