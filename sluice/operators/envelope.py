@@ -28,7 +28,7 @@ ERR_UNREADABLE = "Landed pages: unreadable line"
 ERR_RELANDED = "Landed pages: page landed more than once"
 ERR_GAP = "Landed pages: previous page missing"
 # Parsed bodies are limited by the VARIANT type (bytes, also of a text value in it).
-VARIANT_BYTES = 16 << 20
+VARIANT_BYTES = 128 << 20
 
 
 def _items(v: Column) -> Column:
