@@ -1,0 +1,61 @@
+"""One very long text without white space through every operator; nulls, repeats and empty texts through the pipeline."""
+
+import pytest
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from sluice.llm import alignment, decontaminate
+from test_edges import OPERATORS
+
+SMALL = "/root/testdata/sf0.001"
+SOLID = "xyz" * 40_000 + "é" * 30_000
+
+
+@pytest.fixture(scope="module")
+def solid(spark):
+    rows = [(1, SOLID), (2, SOLID), (3, "a short text of a few plain words here"), (4, SOLID[:-1] + "q")]
+    return spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows],
+                                 "doc_id long, text string, lang string, source string, n_chars long").repartition(2).cache()
+
+
+@pytest.fixture(scope="module")
+def some_labels(spark):
+    return spark.createDataFrame([(1, 1, 0), (2, 0, 1), (3, 1, 0), (4, 0, 1)], "doc_id long, quality int, toxic int")
+
+
+@pytest.mark.parametrize("name", OPERATORS)
+def test_one_long_word(name, solid, some_labels):
+    rows = OPERATORS[name](solid, some_labels).collect()
+    assert sorted(r.doc_id for r in rows) == [1, 2, 3, 4]
+    if name == "simhash":
+        assert [r.component_id for r in sorted(rows)][:2] == [1, 1]
+    if name == "lines":
+        assert [r.text for r in sorted(rows)] == [SOLID, "", "a short text of a few plain words here", ""]
+    if name == "fingerprint":
+        assert len({r.fingerprint for r in rows if r.doc_id < 3}) == 1
+
+
+def test_one_long_word_and_the_others(spark, solid):
+    items = spark.createDataFrame([(1, "a short text of a few"), (2, SOLID)], "item_id long, text string")
+    assert [(r.doc_id, r.item_id) for r in decontaminate.leaks(solid, items).collect()] == [(3, 1)]
+    rows = {r.doc_id: r for r in alignment.align_corpus(solid).collect()}
+    assert rows[1].groups == rows[2].groups != rows[4].groups and rows[1].n_links >= max(rows[1].n_a, rows[1].n_b) > 1000
+
+
+def test_pipeline_with_nulls_repeats_and_empty_texts(spark, tmp_path):
+    given = spark.read.parquet(f"{SMALL}/documents.parquet").limit(60)
+    odd = spark.createDataFrame(
+        [(None, "a text without an id but with several good words in it", "en", "a", 54), (900, None, None, None, None), (901, "", "de", "b", 0),
+         (902, " \n\t\n ", None, None, 5), (903, SOLID, "en", None, len(SOLID)), (903, SOLID, "en", None, len(SOLID))], given.schema)
+    docs = given.union(odd).union(given.limit(5))
+    count = docs.count()
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        stage(spark, docs, SMALL).write.parquet(str(tmp_path / name))
+        docs = spark.read.parquet(str(tmp_path / name))
+        if name == "line_dedup":
+            assert docs.count() == before.count() and docs.where("text IS NULL").count() == before.where("text IS NULL").count()
+        if name != "source_mix":
+            assert docs.columns == before.columns and docs.count() <= count
+            count = docs.count()
+    assert docs.where((F.col("taken") < 0) | (F.col("taken") > 2 * F.col("size"))).count() == 0
