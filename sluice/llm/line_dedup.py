@@ -397,7 +397,9 @@ def linked_lines(batch: pa.RecordBatch, threshold: int) -> pa.RecordBatch:
     stop = np.append(0, np.cumsum(np.bincount(of[less], minlength=n))).tolist()
     values = values[less].tolist()
     smaller = [frozenset(values[i:j]) for i, j in zip(stop, stop[1:])]
-    rows = np.frombuffer(b"".join(sketch.to_pylist()), np.uint8).reshape(n, 2 * BINS)
+    places, data = sketch.buffers()[1:]
+    at = np.frombuffer(places, np.int32, n + 1, 4 * sketch.offset)
+    rows = np.frombuffer(data, np.uint8, 2 * BINS * n, int(at[0])).reshape(n, 2 * BINS)
     block = Block(letters.to_numpy(), words.to_numpy(), rows, threshold)
     edges = block_forest(block, start[:-1], start[1:], lambda i: said[i].as_py(), smaller)
     u, v = np.array(edges, np.int64).reshape(-1, 2).T
@@ -424,6 +426,20 @@ def _signatures(docs: DataFrame, text: str, threshold: int, least: int) -> DataF
     return docs.select(text).mapInArrow(run, "k long, v long")
 
 
+def gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 16) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``rows``, none empty."""
+    held, count = [], 0
+    for batch in batches:
+        if batch.num_rows:
+            held.append(batch)
+            count += batch.num_rows
+        if count >= rows:
+            yield pa.concat_batches(held)
+            held, count = [], 0
+    if held:
+        yield pa.concat_batches(held)
+
+
 def _shared(signatures: DataFrame) -> DataFrame:
     """``(k, line)`` of keys held by two lines or more, one of them by an index row.
 
@@ -437,9 +453,7 @@ def _shared(signatures: DataFrame) -> DataFrame:
         held_k, held_v = np.zeros(0, np.int64), np.zeros(0, np.uint64)
         shared_key = last_line = None                     # the key passing at once, its last line
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in gathered(batches):
             k = np.concatenate([held_k, batch.column(0).to_numpy()])
             v = np.concatenate([held_v, batch.column(1).to_numpy().view(np.uint64)])
             order = np.lexsort((v, k))          # Spark sorts by the key alone, which its radix sort can do
@@ -519,11 +533,13 @@ def _texts(docs: DataFrame, text: str, lines: DataFrame, least: int) -> DataFram
                     seen = set()
                 if not rows:
                     continue
-                words, k = InWords(found), np.array(rows)
+                said = [found.text(r) for r in rows]
+                own = Lines(said)                     # only these, as words too
+                words = InWords(own)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.hash[k].astype(np.int64)), pa.array([found.text(r) for r in rows], pa.string()),
-                     pa.array([x.tobytes() for x in sketches(found, words, k)], pa.binary()),
-                     pa.array(found.end[k] - found.start[k]), pa.array(words.end[k] - words.start[k])], names=names)
+                    [pa.array(found.hash[rows].astype(np.int64)), pa.array(said, pa.string()),
+                     pa.array([x.tobytes() for x in sketches(own, words, np.arange(len(said)))], pa.binary()),
+                     pa.array(own.end - own.start), pa.array(words.end - words.start)], names=names)
 
     fields = F.struct("t", "sketch", "letters", "words")
     done = stored(docs.select(text).mapInArrow(run, "line long, t string, sketch binary, letters long, words long")
@@ -533,7 +549,7 @@ def _texts(docs: DataFrame, text: str, lines: DataFrame, least: int) -> DataFram
 
 
 def line_classes(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD, least: int = LEAST) -> DataFrame:
-    """``(node, exact, component)``: hash and digest of lines that link to others unlike them, and their class.
+    """``(exact, component)``: digest of every line that links to others unlike it, and its class.
 
     Candidates are kept by a 63-bit hash; of unlike lines with one hash the least
     text stands for it, and ``exact`` tells which that is.
@@ -557,7 +573,7 @@ def line_classes(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD
     value = ["line", "t", "sketch", "letters", "words", "ks"]
     linked = components(blocks(members, ["k"], value, BLOCK).select("k", "members").mapInArrow(run, "a long, b long"))
     exact = F.unhex(F.substring(F.sha2("t", 256), 1, 2 * DIGEST)).alias("exact")
-    return linked.join(found.select(F.col("line").alias("node"), exact), "node")
+    return linked.join(found.select(F.col("line").alias("node"), exact), "node").select("exact", "component")
 
 
 DIGEST = 16                 # bytes of SHA-256 by which lines are held to be equal
@@ -567,27 +583,24 @@ _REMOVED = "array<struct<line_no:int,first_doc_id:{0},first_line_no:int>>"
 
 
 def _occurrences(docs: DataFrame, id_col: str, text: str, least: int) -> DataFrame:
-    """``(id, _key, line_no, line, exact)`` of every line long enough and not blank."""
+    """``(id, _key, line_no, exact)`` of every line long enough and not blank."""
     rows = docs.select(id_col, F.xxhash64(id_col, text).alias("_key"), text)
     schema = T.StructType([rows.schema[id_col], T.StructField("_key", T.LongType()),
-                           T.StructField("line_no", T.IntegerType()), T.StructField("line", T.LongType()),
-                           T.StructField("exact", T.BinaryType())])
+                           T.StructField("line_no", T.IntegerType()), T.StructField("exact", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch, text, _SLICE):
-                values = part.column(text).to_pylist()
-                lines = Lines(values)
-                count = np.array([(v or "").count("\n") + 1 for v in values])
-                of = np.repeat(np.arange(len(values)), count)
-                number = np.arange(len(of)) - np.repeat(np.cumsum(count) - count, count)
-                rows = lines.written(least)
-                take = pa.array(of[rows])
-                said = [line for v in values for line in (v or "").encode().split(b"\n")]
-                exact = [hashlib.sha256(said[r]).digest()[:DIGEST] for r in rows.tolist()]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0).take(take), part.column(1).take(take), pa.array(number[rows].astype(np.int32)),
-                     pa.array(lines.hash[rows].astype(np.int64)), pa.array(exact, pa.binary())], names=schema.names)
+                of, number, exact = [], [], []
+                for i, value in enumerate(part.column(text).to_pylist()):
+                    for n, line in enumerate(value.split("\n") if value else ()):
+                        if len(line) >= least and not line.isspace():
+                            of.append(i)
+                            number.append(n)
+                            exact.append(hashlib.sha256(line.encode()).digest()[:DIGEST])
+                take = pa.array(of, pa.int32())
+                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(number, pa.int32()),
+                                                  pa.array(exact, pa.binary())], names=schema.names)
 
     return rows.mapInArrow(run, schema)
 
@@ -606,13 +619,14 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
     place = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("d"), "_key", F.col("line_no").alias("l"))
     # A class: a component, told by its least hash (8 bytes), or else one line, told by its digest (16).
     own = F.when(F.col("component").isNull(), lines["exact"]).otherwise(F.unhex(F.hex("component")))
-    classed = stored(lines.join(classes, (lines["line"] == classes["node"]) & (lines["exact"] == classes["exact"]), "left")
+    classed = stored(lines.join(classes, lines["exact"] == classes["exact"], "left")
                      .select("_key", "line_no", own.alias("_cls"), place.alias("_at")), "lines")
-    # Only classes met more than once lose a line; the others need not be joined.
-    # Stored, so that the join below is between two plain exchanges, which Spark can split where a class is hot.
-    first = stored(classed.groupBy("_cls").agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
-                   .where("_first != _last"), "first-lines")
-    gone = (classed.join(first, "_cls").where("_at != _first")
+    # Only classes met more than once lose a line; the others need not be ranked.
+    # Stored, so that each join is between two plain exchanges, which Spark can split where a class is hot.
+    several = classed.groupBy("_cls").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select("_cls")
+    again = stored(classed.join(several, "_cls"), "repeated-lines")
+    first = stored(again.groupBy("_cls").agg(F.min("_at").alias("_first")), "first-lines")
+    gone = (again.join(first, "_cls").where("_at != _first")
             .groupBy("_key").agg(F.collect_set(F.struct("line_no", F.col("_first.d").alias("first_doc_id"),
                                                         F.col("_first.l").alias("first_line_no"))).alias("_gone")))
     rows = docs.select(*keep).withColumn("_key", F.xxhash64(id_col, text)).join(gone, "_key", "left")
