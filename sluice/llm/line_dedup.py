@@ -42,11 +42,11 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .blocks import blocks
 from .common import importable, mix, others, powers, slices, stored
 from .graph import components
 
@@ -87,8 +87,12 @@ class Lines:
         np.cumsum((x ^ (x >> np.uint64(32))) * up[:-1], out=self.total[1:])
         self.hash = self.piece(self.start, self.end) >> np.uint64(1)
 
+    def sums(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Equal for equal pieces, but not yet mixed."""
+        return (self.total[end] - self.total[start]) * self.down[start]
+
     def piece(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        return mix((self.total[end] - self.total[start]) * self.down[start] + (end - start).astype(np.uint64))
+        return mix(self.sums(start, end) + (end - start).astype(np.uint64))
 
     def written(self, least: int) -> np.ndarray:
         """Numbers of the lines of ``least`` code points or more that are not blank."""
@@ -113,8 +117,9 @@ def keys(lines: Lines, rows: np.ndarray, threshold: int, least: int) -> tuple[np
     key, value = [], []
 
     def add(k: np.ndarray, i: int, size: np.ndarray, place: np.ndarray, target: np.ndarray, probe: int):
-        h = lines.piece(start[k] + place, start[k] + place + size)
-        key.append(mix(h + target.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64(i + 1)))
+        first = start[k] + place
+        salt = target.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64((i + 1) * 0x632BE59BD9B4E019 % (1 << 64))
+        key.append(mix(lines.sums(first, first + size) + salt))
         value.append(own[k] | np.uint64(probe))
 
     for i in range(threshold + 1):
@@ -441,7 +446,7 @@ def gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 16) -> Iterator
 
 
 def _shared(signatures: DataFrame) -> DataFrame:
-    """``(k, line)`` of keys held by two lines or more, one of them by an index row.
+    """``(k, line)`` of keys held by two lines or more, one of them by an index row; a row may come again.
 
     Rows come sorted by key, and pass batch by batch.  The last key of
     a batch may go on in the next: its rows are held until a second line and an
@@ -517,48 +522,79 @@ def _in_bloom(packed: np.ndarray, h: np.ndarray) -> np.ndarray:
     return (set_[0] & set_[1]) != 0
 
 
-def _texts(docs: DataFrame, text: str, lines: DataFrame, least: int) -> DataFrame:
-    """``(line, t, sketch, letters, words)``: a text of every line hash in ``lines``, its sketch and sizes; stored."""
-    sent = docs.sparkSession.sparkContext.broadcast(_bloom(lines))
-    names = ["line", "t", "sketch", "letters", "words"]
+_FETCHED = [T.StructField("line", T.LongType()), T.StructField("t", T.StringType()), T.StructField("sketch", T.BinaryType()),
+            T.StructField("letters", T.LongType()), T.StructField("words", T.LongType())]
+
+
+def _lines(docs: DataFrame, id_col: str, text: str, wanted: DataFrame, least: int, edited: int) -> tuple[DataFrame, DataFrame]:
+    """``(id, _key, line_no, exact)`` of every line of ``least`` code points or more that is not blank, and
+    ``(line, t, sketch, letters, words)`` of every line hash in ``wanted``: a text with it, its sketch and sizes.
+
+    One pass over the texts, stored; a Bloom filter tells which lines may be wanted.
+    """
+    rows = docs.select(id_col, F.xxhash64(id_col, text).alias("_key"), text)
+    own = [rows.schema[id_col], T.StructField("_key", T.LongType()), T.StructField("line_no", T.IntegerType()),
+           T.StructField("exact", T.BinaryType())]
+    schema = T.StructType([*own, *_FETCHED])
+    sent = docs.sparkSession.sparkContext.broadcast(_bloom(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch, text, _SLICE):
-                found = Lines(part.column(text).to_pylist())
-                rows = np.flatnonzero(_in_bloom(sent.value, found.hash) & (found.end - found.start >= least))
-                rows = [r for r in rows.tolist() if (h := int(found.hash[r])) not in seen and not seen.add(h)]
+                values = part.column(text).to_pylist()
+                of, number, exact = [], [], []
+                for i, value in enumerate(values):
+                    for n, line in enumerate(value.split("\n") if value else ()):
+                        if len(line) >= least and not line.isspace():
+                            of.append(i)
+                            number.append(n)
+                            exact.append(hashlib.sha256(line.encode()).digest()[:DIGEST])
+                take, n = pa.array(of, pa.int32()), len(of)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(take), part.column(1).take(take), pa.array(number, pa.int32()), pa.array(exact, pa.binary()),
+                     pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
+                     pa.nulls(n, pa.int64())], names=schema.names)
+                found = Lines(values)
+                met = np.flatnonzero(_in_bloom(sent.value, found.hash) & (found.end - found.start >= edited)).tolist()
+                met = [r for r in met if (h := int(found.hash[r])) not in seen and not seen.add(h)]
                 if len(seen) > SEEN // 8:
                     seen = set()
-                if not rows:
+                if not met:
                     continue
-                said = [found.text(r) for r in rows]
-                own = Lines(said)                     # only these, as words too
-                words = InWords(own)
+                said = [found.text(r) for r in met]
+                few, n = Lines(said), len(said)           # only these, as words too
+                words = InWords(few)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.hash[rows].astype(np.int64)), pa.array(said, pa.string()),
-                     pa.array([x.tobytes() for x in sketches(own, words, np.arange(len(said)))], pa.binary()),
-                     pa.array(own.end - own.start), pa.array(words.end - words.start)], names=names)
+                    [pa.nulls(n, part.column(0).type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
+                     pa.array(found.hash[met].astype(np.int64)), pa.array(said, pa.string()),
+                     pa.array([x.tobytes() for x in sketches(few, words, np.arange(n))], pa.binary()),
+                     pa.array(few.end - few.start), pa.array(words.end - words.start)], names=schema.names)
 
-    fields = F.struct("t", "sketch", "letters", "words")
-    done = stored(docs.select(text).mapInArrow(run, "line long, t string, sketch binary, letters long, words long")
-                  .join(lines, "line", "left_semi").groupBy("line").agg(F.min(fields).alias("_")).select("line", "_.*"), "line-texts")
+    done = stored(rows.mapInArrow(run, schema), "lines")
     sent.destroy()
-    return done
+    fetched = done.where("t IS NOT NULL").select(*[f.name for f in _FETCHED])
+    fields = F.struct(*[f.name for f in _FETCHED[1:]])
+    texts_ = (fetched.join(wanted, "line", "left_semi").groupBy("line").agg(F.min(fields).alias("_")).select("line", "_.*"))
+    return done.where("t IS NULL").select(*[f.name for f in own]), stored(texts_, "line-texts")
 
 
-def line_classes(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD, least: int = LEAST) -> DataFrame:
+def line_classes(shared: DataFrame, found: DataFrame, threshold: int) -> DataFrame:
     """``(exact, component)``: digest of every line that links to others unlike it, and its class.
 
     Candidates are kept by a 63-bit hash; of unlike lines with one hash the least
-    text stands for it, and ``exact`` tells which that is.
+    text stands for it, and ``exact`` tells which that is.  Keys are dealt into
+    blocks before the lines' texts join them, so that texts are shuffled once.
     """
-    least = max(least, EDITED)
-    shared = stored(_shared(_signatures(docs, text, threshold, least)).distinct(), "shared-keys")
-    found = _texts(docs, text, shared.select("line").distinct(), least)
+    sizes = shared.groupBy("k").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    c = F.ceil(F.col("_n") / F.lit(BLOCK)).cast("int")
+    dealt = (shared.join(sizes, "k")
+             .select("k", "line", F.pmod(F.xxhash64("line"), c).cast("int").alias("_c"), F.explode(F.sequence(F.lit(0), c - 1)).alias("_j"))
+             .select("k", "line", F.least("_c", "_j").alias("_i"), F.greatest("_c", "_j").alias("_j")))
     first = shared.groupBy("line").agg(F.slice(F.array_sort(F.collect_list("k")), 1, FIRST_KEYS).alias("ks"))
-    members = shared.join(found.join(first, "line"), "line")
+    value = F.struct("line", "t", "sketch", "letters", "words", "ks")
+    blocks = (dealt.join(found.join(first, "line"), "line").repartition("k", "_i", "_j")
+              .groupBy("k", "_i", "_j").agg(F.collect_list(value).alias("members")).select("k", "members"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -570,8 +606,7 @@ def line_classes(docs: DataFrame, text: str = "text", threshold: int = THRESHOLD
                 yield linked_lines(batch.slice(at, to - at), threshold)
                 at = to
 
-    value = ["line", "t", "sketch", "letters", "words", "ks"]
-    linked = components(blocks(members, ["k"], value, BLOCK).select("k", "members").mapInArrow(run, "a long, b long"))
+    linked = components(blocks.mapInArrow(run, "a long, b long"))
     exact = F.unhex(F.substring(F.sha2("t", 256), 1, 2 * DIGEST)).alias("exact")
     return linked.join(found.select(F.col("line").alias("node"), exact), "node").select("exact", "component")
 
@@ -582,29 +617,6 @@ _INNER = ("_key", "_gone", "_numbers", "_removed")
 _REMOVED = "array<struct<line_no:int,first_doc_id:{0},first_line_no:int>>"
 
 
-def _occurrences(docs: DataFrame, id_col: str, text: str, least: int) -> DataFrame:
-    """``(id, _key, line_no, exact)`` of every line long enough and not blank."""
-    rows = docs.select(id_col, F.xxhash64(id_col, text).alias("_key"), text)
-    schema = T.StructType([rows.schema[id_col], T.StructField("_key", T.LongType()),
-                           T.StructField("line_no", T.IntegerType()), T.StructField("exact", T.BinaryType())])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, text, _SLICE):
-                of, number, exact = [], [], []
-                for i, value in enumerate(part.column(text).to_pylist()):
-                    for n, line in enumerate(value.split("\n") if value else ()):
-                        if len(line) >= least and not line.isspace():
-                            of.append(i)
-                            number.append(n)
-                            exact.append(hashlib.sha256(line.encode()).digest()[:DIGEST])
-                take = pa.array(of, pa.int32())
-                yield pa.RecordBatch.from_arrays([part.column(0).take(take), part.column(1).take(take), pa.array(number, pa.int32()),
-                                                  pa.array(exact, pa.binary())], names=schema.names)
-
-    return rows.mapInArrow(run, schema)
-
-
 def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", threshold: int = THRESHOLD,
                  least: int = LEAST) -> DataFrame:
     """``docs`` with lines that repeat an earlier one removed from ``text``, and what was removed.
@@ -614,8 +626,10 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
     """
     importable(docs.sparkSession)
     keep = others(docs, *_RESULTS, *_INNER)
-    classes = line_classes(docs, text, threshold, least)
-    lines = _occurrences(docs, id_col, text, least)
+    edited = max(least, EDITED)
+    shared = stored(_shared(_signatures(docs, text, threshold, edited)).distinct(), "shared-keys")
+    lines, found = _lines(docs, id_col, text, shared.select("line").distinct(), least, edited)
+    classes = line_classes(shared, found, threshold)
     place = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("d"), "_key", F.col("line_no").alias("l"))
     # A class: a component, told by its least hash (8 bytes), or else one line, told by its digest (16).
     own = F.when(F.col("component").isNull(), lines["exact"]).otherwise(F.unhex(F.hex("component")))
@@ -629,7 +643,7 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
     gone = (again.join(first, "_cls").where("_at != _first")
             .groupBy("_key").agg(F.collect_set(F.struct("line_no", F.col("_first.d").alias("first_doc_id"),
                                                         F.col("_first.l").alias("first_line_no"))).alias("_gone")))
-    rows = docs.select(*keep).withColumn("_key", F.xxhash64(id_col, text)).join(gone, "_key", "left")
+    rows = docs.select(*keep).withColumn("_key", F.xxhash64(id_col, text)).join(gone.hint("shuffle_hash"), "_key", "left")
     removed = _REMOVED.format(docs.schema[id_col].dataType.simpleString())
     schema = T.StructType([*docs.select(*keep).schema.fields, T.StructField("n_lines", T.IntegerType()),
                            T.StructField("n_removed", T.IntegerType())])
@@ -637,18 +651,18 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            values, count, less = batch.column(text).to_pylist(), [], []
-            for i, numbers in enumerate(batch.column("_numbers").to_pylist()):
-                lines = [] if values[i] is None else values[i].split("\n")
-                drop = set(numbers or ())
-                count.append(len(lines))
-                less.append(len(drop))
-                if drop:
-                    values[i] = "\n".join(x for n, x in enumerate(lines) if n not in drop)
+            said, numbers = batch.column(text), batch.column("_numbers")
+            less = pc.list_value_length(numbers)
+            touched = pc.greater(less, 0)
+            fresh = []
+            for value, drop in zip(said.filter(touched).to_pylist(), numbers.filter(touched).to_pylist()):
+                gone_ = set(drop)
+                fresh.append("\n".join(x for n, x in enumerate(value.split("\n")) if n not in gone_))
+            count = pc.fill_null(pc.add(pc.count_substring(said, "\n"), 1), 0)
             columns = [batch.column(c) for c in keep]
-            columns[at] = pa.array(values, pa.string())
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(count, pa.int32()), pa.array(less, pa.int32()),
-                                              batch.column("_removed")], names=[*schema.names, "removed"])
+            columns[at] = pc.replace_with_mask(said, touched, pa.array(fresh, said.type))
+            yield pa.RecordBatch.from_arrays([*columns, count.cast(pa.int32()), less.cast(pa.int32()), batch.column("_removed")],
+                                             names=[*schema.names, "removed"])
 
     full = T.StructType([*schema.fields, T.StructField("removed", T._parse_datatype_string(removed))])
     return (rows.withColumn("_removed", F.coalesce(F.array_sort("_gone"), F.array().cast(removed)))
