@@ -74,6 +74,12 @@ def checkpoint_root(spark: SparkSession) -> str:
     return (sc.getCheckpointDir() or conf_dir).rstrip("/")
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, asked of its own file system."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(where)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unique folder below the checkpoint root for a job's outputs."""
     root = checkpoint_root(spark)
