@@ -4,15 +4,21 @@ from __future__ import annotations
 
 import numpy as np
 
+CHUNK = 1 << 18       # places whose responses are held at a time
+
 
 class Adagrad:
     """Per-parameter steps; rows of a table may be updated alone."""
 
+    FIRST = 1e-6
+
     def __init__(self, rate: float):
         self.rate, self.state = rate, {}
 
     def step(self, key, param: np.ndarray, grad: np.ndarray, rows: np.ndarray | None = None) -> None:
-        seen = self.state.setdefault(key, np.full(param.shape, 1e-6, np.float32))
+        if key not in self.state:
+            self.state[key] = np.full(param.shape, self.FIRST, np.float32)
+        seen = self.state[key]
         if rows is None:
             seen += grad * grad
             param -= self.rate * grad / np.sqrt(seen)
@@ -57,18 +63,26 @@ class TextCNN:
 
     def pooled(self, ids: np.ndarray, starts: np.ndarray, places: bool = False):
         """Pooled features of every segment, and the rows that won if ``places``."""
-        z = self._patches(ids) @ self.conv
         ends = np.append(starts[1:], len(ids)) - self.pad
-        out = np.zeros((len(starts), z.shape[1]), np.float32)
+        out = np.zeros((len(starts), self.conv.shape[1]), np.float32)
         won = np.zeros(out.shape, np.int64)
-        for i, (s, e) in enumerate(zip(starts.tolist(), ends.tolist())):
-            if e > s:
+        for lo in range(0, len(ids), CHUNK):
+            hi = min(lo + CHUNK, len(ids))
+            z = self._patches(ids[lo:hi + self.pad])[:hi - lo] @ self.conv
+            for i in range(int(np.searchsorted(ends, lo, "right")), int(np.searchsorted(starts, hi, "left"))):
+                s, e = max(int(starts[i]), lo), min(int(ends[i]), hi)
+                if e <= s:
+                    continue
+                part = z[s - lo:e - lo]
                 if places:
-                    won[i] = z[s:e].argmax(axis=0) + s
-                    out[i] = z[won[i], np.arange(z.shape[1])]
+                    at = part.argmax(axis=0)
+                    most = part[at, np.arange(part.shape[1])]
+                    better = most > out[i] if s > starts[i] else np.ones(len(most), bool)
+                    won[i] = np.where(better, at + s, won[i])
                 else:
-                    out[i] = z[s:e].max(axis=0)
-                out[i] += self.bias
+                    most = part.max(axis=0)
+                out[i] = np.maximum(out[i], most) if s > starts[i] else most
+        out[ends > starts] += self.bias
         np.maximum(out, 0, out=out)
         return (out, won) if places else out
 
@@ -76,42 +90,51 @@ class TextCNN:
         w, b = self.heads[head]
         return pooled @ w + b
 
+    def parameters(self) -> dict:
+        """All arrays that are learnt, by their key in :class:`Adagrad`."""
+        named = {("table", k): t for k, t in enumerate(self.tables)} | {"conv": self.conv, "bias": self.bias}
+        return named | {(name, k): a for name, both in self.heads.items() for k, a in enumerate(both)}
+
     def train(self, batches, epochs: int, rate: float) -> None:
         """``batches(epoch)`` yields ``(ids, starts, {head: (classes, weights)})``; cross entropy by head."""
         opt = Adagrad(rate)
-        each = self.dim * len(self.tables)
         for epoch in range(epochs):
             for ids, starts, goals in batches(epoch):
-                pooled, won = self.pooled(ids, starts, places=True)
-                back = np.zeros_like(pooled)
-                for name, (classes, weights) in goals.items():
-                    g = softmax(self.logits(pooled, name))
-                    g[np.arange(len(classes)), classes] -= 1.0
-                    g *= (weights / max(1.0, weights.sum()))[:, None]
-                    w, b = self.heads[name]
-                    back += g @ w.T
-                    opt.step((name, 0), w, pooled.T @ g)
-                    opt.step((name, 1), b, g.sum(axis=0))
-                back *= pooled > 0
-                opt.step("bias", self.bias, back.sum(axis=0))
-                seg, col = np.nonzero(back)
-                if not len(seg):
-                    continue
-                at, grad = won[seg, col], back[seg, col]
-                rows = at[:, None] + np.arange(self.pad + 1)
-                real = rows < len(ids)
-                rows = np.minimum(rows, len(ids) - 1)
-                patch = np.concatenate([t[ids[rows, k]] for k, t in enumerate(self.tables)], axis=2) * real[..., None]
-                dconv = np.zeros_like(self.conv)
-                np.add.at(dconv.T, col, patch.reshape(len(at), -1) * grad[:, None])
-                dx = (self.conv.T[col] * grad[:, None]).reshape(len(at), self.pad + 1, each)
-                opt.step("conv", self.conv, dconv * self.mask)
-                for k, t in enumerate(self.tables):
-                    touched, inverse = np.unique(ids[rows, k][real], return_inverse=True)
-                    g = np.zeros((len(touched), self.dim), np.float32)
-                    np.add.at(g, inverse, dx[..., k * self.dim:(k + 1) * self.dim][real])
-                    g[touched == self.sizes[k]] = 0.0
-                    opt.step(("table", k), t, g, touched)
+                self.step(opt, ids, starts, goals)
+
+    def step(self, opt: Adagrad, ids: np.ndarray, starts: np.ndarray, goals: dict) -> None:
+        """Learn from one batch."""
+        each = self.dim * len(self.tables)
+        pooled, won = self.pooled(ids, starts, places=True)
+        back = np.zeros_like(pooled)
+        for name, (classes, weights) in goals.items():
+            g = softmax(self.logits(pooled, name))
+            g[np.arange(len(classes)), classes] -= 1.0
+            g *= (weights / max(1.0, weights.sum()))[:, None]
+            w, b = self.heads[name]
+            back += g @ w.T
+            opt.step((name, 0), w, pooled.T @ g)
+            opt.step((name, 1), b, g.sum(axis=0))
+        back *= pooled > 0
+        opt.step("bias", self.bias, back.sum(axis=0))
+        seg, col = np.nonzero(back)
+        if not len(seg):
+            return
+        at, grad = won[seg, col], back[seg, col]
+        rows = at[:, None] + np.arange(self.pad + 1)
+        real = rows < len(ids)
+        rows = np.minimum(rows, len(ids) - 1)
+        patch = np.concatenate([t[ids[rows, k]] for k, t in enumerate(self.tables)], axis=2) * real[..., None]
+        dconv = np.zeros_like(self.conv)
+        np.add.at(dconv.T, col, patch.reshape(len(at), -1) * grad[:, None])
+        dx = (self.conv.T[col] * grad[:, None]).reshape(len(at), self.pad + 1, each)
+        opt.step("conv", self.conv, dconv * self.mask)
+        for k, t in enumerate(self.tables):
+            touched, inverse = np.unique(ids[rows, k][real], return_inverse=True)
+            g = np.zeros((len(touched), self.dim), np.float32)
+            np.add.at(g, inverse, dx[..., k * self.dim:(k + 1) * self.dim][real])
+            g[touched == self.sizes[k]] = 0.0
+            opt.step(("table", k), t, g, touched)
 
 
 class TwoLayer:
