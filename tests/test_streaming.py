@@ -217,3 +217,19 @@ def test_run_tag_must_be_path_safe():
     assert batch_key("live-1.a_b", 7) == "live-1.a_b-000000000007"
     with pytest.raises(ValueError):
         batch_key("bad/tag", 1)
+
+
+def test_a_load_lists_only_the_batches_it_overlaps(spark, tmp_path):
+    from sluice.operators.ledger import advance_state
+    from sluice.sources.sinks import batch_key, committed_prior, write_event_partition
+    table, ledger = str(tmp_path / "t"), str(tmp_path / "l")
+    for b, ids in enumerate((["a", "b"], ["c", "d"], ["e", "f"])):
+        rows = spark.createDataFrame([(i, None, None, None, "r", b, 0) for i in ids],
+                                     "event_id string, occurred_at timestamp, payload string, ingested_at timestamp, "
+                                     "run_id string, page_no long, pos int").withColumn("payload", F.parse_json(F.lit("{}")))
+        attempt = write_event_partition(rows, table, batch_key("x", b))
+        advance_state(spark, ledger, "x", b, None, 2, ids[0], ids[-1], attempt)
+    near = committed_prior(spark, table, ledger, "d", "dd")
+    assert [r.event_id for r in near.collect()] == ["d"]
+    assert {p.split("ingest_batch=")[1].split("/")[0] for p in near.inputFiles()} == {batch_key("x", 1)}
+    assert committed_prior(spark, table, ledger, "d", "dd", exclude=batch_key("x", 1)) is None
