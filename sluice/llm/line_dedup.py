@@ -39,6 +39,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator, Sequence
+from operator import ne
 
 import numpy as np
 import pyarrow as pa
@@ -66,11 +67,21 @@ BLOOM_BITS = 1 << 24
 _SLICE = 1 << 20
 _BLANK = np.array([chr(i).isspace() for i in range(0x3002)])
 _WIDE = 0x0E00
+DIGEST = 16                 # bytes of SHA-256 by which lines are held to be equal
 _WORD = re.compile("[^\\s\\u0e00-\\U0010ffff]+|[^\\s\\u0000-\\u0dff]")
 #: Sizes at which the ranges of long lines begin; each is wider than the words by which two lines may differ.
 _EDGES = np.array([int(LONG * 1.4 ** j) for j in range(60)], np.int64)
 
 
+def _mixed(cp: np.ndarray) -> np.ndarray:
+    x = (cp.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return x ^ (x >> np.uint64(32))
+
+
+_MIXED = _mixed(np.arange(1 << 16))          # of the code points that most texts are made of
+
+
 class Lines:
     """The lines of a run of texts as code points: range, 63-bit hash, substring hashes."""
 
@@ -81,10 +92,13 @@ class Lines:
         self.start = np.append(0, cut + 1)
         self.end = np.append(cut, len(self.cp))
         up, self.down = powers(len(self.cp) + 1)
-        x = (self.cp.astype(np.uint64) + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)
-        x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
         self.total = np.zeros(len(self.cp) + 1, np.uint64)
-        np.cumsum((x ^ (x >> np.uint64(32))) * up[:-1], out=self.total[1:])
+        x = self.total[1:]
+        _MIXED.take(self.cp, out=x, mode="clip")
+        far = np.flatnonzero(self.cp >= len(_MIXED))
+        x[far] = _mixed(self.cp[far])
+        x *= up[:-1]
+        np.cumsum(x, out=x)
         self.hash = self.piece(self.start, self.end) >> np.uint64(1)
 
     def sums(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -94,13 +108,30 @@ class Lines:
     def piece(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
         return mix(self.sums(start, end) + (end - start).astype(np.uint64))
 
-    def written(self, least: int) -> np.ndarray:
-        """Numbers of the lines of ``least`` code points or more that are not blank."""
-        ink = np.append(0, np.cumsum(~_BLANK[np.minimum(self.cp, len(_BLANK) - 1)]))
-        return np.flatnonzero((self.end - self.start >= least) & (ink[self.end] > ink[self.start]))
 
-    def text(self, i: int) -> str:
-        return self.cp[self.start[i]:self.end[i]].tobytes().decode("utf-32-le")
+def written(values: list[str | None], least: int) -> tuple[list[int], list[int], list[int], list[str]]:
+    """Of the lines of ``least`` code points or more that are not blank: the text's number, the line's
+    number in it and among the lines of all ``values``, and the line."""
+    of, number, rows, said, at = [], [], [], [], 0
+    for i, value in enumerate(values):
+        lines = value.split("\n") if value else ()
+        for n, line in enumerate(lines):
+            if len(line) >= least and not line.isspace():
+                of.append(i)
+                number.append(n)
+                rows.append(at + n)
+                said.append(line)
+        at += len(lines) or 1
+    return of, number, rows, said
+
+
+def digests(lines: list[str]) -> list[bytes]:
+    return [hashlib.sha256(line.encode()).digest()[:DIGEST] for line in lines]
+
+
+def hashes(exact: list[bytes]) -> np.ndarray:
+    """63 bits of every digest."""
+    return np.frombuffer(b"".join(exact), "<u8").reshape(-1, DIGEST // 8)[:, 0] >> np.uint64(1)
 
 
 def segment(length: np.ndarray, i: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
@@ -143,11 +174,12 @@ class InWords(Lines):
     """The same lines as sequences of words: ``start`` and ``end`` count words."""
 
     def __init__(self, lines: Lines):
-        blank = _BLANK[np.minimum(lines.cp, len(_BLANK) - 1)]
-        wide = ~blank & (lines.cp >= _WIDE)
-        narrow = ~blank & ~wide
-        first = wide | (narrow & ~np.append(False, narrow)[:-1])
-        last = wide | (narrow & ~np.append(narrow, False)[1:])
+        first = ~_BLANK[np.minimum(lines.cp, len(_BLANK) - 1)]
+        last = first.copy()
+        narrow = first & (lines.cp < _WIDE)
+        apart = ~(narrow[1:] & narrow[:-1])
+        first[1:] &= apart
+        last[:-1] &= apart
         begin, self.hash = np.flatnonzero(first), lines.hash
         self.word = word = lines.piece(begin, np.flatnonzero(last) + 1)
         self.start, self.end = np.searchsorted(begin, lines.start), np.searchsorted(begin, lines.end)
@@ -302,7 +334,9 @@ def verified(a: str, b: str, by_letter: bool, by_word: bool, threshold: int) ->
     """Whether two lines are linked, as far as what their sketches leave open."""
     if by_word:
         x, y = _WORD.findall(a), _WORD.findall(b)
-        if within(x, y, min(len(x), len(y)) // WORDS):
+        most = min(len(x), len(y)) // WORDS
+        # A word changed, added or missing adds to what only one of them holds by two words at most.
+        if len({*x} ^ {*y}) <= 2 * most and (len(x) == len(y) and sum(map(ne, x, y)) <= most or within(x, y, most)):
             return True
     return by_letter and within(a, b, threshold)
 
@@ -352,10 +386,17 @@ def block_forest(block: Block, begin: np.ndarray, end: np.ndarray, text, smaller
 
     def compare(u: np.ndarray, v: np.ndarray) -> None:
         by_letter, by_word = block.near(u, v)
-        for k in np.flatnonzero(by_letter | by_word).tolist():
-            x, y = int(u[k]), int(v[k])
+        near = np.flatnonzero(by_letter | by_word)
+        last, said = None, ""                     # pairs come in the order of their first lines
+        for x, y, letter, word in zip(*(z[near].tolist() for z in (u, v, by_letter, by_word))):
+            if not smaller[x].isdisjoint(smaller[y]):
+                continue
             a, b = find(x), find(y)
-            if a != b and smaller[x].isdisjoint(smaller[y]) and verified(text(x), text(y), by_letter[k], by_word[k], block.threshold):
+            if a == b:
+                continue
+            if x != last:
+                last, said = x, text(x)
+            if verified(said, text(y), letter, word, block.threshold):
                 up[max(a, b)] = min(a, b)
                 edges.append((x, y))
 
@@ -417,13 +458,15 @@ def _signatures(docs: DataFrame, text: str, threshold: int, least: int) -> DataF
         seen = np.zeros(0, np.uint64)
         for batch in batches:
             for part in slices(batch, text, _SLICE):
-                lines = Lines(part.column(text).to_pylist())
-                rows = lines.written(least)
-                _, first = np.unique(lines.hash[rows], return_index=True)
-                rows = rows[first]
-                rows = rows[~np.isin(lines.hash[rows], seen, assume_unique=True)]
+                values = part.column(text).to_pylist()
+                _, _, rows, said = written(values, least)
+                own, first = np.unique(hashes(digests(said)), return_index=True)
+                new = ~np.isin(own, seen, assume_unique=True)
+                rows = np.array(rows, np.int64)[first[new]]
                 if not len(rows):
                     continue
+                lines = Lines(values)
+                lines.hash[rows] = own[new]
                 seen = np.concatenate([seen if len(seen) < SEEN else seen[:0], lines.hash[rows]])
                 key, value = all_keys(lines, rows, threshold, least)
                 yield pa.RecordBatch.from_arrays([pa.array(key.view(np.int64)), pa.array(value.view(np.int64))], names=["k", "v"])
@@ -461,6 +504,11 @@ def _shared(signatures: DataFrame) -> DataFrame:
         for batch in gathered(batches):
             k = np.concatenate([held_k, batch.column(0).to_numpy()])
             v = np.concatenate([held_v, batch.column(1).to_numpy().view(np.uint64)])
+            # Most keys come once, and go at once if they neither go on from the last batch nor may go on in the next.
+            starts = np.append(True, k[1:] != k[:-1])
+            some = ~(starts & np.append(starts[1:], False))
+            some[0] |= shared_key is not None and k[0] == shared_key
+            k, v = k[some], v[some]
             order = np.lexsort((v, k))          # Spark sorts by the key alone, which its radix sort can do
             k, v = k[order], v[order]
             line = v >> np.uint64(1)
@@ -542,32 +590,26 @@ def _lines(docs: DataFrame, id_col: str, text: str, wanted: DataFrame, least: in
         seen: set[int] = set()
         for batch in batches:
             for part in slices(batch, text, _SLICE):
-                values = part.column(text).to_pylist()
-                of, number, exact = [], [], []
-                for i, value in enumerate(values):
-                    for n, line in enumerate(value.split("\n") if value else ()):
-                        if len(line) >= least and not line.isspace():
-                            of.append(i)
-                            number.append(n)
-                            exact.append(hashlib.sha256(line.encode()).digest()[:DIGEST])
+                of, number, _, said = written(part.column(text).to_pylist(), least)
+                exact = digests(said)
                 take, n = pa.array(of, pa.int32()), len(of)
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0).take(take), part.column(1).take(take), pa.array(number, pa.int32()), pa.array(exact, pa.binary()),
                      pa.nulls(n, pa.int64()), pa.nulls(n, pa.string()), pa.nulls(n, pa.binary()), pa.nulls(n, pa.int64()),
                      pa.nulls(n, pa.int64())], names=schema.names)
-                found = Lines(values)
-                met = np.flatnonzero(_in_bloom(sent.value, found.hash) & (found.end - found.start >= edited)).tolist()
-                met = [r for r in met if (h := int(found.hash[r])) not in seen and not seen.add(h)]
+                own = hashes(exact)
+                met = [r for r in np.flatnonzero(_in_bloom(sent.value, own)).tolist()
+                       if len(said[r]) >= edited and (h := int(own[r])) not in seen and not seen.add(h)]
                 if len(seen) > SEEN // 8:
                     seen = set()
                 if not met:
                     continue
-                said = [found.text(r) for r in met]
+                said = [said[r] for r in met]
                 few, n = Lines(said), len(said)           # only these, as words too
                 words = InWords(few)
                 yield pa.RecordBatch.from_arrays(
                     [pa.nulls(n, part.column(0).type), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
-                     pa.array(found.hash[met].astype(np.int64)), pa.array(said, pa.string()),
+                     pa.array(own[met].astype(np.int64)), pa.array(said, pa.string()),
                      pa.array([x.tobytes() for x in sketches(few, words, np.arange(n))], pa.binary()),
                      pa.array(few.end - few.start), pa.array(words.end - words.start)], names=schema.names)
 
@@ -611,7 +653,6 @@ def line_classes(shared: DataFrame, found: DataFrame, threshold: int) -> DataFra
     return linked.join(found.select(F.col("line").alias("node"), exact), "node").select("exact", "component")
 
 
-DIGEST = 16                 # bytes of SHA-256 by which lines are held to be equal
 _RESULTS = ("n_lines", "removed", "n_removed")
 _INNER = ("_key", "_gone", "_numbers", "_removed")
 _REMOVED = "array<struct<line_no:int,first_doc_id:{0},first_line_no:int>>"
@@ -632,13 +673,12 @@ def dedupe_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", th
     classes = line_classes(shared, found, threshold)
     place = F.struct(F.col(id_col).isNull().alias("n"), F.col(id_col).alias("d"), "_key", F.col("line_no").alias("l"))
     # A class: a component, told by its least hash (8 bytes), or else one line, told by its digest (16).
-    own = F.when(F.col("component").isNull(), lines["exact"]).otherwise(F.unhex(F.hex("component")))
-    classed = stored(lines.join(classes, lines["exact"] == classes["exact"], "left")
-                     .select("_key", "line_no", own.alias("_cls"), place.alias("_at")), "lines")
-    # Only classes met more than once lose a line; the others need not be ranked.
+    own = F.when(F.col("component").isNull(), F.col("exact")).otherwise(F.unhex(F.hex("component")))
+    # Only lines met more than once, or linked to others, may lose one; the rest need no class and no rank.
     # Stored, so that each join is between two plain exchanges, which Spark can split where a class is hot.
-    several = classed.groupBy("_cls").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select("_cls")
-    again = stored(classed.join(several, "_cls"), "repeated-lines")
+    several = lines.groupBy("exact").agg(F.count(F.lit(1)).alias("_times")).where("_times > 1").select("exact")
+    classes = stored(several.join(classes, "exact", "full_outer").select("exact", own.alias("_cls")), "line-classes")
+    again = stored(lines.join(classes, "exact").select("_key", "line_no", "_cls", place.alias("_at")), "repeated-lines")
     first = stored(again.groupBy("_cls").agg(F.min("_at").alias("_first")), "first-lines")
     gone = (again.join(first, "_cls").where("_at != _first")
             .groupBy("_key").agg(F.collect_set(F.struct("line_no", F.col("_first.d").alias("first_doc_id"),

@@ -308,3 +308,30 @@ def test_forest_with_sketches_links_what_all_pairs_link(monkeypatch):
     keyed = [frozenset([7]) if i in pairs[0] else frozenset() for i in range(n)]
     assert set(line_dedup.block_forest(block, *whole, lines.__getitem__, keyed)).isdisjoint({pairs[0], pairs[0][::-1]})
     assert [line_dedup._pairs(np.array([2, 9]), np.array([5, 10]))[k].tolist() for k in (0, 1)] == [[2, 2, 3], [3, 4, 4]]
+
+
+def test_written_lines_and_their_hashes():
+    values = ["", None, "a\n\n  \nbb cc", "　\nกข x\n", "\U0001F600 a\U0001F600\nbb cc", "\x85 \nend"]
+    of, number, rows, said = line_dedup.written(values, 2)
+    lines = line_dedup.Lines(values)
+    assert list(zip(of, number, said)) == [(2, 3, "bb cc"), (3, 1, "กข x"), (4, 0, "\U0001F600 a\U0001F600"), (4, 1, "bb cc"), (5, 1, "end")]
+    assert [lines.cp[lines.start[r]:lines.end[r]].tobytes().decode("utf-32-le") for r in rows] == said
+    hashes = line_dedup.hashes(line_dedup.digests(said))
+    assert hashes[0] == hashes[3] and len(set(hashes.tolist())) == 4 and int(hashes.max()) < 1 << 63
+    assert line_dedup.hashes([]).tolist() == []
+
+
+def test_only_repeated_or_linked_lines_are_stored_with_their_class(spark, monkeypatch):
+    kept = {}
+
+    def stored(df, name, *rest):
+        done = real(df, name, *rest)
+        kept.setdefault(name, []).append(done.count())
+        return done
+
+    real = line_dedup.stored
+    monkeypatch.setattr(line_dedup, "stored", stored)
+    rows = [(i, f"only here {i}\nthe same line in all\nnearly the same line {i % 2}") for i in range(40)]
+    got = {r.doc_id: r.n_removed for r in line_dedup.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: 2 if i else 0 for i in range(40)}
+    assert len(kept["lines"]) == 1 and kept["line-classes"] == [3] and kept["repeated-lines"] == [80]
