@@ -46,7 +46,7 @@ FEATURES = 3 * DIM + 1
 ASIDE = 0.2
 DECISION = 0.3
 NO_MODEL = 1.0
-_SLICE = 2 << 20
+_SLICE = 1 << 19            # bytes of text that a task works on at a time: its arrays take some fifty times as much
 
 
 def _bucket(h: np.ndarray) -> np.ndarray:

@@ -2,16 +2,18 @@
 
 import math
 import random
+import tracemalloc
 from itertools import combinations
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from sluice.llm import decontaminate, fingerprint, langid, line_dedup, lm, quality, simhash_dedup, toxicity
-from sluice.llm.common import Words, grams
+from sluice.llm.common import Words, grams, slices, texts
 
 
 def arrays(texts):
@@ -310,6 +312,19 @@ def test_forest_with_sketches_links_what_all_pairs_link(monkeypatch):
     assert [line_dedup._pairs(np.array([2, 9]), np.array([5, 10]))[k].tolist() for k in (0, 1)] == [[2, 2, 3], [3, 4, 4]]
 
 
+def test_quality_works_on_a_bounded_piece_of_text_at_a_time():
+    batch = pa.RecordBatch.from_pydict({"text": [" ".join(f"w{(i * j) % 997}" for j in range(400)) for i in range(3000)]})
+    vectors = np.ones((quality.BUCKETS, quality.DIM), np.float32)
+    table = np.zeros((quality.BUCKETS, 1 + quality.DIM))
+    for work in (lambda *x: quality.add_contexts(table, *x), lambda *x: quality.pooled(vectors, *x)):
+        tracemalloc.start()
+        for part in slices(batch, "text", quality._SLICE):
+            work(*texts(part.column("text")))
+        most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert most < 60 << 20
+
+
 def test_written_lines_and_their_hashes():
     values = ["", None, "a\n\n  \nbb cc", "　\nกข x\n", "\U0001F600 a\U0001F600\nbb cc", "\x85 \nend"]
     of, number, rows, said = line_dedup.written(values, 2)
