@@ -1,4 +1,4 @@
-"""Operator 8: line dedup by a segment-partition edit join.
+"""Operator 8: line dedup by a zone-partition edit join.
 
 Lines that are equal (by 128 bits of SHA-256) are links, and so are lines of ``EDITED`` code points or
 more within ``THRESHOLD`` edits of each other, and lines within one changed, added
@@ -6,13 +6,15 @@ or missing word for every ``WORDS`` words of the one with fewer; a class is what
 links reach.  The first line of a class, by (document id, line number), stays and
 the others go.
 
-Join.  A line of length ``l`` is split into ``THRESHOLD + 1`` even segments; of
-two lines within the threshold the shorter one has a segment that the longer
-one holds unchanged, near its place.  Index rows are keyed by (length, segment
-number, segment); a line probes the index of its own and the next shorter
-lengths with the substrings at the few places that the length difference
-allows.  Lines of 20 to 40 words do the same with words in place of code points
-and one edit.  Of two longer lines within either threshold the shorter one has ``GRAM + WINDOW - 1`` words in a row that the other one holds too:
+Join.  Lines are dealt into ranges of sizes, and one a little longer than a range
+belongs to it too.  The lines of a range have one zone more than edits that may
+part them, the first half counted from their start, the others from their end.  Of
+two linked lines some zone is untouched and has as many edits before it as zones, so
+that what it holds has moved by no more than that, and from the other end likewise.  A line is keyed by (range,
+zone, piece) for the piece at the zone's place and for those that start up to so
+much further in: of two lines that moved apart, one has its first piece where the other has a later one.  Lines of 20 to
+40 words have zones of code points and, for one edit, of words; longer ones of words alone, two words apart.
+Of two lines of ``LONG`` words the shorter one has ``GRAM + WINDOW - 1`` words in a row that the other one holds too:
 both are keyed by the gram of least hash in every window of grams, with the
 line's size and the gram's place as overlapping ranges (winnowing), so that a
 line has keys in proportion to its length, whatever its threshold.
@@ -55,8 +57,9 @@ THRESHOLD = 2
 LEAST = 1                   # code points of the shortest line looked at
 EDITED = 16                 # shorter lines link where they are equal only
 WORDS = 20                  # words of a line for each word that may differ
-LONG = 40                   # lines of so many words are keyed by winnowed grams
-GRAM, WINDOW = 5, 8
+LONG = 140                  # lines of so many words are keyed by winnowed grams
+GRAM, WINDOW = 5, 13        # one of every 17 words in a row: lines of LONG words or more share as many
+STEP = 6                    # of ranges of sizes: so many elements, or this part of the least size
 BLOCK = 256                 # lines of one key compared in one row
 SEEN = 1 << 21              # line hashes a task remembers as already keyed
 BINS = 32                   # of a line's counts of code points, and of words
@@ -65,12 +68,14 @@ FIRST_KEYS = 16             # of a line's shared keys go with it
 FEW = 128                   # lines of one key up to which all their pairs are met at once
 BLOOM_BITS = 1 << 24
 _SLICE = 1 << 20
-_BLANK = np.array([chr(i).isspace() for i in range(0x3002)])
 _WIDE = 0x0E00
+#: Of the code points up to the last blank one, and of all others: 0 blank, 1 part of a word, 2 a word.
+_KIND = np.array([0 if chr(i).isspace() else 1 + (i >= _WIDE) for i in range(0x3002)], np.uint8)
 DIGEST = 16                 # bytes of SHA-256 by which lines are held to be equal
 _WORD = re.compile("[^\\s\\u0e00-\\U0010ffff]+|[^\\s\\u0000-\\u0dff]")
 #: Sizes at which the ranges of long lines begin; each is wider than the words by which two lines may differ.
-_EDGES = np.array([int(LONG * 1.4 ** j) for j in range(60)], np.int64)
+_EDGES = np.array([LONG << j for j in range(30)], np.int64)
+SPAN = 12                   # ranges of a gram's place are so many times as wide as it may move
 
 
 def _mixed(cp: np.ndarray) -> np.ndarray:
@@ -134,49 +139,62 @@ def hashes(exact: list[bytes]) -> np.ndarray:
     return np.frombuffer(b"".join(exact), "<u8").reshape(-1, DIGEST // 8)[:, 0] >> np.uint64(1)
 
 
-def segment(length: np.ndarray, i: int, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Start and size of segment ``i`` of lines of the given lengths; the last ones are longer by one."""
-    base, more = length // (threshold + 1), length % (threshold + 1)
-    long_from = threshold + 1 - more
-    return i * base + np.maximum(0, i - long_from), base + (i >= long_from)
+def _inside(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the range, and place, of every element of some ranges."""
+    size = end - start
+    of = np.repeat(np.arange(len(size)), size)
+    return of, np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + start[of]
 
 
-def keys(lines: Lines, rows: np.ndarray, threshold: int, least: int) -> tuple[np.ndarray, np.ndarray]:
-    """``(key, value)`` of index and probe rows; a value is a line's hash with a last bit set for probes."""
-    start, length = lines.start[rows], lines.end[rows] - lines.start[rows]
-    own = lines.hash[rows] << np.uint64(1)
-    key, value = [], []
+def _slack(edits: int) -> list[int]:
+    """Of every zone, by how much ``edits`` spots of edits move what it holds, if it is the one they must leave."""
+    return [min(i, edits - i) for i in range(edits + 1)]
+
+
+def zone_keys(lines: Lines, rows: np.ndarray, least: np.ndarray, slack: list[int], gap: int = 0) -> tuple[np.ndarray, np.ndarray]:
+    """``(key, value)`` of the pieces of ``rows``; a value is a line's hash with a last bit set for all but first pieces.
 
-    def add(k: np.ndarray, i: int, size: np.ndarray, place: np.ndarray, target: np.ndarray, probe: int):
-        first = start[k] + place
-        salt = target.astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93) + np.uint64((i + 1) * 0x632BE59BD9B4E019 % (1 << 64))
-        key.append(mix(lines.sums(first, first + size) + salt))
-        value.append(own[k] | np.uint64(probe))
-
-    for i in range(threshold + 1):
-        place, size = segment(length, i, threshold)
-        add(np.arange(len(rows)), i, size, place, length, 0)
-        for delta in range(threshold + 1):
-            target = length - delta
-            place, size = segment(target, i, threshold)
-            low = max(-i, delta - (threshold - i))
-            high = min(i, delta + (threshold - i))
-            for shift in range(low, high + 1):
-                if delta == 0 and shift == 0:
-                    continue                                   # its own index row does it
-                at = place + shift
-                k = np.flatnonzero((target >= least) & (at >= 0) & (at + size <= length))
-                add(k, i, size[k], at[k], target[k], 1)
+    A line of ``least`` elements or more has a zone for every entry of ``slack``, ``gap`` elements apart, the first
+    half at places counted from its start, the others from its end.  A zone is as long as a piece and its
+    slack, and keyed by the pieces at its place and up to slack further in: of two lines that hold a
+    zone alike and moved by its slack or less, one has its first piece among the other's.
+    """
+    half, edits = (len(slack) - 1) // 2, len(slack) - 1
+    size = (least - sum(slack) - gap * edits) // (edits + 1)
+    some, size = size > 0, np.maximum(size, 0)                # too short for zones: all such lines share a key
+    start, end, own = lines.start[rows], lines.end[rows], lines.hash[rows] << np.uint64(1)
+    key, value = [], []
+    for i in range(edits + 1):
+        before = slack[:i] if i <= half else slack[i + 1:]
+        place = len(before) * (size + gap) + sum(before)
+        salt = (least * 1024 + i + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
+        for more in range(slack[i] + 1):
+            first = np.where(some, start + place + more if i <= half else end - place - more - size, start)
+            key.append(mix(lines.sums(first, first + size) + salt))
+            value.append(own | np.uint64(more > 0))
     return np.concatenate(key), np.concatenate(value)
 
 
+def keys(lines: Lines, rows: np.ndarray, threshold: int, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """``(key, value)`` by which lines of ``least`` elements or more within ``threshold`` edits share a key, one of
+    them under a first piece.  Every range of sizes has zones of its own, and lines up to ``threshold`` longer have them too."""
+    size = lines.end[rows] - lines.start[rows]
+    edges, longest = [least], int(size.max(initial=0))
+    while edges[-1] <= longest:
+        edges.append(edges[-1] + max(STEP, edges[-1] // STEP))
+    edges = np.array(edges)
+    low = np.searchsorted(edges, np.maximum(size - threshold, least), side="right") - 1
+    of, at = _inside(low, np.where(size < least, low, np.searchsorted(edges, size, side="right")))
+    return zone_keys(lines, rows[of], edges[at], _slack(threshold))
+
+
 class InWords(Lines):
     """The same lines as sequences of words: ``start`` and ``end`` count words."""
 
     def __init__(self, lines: Lines):
-        first = ~_BLANK[np.minimum(lines.cp, len(_BLANK) - 1)]
+        kind = _KIND.take(lines.cp, mode="clip")
+        first, narrow = kind > 0, kind == 1
         last = first.copy()
-        narrow = first & (lines.cp < _WIDE)
         apart = ~(narrow[1:] & narrow[:-1])
         first[1:] &= apart
         last[:-1] &= apart
@@ -189,12 +207,13 @@ class InWords(Lines):
 
 
 def _over(x: np.ndarray, least: bool) -> np.ndarray:
-    """Least or greatest of every ``WINDOW`` values in a row (a power of two)."""
+    """Least or greatest of every ``WINDOW`` values in a row."""
     step, of = 1, np.minimum if least else np.maximum
-    while step < WINDOW:
+    while 2 * step <= WINDOW:
         x = of(x[:-step], x[step:])
         step *= 2
-    return x
+    rest = WINDOW - step
+    return of(x[:-rest], x[rest:]) if rest else x
 
 
 def winnowed(words: InWords, rows: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
@@ -220,28 +239,39 @@ def winnowed(words: InWords, rows: np.ndarray, threshold: int) -> tuple[np.ndarr
         k = np.arange(len(at)) if not up else np.flatnonzero(size + np.maximum(2 * threshold, size // WORDS) >= _EDGES[own + 1])
         j = own[k] + up
         shift = np.maximum(2 * threshold, (_EDGES[j + 1] - 1) // WORDS)
-        low, high = place[k] // (6 * shift), (place[k] + shift) // (6 * shift)
+        low, high = place[k] // (SPAN * shift), (place[k] + shift) // (SPAN * shift)
         for part, span in ((slice(None), low), (np.flatnonzero(high > low), high)):
             salt = (j[part] * 1_000_003 + span[part] + 1).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)
             key.append(mix(gram[at[k[part]]] + salt))
             value.append(words.hash[line[k[part]]] << np.uint64(1))
-    return np.concatenate(key), np.concatenate(value)
+    key, value = np.concatenate(key), np.concatenate(value)
+    order = np.lexsort((value, key))                          # a line that repeats itself has its grams once
+    key, value = key[order], value[order]
+    fresh = np.append(True, (key[1:] != key[:-1]) | (value[1:] != value[:-1]))[:len(key)]
+    return key[fresh], value[fresh]
 
 
 def all_keys(lines: Lines, rows: np.ndarray, threshold: int, least: int) -> tuple[np.ndarray, np.ndarray]:
     """``(key, value)`` by which any two linked lines among ``rows`` share a key.
 
-    An edit touches three adjacent words at most (a wide one and both beside
-    it), so ``threshold`` edits leave a run long enough for a gram in lines of
-    ``long`` words, and change the number of words by two each.
+    Lines of fewer than ``LONG`` words have zones of words, with slack for the words that may differ.  An edit
+    of a code point touches three adjacent words at most (a wide one and both beside it), hence not two
+    zones two words apart, and moves the words behind it by two at most; two edits either leave the first or the
+    last zone, or all others, of which one has that slack.  More edits, and shorter lines, take zones of code points.
     """
     words = InWords(lines)
     size = words.end[rows] - words.start[rows]
     run = GRAM + WINDOW - 1
-    long = max(LONG, 3 * threshold + (run - 1) * (threshold + 1) + 1)
-    found = [keys(lines, rows[size < long + 2 * threshold], threshold, least),
-             keys(words, rows[(size >= WORDS) & (size <= LONG)], 1, WORDS),
+    letters = 2 * WORDS if threshold <= 2 else max(LONG, 3 * threshold + (run - 1) * (threshold + 1) + 1)
+    found = [keys(lines, rows[size < letters + 2 * threshold], threshold, least),
+             keys(words, rows[(size >= WORDS) & (size <= 2 * WORDS)], 1, WORDS),
              winnowed(words, rows[size >= LONG], threshold)]
+    for differ in range(2, LONG // WORDS):
+        slack, low = _slack(differ), differ * WORDS
+        if max(slack) < 2:
+            slack[1] = 2
+        k = rows[(size >= low) & (size < low + WORDS + max(2 * min(threshold, 2), differ))]
+        found.append(zone_keys(words, k, np.full(len(k), low), slack, 2))
     key, value = (np.concatenate(x) for x in zip(*found))
     return key, value
 
@@ -309,13 +339,6 @@ def within(a: Sequence, b: Sequence, threshold: int) -> bool:
     return distance <= k
 
 
-def _inside(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the range, and place, of every element of some ranges."""
-    size = end - start
-    of = np.repeat(np.arange(len(size)), size)
-    return of, np.arange(len(of)) - np.repeat(np.cumsum(size) - size, size) + start[of]
-
-
 def sketches(lines: Lines, words: InWords, rows: np.ndarray) -> np.ndarray:
     """How often each line holds the code points and the words of each of ``BINS`` bins, 255 at most, as bytes.
 
@@ -489,11 +512,11 @@ def gathered(batches: Iterator[pa.RecordBatch], rows: int = 1 << 16) -> Iterator
 
 
 def _shared(signatures: DataFrame) -> DataFrame:
-    """``(k, line)`` of keys held by two lines or more, one of them by an index row; a row may come again.
+    """``(k, line)`` of keys held by two lines or more, by one of them for a first piece; a row may come again.
 
     Rows come sorted by key, and pass batch by batch.  The last key of
-    a batch may go on in the next: its rows are held until a second line and an
-    index row have shown that it is shared, and from then on pass at once.
+    a batch may go on in the next: its rows are held until a second line and a
+    first piece have shown that it is shared, and from then on pass at once.
     Keys that end inside a batch are renamed by the lines they hold, so that many
     keys shared by the same lines become one.
     """

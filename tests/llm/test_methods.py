@@ -350,3 +350,49 @@ def test_only_repeated_or_linked_lines_are_stored_with_their_class(spark, monkey
     got = {r.doc_id: r.n_removed for r in line_dedup.dedupe_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == {i: 2 if i else 0 for i in range(40)}
     assert len(kept["lines"]) == 1 and kept["line-classes"] == [3] and kept["repeated-lines"] == [80]
+
+
+def test_linked_lines_share_a_key_at_every_range_of_sizes():
+    rng = random.Random(12)
+    sizes = [*range(3, 14), *range(18, 28), *range(37, 46), *range(58, 66), *range(78, 86), *range(98, 107), *range(118, 128),
+             *range(138, 150), 160, 200, 279, 280, 290]
+    pairs = []
+    for n in sizes * 40:
+        a = ["".join(rng.choices("abcdefgh", k=rng.randint(1, 7))) for _ in range(n)]
+        if rng.random() < 0.5 and n >= line_dedup.WORDS:
+            b = list(a)
+            first = rng.random() < 0.5               # all between some two places, or anywhere
+            low, high = sorted(rng.sample(range(n), 2)) if first else (0, n - 1)
+            for _ in range(n // line_dedup.WORDS):
+                at = min(rng.randint(low, high), len(b) - 1)
+                b[at:at + rng.randint(0, 1)] = ["other"] * rng.randint(0, 1)
+            if min(len(a), len(b)) // line_dedup.WORDS < n // line_dedup.WORDS:
+                continue
+            a, b = " ".join(a), " ".join(b)
+        else:
+            a = "".join(w + rng.choice(["\u4e2d", "\u8a9e"]) if rng.random() < 0.1 else w + " " for w in a)
+            b = list(a)
+            for _ in range(2):
+                at = rng.choice([0, len(b) - 1, rng.randrange(len(b)), rng.randrange(len(b))])
+                b[at:at + rng.randint(0, 1)] = rng.choice([[], [" "], ["x"], ["\u4e2d"]])
+            b = "".join(b)
+        if a != b and min(len(a), len(b)) >= line_dedup.EDITED:
+            pairs.append((a, b))
+    lines = line_dedup.Lines([x for pair in pairs for x in pair])
+    key, value = line_dedup.all_keys(lines, np.arange(2 * len(pairs)), line_dedup.THRESHOLD, line_dedup.EDITED)
+    held = {h: set() for h in lines.hash.tolist()}
+    for k, v in zip(key.tolist(), value.tolist()):
+        held[v >> 1].add((k, v & 1))
+    for at, (one, two) in enumerate(lines.hash.reshape(-1, 2).tolist()):
+        assert any((k, 1 - p) in held[two] or p == 0 and (k, 0) in held[two] for k, p in held[one]), pairs[at]
+
+
+def test_lines_have_few_keys():
+    rng = random.Random(3)
+    for n, most in ((10, 8), (30, 12), (50, 5), (70, 7), (90, 9), (110, 12), (130, 16), (170, 60)):
+        lines = line_dedup.Lines([" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(n)) for _ in range(50)])
+        key, value = line_dedup.all_keys(lines, np.arange(50), line_dedup.THRESHOLD, line_dedup.EDITED)
+        assert len(key) <= most * 50
+    lines = line_dedup.Lines(["so it goes on " * 1000])
+    key, value = line_dedup.all_keys(lines, np.arange(1), line_dedup.THRESHOLD, line_dedup.EDITED)
+    assert len(key) == len(set(key.tolist())) < 50
