@@ -16,10 +16,14 @@ def blocks(members: DataFrame, key: list[str], value: list[str], block: int, onl
     chunk ``i``, else as members of either ``side`` of ``(i, j)``.  Returns the
     key, ``same`` (``i = j``) and ``members``, structs of the value and ``side``.
     ``only``: buckets in which this boolean column is nowhere true are left out.
+
+    Both tables are joined by sorting: ``members`` comes out of an explode, which
+    Spark sizes as one row for each row before it, so it (or its buckets, as many)
+    would be broadcast while the rows before it are few.
     """
     sizes = members.groupBy(*key).agg(F.count(F.lit(1)).alias("_bucket"), *([F.bool_or(only).alias("_some")] if only else []))
     sizes = sizes.where("_bucket > 1 AND _some" if only else "_bucket > 1").drop("_some")
-    live = members.join(sizes, key)
+    live = members.join(sizes.hint("merge"), key)
     c = F.ceil(F.col("_bucket") / F.lit(block)).cast("int")
     i = F.pmod(F.xxhash64(*value), c).cast("int")
     dealt = (live.select(*key, *value, i.alias("_c"), F.explode(F.sequence(F.lit(0), c - 1)).alias("_j"))

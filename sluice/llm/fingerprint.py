@@ -151,7 +151,9 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text: str = "text") -> Da
     # One row per range, without texts: which range follows, the first after the last.
     ring = heads.select("_range").withColumn("_after", F.coalesce(
         F.lead("_range").over(Window.orderBy("_range")), F.min("_range").over(Window.partitionBy())))
-    ends = tails.join(ring, "_range").join(heads.withColumnRenamed("_range", "_after"), "_after").select(id_col, "_text", "_next")
+    # Texts are of any length and their size in a file says little: neither side is broadcast.
+    ends = (tails.join(ring.hint("merge"), "_range").join(heads.withColumnRenamed("_range", "_after").hint("merge"), "_after")
+            .select(id_col, "_text", "_next"))
 
     def close(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
